@@ -33,10 +33,17 @@ def visits_of(requests: DataFrame, has_data: bool = True) -> DataFrame:
 
 
 def pick_banners(visits: DataFrame, perf: DataFrame, seed: str) -> DataFrame:
-    """Visits with ``picks``; the few with a very long seen list take the exact join."""
+    """Visits with ``picks``.
+
+    The longest seen list decides the plan (one number read by the driver):
+    usually every list fits the campaign's pool and one join answers all; else
+    the visits with longer lists take the exact join.
+    """
     lists = serving.serving_lists(perf, seed, visits.select("campaign_id").distinct())
-    is_long = serving.is_long(F.col("seen"))
-    usual = serving.answer(visits.where(~is_long), lists)
+    longest = visits.agg(F.max(serving.seen_size(F.col("seen"))).alias("n")).first()["n"] or 0
+    if longest <= serving.SEEN_IN_POOL:
+        return serving.answer(visits, lists)
+    is_long = serving.seen_size(F.col("seen")) > serving.SEEN_IN_POOL
     long = visits.where(is_long)
     exact = (
         serving.answer(long, lists)
@@ -44,7 +51,7 @@ def pick_banners(visits: DataFrame, perf: DataFrame, seed: str) -> DataFrame:
         .withColumn("picks", F.coalesce("long_picks", "picks"))
         .drop("long_picks")
     )
-    return usual.unionByName(exact)
+    return serving.answer(visits.where(~is_long), lists).unionByName(exact)
 
 
 def respond(

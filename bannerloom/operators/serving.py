@@ -215,8 +215,8 @@ def answer(visits: DataFrame, lists: DataFrame) -> DataFrame:
     return visits.join(lists, "campaign_id", "left").withColumn("picks", picks)
 
 
-def is_long(seen: Column) -> Column:
-    return F.size(F.array_distinct(seen)) > SEEN_IN_POOL
+def seen_size(seen: Column) -> Column:
+    return F.size(F.array_distinct(seen))
 
 
 def answer_long(visits: DataFrame, perf: DataFrame, key: str) -> DataFrame:

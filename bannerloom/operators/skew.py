@@ -163,13 +163,13 @@ def row_numbers(
         w = Window.partitionBy(*by).orderBy(*sort_columns(order))
         total = F.count(F.lit(1)).over(Window.partitionBy(*by))
         step = F.greatest(F.lit(SAMPLES_PER_PIECE), F.ceil(total / pieces))
-        return sample.withColumn("_k", F.row_number().over(w)).withColumn("_s", step).where("_k % _s = 0")
+        return sample.withColumn("_nth", F.row_number().over(w)).withColumn("_step", step).where("_nth % _step = 0")
 
     if not keys:
         total = df.agg(F.count(F.lit(1))).scalar()
         sample = df.where(F.pmod(row_hash, total) < wanted).select(*cols).distinct().withColumn("_g", F.lit(0))
         bounds = thin(sample, ["_g"]).agg(F.collect_list(mark_of)).scalar()
-        cut = df.withColumn("_piece", piece(bounds))
+        cut = df.withColumn("_b", bounds).withColumn("_piece", piece(F.col("_b"))).drop("_b")
         counts = cut.groupBy("_piece").agg(F.count(F.lit(1)).alias("_c"))
         before = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
         offsets = counts.select("_piece", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))

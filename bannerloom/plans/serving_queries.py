@@ -193,7 +193,7 @@ def _(v: Views) -> DataFrame:
 
 RESPONSES = f"""SELECT request_id, 200 AS status, banner_ids,
   '<html><body>' || array_to_string(list_transform(string_split(banner_ids, ', '),
-     b -> '<img src=''{R.DEFAULT_IMAGE_BASE}/image_' || b || '.png''>'), '') || '</body></html>' AS body,
+     lambda b: '<img src=''{R.DEFAULT_IMAGE_BASE}/image_' || b || '.png''>'), '') || '</body></html>' AS body,
   'seen_banners_cookie=[' || banner_ids || ']; domain={R.DEFAULT_DOMAIN}; expires='
      || strftime(ts + INTERVAL 30 DAY, '%a, %d-%b-%Y %H:%M:%S PST') || ';"' AS set_cookie
 FROM (SELECT request_id, ts, string_agg(CAST(banner_id AS VARCHAR), ', '
