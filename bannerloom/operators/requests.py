@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,14 +34,33 @@ def visits_of(requests: DataFrame, has_data: bool = True) -> DataFrame:
     )
 
 
-def pick_banners(visits: DataFrame, perf: DataFrame, seed: str) -> DataFrame:
+@dataclass(frozen=True)
+class Serving:
+    """What requests are answered from: performance rows, campaign lists, banner ring.
+
+    ``lists`` and ``ring`` are made once per dataset; for a stream they are
+    written as tables (see streaming.serve) and only read per micro-batch.
+    """
+
+    perf: DataFrame
+    lists: DataFrame
+    ring: DataFrame
+    seed: str
+
+
+def prepare(perf: DataFrame, seed: str) -> Serving:
+    ring = serving.banner_ring(perf, seed)
+    return Serving(perf, serving.serving_lists(perf, seed, ring), ring, seed)
+
+
+def pick_banners(visits: DataFrame, ready: Serving) -> DataFrame:
     """Visits with ``picks``.
 
     The longest seen list decides the plan (one number read by the driver):
     usually every list fits the campaign's pool and one join answers all; else
     the visits with longer lists take the exact join.
     """
-    lists = serving.serving_lists(perf, seed, visits.select("campaign_id").distinct())
+    lists = ready.lists.unionByName(serving.unknown_lists(visits, ready.lists, ready.ring, ready.seed))
     longest = visits.agg(F.max(serving.seen_size(F.col("seen"))).alias("n")).first()["n"] or 0
     if longest <= serving.SEEN_IN_POOL:
         return serving.answer(visits, lists)
@@ -47,7 +68,7 @@ def pick_banners(visits: DataFrame, perf: DataFrame, seed: str) -> DataFrame:
     long = visits.where(is_long)
     exact = (
         serving.answer(long, lists)
-        .join(serving.answer_long(long, perf, "request_id"), "request_id", "left")
+        .join(serving.answer_long(long, ready.perf, "request_id"), "request_id", "left")
         .withColumn("picks", F.coalesce("long_picks", "picks"))
         .drop("long_picks")
     )
@@ -56,26 +77,29 @@ def pick_banners(visits: DataFrame, perf: DataFrame, seed: str) -> DataFrame:
 
 def respond(
     requests: DataFrame,
-    perf: DataFrame | None,
-    seed: str,
+    ready: Serving | None,
     domain: str = R.DEFAULT_DOMAIN,
     image_base: str = R.DEFAULT_IMAGE_BASE,
 ) -> DataFrame:
     """responses(request_id, status, banner_ids, body, set_cookie) for every request.
 
-    ``perf`` is None when no dataset has been processed: valid requests get 500.
+    ``ready`` is None when no dataset has been processed: valid requests get 500.
     """
-    rejected = validate(requests, perf is not None).where(F.col("status") != 200).select(
-        "request_id",
-        "status",
-        F.lit(None).cast("array<int>").alias("banner_ids"),
-        R.error_page(F.col("message")).alias("body"),
-        F.lit(None).cast("string").alias("set_cookie"),
+    rejected = (
+        validate(requests, ready is not None)
+        .where(F.col("status") != 200)
+        .select(
+            "request_id",
+            "status",
+            F.lit(None).cast("array<int>").alias("banner_ids"),
+            R.error_page(F.col("message")).alias("body"),
+            F.lit(None).cast("string").alias("set_cookie"),
+        )
     )
-    if perf is None:
+    if ready is None:
         return rejected
-    picked = pick_banners(visits_of(requests), perf, seed)
-    ids = serving.shuffled_array(F.col("picks"), seed, F.col("campaign_id"))
+    picked = pick_banners(visits_of(requests), ready)
+    ids = serving.shuffled_array(F.col("picks"), ready.seed, F.col("campaign_id"))
     answered = picked.withColumn("banner_ids", ids).select(
         "request_id",
         F.lit(200).alias("status"),

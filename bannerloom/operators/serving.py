@@ -105,47 +105,55 @@ def banner_ring(perf: DataFrame, seed: str) -> DataFrame:
     )
 
 
-def backfill_candidates(perf: DataFrame, seed: str, campaigns: DataFrame | None = None) -> DataFrame:
-    """Random banners of the whole table for campaigns with fewer than LOW_LIMIT rows.
-
-    A campaign starts at a random ring position and looks at the next LOW_LIMIT
-    banners. It owns fewer than LOW_LIMIT, so what is left after removing its
-    own always fills the gap (as far as the table has that many banners), and no
-    campaign is paired with the whole banner list.
+def short_campaigns(perf: DataFrame, campaigns: DataFrame | None = None) -> DataFrame:
+    """Campaigns with fewer than LOW_LIMIT rows as (campaign_id, have).
 
-    ``campaigns`` adds campaign ids that may be absent from ``perf``.
+    ``campaigns`` adds ids that may be absent from ``perf``; those have 0.
     """
-    ids = perf.select("campaign_id")
-    if campaigns is not None:
-        ids = ids.unionByName(campaigns.select("campaign_id"))
     own = perf.groupBy("campaign_id").agg(F.count(F.lit(1)).alias("have"))
-    short = (
-        ids.distinct()
-        .join(own, "campaign_id", "left")
-        .select("campaign_id", F.coalesce("have", F.lit(0)).alias("have"))
-        .where(F.col("have") < LOW_LIMIT)
-    )
-    ring = banner_ring(perf, seed)
-    size = ring.agg(F.count(F.lit(1))).scalar()
+    if campaigns is not None:
+        asked = campaigns.select("campaign_id").distinct().withColumn("have", F.lit(0).cast("long"))
+        own = own.unionByName(asked).groupBy("campaign_id").agg(F.max("have").alias("have"))
+    return own.where(F.col("have") < LOW_LIMIT)
+
+
+def draw(short: DataFrame, ring: DataFrame, seed: str) -> DataFrame:
+    """The next LOW_LIMIT ring banners from each campaign's own random start."""
     start = F.conv(F.substring(seeded_order(seed, "campaign_id"), 1, 8), 16, 10).cast("long")
+    last = F.least(F.lit(LOW_LIMIT).cast("long"), F.col("_size")) - 1
     slots = (
-        short.withColumn("_size", size)
+        short.withColumn("_size", ring.agg(F.count(F.lit(1))).scalar())
         .where(F.col("_size") > 0)
-        .withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.lit(LOW_LIMIT), F.col("_size")) - 1)))
+        .withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), last)))
         .withColumn("ring_pos", (start + F.col("step")) % F.col("_size"))
     )
-    drawn = slots.join(ring, "ring_pos").select("campaign_id", "have", "banner_id", "step")
+    return slots.join(ring, "ring_pos").select("campaign_id", "have", "banner_id", "step")
+
+
+def backfill_candidates(
+    perf: DataFrame, seed: str, campaigns: DataFrame | None = None, ring: DataFrame | None = None
+) -> DataFrame:
+    """Random banners of the whole table for campaigns with fewer than LOW_LIMIT rows.
+
+    A campaign starts at a random ring position and looks at the next LOW_LIMIT
+    banners. It owns fewer than LOW_LIMIT, so what is left after removing its
+    own always fills the gap (as far as the table has that many banners), and no
+    campaign is paired with the whole banner list.
+    """
+    drawn = draw(short_campaigns(perf, campaigns), banner_ring(perf, seed) if ring is None else ring, seed)
     picked = perf.select("campaign_id", "banner_id")
     return drawn.join(picked, ["campaign_id", "banner_id"], "left_anti")
 
 
-def serve_with_backfill(perf: DataFrame, seed: str, campaigns: DataFrame | None = None) -> DataFrame:
+def serve_with_backfill(
+    perf: DataFrame, seed: str, campaigns: DataFrame | None = None, ring: DataFrame | None = None
+) -> DataFrame:
     """Tiered top-k, filled up from the ring where a campaign has too few banners."""
     served = serve_campaigns(perf).select(
         "campaign_id", "banner_id", F.col("banner_rank").cast("long").alias("pos"), F.lit(False).alias("is_backfill")
     )
-    order: skew.Order = [("step", True)]
-    extra = skew.top_rows(backfill_candidates(perf, seed, campaigns), ["campaign_id"], order, LOW_LIMIT, "draw")
+    candidates = backfill_candidates(perf, seed, campaigns, ring)
+    extra = skew.top_rows(candidates, ["campaign_id"], [("step", True)], LOW_LIMIT, "draw")
     filled = extra.where(F.col("draw") <= LOW_LIMIT - F.col("have")).select(
         "campaign_id", "banner_id", (F.col("have") + F.col("draw")).alias("pos"), F.lit(True).alias("is_backfill")
     )
@@ -180,26 +188,34 @@ def shuffled_array(ids: Column, seed: str, campaign: Column) -> Column:
     return F.transform(F.array_sort(keyed), lambda x: x["b"])
 
 
-def serving_lists(perf: DataFrame, seed: str, campaigns: DataFrame | None = None) -> DataFrame:
-    """One row per campaign with everything needed to answer a request.
+def serving_lists(perf: DataFrame, seed: str, ring: DataFrame | None = None) -> DataFrame:
+    """One row per campaign of the table with everything needed to answer a request.
 
     ``fixed`` is the list of the lower tiers; ``pool`` holds the top banners of
     a top-tier campaign, enough for seen lists up to SEEN_IN_POOL entries.
     """
     stats = campaign_stats(perf).select("campaign_id", "revenue_count")
-    pool = served_arrays(
-        skew.top_rows(perf, ["campaign_id"], RANKING, TOP_TIER + SEEN_IN_POOL, "pos")
-    ).withColumnRenamed("banner_ids", "pool")
-    fixed = served_arrays(serve_with_backfill(perf, seed, campaigns)).withColumnRenamed("banner_ids", "fixed")
+    top = skew.top_rows(perf, ["campaign_id"], RANKING, TOP_TIER + SEEN_IN_POOL, "pos")
+    pool = served_arrays(top).withColumnRenamed("banner_ids", "pool")
+    fixed = served_arrays(serve_with_backfill(perf, seed, ring=ring)).withColumnRenamed("banner_ids", "fixed")
     return (
-        fixed.join(stats, "campaign_id", "left")
-        .join(pool, "campaign_id", "left")
-        .select(
-            "campaign_id",
-            F.coalesce("revenue_count", F.lit(0)).alias("revenue_count"),
-            "fixed",
-            F.when(F.col("revenue_count") >= TOP_TIER, F.col("pool")).alias("pool"),
-        )
+        fixed.join(stats, "campaign_id")
+        .join(pool, "campaign_id")
+        .select("campaign_id", "fixed", F.when(F.col("revenue_count") >= TOP_TIER, F.col("pool")).alias("pool"))
+    )
+
+
+def unknown_lists(campaigns: DataFrame, lists: DataFrame, ring: DataFrame, seed: str) -> DataFrame:
+    """Lists for asked campaigns that the table does not have: random banners only."""
+    unknown = (
+        campaigns.select("campaign_id")
+        .distinct()
+        .join(lists.select("campaign_id"), "campaign_id", "left_anti")
+        .withColumn("have", F.lit(0).cast("long"))
+    )
+    fixed = served_arrays(draw(unknown, ring, seed), "step")
+    return fixed.select(
+        "campaign_id", F.col("banner_ids").alias("fixed"), F.lit(None).cast("array<int>").alias("pool")
     )
 
 

@@ -47,7 +47,7 @@ def _(v: Views) -> DataFrame:
 
 @query("rank_banners", with_views("SELECT campaign_id, banner_id, banner_rank FROM ranked", "ranked"))
 def _(v: Views) -> DataFrame:
-    return S.rank_banners(v.perf).select("campaign_id", "banner_id", F.col("banner_rank").cast("long").alias("banner_rank"))
+    return S.rank_banners(v.perf_table).select("campaign_id", "banner_id", F.col("banner_rank").cast("long").alias("banner_rank"))
 
 
 @query(
@@ -62,7 +62,7 @@ def _(v: Views) -> DataFrame:
 
 @query("serve_campaigns", with_views("SELECT * FROM served", "served"))
 def _(v: Views) -> DataFrame:
-    return S.serve_campaigns(v.perf).withColumn("banner_rank", F.col("banner_rank").cast("long"))
+    return S.serve_campaigns(v.perf_table).withColumn("banner_rank", F.col("banner_rank").cast("long"))
 
 
 @query("distinct_banners", with_views("SELECT DISTINCT banner_id FROM perf WHERE banner_id NOT IN (1, 3, 5, 7, 11)", "perf"))
@@ -76,12 +76,12 @@ def _(v: Views) -> DataFrame:
     with_views("SELECT campaign_id, have, banner_id, step FROM backfill", "backfill", campaigns="known_or_asked"),
 )
 def _(v: Views) -> DataFrame:
-    return S.backfill_candidates(v.perf, SEED, requests_op.visits_of(v.requests))
+    return S.backfill_candidates(v.perf_table, SEED, requests_op.visits_of(v.requests))
 
 
 @query("serve_with_backfill", with_views("SELECT campaign_id, banner_id, pos, is_backfill FROM filled", "filled"))
 def _(v: Views) -> DataFrame:
-    return S.serve_with_backfill(v.perf, SEED)
+    return S.serve_with_backfill(v.perf_table, SEED)
 
 
 @query(
@@ -93,7 +93,7 @@ def _(v: Views) -> DataFrame:
     ),
 )
 def _(v: Views) -> DataFrame:
-    shuffled = S.shuffled_order(S.serve_campaigns(v.perf), SEED)
+    shuffled = S.shuffled_order(S.serve_campaigns(v.perf_table), SEED)
     return shuffled.select("campaign_id", "banner_id", F.col("show_pos").cast("long").alias("show_pos"))
 
 
@@ -105,7 +105,7 @@ def _(v: Views) -> DataFrame:
     ),
 )
 def _(v: Views) -> DataFrame:
-    arrays = S.served_arrays(S.serve_with_backfill(v.perf, SEED))
+    arrays = S.served_arrays(S.serve_with_backfill(v.perf_table, SEED))
     return arrays.withColumn("banner_ids", F.array_join(F.col("banner_ids").cast("array<string>"), ","))
 
 
@@ -154,7 +154,7 @@ FROM picks GROUP BY request_id"""
 
 @query("serve_requests_picks", with_views(PICKED_TEXT, "picks", campaigns="known_or_asked"))
 def _(v: Views) -> DataFrame:
-    picked = requests_op.pick_banners(requests_op.visits_of(v.requests), v.perf, SEED)
+    picked = requests_op.pick_banners(requests_op.visits_of(v.requests), requests_op.prepare(v.perf_table, SEED))
     return picked.select("request_id", F.array_join(F.col("picks").cast("array<string>"), ",").alias("banner_ids"))
 
 
@@ -171,7 +171,7 @@ WHERE revenue_count >= 10 AND len(seen) > 0 GROUP BY request_id""",
 )
 def _(v: Views) -> DataFrame:
     visits = requests_op.visits_of(v.requests).where(F.size("seen") > 0)
-    lists = S.serving_lists(v.perf, SEED).where(F.col("pool").isNotNull())
+    lists = S.serving_lists(v.perf_table, SEED).where(F.col("pool").isNotNull())
     picked = S.answer(visits.join(lists, "campaign_id", "left_semi"), lists)
     return picked.select("request_id", F.array_join(F.col("picks").cast("array<string>"), ",").alias("banner_ids"))
 
@@ -187,7 +187,7 @@ FROM picks JOIN stats USING (campaign_id) WHERE revenue_count >= 10 GROUP BY req
     ),
 )
 def _(v: Views) -> DataFrame:
-    picked = S.answer_long(requests_op.visits_of(v.requests), v.perf, "request_id")
+    picked = S.answer_long(requests_op.visits_of(v.requests), v.perf_table, "request_id")
     return picked.select("request_id", F.array_join(F.col("long_picks").cast("array<string>"), ",").alias("banner_ids"))
 
 
@@ -207,7 +207,7 @@ SELECT request_id, 400, NULL, '<html><head><title>400 Bad Request</title></head>
 
 @query("serve_requests", with_views(RESPONSES, "picks", campaigns="known_or_asked"))
 def _(v: Views) -> DataFrame:
-    return as_text(requests_op.respond(v.requests, v.perf, SEED))
+    return as_text(requests_op.respond(v.requests, requests_op.prepare(v.perf_table, SEED)))
 
 
 def as_text(responses: DataFrame) -> DataFrame:
@@ -235,5 +235,5 @@ def _(v: Views) -> DataFrame:
     ),
 )
 def _(v: Views) -> DataFrame:
-    arrays = S.served_arrays(S.serve_with_backfill(v.perf, SEED))
+    arrays = S.served_arrays(S.serve_with_backfill(v.perf_table, SEED))
     return arrays.select("campaign_id", R.page(F.col("banner_ids")).alias("body"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import lru_cache, reduce
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,25 +23,17 @@ def kind_tables(v: Views) -> dict[str, DataFrame]:
     return {"impressions": v.impressions, "clicks": v.clicks, "conversions": v.conversions}
 
 
-@lru_cache(maxsize=8)
-def _staged(app_id: str, sf_dir: str) -> dict[str, str]:
-    return {}
-
-
 def staged_csv(v: Views) -> str:
-    """Folder of CSV datasets made from the given tables, written once per session."""
-    cache = _staged(v.spark.sparkContext.applicationId, v.sf_dir)
-    if "root" not in cache:
-        root = scratch_dir(v.spark, "csv")
-        for kind, df in kind_tables(v).items():
-            for n in [*PERIODS, COPY_OF_FIRST]:
-                period = 1 if n == COPY_OF_FIRST else n
-                datasets.write_csv(df.where(F.col("period") == period), root, n, kind)
-        # a folder that is not a dataset
-        columns = schemas.CLICKS.fieldNames()
-        v.clicks.where(F.col("period") == 1).select(*columns).write.csv(f"{root}/archive/clicks_1.csv", header=True)
-        cache["root"] = root
-    return cache["root"]
+    """Folder of CSV datasets made from the given tables."""
+    root = scratch_dir(v.spark, "csv")
+    for kind, df in kind_tables(v).items():
+        for n in [*PERIODS, COPY_OF_FIRST]:
+            period = 1 if n == COPY_OF_FIRST else n
+            datasets.write_csv(df.where(F.col("period") == period), root, n, kind)
+    # a folder that is not a dataset
+    columns = schemas.CLICKS.fieldNames()
+    v.clicks.where(F.col("period") == 1).select(*columns).write.csv(f"{root}/archive/clicks_1.csv", header=True)
+    return root
 
 
 @query("dataset_discovery", with_views("SELECT DISTINCT period AS dataset_id FROM ev UNION SELECT 4", "ev"))

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from bannerloom.operators import skew
 from bannerloom.operators.performance import banner_performance
+from bannerloom.session import scratch_dir
+from bannerloom.sources import tables
 
 HISTORY_DAYS = 20  # day folders up to this one count as processed
 
@@ -77,6 +79,11 @@ class Views:
         raw = banner_performance(self.clicks, self.impressions, self.conversions)
         return raw.withColumn("revenue_total", F.round("revenue_total", 2))
 
+    @cached_property
+    def perf_table(self) -> DataFrame:
+        """``perf`` as a written table, for queries that read it several times."""
+        return tables.write_out(tables.clustered(self.perf), scratch_dir(self.spark, "perf"))
+
     @cached_property
     def requests(self) -> DataFrame:
         e = F.col("event_id")
