@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bannerloom.functions import requests as R
 from bannerloom.operators import serving
+from bannerloom.sources.tables import write_out
 
 
 def validate(requests: DataFrame, has_data: bool = True) -> DataFrame:
@@ -38,8 +39,8 @@ def visits_of(requests: DataFrame, has_data: bool = True) -> DataFrame:
 class Serving:
     """What requests are answered from: performance rows, campaign lists, banner ring.
 
-    ``lists`` and ``ring`` are made once per dataset; for a stream they are
-    written as tables (see streaming.serve) and only read per micro-batch.
+    ``lists`` and ``ring`` are made once per dataset and written as tables (see
+    ``publish``), which every batch of requests reads.
     """
 
     perf: DataFrame
@@ -53,6 +54,12 @@ def prepare(perf: DataFrame, seed: str) -> Serving:
     return Serving(perf, serving.serving_lists(perf, seed, ring), ring, seed)
 
 
+def publish(ready: Serving, path: str) -> Serving:
+    """Write the lists and the ring under ``path`` and serve from the written tables."""
+    ring = write_out(ready.ring, f"{path}/ring")
+    return replace(ready, lists=write_out(ready.lists, f"{path}/lists"), ring=ring)
+
+
 def pick_banners(visits: DataFrame, ready: Serving) -> DataFrame:
     """Visits with ``picks``.
 

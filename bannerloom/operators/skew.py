@@ -1,14 +1,18 @@
 """Window and fold primitives that keep working when one key is very large.
 
 A plain ``Window.partitionBy(key)`` or ``collect_list`` puts every row of a key
-into one task. The functions below find the few keys that are too large for
-that, cut only those keys into ordered pieces, work on the pieces in parallel,
-and add what earlier pieces contribute. Results are the same as those of the
-plain window.
-
-``hot_keys`` returns at most ``MAX_HOT_KEYS`` rows whatever the input size, so
-it can be broadcast; a key outside that list holds less than 1/MAX_HOT_KEYS of
-the rows and stays in one task.
+into one task. The functions below count rows per key first (a scan of the key
+columns, combined before the shuffle). Usually no key is too large and the plain
+window is returned. Otherwise only the large keys are cut into ordered pieces,
+the pieces are worked on in parallel, and what earlier pieces contribute is
+added. Results are the same as those of the plain window.
+
+``hot_keys`` has at most ``MAX_HOT_KEYS`` rows whatever the input size, so the
+driver can hold it and it can be broadcast; a key outside that list holds less
+than 1/MAX_HOT_KEYS of the rows and stays in one task.
+
+The inputs are read more than once: pass tables, or write an expensive plan
+first.
 """
 
 from __future__ import annotations
@@ -49,15 +53,20 @@ def follows(row: dict[str, Column], mark: dict[str, Column], order: Order, or_eq
     return result
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with at least ``min_rows`` rows, the largest first, at most MAX_HOT_KEYS."""
-    return (
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys with at least ``min_rows`` rows and their count ``_n``, or None.
+
+    The largest come first and at most MAX_HOT_KEYS are returned.
+    """
+    largest = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") >= min_rows)
         .orderBy(F.desc("_n"), *keys)
         .limit(MAX_HOT_KEYS)
     )
+    rows = largest.collect()
+    return df.sparkSession.createDataFrame(rows, largest.schema) if rows else None
 
 
 def _attach(left: DataFrame, right: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
@@ -67,10 +76,10 @@ def _attach(left: DataFrame, right: DataFrame, keys: Sequence[str], small: bool)
     return left.join(F.broadcast(renamed) if small else renamed, cond, "left").drop(*[f"_r_{k}" for k in keys])
 
 
-def _slice_hot(df: DataFrame, keys: Sequence[str], slice_of: Column, min_rows: int) -> DataFrame:
-    hot = hot_keys(df, keys, min_rows).select(*keys, F.lit(True).alias("_hot"))
-    # ordinary keys get one slice, which is NULL
-    return _attach(df, hot, keys, small=True).withColumn("_slice", F.when(F.col("_hot"), slice_of))
+def _slice_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], slice_of: Column) -> DataFrame:
+    """Adds ``_slice``: the slice of rows of large keys, NULL for all other rows."""
+    marked = _attach(df, hot.select(*keys, F.lit(True).alias("_hot")), keys, small=True)
+    return marked.withColumn("_slice", F.when(F.col("_hot"), slice_of))
 
 
 def running_max(
@@ -87,23 +96,25 @@ def running_max(
     ``slice_of`` is a coarsening of the leading order column (for example the
     hour of a timestamp): it must not decrease along ``order``.
     """
-    cut = _slice_hot(df, keys, slice_of, min_rows).withColumn("_v", value)
-    here = (
-        Window.partitionBy(*keys, "_slice")
-        .orderBy(*sort_columns(order))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+
+    def so_far(*by: str) -> Column:
+        w = Window.partitionBy(*by).orderBy(*sort_columns(order))
+        return F.max(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+    hot = hot_keys(df, keys, min_rows)
+    if hot is None:
+        return df.withColumn(out, so_far(*keys))
+    cut = _slice_hot(df, hot, keys, slice_of)
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         cut.where(F.col("_hot"))
         .groupBy(*keys, "_slice")
-        .agg(F.max("_v").alias("_m"))
+        .agg(F.max(value).alias("_m"))
         .withColumn("_carry", F.max("_m").over(earlier))
         .select(*keys, "_slice", "_carry")
     )
-    local = cut.withColumn(out, F.max("_v").over(here))
-    joined = _attach(local, carried, [*keys, "_slice"], small=False)
-    return joined.withColumn(out, F.greatest(out, "_carry")).drop("_hot", "_slice", "_v", "_carry")
+    joined = _attach(cut.withColumn(out, so_far(*keys, "_slice")), carried, [*keys, "_slice"], small=False)
+    return joined.withColumn(out, F.greatest(out, "_carry")).drop("_hot", "_slice", "_carry")
 
 
 def previous_row(
@@ -114,10 +125,24 @@ def previous_row(
     slice_of: Column,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """lag() of several columns per key: ``columns`` maps source to output name."""
-    cut = _slice_hot(df, keys, slice_of, min_rows)
+    """lag() of several columns per key: ``columns`` maps source to output name.
+
+    ``order`` is ascending; ``slice_of`` as for running_max.
+    """
+    if not all(asc for _, asc in order):
+        raise ValueError("the order must be ascending")
     packed = F.struct(*[F.col(c) for c in columns])
-    here = Window.partitionBy(*keys, "_slice").orderBy(*sort_columns(order))
+
+    def before(*by: str) -> Column:
+        return F.lag(packed).over(Window.partitionBy(*by).orderBy(*sort_columns(order)))
+
+    def unpack(rows: DataFrame, prev: Column) -> DataFrame:
+        return rows.withColumns({out: prev[src] for src, out in columns.items()})
+
+    hot = hot_keys(df, keys, min_rows)
+    if hot is None:
+        return unpack(df.withColumn("_p", before(*keys)), F.col("_p")).drop("_p")
+    cut = _slice_hot(df, hot, keys, slice_of)
     last_in_slice = F.max_by(packed, F.struct(*[F.col(c) for c, _ in order]))
     carried = (
         cut.where(F.col("_hot"))
@@ -126,12 +151,8 @@ def previous_row(
         .withColumn("_carry", F.lag("_l").over(Window.partitionBy(*keys).orderBy("_slice")))
         .select(*keys, "_slice", "_carry")
     )
-    local = cut.withColumn("_p", F.lag(packed).over(here))
-    joined = _attach(local, carried, [*keys, "_slice"], small=False)
-    prev = F.coalesce(F.col("_p"), F.col("_carry"))
-    return joined.withColumns({out: prev[src] for src, out in columns.items()}).drop(
-        "_hot", "_slice", "_p", "_carry"
-    )
+    joined = _attach(cut.withColumn("_p", before(*keys, "_slice")), carried, [*keys, "_slice"], small=False)
+    return unpack(joined, F.coalesce(F.col("_p"), F.col("_carry"))).drop("_hot", "_slice", "_p", "_carry")
 
 
 def row_numbers(
@@ -149,45 +170,50 @@ def row_numbers(
     row is numbered.
     """
     cols = [c for c, _ in order]
-    mark_of = F.struct(*[F.col(c) for c in cols])
+    sort = sort_columns(order)
     wanted = pieces * SAMPLES_PER_PIECE
     row_hash = F.xxhash64(*[F.col(c) for c in [*keys, *cols]])
 
-    def piece(bounds: Column) -> Column:
-        row = {c: F.col(c) for c in cols}
-        passed = F.filter(bounds, lambda b: follows(row, {c: b[c] for c in cols}, order, True))
-        return F.size(passed)
+    def number(*by: str) -> Column:
+        return F.row_number().over(Window.partitionBy(*by).orderBy(*sort)).cast("long")
 
-    def thin(sample: DataFrame, by: list[str]) -> DataFrame:
-        # about `pieces` evenly spaced marks out of the sample
-        w = Window.partitionBy(*by).orderBy(*sort_columns(order))
+    def marks(sample: DataFrame, by: Sequence[str]) -> DataFrame:
+        """About ``pieces`` evenly spaced rows out of the distinct sampled ones."""
         total = F.count(F.lit(1)).over(Window.partitionBy(*by))
         step = F.greatest(F.lit(SAMPLES_PER_PIECE), F.ceil(total / pieces))
-        return sample.withColumn("_nth", F.row_number().over(w)).withColumn("_step", step).where("_nth % _step = 0")
+        spaced = sample.distinct().withColumn("_nth", number(*by)).withColumn("_step", step)
+        return spaced.where("_nth % _step = 0")
 
+    def piece(bounds: Column) -> Column:
+        row = {c: F.col(c) for c in cols}
+        return F.size(F.filter(bounds, lambda b: follows(row, {c: b[c] for c in cols}, order, True)))
+
+    bounds = F.collect_list(F.struct(*[F.col(c) for c in cols]))
     if not keys:
-        total = df.agg(F.count(F.lit(1))).scalar()
-        sample = df.where(F.pmod(row_hash, total) < wanted).select(*cols).distinct().withColumn("_g", F.lit(0))
-        bounds = thin(sample, ["_g"]).agg(F.collect_list(mark_of)).scalar()
-        cut = df.withColumn("_b", bounds).withColumn("_piece", piece(F.col("_b"))).drop("_b")
-        counts = cut.groupBy("_piece").agg(F.count(F.lit(1)).alias("_c"))
+        n = df.count()
+        if n < min_rows:
+            return df.withColumn(out, number())
+        sample = df.where(F.pmod(row_hash, F.lit(n)) < wanted).select(*cols)
+        cut = df.withColumn("_b", marks(sample, []).agg(bounds).scalar())
+        cut = cut.withColumn("_piece", piece(F.col("_b"))).drop("_b")
         before = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = counts.select("_piece", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
-        local = cut.withColumn(out, F.row_number().over(Window.partitionBy("_piece").orderBy(*sort_columns(order))))
         # at most pieces + 1 rows
-        joined = local.join(F.broadcast(offsets), "_piece")
+        offsets = F.broadcast(
+            cut.groupBy("_piece")
+            .agg(F.count(F.lit(1)).alias("_c"))
+            .select("_piece", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+        )
+        joined = cut.withColumn(out, number("_piece")).join(offsets, "_piece")
         return joined.withColumn(out, F.col(out) + F.col("_off")).drop("_piece", "_off")
 
     hot = hot_keys(df, keys, min_rows)
-    tagged = _attach(df, hot, keys, small=True)
-    sample = (
-        tagged.where(F.col("_n").isNotNull() & (F.pmod(row_hash, F.col("_n")) < wanted))
-        .select(*keys, *[c for c in cols if c not in keys])
-        .distinct()
-    )
-    bounds = thin(sample, list(keys)).groupBy(*keys).agg(F.collect_list(mark_of).alias("_b"))
-    # one short array for each of the (at most MAX_HOT_KEYS) large keys
-    cut = _attach(df, bounds, keys, small=True)
+    if hot is None:
+        return df.withColumn(out, number(*keys))
+    large = df.select(*keys, *[c for c in cols if c not in keys], row_hash.alias("_hash")).join(F.broadcast(hot), list(keys))
+    sample = large.where(F.pmod("_hash", "_n") < wanted).drop("_hash", "_n")
+    # one short array for each large key
+    split_points = marks(sample, keys).groupBy(*keys).agg(bounds.alias("_b"))
+    cut = _attach(df, split_points, keys, small=True)
     cut = cut.withColumn("_piece", F.when(F.col("_b").isNotNull(), piece(F.col("_b")))).drop("_b")
     before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -197,10 +223,7 @@ def row_numbers(
         .withColumn("_off", F.sum("_c").over(before))
         .select(*keys, "_piece", "_off")
     )
-    local = cut.withColumn(
-        out, F.row_number().over(Window.partitionBy(*keys, "_piece").orderBy(*sort_columns(order)))
-    )
-    joined = _attach(local, offsets, [*keys, "_piece"], small=False)
+    joined = _attach(cut.withColumn(out, number(*keys, "_piece")), offsets, [*keys, "_piece"], small=False)
     return joined.withColumn(out, F.col(out) + F.coalesce("_off", F.lit(0))).drop("_piece", "_off")
 
 

@@ -9,9 +9,8 @@ from bannerloom.functions import requests as R
 from bannerloom.operators import requests as requests_op
 from bannerloom.operators import serving as S
 from bannerloom.plans.registry import query
-from bannerloom.plans.views import Views, with_views
+from bannerloom.plans.views import SEED, Views, with_views
 
-SEED = "s1"
 ONE_CAMPAIGN = 100000
 BANNERS_OUT = [1, 3, 5, 7, 11]
 
@@ -154,7 +153,7 @@ FROM picks GROUP BY request_id"""
 
 @query("serve_requests_picks", with_views(PICKED_TEXT, "picks", campaigns="known_or_asked"))
 def _(v: Views) -> DataFrame:
-    picked = requests_op.pick_banners(requests_op.visits_of(v.requests), requests_op.prepare(v.perf_table, SEED))
+    picked = requests_op.pick_banners(requests_op.visits_of(v.requests), v.ready)
     return picked.select("request_id", F.array_join(F.col("picks").cast("array<string>"), ",").alias("banner_ids"))
 
 
@@ -171,7 +170,7 @@ WHERE revenue_count >= 10 AND len(seen) > 0 GROUP BY request_id""",
 )
 def _(v: Views) -> DataFrame:
     visits = requests_op.visits_of(v.requests).where(F.size("seen") > 0)
-    lists = S.serving_lists(v.perf_table, SEED).where(F.col("pool").isNotNull())
+    lists = v.ready.lists.where(F.col("pool").isNotNull())
     picked = S.answer(visits.join(lists, "campaign_id", "left_semi"), lists)
     return picked.select("request_id", F.array_join(F.col("picks").cast("array<string>"), ",").alias("banner_ids"))
 
@@ -207,7 +206,7 @@ SELECT request_id, 400, NULL, '<html><head><title>400 Bad Request</title></head>
 
 @query("serve_requests", with_views(RESPONSES, "picks", campaigns="known_or_asked"))
 def _(v: Views) -> DataFrame:
-    return as_text(requests_op.respond(v.requests, requests_op.prepare(v.perf_table, SEED)))
+    return as_text(requests_op.respond(v.requests, v.ready))
 
 
 def as_text(responses: DataFrame) -> DataFrame:

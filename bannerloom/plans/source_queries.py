@@ -111,15 +111,15 @@ def day_digests(v: Views) -> DataFrame:
         .select("dataset_id", F.lit(kind).alias("kind"), "fingerprint")
         for kind, df in kind_tables(v).items()
     ]
-    return reduce(DataFrame.unionByName, each)
+    # three short rows per day
+    return tables.write_out(reduce(DataFrame.unionByName, each), scratch_dir(v.spark, "digests"))
 
 
-def day_history(v: Views) -> DataFrame:
+def day_history(digests: DataFrame) -> DataFrame:
     """History rows of the processed days; the last one was skipped as a duplicate."""
     kinds = F.map_from_entries(F.collect_list(F.struct("kind", "fingerprint")))
     return (
-        day_digests(v)
-        .where(F.col("dataset_id") <= HISTORY_DAYS)
+        digests.where(F.col("dataset_id") <= HISTORY_DAYS)
         .groupBy("dataset_id")
         .agg(kinds.alias("fingerprints"))
         .select(
@@ -142,7 +142,7 @@ def _with_days(body: str) -> str:
 
 @query("latest_dataset", _with_days(f"SELECT CAST(MAX(dataset_id) AS INTEGER) AS latest FROM day_digests WHERE dataset_id < {HISTORY_DAYS}"))
 def _(v: Views) -> DataFrame:
-    return history.latest_dataset(day_history(v))
+    return history.latest_dataset(day_history(day_digests(v)))
 
 
 @query(
@@ -150,12 +150,12 @@ def _(v: Views) -> DataFrame:
     _with_days(f"SELECT CAST(MAX(dataset_id) AS INTEGER) AS latest FROM day_digests WHERE dataset_id <= {HISTORY_DAYS}"),
 )
 def _(v: Views) -> DataFrame:
-    return history.latest_dataset(day_history(v), any_state=True)
+    return history.latest_dataset(day_history(day_digests(v)), any_state=True)
 
 
 @query("next_dataset", _with_days(f"SELECT CAST(MIN(dataset_id) AS INTEGER) AS next FROM day_digests WHERE dataset_id > {HISTORY_DAYS}"))
 def _(v: Views) -> DataFrame:
-    return history.next_dataset(v.events.select(F.dayofmonth("ts").alias("dataset_id")), day_history(v))
+    return history.next_dataset(v.events.select(F.dayofmonth("ts").alias("dataset_id")), day_history(day_digests(v)))
 
 
 def _duplicate_sql(verdict: str) -> str:
@@ -168,12 +168,14 @@ FROM day_digests d LEFT JOIN (SELECT DISTINCT kind, fingerprint, TRUE AS known F
 
 @query("duplicate_dataset", _duplicate_sql("BOOL_OR(COALESCE(known, FALSE))"))
 def _(v: Views) -> DataFrame:
-    return history.duplicate_datasets(day_digests(v), day_history(v))
+    digests = day_digests(v)
+    return history.duplicate_datasets(digests, day_history(digests))
 
 
 @query("duplicate_dataset_first", _duplicate_sql("MIN_BY(COALESCE(known, FALSE), kind)"))
 def _(v: Views) -> DataFrame:
-    return history.duplicate_datasets(day_digests(v), day_history(v), mode="first")
+    digests = day_digests(v)
+    return history.duplicate_datasets(digests, day_history(digests), mode="first")
 
 
 @query(
@@ -185,9 +187,10 @@ def _(v: Views) -> DataFrame:
 )
 def _(v: Views) -> DataFrame:
     path = scratch_dir(v.spark, "history")
-    history.append_history(day_history(v), path)
+    digests = day_digests(v)
+    history.append_history(day_history(digests), path)
     following = HISTORY_DAYS + 1
-    prints = day_digests(v).where(F.col("dataset_id") == following)
+    prints = digests.where(F.col("dataset_id") == following)
     history.append_history(
         history.history_row(prints, following, following, "processed", "2024-01-21T00:00:00"), path
     )

@@ -9,10 +9,10 @@ from pyspark.sql.streaming import StreamingQuery
 from bannerloom.operators import requests as requests_op
 from bannerloom.operators import serving as S
 from bannerloom.plans.registry import query
-from bannerloom.plans.serving_queries import RESPONSES, SEED, as_text
+from bannerloom.plans.serving_queries import RESPONSES, as_text
 from bannerloom.plans.source_queries import staged_csv
 from bannerloom.plans.table_queries import FEED_SQL, feed, feed_text
-from bannerloom.plans.views import Views, with_views
+from bannerloom.plans.views import SEED, Views, with_views
 from bannerloom.session import scratch_dir
 from bannerloom.sources import tables
 from bannerloom.streaming import ingest, serve, tail
@@ -42,9 +42,8 @@ def written_requests(v: Views) -> DataFrame:
 
 @query("stream_serve", with_views(RESPONSES, "picks", campaigns="known_or_asked"))
 def _(v: Views) -> DataFrame:
-    out, lists, checkpoint = (scratch_dir(v.spark, n) for n in ("responses", "lists", "checkpoint"))
-    ready = serve.publish(requests_op.prepare(v.perf_table, SEED), lists)
-    finish(serve.serve_stream(written_requests(v), ready, out, checkpoint))
+    out, checkpoint = (scratch_dir(v.spark, n) for n in ("responses", "checkpoint"))
+    finish(serve.serve_stream(written_requests(v), v.ready, out, checkpoint))
     return as_text(serve.read_responses(v.spark, out))
 
 
@@ -60,8 +59,8 @@ SELECT request_id, CASE WHEN before_ts >= ts - INTERVAL 30 DAY THEN before ELSE
     ).replace("\n, lists", ",\nlists"),
 )
 def _(v: Views) -> DataFrame:
-    picked = requests_op.pick_banners(requests_op.visits_of(v.requests), requests_op.prepare(v.perf_table, SEED))
-    log = picked.select("request_id", "user_key", "ts", "picks")
+    picked = requests_op.pick_banners(requests_op.visits_of(v.requests), v.ready)
+    log = tables.write_out(picked.select("request_id", "user_key", "ts", "picks"), scratch_dir(v.spark, "log"))
     return serve.remembered(log).select("request_id", F.array_join(F.col("seen").cast("array<string>"), ",").alias("seen"))
 
 
@@ -89,11 +88,10 @@ SELECT request_id, array_to_string(picks, ',') AS banner_ids FROM run WHERE requ
 @query("seen_state_stream", MEMORY_SQL)
 def _(v: Views) -> DataFrame:
     out, lists, checkpoint = (scratch_dir(v.spark, n) for n in ("served", "lists", "checkpoint"))
-    ready = serve.publish(requests_op.prepare(v.perf_table, SEED), lists)
     asked = requests_op.visits_of(v.requests)
-    known = ready.lists.unionByName(S.unknown_lists(asked, ready.lists, ready.ring, SEED))
+    known = v.ready.lists.unionByName(S.unknown_lists(asked, v.ready.lists, v.ready.ring, SEED))
     visits = requests_op.visits_of(written_requests(v)).drop("seen")
-    answered = serve.serve_with_memory(visits, tables.write_out(known, f"{lists}/all"))
+    answered = serve.serve_with_memory(visits, tables.write_out(known, lists))
     finish(tail.drain(answered, out, checkpoint))
     picks = F.array_join(F.col("picks").cast("array<string>"), ",")
     return v.spark.read.parquet(out).select("request_id", picks.alias("banner_ids"))

@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from bannerloom.operators import skew
 from bannerloom.operators.performance import banner_performance
+from bannerloom.operators.requests import Serving, prepare, publish
 from bannerloom.session import scratch_dir
 from bannerloom.sources import tables
 
+SEED = "s1"
 HISTORY_DAYS = 20  # day folders up to this one count as processed
 
 
@@ -84,6 +86,11 @@ class Views:
         """``perf`` as a written table, for queries that read it several times."""
         return tables.write_out(tables.clustered(self.perf), scratch_dir(self.spark, "perf"))
 
+    @cached_property
+    def ready(self) -> Serving:
+        """What requests are answered from, published from ``perf_table``."""
+        return publish(prepare(self.perf_table, SEED), scratch_dir(self.spark, "serving"))
+
     @cached_property
     def requests(self) -> DataFrame:
         e = F.col("event_id")
@@ -304,7 +311,7 @@ LEFT JOIN stats s ON s.campaign_id = v.campaign_id WHERE COALESCE(revenue_count,
 }
 
 
-def with_views(body: str, *names: str, seed: str = "s1", campaigns: str = "known", recursive: bool = False) -> str:
+def with_views(body: str, *names: str, seed: str = SEED, campaigns: str = "known", recursive: bool = False) -> str:
     """A statement with the named views, and those they read, as CTEs in front."""
     ordered: list[str] = []
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import replace
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -14,17 +13,10 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from bannerloom.functions.requests import COOKIE_DAYS
 from bannerloom.operators import requests as requests_op
 from bannerloom.operators import serving, skew
-from bannerloom.sources.tables import write_out
 
 DAY_MS = 24 * 3600 * 1000
 
 
-def publish(ready: requests_op.Serving, path: str) -> requests_op.Serving:
-    """Write the lists and the ring of a dataset, to be read by every micro-batch."""
-    ring = write_out(ready.ring, f"{path}/ring")
-    return replace(ready, lists=write_out(ready.lists, f"{path}/lists"), ring=ring)
-
-
 def serve_stream(
     requests: DataFrame, ready: requests_op.Serving, out: str, checkpoint: str
 ) -> StreamingQuery:
