@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,27 +37,31 @@ def visits_of(requests: DataFrame, has_data: bool = True) -> DataFrame:
 
 @dataclass(frozen=True)
 class Serving:
-    """What requests are answered from: performance rows, campaign lists, banner ring.
+    """What requests are answered from.
 
-    ``lists`` and ``ring`` are made once per dataset and written as tables (see
-    ``publish``), which every batch of requests reads.
+    ``lists`` has one row per campaign, ``around`` one per ring position. Both
+    are made once per dataset and written as tables (see ``publish``), which
+    every batch of requests reads.
     """
 
     perf: DataFrame
     lists: DataFrame
-    ring: DataFrame
+    around: DataFrame
+    ring_size: int
     seed: str
 
 
 def prepare(perf: DataFrame, seed: str) -> Serving:
     ring = serving.banner_ring(perf, seed)
-    return Serving(perf, serving.serving_lists(perf, seed, ring), ring, seed)
+    return Serving(perf, serving.serving_lists(perf, seed, ring), serving.ring_lists(ring), ring.count(), seed)
 
 
-def publish(ready: Serving, path: str) -> Serving:
-    """Write the lists and the ring under ``path`` and serve from the written tables."""
-    ring = write_out(ready.ring, f"{path}/ring")
-    return replace(ready, lists=write_out(ready.lists, f"{path}/lists"), ring=ring)
+def publish(perf: DataFrame, seed: str, path: str) -> Serving:
+    """Write ring and lists under ``path`` and serve from the written tables."""
+    ring = write_out(serving.banner_ring(perf, seed), f"{path}/ring")
+    around = write_out(serving.ring_lists(ring), f"{path}/around")
+    lists = write_out(serving.serving_lists(perf, seed, ring), f"{path}/lists")
+    return Serving(perf, lists, around, ring.count(), seed)
 
 
 def pick_banners(visits: DataFrame, ready: Serving) -> DataFrame:
@@ -67,19 +71,22 @@ def pick_banners(visits: DataFrame, ready: Serving) -> DataFrame:
     usually every list fits the campaign's pool and one join answers all; else
     the visits with longer lists take the exact join.
     """
-    lists = ready.lists.unionByName(serving.unknown_lists(visits, ready.lists, ready.ring, ready.seed))
+
+    def usual(some: DataFrame) -> DataFrame:
+        return serving.answer(some, ready.lists, ready.around, ready.ring_size, ready.seed)
+
     longest = visits.agg(F.max(serving.seen_size(F.col("seen"))).alias("n")).first()["n"] or 0
     if longest <= serving.SEEN_IN_POOL:
-        return serving.answer(visits, lists)
+        return usual(visits)
     is_long = serving.seen_size(F.col("seen")) > serving.SEEN_IN_POOL
     long = visits.where(is_long)
     exact = (
-        serving.answer(long, lists)
+        usual(long)
         .join(serving.answer_long(long, ready.perf, "request_id"), "request_id", "left")
         .withColumn("picks", F.coalesce("long_picks", "picks"))
         .drop("long_picks")
     )
-    return serving.answer(visits.where(~is_long), lists).unionByName(exact)
+    return usual(visits.where(~is_long)).unionByName(exact)
 
 
 def respond(

@@ -117,19 +117,38 @@ def short_campaigns(perf: DataFrame, campaigns: DataFrame | None = None) -> Data
     return own.where(F.col("have") < LOW_LIMIT)
 
 
+def ring_start(seed: str, campaign: Column | str) -> Column:
+    """A campaign's random number; modulo the ring size it is a ring position."""
+    return F.conv(F.substring(seeded_order(seed, campaign), 1, 8), 16, 10).cast("long")
+
+
+def ring_steps(size: Column) -> Column:
+    """0 .. LOW_LIMIT - 1, fewer on a smaller ring."""
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.lit(LOW_LIMIT).cast("long"), size) - 1))
+
+
 def draw(short: DataFrame, ring: DataFrame, seed: str) -> DataFrame:
     """The next LOW_LIMIT ring banners from each campaign's own random start."""
-    start = F.conv(F.substring(seeded_order(seed, "campaign_id"), 1, 8), 16, 10).cast("long")
-    last = F.least(F.lit(LOW_LIMIT).cast("long"), F.col("_size")) - 1
     slots = (
         short.withColumn("_size", ring.agg(F.count(F.lit(1))).scalar())
         .where(F.col("_size") > 0)
-        .withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-        .withColumn("ring_pos", (start + F.col("step")) % F.col("_size"))
+        .withColumn("step", ring_steps(F.col("_size")))
+        .withColumn("ring_pos", (ring_start(seed, "campaign_id") + F.col("step")) % F.col("_size"))
     )
     return slots.join(ring, "ring_pos").select("campaign_id", "have", "banner_id", "step")
 
 
+def ring_lists(ring: DataFrame) -> DataFrame:
+    """For every ring position the LOW_LIMIT banners from there on: (ring_pos, ring_ids)."""
+    passed = (
+        ring.withColumn("_size", ring.agg(F.count(F.lit(1))).scalar())
+        .withColumn("step", ring_steps(F.col("_size")))
+        .withColumn("ring_pos", (F.col("ring_pos") - F.col("step") + F.col("_size")) % F.col("_size"))
+    )
+    items = F.array_sort(F.collect_list(F.struct("step", "banner_id")))
+    return passed.groupBy("ring_pos").agg(F.transform(items, lambda x: x["banner_id"]).alias("ring_ids"))
+
+
 def backfill_candidates(
     perf: DataFrame, seed: str, campaigns: DataFrame | None = None, ring: DataFrame | None = None
 ) -> DataFrame:
@@ -205,30 +224,33 @@ def serving_lists(perf: DataFrame, seed: str, ring: DataFrame | None = None) ->
     )
 
 
-def unknown_lists(campaigns: DataFrame, lists: DataFrame, ring: DataFrame, seed: str) -> DataFrame:
-    """Lists for asked campaigns that the table does not have: random banners only."""
-    unknown = (
-        campaigns.select("campaign_id")
-        .distinct()
-        .join(lists.select("campaign_id"), "campaign_id", "left_anti")
-        .withColumn("have", F.lit(0).cast("long"))
-    )
-    fixed = served_arrays(draw(unknown, ring, seed), "step")
-    return fixed.select(
-        "campaign_id", F.col("banner_ids").alias("fixed"), F.lit(None).cast("array<int>").alias("pool")
-    )
-
-
-def answer(visits: DataFrame, lists: DataFrame) -> DataFrame:
+def answer(visits: DataFrame, lists: DataFrame, around: DataFrame, ring_size: int, seed: str) -> DataFrame:
     """Adds ``picks`` to visits(campaign_id, seen): the unshuffled served ids.
 
     Right for seen lists up to SEEN_IN_POOL distinct entries.
     """
+    known = with_lists(visits, lists, around, ring_size, seed)
     picks = F.when(F.col("pool").isNotNull(), prefer_unseen(F.col("pool"), F.col("seen"), TOP_TIER)).otherwise(
         F.col("fixed")
     )
-    # requests pile up on popular campaigns; the list side has one row each
-    return visits.join(lists, "campaign_id", "left").withColumn("picks", picks)
+    return known.withColumn("picks", picks)
+
+
+def with_lists(visits: DataFrame, lists: DataFrame, around: DataFrame, ring_size: int, seed: str) -> DataFrame:
+    """Visits with ``fixed`` and ``pool`` of their campaign.
+
+    A campaign that the table does not have gets the random banners at its ring
+    position. Requests pile up on popular campaigns; both list tables have one
+    row per key.
+    """
+    position = ring_start(seed, "campaign_id") % max(ring_size, 1)
+    return (
+        visits.join(lists, "campaign_id", "left")
+        .withColumn("ring_pos", position)
+        .join(around, "ring_pos", "left")
+        .withColumn("fixed", F.coalesce("fixed", "ring_ids"))
+        .drop("ring_pos", "ring_ids")
+    )
 
 
 def seen_size(seen: Column) -> Column:

@@ -170,8 +170,8 @@ WHERE revenue_count >= 10 AND len(seen) > 0 GROUP BY request_id""",
 )
 def _(v: Views) -> DataFrame:
     visits = requests_op.visits_of(v.requests).where(F.size("seen") > 0)
-    lists = v.ready.lists.where(F.col("pool").isNotNull())
-    picked = S.answer(visits.join(lists, "campaign_id", "left_semi"), lists)
+    top_tier = v.ready.lists.where(F.col("pool").isNotNull())
+    picked = requests_op.pick_banners(visits.join(top_tier, "campaign_id", "left_semi"), v.ready)
     return picked.select("request_id", F.array_join(F.col("picks").cast("array<string>"), ",").alias("banner_ids"))
 
 

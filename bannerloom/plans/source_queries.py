@@ -58,11 +58,24 @@ def _(v: Views) -> DataFrame:
     return reduce(DataFrame.unionByName, read)
 
 
-@query("schema_contract")
+def _contract_sql() -> str:
+    views = {"impressions": ("imp WHERE period = 1", "imp"), "clicks": ("clk WHERE period = 1", "clk")}
+    views["conversions"] = ("conv WHERE period = 1", "conv")
+    tables_ = {**{k: (views[k][0], schemas.INPUTS[k]) for k in KINDS}, "performance": ("perf", schemas.PERFORMANCE)}
+    rows = [
+        f"SELECT '{t}' AS table_name, '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS expected, "
+        f"'{f.dataType.simpleString()}' AS found, TRUE AS ok, COUNT(*) AS rows, COUNT({f.name}) AS filled FROM {source}"
+        for t, (source, schema) in tables_.items()
+        for f in schema.fields
+    ]
+    return with_views("\nUNION ALL ".join(rows), "imp", "clk", "conv", "perf")
+
+
+@query("schema_contract", _contract_sql())
 def _(v: Views) -> DataFrame:
     root = staged_csv(v)
-    read = {k: (datasets.read_csv(v.spark, root, 1, k), schemas.INPUTS[k]) for k in KINDS}
-    return schemas.schema_contract(v.spark, {**read, "performance": (v.perf, schemas.PERFORMANCE)})
+    reports = [schemas.schema_contract(k, datasets.read_csv(v.spark, root, 1, k), schemas.INPUTS[k]) for k in KINDS]
+    return reduce(DataFrame.unionByName, [*reports, schemas.schema_contract("performance", v.perf, schemas.PERFORMANCE)])
 
 
 def _digest_sql(table: str, kind: str, columns: list[str], group: str) -> str:

@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from bannerloom.operators import requests as requests_op
-from bannerloom.operators import serving as S
 from bannerloom.plans.registry import query
 from bannerloom.plans.serving_queries import RESPONSES, as_text
 from bannerloom.plans.source_queries import staged_csv
 from bannerloom.plans.table_queries import FEED_SQL, feed, feed_text
-from bannerloom.plans.views import SEED, Views, with_views
+from bannerloom.plans.views import Views, with_views
 from bannerloom.session import scratch_dir
 from bannerloom.sources import tables
 from bannerloom.streaming import ingest, serve, tail
@@ -87,11 +86,9 @@ SELECT request_id, array_to_string(picks, ',') AS banner_ids FROM run WHERE requ
 
 @query("seen_state_stream", MEMORY_SQL)
 def _(v: Views) -> DataFrame:
-    out, lists, checkpoint = (scratch_dir(v.spark, n) for n in ("served", "lists", "checkpoint"))
-    asked = requests_op.visits_of(v.requests)
-    known = v.ready.lists.unionByName(S.unknown_lists(asked, v.ready.lists, v.ready.ring, SEED))
+    out, checkpoint = (scratch_dir(v.spark, n) for n in ("served", "checkpoint"))
     visits = requests_op.visits_of(written_requests(v)).drop("seen")
-    answered = serve.serve_with_memory(visits, tables.write_out(known, lists))
+    answered = serve.serve_with_memory(visits, v.ready)
     finish(tail.drain(answered, out, checkpoint))
     picks = F.array_join(F.col("picks").cast("array<string>"), ",")
     return v.spark.read.parquet(out).select("request_id", picks.alias("banner_ids"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from bannerloom.operators import skew
 from bannerloom.operators.performance import banner_performance
-from bannerloom.operators.requests import Serving, prepare, publish
+from bannerloom.operators.requests import Serving, publish
 from bannerloom.session import scratch_dir
 from bannerloom.sources import tables
 
@@ -89,7 +89,7 @@ class Views:
     @cached_property
     def ready(self) -> Serving:
         """What requests are answered from, published from ``perf_table``."""
-        return publish(prepare(self.perf_table, SEED), scratch_dir(self.spark, "serving"))
+        return publish(self.perf_table, SEED, scratch_dir(self.spark, "serving"))
 
     @cached_property
     def requests(self) -> DataFrame:

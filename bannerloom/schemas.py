@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -39,15 +40,24 @@ HISTORY = T.StructType(
 )
 
 
-def schema_contract(spark: SparkSession, tables: dict[str, tuple[DataFrame, T.StructType]]) -> DataFrame:
-    """One row per declared or present column: what was expected, what was found."""
-    rows = []
-    for table, (df, declared) in tables.items():
-        expected = {f.name: f.dataType.simpleString() for f in declared.fields}
-        found = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-        for name in [*expected, *[n for n in found if n not in expected]]:
-            e, a = expected.get(name), found.get(name)
-            rows.append((table, name, e, a, e == a))
-    return spark.createDataFrame(
-        rows, "table_name string, column_name string, expected string, found string, ok boolean"
-    )
+def schema_contract(table: str, df: DataFrame, declared: T.StructType) -> DataFrame:
+    """One row per declared or present column: expected and found type, rows, filled rows."""
+    expected = {f.name: f.dataType.simpleString() for f in declared.fields}
+    found = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+
+    def entry(name: str) -> Column:
+        e, a = expected.get(name), found.get(name)
+        filled = F.col(f"filled_{name}") if name in found else F.lit(0).cast("long")
+        return F.struct(
+            F.lit(table).alias("table_name"),
+            F.lit(name).alias("column_name"),
+            F.lit(e).cast("string").alias("expected"),
+            F.lit(a).cast("string").alias("found"),
+            F.lit(e == a).alias("ok"),
+            F.col("rows"),
+            filled.alias("filled"),
+        )
+
+    names = [*expected, *[n for n in found if n not in expected]]
+    counted = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(n).alias(f"filled_{n}") for n in found])
+    return counted.select(F.inline(F.array(*[entry(n) for n in names])))

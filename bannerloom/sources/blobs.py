@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK_SIZE = 255 * 1024  # default chunk size in bytes
-MAX_CELL = 1 << 30  # a content above this stays as chunk rows
+MAX_CELL = 1 << 28  # a content above this stays as chunk rows
 
 
 def describe(blobs: DataFrame, chunk_size: int = CHUNK_SIZE) -> DataFrame:
@@ -76,14 +76,15 @@ def assemble(files: DataFrame, chunks: DataFrame, max_cell: int = MAX_CELL) -> D
         F.when((F.col("status") == "ok") & (F.col("length") > max_cell), "large").otherwise(F.col("status")),
     )
     sound = checked.where(F.col("status") == "ok").select("file_id", "length", "chunk_size")
-    parts = chunks.join(sound, "file_id").where(F.col("n") * F.col("chunk_size") < F.col("length"))
-    joined = parts.groupBy("file_id", "length").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("n", "data"))), lambda c: c["data"]
-        ).alias("_parts")
+    # chunks that lie behind max_cell whatever the file need not travel
+    smallest = files.agg(F.min("chunk_size")).scalar()
+    parts = (
+        chunks.where(F.col("n") * smallest < max_cell)
+        .join(sound, "file_id")
+        .where(F.col("n") * F.col("chunk_size") < F.col("length"))
     )
-    body = F.aggregate("_parts", F.lit(b"").cast("binary"), lambda acc, d: F.concat(acc, d))
-    contents = joined.select("file_id", F.substring(body, F.lit(1), F.col("length").cast("int")).alias("content"))
+    joined = parts.groupBy("file_id", "length").agg(F.expr("listagg(data) WITHIN GROUP (ORDER BY n)").alias("_body"))
+    contents = joined.select("file_id", F.substring("_body", F.lit(1), F.col("length").cast("int")).alias("content"))
     whole = checked.join(contents, "file_id", "left")
     empty = (F.col("status") == "ok") & (F.col("length") == 0)
     return whole.withColumn("content", F.when(empty, F.lit(b"").cast("binary")).otherwise(F.col("content")))

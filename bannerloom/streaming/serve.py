@@ -86,7 +86,7 @@ def _with_memory(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState)
     yield pd.DataFrame(rows, columns=["user_key", "request_id", "campaign_id", "seen", "picks"])
 
 
-def serve_with_memory(visits: DataFrame, lists: DataFrame) -> DataFrame:
+def serve_with_memory(visits: DataFrame, ready: requests_op.Serving) -> DataFrame:
     """Streaming form: visits(user_key, request_id, ts, campaign_id) answered from the
     user's last served list, which is kept as state for COOKIE_DAYS days.
 
@@ -94,7 +94,7 @@ def serve_with_memory(visits: DataFrame, lists: DataFrame) -> DataFrame:
     enough. Visits without a user have nothing to remember and stay out of the
     state, where they would all share one key.
     """
-    joined = visits.join(lists, "campaign_id", "left")
+    joined = serving.with_lists(visits, ready.lists, ready.around, ready.ring_size, ready.seed)
     kept = (
         joined.where(F.col("user_key").isNotNull())
         .groupBy("user_key")

@@ -25,15 +25,15 @@ def test_memory(spark, folder):
     days = [0, 1, 2, 40]
     rows = [(10 + i, START + timedelta(days=d), 7, 1) for i, d in enumerate(days)]
     rows += [(20 + i, START + timedelta(days=d), None, 1) for i, d in enumerate(days)]
-    rows += [(30, START, 8, 2)]
+    rows += [(30, START, 8, 2), (31, START, 8, 999)]  # a short and an unknown campaign
     visits = spark.createDataFrame(rows, "request_id long, ts timestamp_ntz, user_key long, campaign_id int")
-    lists = requests_op.publish(requests_op.prepare(perf_of(spark), "s"), f"{folder}/lists").lists
+    ready = requests_op.publish(perf_of(spark), "s", f"{folder}/ready")
     source, out, check = f"{folder}/visits", f"{folder}/out", f"{folder}/check"
     # two runs: the state survives the restart
     for part in ("request_id % 10 < 1", "request_id % 10 >= 1"):
         visits.where(part).write.mode("append").parquet(source)
         stream = tail.tail(spark, source, visits.schema)
-        finish(tail.drain(serve.serve_with_memory(stream, lists), out, check))
+        finish(tail.drain(serve.serve_with_memory(stream, ready), out, check))
     got = {r.request_id: (r.seen, r.picks) for r in spark.read.parquet(out).collect()}
     first, second = list(range(10)), list(range(10, 20))
     assert got[10] == ([], first)
@@ -42,7 +42,7 @@ def test_memory(spark, folder):
     assert got[12] == (second, first)
     assert got[13] == ([], first)
     assert all(got[20 + i] == ([], first) for i in range(4))
-    assert len(got[30][1]) == 5
+    assert len(got[30][1]) == len(set(got[31][1])) == 5
 
 
 def test_remembered_log(spark):
@@ -60,7 +60,7 @@ REQUEST = "request_id long, ts timestamp_ntz, user_key long, method string, camp
 def test_stream_serves_like_batch(spark, folder):
     rows = [(i, START, 1, "GET" if i % 5 else "POST", str(1 + i % 3), f"seen_banners_cookie=[{i}]") for i in range(40)]
     requests = spark.createDataFrame(rows, REQUEST)
-    ready = requests_op.publish(requests_op.prepare(perf_of(spark), "s"), f"{folder}/ready")
+    ready = requests_op.publish(perf_of(spark), "s", f"{folder}/ready")
     source, out, check = f"{folder}/in", f"{folder}/out", f"{folder}/check"
     for part in ("request_id < 25", "request_id >= 25"):
         requests.where(part).write.mode("append").parquet(source)
