@@ -89,8 +89,8 @@ def _counts(prefix: str, values: Mapping[str, Column]) -> list[Column]:
     return [values[c].alias(f"{prefix}_{c}") for c in COUNTS]
 
 
-def _operation(op: Column, amount: Column) -> Column:
-    """The short form of a single operation."""
+def _operation(op: Column, amount: Column, counted: bool) -> Column:
+    """The short form of a single operation, with what is needed for counts if wanted."""
     none = F.lit(None).cast("double")
 
     def is_op(*names: str) -> Column:
@@ -100,6 +100,15 @@ def _operation(op: Column, amount: Column) -> Column:
         return F.when(test, 1).otherwise(0).cast("long")
 
     creates, assigns = is_op("insert", "upsert"), is_op("upsert", "set")
+    effect = [
+        creates.alias("a_exists"),
+        F.when(creates, amount).alias("a_value"),
+        (~is_op("delete")).alias("p_exists"),
+        is_op("insert", "inc").alias("p_adds"),
+        F.when(is_op("insert"), F.lit(0.0)).when(is_op("upsert", "set", "inc"), amount).alias("p_value"),
+    ]
+    if not counted:
+        return F.struct(*effect)
     absent = _zero_counts(inserted=one(is_op("insert")), upserted=one(is_op("upsert")))
     present = _zero_counts(
         matched=one(is_op("upsert", "set", "inc")),
@@ -108,11 +117,7 @@ def _operation(op: Column, amount: Column) -> Column:
         rejected=one(is_op("insert")),
     )
     return F.struct(
-        creates.alias("a_exists"),
-        F.when(creates, amount).alias("a_value"),
-        (~is_op("delete")).alias("p_exists"),
-        is_op("insert", "inc").alias("p_adds"),
-        F.when(is_op("insert"), F.lit(0.0)).when(is_op("upsert", "set", "inc"), amount).alias("p_value"),
+        *effect,
         assigns.alias("open"),
         F.when(assigns, F.lit(0.0)).otherwise(none).alias("open_add"),
         F.when(assigns, amount).otherwise(none).alias("open_to"),
@@ -132,7 +137,22 @@ def _value_after(g: Column, value: Column) -> Column:
 
 
 def _merge(f: Column, g: Column) -> Column:
-    """The short form of run ``f`` followed by run ``g``."""
+    """The effect of run ``f`` followed by run ``g``."""
+    return F.struct(*_merged_effect(f, g))
+
+
+def _merged_effect(f: Column, g: Column) -> list[Column]:
+    return [
+        F.when(f["a_exists"], g["p_exists"]).otherwise(g["a_exists"]).alias("a_exists"),
+        F.when(f["a_exists"], _value_after(g, f["a_value"])).otherwise(g["a_value"]).alias("a_value"),
+        F.when(f["p_exists"], g["p_exists"]).otherwise(g["a_exists"]).alias("p_exists"),
+        (f["p_exists"] & f["p_adds"] & g["p_adds"]).alias("p_adds"),
+        F.when(f["p_exists"], _value_after(g, f["p_value"])).otherwise(g["a_value"]).alias("p_value"),
+    ]
+
+
+def _merge_counted(f: Column, g: Column) -> Column:
+    """Effect and counts of run ``f`` followed by run ``g``."""
     f_const = f["p_exists"] & ~f["p_adds"]
     keeps_open = f["p_exists"] & f["p_adds"] & g["open"]
 
@@ -144,11 +164,7 @@ def _merge(f: Column, g: Column) -> Column:
     absent = {c: total("a", c, f["a_exists"], f["a_value"], F.lit(True)) for c in COUNTS}
     present = {c: total("p", c, f["p_exists"], f["p_value"], f_const) for c in COUNTS}
     return F.struct(
-        F.when(f["a_exists"], g["p_exists"]).otherwise(g["a_exists"]).alias("a_exists"),
-        F.when(f["a_exists"], _value_after(g, f["a_value"])).otherwise(g["a_value"]).alias("a_value"),
-        F.when(f["p_exists"], g["p_exists"]).otherwise(g["a_exists"]).alias("p_exists"),
-        (f["p_exists"] & f["p_adds"] & g["p_adds"]).alias("p_adds"),
-        F.when(f["p_exists"], _value_after(g, f["p_value"])).otherwise(g["a_value"]).alias("p_value"),
+        *_merged_effect(f, g),
         (f["open"] | keeps_open).alias("open"),
         F.when(f["open"], f["open_add"]).when(keeps_open, f["p_value"] + g["open_add"]).alias("open_add"),
         F.when(f["open"], f["open_to"]).when(keeps_open, g["open_to"]).alias("open_to"),
@@ -157,14 +173,14 @@ def _merge(f: Column, g: Column) -> Column:
     )
 
 
-def _effects(base: DataFrame, ops: DataFrame, key: str, value: str, ordered: bool) -> DataFrame:
+def _effects(base: DataFrame, ops: DataFrame, key: str, ordered: bool, counted: bool) -> DataFrame:
     """base full join folded operations: _old row struct, _f short form."""
     if not ordered:
         span = ops.agg(F.coalesce(F.max("seq"), F.lit(0)) + F.lit(1)).scalar()
         rank = F.create_map(*[F.lit(x) for kv in UNORDERED_RANK.items() for x in kv])[F.col("op")]
         ops = ops.withColumn("seq", rank * span + F.col("seq"))
-    element = _operation(F.col("op"), F.col("amount").cast("double"))
-    folded = skew.ordered_fold(ops, [key], "seq", element, _merge, "_f")
+    element = _operation(F.col("op"), F.col("amount").cast("double"), counted)
+    folded = skew.ordered_fold(ops, [key], "seq", element, _merge_counted if counted else _merge, "_f")
     others = [c for c in base.columns if c != key]
     old = base.select(F.col(key), F.struct(*others).alias("_old"))
     return old.join(folded, key, "full")
@@ -178,7 +194,7 @@ def bulk_write(base: DataFrame, ops: DataFrame, key: str, value: str, ordered: b
     updates, then deletes. An insert of an existing key is rejected and counted
     and does not stop the operations behind it.
     """
-    effects = _effects(base, ops, key, value, ordered)
+    effects = _effects(base, ops, key, ordered, counted=False)
     f, old = F.col("_f"), F.col("_old")
     was = old.isNotNull()
     exists = F.when(f.isNull(), was).when(was, f["p_exists"]).otherwise(f["a_exists"])
@@ -189,7 +205,7 @@ def bulk_write(base: DataFrame, ops: DataFrame, key: str, value: str, ordered: b
 
 def bulk_counts(base: DataFrame, ops: DataFrame, key: str, value: str, ordered: bool = True) -> DataFrame:
     """One row: inserted, matched, modified, upserted, removed, rejected."""
-    touched = _effects(base, ops, key, value, ordered).where(F.col("_f").isNotNull())
+    touched = _effects(base, ops, key, ordered, counted=True).where(F.col("_f").isNotNull())
     f, old = F.col("_f"), F.col("_old")
     was = old.isNotNull()
 

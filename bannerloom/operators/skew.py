@@ -17,6 +17,7 @@ first.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
+FOLD_ROWS = 100_000  # rows of one key that may be gathered in an array
 MAX_HOT_KEYS = 1_000
 PIECES = 200
 SAMPLES_PER_PIECE = 20
@@ -250,31 +252,25 @@ def ordered_fold(
 ) -> DataFrame:
     """Combine ``element`` over each key in ``seq`` order with an associative merge.
 
-    ``seq`` is a unique integer. It is cut into ranges of about the square root
-    of its span, folded per (key, range), then folded over the ranges: with N
-    operations on one key no array is longer than about sqrt(N).
+    ``seq`` is a unique integer. When every key has fewer than FOLD_ROWS rows
+    they are folded in one step. Otherwise ``seq`` is cut into ranges of about
+    the square root of its span (or ``chunk``), folded per (key, range), then
+    over the ranges: with N rows on one key no array is longer than about sqrt(N).
     """
+
+    def folded(rows: DataFrame, by: Sequence[str], to: str) -> DataFrame:
+        items = F.array_sort(F.col("_l"))
+        rest = F.slice(items, F.lit(2), F.size(items))
+        result = F.aggregate(rest, items[0]["e"], lambda acc, x: merge(acc, x["e"]))
+        gathered = F.collect_list(F.struct(F.col("_q").alias("q"), F.col("_e").alias("e")))
+        return rows.groupBy(*by).agg(gathered.alias("_l")).select(*by, result.alias(to))
+
+    lifted = df.select(*keys, F.col(seq).alias("_q"), element.alias("_e"))
+    if chunk is None and hot_keys(lifted, keys, FOLD_ROWS) is None:
+        return folded(lifted, keys, out)
     if chunk is None:
-        span = df.agg(F.ceil(F.sqrt(F.coalesce(F.max(seq) - F.min(seq), F.lit(0)) + F.lit(1))).cast("long")).scalar()
-        width = F.greatest(F.lit(1).cast("long"), span)
-    else:
-        width = F.lit(chunk).cast("long")
-
-    def fold(items: Column) -> Column:
-        ordered = F.array_sort(items)
-        rest = F.slice(ordered, F.lit(2), F.size(ordered))
-        return F.aggregate(rest, ordered[0]["e"], lambda acc, x: merge(acc, x["e"]))
-
-    lifted = df.select(*keys, F.col(seq).alias("_q"), element.alias("_e")).withColumn(
-        "_range", F.floor(F.col("_q") / width)
-    )
-    partial = (
-        lifted.groupBy(*keys, "_range")
-        .agg(F.collect_list(F.struct(F.col("_q").alias("q"), F.col("_e").alias("e"))).alias("_l"))
-        .select(*keys, "_range", fold(F.col("_l")).alias("_e"))
-    )
-    return (
-        partial.groupBy(*keys)
-        .agg(F.collect_list(F.struct(F.col("_range").alias("q"), F.col("_e").alias("e"))).alias("_l"))
-        .select(*keys, fold(F.col("_l")).alias(out))
-    )
+        span = df.agg((F.max(seq) - F.min(seq)).alias("n")).first()["n"] or 0
+        chunk = max(1, math.isqrt(span))
+    ranged = lifted.withColumn("_range", F.floor(F.col("_q") / chunk))
+    parts = folded(ranged, [*keys, "_range"], "_e")
+    return folded(parts.withColumnRenamed("_range", "_q"), keys, out)

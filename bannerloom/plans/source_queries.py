@@ -20,7 +20,9 @@ KINDS = ["impressions", "clicks", "conversions"]
 
 
 def kind_tables(v: Views) -> dict[str, DataFrame]:
-    return {"impressions": v.impressions, "clicks": v.clicks, "conversions": v.conversions}
+    # conversions are a window over the events and are used for every dataset
+    conversions = tables.write_out(v.conversions, scratch_dir(v.spark, "conversions"))
+    return {"impressions": v.impressions, "clicks": v.clicks, "conversions": conversions}
 
 
 def staged_csv(v: Views) -> str:
@@ -214,11 +216,10 @@ def _(v: Views) -> DataFrame:
 
 
 def write_periods(v: Views, path: str) -> None:
-    def of(df: DataFrame, n: int) -> DataFrame:
-        return df.where(F.col("period") == n)
-
+    inputs = kind_tables(v)
     for n in PERIODS:
-        perf = P.banner_performance(of(v.clicks, n), of(v.impressions, n), of(v.conversions, n))
+        one = {kind: df.where(F.col("period") == n) for kind, df in inputs.items()}
+        perf = P.banner_performance(one["clicks"], one["impressions"], one["conversions"])
         tables.overwrite_dataset(perf.withColumn("revenue_total", F.round("revenue_total", 2)), path, n)
 
 

@@ -42,7 +42,9 @@ def random_ops(seed, n, keys):
 
 @pytest.mark.parametrize("seed", range(4))
 @pytest.mark.parametrize("ordered", [True, False])
-def test_bulk(spark, seed, ordered):
+def test_bulk(spark, seed, ordered, monkeypatch):
+    if seed % 2:
+        monkeypatch.setattr(skew, "FOLD_ROWS", 10)  # fold in ranges
     ops = random_ops(seed, 600, 40)
     base = {k: float(k % 3) for k in range(0, 40, 2)}
     order = ops if ordered else sorted(ops, key=lambda o: (modify.UNORDERED_RANK[o[2]], o[0]))
@@ -55,12 +57,14 @@ def test_bulk(spark, seed, ordered):
     assert got_counts == counts
 
 
+@pytest.mark.parametrize("counted", [True, False])
 @pytest.mark.parametrize("chunk", [1, 5, 1000])
-def test_runs_merge_the_same_however_they_are_cut(spark, chunk):
+def test_runs_merge_the_same_however_they_are_cut(spark, chunk, counted):
     ops = spark.createDataFrame(random_ops(9, 300, 20), OPS)
-    element = modify._operation(F.col("op"), F.col("amount"))
-    whole = skew.ordered_fold(ops, ["k"], "seq", element, modify._merge, "f", 10**6).collect()
-    cut = skew.ordered_fold(ops, ["k"], "seq", element, modify._merge, "f", chunk).collect()
+    element = modify._operation(F.col("op"), F.col("amount"), counted)
+    merge = modify._merge_counted if counted else modify._merge
+    whole = skew.ordered_fold(ops, ["k"], "seq", element, merge, "f", 10**6).collect()
+    cut = skew.ordered_fold(ops, ["k"], "seq", element, merge, "f", chunk).collect()
     assert {r.k: r.f for r in whole} == {r.k: r.f for r in cut}
 
 
