@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bannerloom.operators import skew
+
 KEYS = ["campaign_id", "banner_id"]
 
 
@@ -31,13 +33,16 @@ def attach_impressions(clicks: DataFrame, impressions: DataFrame) -> DataFrame:
     """Every click with the impression count of its banner, NULL when there is none.
 
     The right side has one row per banner; a very large (campaign, banner) on
-    the click side is cut by adaptive skew splitting.
+    the click side is joined by broadcast.
     """
-    return clicks.join(impressions_per_banner(impressions), KEYS, "left")
+    return skew.join_unique(clicks, impressions_per_banner(impressions), KEYS)
 
 
 def attach_conversions(clicks: DataFrame, conversions: DataFrame) -> DataFrame:
-    """Every click with its conversions; a click with several is repeated."""
+    """Every click with its conversions; a click with several is repeated.
+
+    Both sides are plain inputs, so adaptive skew splitting applies.
+    """
     return clicks.join(conversions.where(F.col("click_id").isNotNull()), "click_id", "left")
 
 
@@ -66,7 +71,8 @@ def banner_performance(
     The joins are not executed in that order. Conversions are summed per click
     first and clicks per banner second, so the click table crosses the network
     once, on click id, and both inputs of the last join are already aggregated
-    on its key and need no further exchange.
+    on its key and need no further exchange. An id shared by very many clicks (a
+    placeholder, a missing id) is joined by broadcast, see skew.join_unique.
     """
     per_click = (
         conversions.where(F.col("click_id").isNotNull())
@@ -78,7 +84,7 @@ def banner_performance(
     ).groupBy("click_id").agg(F.count(F.lit(1)).alias("_n"), F.sum("_r").alias("_revenue"))
 
     # a matched click whose revenue texts are all bad stays NULL; an unmatched one counts as zero
-    joined = clicks.join(per_click, "click_id", "left").select(
+    joined = skew.join_unique(clicks, per_click, ["click_id"]).select(
         *KEYS,
         "click_id",
         F.coalesce("_n", F.lit(1)).alias("_rows"),

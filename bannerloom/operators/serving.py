@@ -57,7 +57,7 @@ def tier_limit(revenue_count: Column) -> Column:
     )
 
 
-def rank_banners(perf: DataFrame, min_rows: int = skew.HOT_ROWS) -> DataFrame:
+def rank_banners(perf: DataFrame, min_rows: int | None = None) -> DataFrame:
     """Full ranking of every campaign; a very large campaign is ranked in pieces."""
     return skew.row_numbers(perf, ["campaign_id"], RANKING, "banner_rank", min_rows)
 
@@ -272,7 +272,8 @@ def answer_long(visits: DataFrame, perf: DataFrame, key: str) -> DataFrame:
     ranks = wanted.select(
         key, "campaign_id", F.explode(F.sequence(F.lit(1), F.size("seen") + TOP_TIER)).alias("banner_rank")
     )
-    candidates = ranks.join(rank_banners(perf).select("campaign_id", "banner_rank", "banner_id"), ["campaign_id", "banner_rank"])
+    ranked = rank_banners(perf).select("campaign_id", F.col("banner_rank").cast("int").alias("banner_rank"), "banner_id")
+    candidates = skew.join_unique(ranks, ranked, ["campaign_id", "banner_rank"], "inner")
     seen = wanted.select(key, F.explode("seen").alias("banner_id"), F.lit(1).alias("is_seen"))
     ordered = candidates.join(seen, [key, "banner_id"], "left").na.fill({"is_seen": 0})
     first = skew.top_rows(ordered, [key], [("is_seen", True), ("banner_rank", True)], TOP_TIER, "pos")

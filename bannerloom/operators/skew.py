@@ -1,9 +1,9 @@
 """Window and fold primitives that keep working when one key is very large.
 
 A plain ``Window.partitionBy(key)`` or ``collect_list`` puts every row of a key
-into one task. The functions below count rows per key first (a scan of the key
-columns, combined before the shuffle). Usually no key is too large and the plain
-window is returned. Otherwise only the large keys are cut into ordered pieces,
+into one task. The functions below look for large keys first (a row count, and
+for a large table a sample of the key columns). Usually there is none and the
+plain window is returned. Otherwise only the large keys are cut into ordered pieces,
 the pieces are worked on in parallel, and what earlier pieces contribute is
 added. Results are the same as those of the plain window.
 
@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
+SAMPLE_ROWS = 2_000_000
 FOLD_ROWS = 100_000  # rows of one key that may be gathered in an array
 MAX_HOT_KEYS = 1_000
 PIECES = 200
@@ -55,15 +56,24 @@ def follows(row: dict[str, Column], mark: dict[str, Column], order: Order, or_eq
     return result
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys with at least ``min_rows`` rows and their count ``_n``, or None.
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> DataFrame | None:
+    """Keys with about ``min_rows`` rows or more and that number ``_n``, or None.
 
-    The largest come first and at most MAX_HOT_KEYS are returned.
+    A table with fewer rows has no such key. In a larger one than SAMPLE_ROWS
+    the keys are found in a sample: it only decides which keys are cut, and a key
+    with a noticeable share of the rows cannot be missed. The largest come
+    first and at most MAX_HOT_KEYS are returned.
     """
+    min_rows = HOT_ROWS if min_rows is None else min_rows
+    total = df.count()
+    if total < min_rows:
+        return None
+    share = min(1.0, SAMPLE_ROWS / total)
+    some = df.select(*keys) if share == 1.0 else df.select(*keys).sample(share, seed=0)
     largest = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") >= min_rows)
+        some.groupBy(*keys)
+        .agg(F.ceil(F.count(F.lit(1)) / share).alias("_n"))
+        .where(F.col("_n") >= (min_rows if share == 1.0 else min_rows // 2))
         .orderBy(F.desc("_n"), *keys)
         .limit(MAX_HOT_KEYS)
     )
@@ -71,6 +81,32 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> Da
     return df.sparkSession.createDataFrame(rows, largest.schema) if rows else None
 
 
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the largest key."""
+    return df.groupBy(*keys).count().agg(F.max("count").alias("n")).first()["n"] or 0
+
+
+def join_unique(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", min_rows: int | None = None
+) -> DataFrame:
+    """Left or inner join with a right side that has one row per key.
+
+    Adaptive skew splitting does not reach a join whose side is an aggregate or
+    a window. Here the left rows of large keys are joined to the few right rows
+    of those keys, which are broadcast (at most MAX_HOT_KEYS rows), and the rest
+    as usual. A stream is joined as usual.
+    """
+    hot = None if left.isStreaming else hot_keys(left, keys, min_rows)
+    if hot is None:
+        return left.join(right, list(keys), how)
+    marks = F.broadcast(hot.select(*keys, F.lit(True).alias("_hot")))
+    marked = _attach(left, marks, keys, small=True)
+    few = F.broadcast(right.join(F.broadcast(hot.select(*keys)), list(keys), "left_semi"))
+    usual = marked.where(F.col("_hot").isNull()).drop("_hot").join(right, list(keys), how)
+    large = marked.where(F.col("_hot")).drop("_hot").join(few, list(keys), how)
+    return usual.unionByName(large)
+
+
 def _attach(left: DataFrame, right: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
     """Left join on null-safe keys, keeping the key columns of ``left``."""
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
@@ -91,7 +127,7 @@ def running_max(
     value: Column,
     slice_of: Column,
     out: str,
-    min_rows: int = HOT_ROWS,
+    min_rows: int | None = None,
 ) -> DataFrame:
     """max(value) over all rows of the key up to the current one.
 
@@ -125,7 +161,7 @@ def previous_row(
     order: Order,
     columns: dict[str, str],
     slice_of: Column,
-    min_rows: int = HOT_ROWS,
+    min_rows: int | None = None,
 ) -> DataFrame:
     """lag() of several columns per key: ``columns`` maps source to output name.
 
@@ -162,7 +198,7 @@ def row_numbers(
     keys: Sequence[str],
     order: Order,
     out: str,
-    min_rows: int = HOT_ROWS,
+    min_rows: int | None = None,
     pieces: int = PIECES,
 ) -> DataFrame:
     """row_number() per key, or over the whole table when ``keys`` is empty.
@@ -193,7 +229,7 @@ def row_numbers(
     bounds = F.collect_list(F.struct(*[F.col(c) for c in cols]))
     if not keys:
         n = df.count()
-        if n < min_rows:
+        if n < (HOT_ROWS if min_rows is None else min_rows):
             return df.withColumn(out, number())
         sample = df.where(F.pmod(row_hash, F.lit(n)) < wanted).select(*cols)
         cut = df.withColumn("_b", marks(sample, []).agg(bounds).scalar())
@@ -266,7 +302,7 @@ def ordered_fold(
         return rows.groupBy(*by).agg(gathered.alias("_l")).select(*by, result.alias(to))
 
     lifted = df.select(*keys, F.col(seq).alias("_q"), element.alias("_e"))
-    if chunk is None and hot_keys(lifted, keys, FOLD_ROWS) is None:
+    if chunk is None and largest_group(lifted, keys) < FOLD_ROWS:
         return folded(lifted, keys, out)
     if chunk is None:
         span = df.agg((F.max(seq) - F.min(seq)).alias("n")).first()["n"] or 0

@@ -40,7 +40,7 @@ def read_responses(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(out).drop("batch")
 
 
-def remembered(responses: DataFrame, min_rows: int = skew.HOT_ROWS) -> DataFrame:
+def remembered(responses: DataFrame, min_rows: int | None = None) -> DataFrame:
     """Batch form: what each request of a log finds in its user's cookie.
 
     responses(request_id, user_key, ts, picks) gains ``seen``: the list of the

@@ -1,7 +1,11 @@
 """The performance table on small hand-computed inputs."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from bannerloom import schemas
 from bannerloom.operators import performance as P
+from bannerloom.operators import skew
 
 CLICKS = "click_id string, banner_id string, campaign_id string"
 IMPRESSIONS = "banner_id string, campaign_id string"
@@ -58,11 +62,12 @@ def test_click_without_id(spark):
     assert got == {(7, 1): (0.0, 1, 4)}
 
 
-def test_equals_the_literal_definition(spark):
-    """Against joins in the written order, with one banner holding a third of the clicks."""
-    from pyspark.sql import functions as F
-
+@pytest.mark.parametrize("hot_rows", [30, 1000])
+def test_equals_the_literal_definition(spark, hot_rows, monkeypatch):
+    """Against joins in the written order; a third of the clicks share a banner, many an id or none."""
+    monkeypatch.setattr(skew, "HOT_ROWS", hot_rows)
     clicks = [(f"c{i}", "1" if i % 3 == 0 else str(i % 7), str(i % 2)) for i in range(300)]
+    clicks += [("c6", str(i % 4), "1") for i in range(90)] + [(None, str(i % 4), "0") for i in range(60)]
     impressions = [(str(i % 5), str(i % 2)) for i in range(200)]
     conversions = [(f"v{i}", f"c{(i * 7) % 400 if i % 3 else 6}", str(i % 9)) for i in range(150)]
     c, m, v = (

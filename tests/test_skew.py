@@ -35,6 +35,25 @@ def test_hot_keys(rows):
     assert skew.hot_keys(rows, ["user"], 5000) is None
 
 
+def test_hot_keys_of_a_sample(rows, monkeypatch):
+    monkeypatch.setattr(skew, "SAMPLE_ROWS", 600)
+    found = {r["user"]: r["_n"] for r in skew.hot_keys(rows, ["user"], 500).collect()}
+    assert 900 < found[1] < 1500
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("min_rows", [1, 500, 5000])
+def test_join_unique(rows, how, min_rows):
+    right = rows.where("user % 2 = 1").groupBy("user").agg(F.sum("value").alias("total"))
+    same(skew.join_unique(rows, right, ["user"], how, min_rows), rows.join(right, ["user"], how))
+
+
+def test_large_keys_do_not_reach_the_shuffled_join(rows):
+    right = rows.groupBy("user").agg(F.sum("value").alias("total"))
+    plan = skew.join_unique(rows, right, ["user"], "left", 500)._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan and plan.count("BroadcastHashJoin") >= 3
+
+
 @pytest.mark.parametrize("min_rows", [1, 60, 500])
 def test_running_max(rows, min_rows):
     w = Window.partitionBy("user").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
