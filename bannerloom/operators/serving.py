@@ -240,8 +240,8 @@ def with_lists(visits: DataFrame, lists: DataFrame, around: DataFrame, ring_size
     """Visits with ``fixed`` and ``pool`` of their campaign.
 
     A campaign that the table does not have gets the random banners at its ring
-    position. Requests pile up on popular campaigns; both list tables have one
-    row per key.
+    position. Requests pile up on popular campaigns; both list tables are written
+    tables with one row per key, so adaptive skew splitting applies.
     """
     position = ring_start(seed, "campaign_id") % max(ring_size, 1)
     return (

@@ -31,9 +31,13 @@ def without_idle_batches(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(NO_DATA_BATCHES, before)
 
 
-def tail(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """New rows of an append-only Parquet folder. Filters and projections follow as usual."""
-    return spark.readStream.schema(schema).parquet(path)
+def tail(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> DataFrame:
+    """New rows of an append-only Parquet folder. Filters and projections follow as usual.
+
+    ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bound a micro-batch, and with
+    it what one user's visits can bring into one task.
+    """
+    return spark.readStream.schema(schema).options(**options).parquet(path)
 
 
 def drain(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
