@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bannerloom.llm import byte_bpe, line_dedup, quality_classifier, quality_rules, sharding, url_filter
+from bannerloom.llm import byte_bpe, line_dedup, packing, quality_classifier, quality_rules, sharding, url_filter
 from bannerloom.llm.common import fold
 from bannerloom.llm.url_filter import Rule
 
@@ -150,3 +150,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         sha256(F.concat_ws(",", F.col("ids").cast("array<string>"))).alias("ids_sha256"),
         sha256(F.col("decoded")).alias("decoded_sha256"),
     )
+
+
+@query("op6_packing")
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2,048 ids; only the last is padded."""
+    pieces = packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(WORD_TOKENIZER), window=2048, end=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
