@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bannerloom.llm import byte_bpe, line_dedup, packing, quality_classifier, quality_rules, sharding, url_filter
+from bannerloom.llm import byte_bpe, embedding_dedup, line_dedup, packing, quality_classifier, quality_rules, sharding, url_filter
 from bannerloom.llm.common import fold
 from bannerloom.llm.url_filter import Rule
 
@@ -157,3 +157,22 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2,048 ids; only the last is padded."""
     pieces = packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(WORD_TOKENIZER), window=2048, end=1)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query(
+    "op10_embedding_dedup",
+    """WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+r AS (SELECT vec_id AS n, vec_id AS c FROM embeddings UNION SELECT p.b, r.c FROM r JOIN p ON p.a = r.n WHERE r.c < p.b),
+k AS (SELECT n, MIN(c) AS c FROM r GROUP BY n)
+SELECT e.vec_id, (SELECT COUNT(*) FROM p WHERE p.a = e.vec_id) AS n_links, k.c AS component_id, e.vec_id = k.c AS kept
+FROM embeddings e JOIN k ON k.n = e.vec_id""",
+)
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine 0.93 and more between vectors of one label."""
+    return embedding_dedup.dedup(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"), threshold=0.93)
