@@ -93,25 +93,28 @@ def host_verdicts(measured: DataFrame, host: str, rate: float = HOST_RATE, margi
         (F.sum("failed") / F.sum("docs")).alias("m"), F.var_pop(r).alias("v"), F.avg(1 / F.col("docs")).alias("noise")
     )
     spread = F.greatest(F.col("v") - F.col("m") * (1 - F.col("m")) * F.col("noise"), F.lit(1e-4))
-    prior = totals.select("m", F.greatest(F.col("m") * (1 - F.col("m")) / spread - 1, F.lit(1.0)).alias("weight"))
-    # the prior is one row: an aggregate without keys
-    shrunk = hosts.crossJoin(F.broadcast(prior)).withColumn(
-        "rate", (F.col("failed") + F.col("m") * F.col("weight")) / (F.col("docs") + F.col("weight"))
-    )
-    deviation = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("docs") + F.col("weight") + 1))
+    m, weight = totals.select("m", F.greatest(F.col("m") * (1 - F.col("m")) / spread - 1, F.lit(1.0))).first()
+    if m is None:  # no host at all
+        m = weight = 0.0
+    shrunk = hosts.withColumn("rate", (F.col("failed") + m * weight) / (F.col("docs") + weight))
+    deviation = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("docs") + weight + 1))
     return shrunk.select("__host", "docs", "failed", "rate", (F.col("rate") - margin * deviation > rate).alias("rejected"))
 
 
-def judge(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
-    """``docs`` and the measures, ``base_failed`` and ``kept``.
+def judge(docs: DataFrame, host: str = "source", text: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """The columns of ``docs`` named in ``carry`` (all if None), the measures, ``base_failed`` and ``kept``.
 
     Kept are documents that pass the base rules and whose host is not rejected. Null and
     empty texts fail the base rules (no words); documents without a host are judged alone;
     repeated rows count each; columns named like a result are replaced; an empty table
-    stays empty. Measures are taken once and written, as hosts and documents both read them.
+    stays empty. Measures are taken once and written, as hosts and documents both read
+    them. The hosts' verdicts are a written table too: a few are broadcast by their size,
+    many are joined with large hosts split.
     """
     named = docs.drop(*MEASURES, "base_failed", "kept")
-    measured = stage(measure(named, text).withColumn("base_failed", base_failed()), "measures")
-    bad = host_verdicts(measured, host).where("rejected").select("__host", F.lit(True).alias("__bad"))
-    joined = measured.join(bad, measured[host] == bad["__host"], "left")
-    return joined.select(*measured.columns, (~F.col("base_failed") & F.col("__bad").isNull()).alias("kept"))
+    carry = named.columns if carry is None else carry
+    measured = measure(named.withColumn("__host", F.col(host)), text).withColumn("base_failed", base_failed())
+    measured = stage(measured.select(*carry, "__host", *MEASURES, "base_failed"), "measures")
+    bad = stage(host_verdicts(measured, "__host").where("rejected").select("__host", F.lit(True).alias("__bad")), "hosts")
+    joined = measured.join(bad, "__host", "left")
+    return joined.select(*carry, *MEASURES, "base_failed", (~F.col("base_failed") & F.col("__bad").isNull()).alias("kept"))

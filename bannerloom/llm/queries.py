@@ -122,8 +122,7 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 )
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and host verdicts; the host of a document is its source."""
-    docs = table(spark, sf_dir, "documents", "doc_id", "source", "text").select("doc_id", "source", "text")
-    return quality_rules.judge(docs, text="text").select("doc_id", *quality_rules.MEASURES, "base_failed", "kept")
+    return quality_rules.judge(table(spark, sf_dir, "documents", "doc_id", "source", "text"), carry=["doc_id"])
 
 
 @query("op8_quality_classifier")
