@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bannerloom.llm import byte_bpe, embedding_dedup, line_dedup, packing, quality_classifier, quality_rules, sharding, url_filter
+from bannerloom.llm import byte_bpe, embedding_dedup, line_dedup, lm_score, packing, quality_classifier, quality_rules, sharding, url_filter
 from bannerloom.llm.common import fold
 from bannerloom.llm.url_filter import Rule
 
@@ -175,3 +175,11 @@ FROM embeddings e JOIN k ON k.n = e.vec_id""",
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of cosine 0.93 and more between vectors of one label."""
     return embedding_dedup.dedup(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"), threshold=0.93)
+
+
+@query("op5_lm_score")
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model of the nine folds of ten that are not held out."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    out = F.coalesce(fold(F.col("doc_id"), 10) == 0, F.lit(False))
+    return lm_score.score(docs, ~out).select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
