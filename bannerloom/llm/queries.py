@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bannerloom.llm import byte_bpe, embedding_dedup, line_dedup, lm_score, packing, quality_classifier, quality_rules, sharding, url_filter
+from bannerloom.llm import byte_bpe, embedding_dedup, line_dedup, lm_score, ngram_join, packing, quality_classifier, quality_rules, sharding, url_filter
 from bannerloom.llm.common import fold
 from bannerloom.llm.url_filter import Rule
 
@@ -183,3 +183,9 @@ def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     out = F.coalesce(fold(F.col("doc_id"), 10) == 0, F.lit(False))
     return lm_score.score(docs, ~out).select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op2_ngram_join")
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingles have a Jaccard similarity of 0.9 or more."""
+    return ngram_join.join(table(spark, sf_dir, "documents", "doc_id", "text"), n=3, percent=90)
