@@ -8,14 +8,17 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Chunks, and pre-tokens, that a task remembers, and their greatest length.
-REMEMBERED, REMEMBERED_LENGTH = 300_000, 48
+REMEMBERED, REMEMBERED_LENGTH = 150_000, 48
+#: Rows whose ids a task holds at a time.
+ROWS = 200
 CHUNK = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 OTHER_WHITE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _WORD = (1 << 64) - 1
@@ -175,34 +178,42 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the token ids of the whole text (array of int) in the column ``ids``.
+def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids", keep_text: bool = True) -> DataFrame:
+    """``docs`` (without ``text`` if not ``keep_text``) and the token ids of the whole text in ``ids``.
 
     Null texts count as empty and get no ids, empty tables stay empty, a column of the
     same name is replaced, very long pre-tokens take n log n steps. The vocabulary (a
-    file of bounded size) is broadcast; texts never leave their task.
+    file of bounded size) is broadcast; texts never leave their task, which holds a few
+    hundred rows' ids at a time.
     """
     docs = docs.drop(ids)
+    kept = [c for c in docs.columns if keep_text or c != text]
     codec = docs.sparkSession.sparkContext.broadcast(Codec(read_ranks(ranks_path), pattern))
+    schema = T.StructType([*[docs.schema[c] for c in kept], T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
-    @F.pandas_udf("array<int>")
-    def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        run = codec.value.encoder()
-        for texts in batches:
-            yield pd.Series([np.array(run(t or ""), np.int32) for t in texts], dtype=object)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        apply = codec.value.encoder()
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                found = [np.array(apply(t or ""), np.int32) for t in batch.column(batch.num_columns - 1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.list_(pa.int32()))], schema.names)
 
-    return docs.withColumn(ids, apply(F.col(text)))
+    return docs.select(*kept, F.col(text).cast("string").alias("__text")).mapInArrow(run, schema)
 
 
 def decode(docs: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``docs`` with the bytes of ``ids`` in the column ``out``; null ids give empty bytes."""
     docs = docs.drop(out)
     tokens = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.BinaryType())])
 
-    @F.pandas_udf("binary")
-    def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = tokens.value.__getitem__
-        for rows in batches:
-            yield pd.Series([b"".join(map(get, () if r is None else r.tolist())) for r in rows], dtype=object)
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                found = [b"".join(map(get, row or ())) for row in batch.column(batch.schema.get_field_index(ids)).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], schema.names)
 
-    return docs.withColumn(out, apply(F.col(ids)))
+    return docs.mapInArrow(run, schema)

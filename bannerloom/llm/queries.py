@@ -142,7 +142,7 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all whole texts, and the bytes they decode to, as digests."""
     ranks = public_tokenizers.path(BYTE_RANKS)
-    encoded = byte_bpe.encode(table(spark, sf_dir, "documents", "doc_id", "text"), ranks, public_tokenizers.PATTERN).drop("text")
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents", "doc_id", "text"), ranks, public_tokenizers.PATTERN, keep_text=False)
     return byte_bpe.decode(encoded, ranks).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
