@@ -5,25 +5,23 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh64_intdigest as digest
 
-#: Chunks, and pre-tokens, that a task remembers, and their greatest length.
-REMEMBERED, REMEMBERED_LENGTH = 150_000, 48
+#: Chunks, and pre-tokens, that a worker remembers (twice as many at most), and their greatest length.
+REMEMBERED, REMEMBERED_LENGTH = 200_000, 48
 #: Rows whose ids a task holds at a time.
 ROWS = 200
 CHUNK = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 OTHER_WHITE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_WORD = (1 << 64) - 1
-
-
 def read_ranks(path: str) -> list[bytes]:
     """Tokens by rank, from a file of base64 tokens and ranks."""
     with open(path, "rb") as file:
@@ -32,62 +30,61 @@ def read_ranks(path: str) -> list[bytes]:
     return [tokens[i] for i in range(len(tokens))]
 
 
-def _slot(h: int, shift: int, n: int) -> int:
-    x = (h ^ (shift * 0x9E3779B97F4A7C15)) & _WORD
-    x = ((x ^ (x >> 31)) * 0xBF58476D1CE4E5B9) & _WORD
-    return (x ^ (x >> 29)) % n
-
-
 class PerfectHash:
-    """Token -> rank without collisions or free slots: buckets of keys are displaced, largest first."""
+    """Token -> rank without collisions or free slots: each bucket of keys has the hash seed that spreads it, largest first."""
 
-    def __init__(self, tokens: list[bytes], per_bucket: int = 4):
+    def __init__(self, tokens: list[bytes], per_bucket: int = 2):
         n = max(1, len(tokens))
         self.tokens, self.n, self.buckets = tokens, n, max(1, n // per_bucket)
-        self.shift = [0] * self.buckets
+        self.seed = [0] * self.buckets
         self.rank = [-1] * n
-        groups: dict[int, list[tuple[int, int]]] = {}
+        groups: dict[int, list[int]] = {}
         for i, token in enumerate(tokens):
-            h = xxhash.xxh64_intdigest(token)
-            groups.setdefault(h % self.buckets, []).append((h, i))
-        free = np.ones(n, bool)
-        spare = None
+            groups.setdefault(digest(token) % self.buckets, []).append(i)
+        spare = iter(())
         for bucket, keys in sorted(groups.items(), key=lambda x: -len(x[1])):
-            if len(keys) == 1:  # placed by its slot, written as a negative number
-                if spare is None:
-                    spare = iter(np.flatnonzero(free).tolist())
-                slot = next(spare)
-                self.shift[bucket], self.rank[slot] = -1 - slot, keys[0][1]
+            if len(keys) > 1:
+                seed = 0
+                while True:
+                    seed += 1
+                    slots = {digest(tokens[i], seed) % n for i in keys}
+                    if len(slots) == len(keys) and all(self.rank[s] < 0 for s in slots):
+                        break
+                for i in keys:
+                    self.rank[digest(tokens[i], seed) % n] = i
+                self.seed[bucket] = seed
                 continue
-            base, width = 0, 16
-            while True:
-                tries = np.arange(base, base + width, dtype=np.uint64)
-                slots = self._slots(np.array([h for h, _ in keys], np.uint64)[:, None], tries)
-                good = free[slots].all(axis=0)
-                ordered = np.sort(slots, axis=0)
-                good &= (ordered[1:] != ordered[:-1]).all(axis=0)
-                if good.any():
-                    at = int(np.argmax(good))
-                    break
-                base, width = base + width, width * 4
-            self.shift[bucket] = base + at
-            for (_, i), slot in zip(keys, slots[:, at].tolist()):
-                free[slot], self.rank[slot] = False, i
-
-    def _slots(self, h: np.ndarray, shifts: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            x = h ^ (shifts * np.uint64(0x9E3779B97F4A7C15))
-            x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-            return ((x ^ (x >> np.uint64(29))) % np.uint64(self.n)).astype(np.int64)
+            slot = next(spare, None)  # one key takes any free slot, written as a negative seed
+            if slot is None:
+                spare = iter([s for s, r in enumerate(self.rank) if r < 0])
+                slot = next(spare)
+            self.seed[bucket], self.rank[slot] = -1 - slot, keys[0]
 
     def find(self, token: bytes) -> int:
         """The rank, or -1."""
-        h = xxhash.xxh64_intdigest(token)
-        shift = self.shift[h % self.buckets]
-        rank = self.rank[-1 - shift if shift < 0 else _slot(h, shift, self.n)]
+        seed = self.seed[digest(token) % self.buckets]
+        rank = self.rank[-1 - seed if seed < 0 else digest(token, seed) % self.n]
         return rank if rank >= 0 and self.tokens[rank] == token else -1
 
 
+class Memory(dict):
+    """Remembers a function's results for short keys: when full, only what is asked for again stays."""
+
+    def __init__(self, compute):
+        self.compute, self.old = compute, {}
+
+    def __missing__(self, key: str) -> bytes:
+        got = self.old.pop(key, None)
+        if got is None:
+            got = self.compute(key)
+        if len(key) <= REMEMBERED_LENGTH:
+            if len(self) >= REMEMBERED:
+                self.old = dict(self)
+                self.clear()
+            self[key] = got
+        return got
+
+
 class Codec:
     def __init__(self, tokens: list[bytes], pattern: str):
         self.tokens = tokens
@@ -100,15 +97,24 @@ class Codec:
         return self.__dict__ | {"_encode": None}
 
     def merge(self, token: bytes) -> list[int]:
-        """Ids of a pre-token that is no token: neighbours merge by lowest rank, then from the left."""
+        """Ids of a pre-token that is no token: neighbours merge by lowest rank, then from the left.
+
+        The pieces are a linked list over the bytes. The heap has a number for each pair:
+        its rank, where it starts and where it ends.
+        """
         rank = self.ranks.get
         n = len(token)
+        width = n.bit_length()
+        mask = (1 << width) - 1
         end = list(range(1, n + 1))  # of the piece that starts at i; 0 when merged into the one before
         before = list(range(-1, n))
-        heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank(token[i : i + 2])) is not None]
+        heap = [
+            r << 2 * width | i << width | i + 2 for i in range(n - 1) if (r := rank(token[i : i + 2])) is not None
+        ]
         heapq.heapify(heap)
         while heap:
-            _, i, stop = heapq.heappop(heap)
+            pair = heapq.heappop(heap)
+            i, stop = pair >> width & mask, pair & mask
             mid = end[i]
             if not mid or mid >= n or end[mid] != stop:
                 continue  # one of the two has changed since
@@ -116,19 +122,19 @@ class Codec:
             if stop < n:
                 before[stop] = i
                 if (r := rank(token[i : end[stop]])) is not None:
-                    heapq.heappush(heap, (r, i, end[stop]))
+                    heapq.heappush(heap, r << 2 * width | i << width | end[stop])
             if (j := before[i]) >= 0 and (r := rank(token[j:stop])) is not None:
-                heapq.heappush(heap, (r, j, stop))
+                heapq.heappush(heap, r << 2 * width | j << width | stop)
         out, i = [], 0
         while i < n:
             out.append(rank(token[i : end[i]]))
             i = end[i]
         return out
 
-    def pretoken(self, text: str) -> list[int]:
+    def pretoken(self, text: str) -> bytes:
         token = text.encode()
         rank = self.table.find(token)
-        return [rank] if rank >= 0 else self.merge(token)
+        return array("i", [rank] if rank >= 0 else self.merge(token)).tobytes()
 
     def encoder(self):
         """A function text -> ids that remembers frequent chunks and pre-tokens, one for each worker.
@@ -139,44 +145,18 @@ class Codec:
         """
         if self._encode:
             return self._encode
-        chunks: dict[str, list[int]] = {}
-        pieces: dict[str, list[int]] = {}
         split = regex.compile(self.pattern).findall
+        piece = Memory(self.pretoken).__getitem__
+        chunk = Memory(lambda text: b"".join(map(piece, split(text)))).__getitem__
 
-        def by_pattern(text: str) -> list[int]:
-            ids: list[int] = []
-            for piece in split(text):
-                got = pieces.get(piece)
-                if got is None:
-                    got = self.pretoken(piece)
-                    if len(piece) <= REMEMBERED_LENGTH:
-                        if len(pieces) >= REMEMBERED:
-                            pieces.clear()
-                        pieces[piece] = got
-                ids += got
-            return ids
-
-        def encode(text: str) -> list[int]:
+        def encode(text: str) -> np.ndarray:
             if not text.isascii() and OTHER_WHITE.search(text):
-                return by_pattern(text)
-            ids: list[int] = []
-            for chunk in CHUNK.findall(text):
-                got = chunks.get(chunk)
-                if got is None:
-                    got = by_pattern(chunk)
-                    if len(chunk) <= REMEMBERED_LENGTH:
-                        if len(chunks) >= REMEMBERED:
-                            chunks.clear()
-                        chunks[chunk] = got
-                ids += got
-            return ids
+                return np.frombuffer(b"".join(map(piece, split(text))), np.int32)
+            return np.frombuffer(b"".join(map(chunk, CHUNK.findall(text))), np.int32)
 
         self._encode = encode
         return encode
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
-
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids", keep_text: bool = True) -> DataFrame:
     """``docs`` (without ``text`` if not ``keep_text``) and the token ids of the whole text in ``ids``.
@@ -196,8 +176,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", i
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
-                found = [np.array(apply(t or ""), np.int32) for t in batch.column(batch.num_columns - 1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.list_(pa.int32()))], schema.names)
+                found = [apply(t or "") for t in batch.column(batch.num_columns - 1).to_pylist()]
+                ends = pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32))
+                rows = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found)))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], rows], schema.names)
 
     return docs.select(*kept, F.col(text).cast("string").alias("__text")).mapInArrow(run, schema)
 
