@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,13 +20,13 @@ from bannerloom.llm.common import stage, words
 #: A count c is kept as the level 1 + floor(log_BASE c).
 BASE = 1.5
 #: Bits of the filter for each stored level, probes for each, and the largest filter that is broadcast.
-BITS, PROBES, MAX_FILTER_BYTES = 10, 4, 128 << 20
+BITS, PROBES, MAX_FILTER_BYTES = 10, 4, 64 << 20
 #: Bytes of text for each hash range; a range is counted by one task and has a block of the filter.
 RANGE_BYTES = 8 << 20
 #: Exact counts of at most so many frequent words are broadcast (16 bytes each); the others are joined.
 FREQUENT = 1_000_000
-#: Tokens that a task counts or scores at a time, and words whose hash it remembers.
-TOKENS, REMEMBERED = 1_500_000, 500_000
+#: Tokens that a task counts and scores at a time, and words whose hash it remembers.
+COUNTED, SCORED, REMEMBERED = 1_500_000, 400_000, 300_000
 #: Weights of the bigram counts that are tried for each level of the context.
 WEIGHTS = np.linspace(0.0, 0.95, 20)
 # hashes of the end and of the start of a text; words are hashed with another seed
@@ -56,8 +56,8 @@ def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return mix(a * np.uint64(0x9E3779B97F4A7C15) + mix(b))
 
 
-def token_blocks(texts: Iterator[tuple[int, str | None]]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
-    """(rows, tokens, tokens of each row) for about TOKENS tokens at a time; a row's end is a token."""
+def token_blocks(texts: Iterator[tuple[int, str | None]], size: int) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    """(rows, tokens, tokens of each row) for about ``size`` tokens at a time; a row's end is a token."""
     known = Hashes()
     rows, parts, counts, n = [], [], [], 0
     for row, text in texts:
@@ -67,7 +67,7 @@ def token_blocks(texts: Iterator[tuple[int, str | None]]) -> Iterator[tuple[list
         rows.append(row)
         counts.append(len(ids) + 1)
         n += len(ids) + 1
-        if n >= TOKENS:
+        if n >= size:
             yield rows, np.concatenate(parts), np.array(counts)
             rows, parts, counts, n = [], [], [], 0
     if rows:
@@ -102,7 +102,7 @@ def counted(texts: DataFrame, ranges: int) -> DataFrame:
                 yield kind, r, found[lo:hi].tobytes(), n[lo:hi].astype(np.uint32).tobytes()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, tokens, counts in token_blocks((0, t.as_py()) for b in batches for t in b.column(0)):
+        for _, tokens, counts in token_blocks(((0, t.as_py()) for b in batches for t in b.column(0)), COUNTED):
             grams = packed(2, pair(contexts(tokens, counts), tokens))
             for rows in (packed(1, np.concatenate([tokens, np.full(len(counts), START)])), grams):
                 columns = [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary(), pa.binary()))]
@@ -138,8 +138,9 @@ def probes(grams: np.ndarray, level: int, bits: int) -> np.ndarray:
 
 
 class Model(NamedTuple):
-    filter: bytes  # a block of ``bits`` bits for each hash range
-    bits: int
+    """Everything but the filter, which is broadcast once by itself."""
+
+    bits: int  # of a block; the filter has a block for each hash range
     ranges: int
     lowest: int  # levels up to this one are not stored
     tokens: int  # of the corpus
@@ -147,9 +148,8 @@ class Model(NamedTuple):
     weights: list[float]  # of the bigrams, by the level of their context
 
 
-def stored_levels(model: Model, grams: np.ndarray) -> np.ndarray:
+def stored_levels(model: Model, bits: np.ndarray, grams: np.ndarray) -> np.ndarray:
     """The level of each n-gram: probes go on from the lowest stored level until one is absent."""
-    bits = np.frombuffer(model.filter, np.uint8)
     found, where = np.unique(grams, return_inverse=True)
     base = range_of(found, model.ranges).astype(np.uint64) * np.uint64(model.bits)
     got, alive, level = np.zeros(len(found), np.int64), np.arange(len(found)), model.lowest + 1
@@ -162,7 +162,7 @@ def stored_levels(model: Model, grams: np.ndarray) -> np.ndarray:
     return got[where]
 
 
-def build(ngrams: DataFrame, ranges: int, tokens: int, different: int) -> Model:
+def build(ngrams: DataFrame, ranges: int, tokens: int, different: int) -> tuple[Model, np.ndarray]:
     """The filter: tasks make the blocks of their hash ranges, the driver puts them side by side.
 
     It has BITS for every stored level, so it grows with the corpus up to
@@ -194,28 +194,28 @@ def build(ngrams: DataFrame, ranges: int, tokens: int, different: int) -> Model:
                 yield pd.DataFrame({"range": [at], "bits": [np.packbits(block, bitorder="little").tobytes()]})
 
     whole = np.zeros(ranges * bits // 8, np.uint8)
-    for r in ngrams.mapInPandas(blocks, "range long, bits binary").collect():  # MAX_FILTER_BYTES for each kind
+    made = stage(ngrams.mapInPandas(blocks, "range long, bits binary"), "blocks")
+    for r in made.toLocalIterator(prefetchPartitions=True):  # MAX_FILTER_BYTES for each kind, a few blocks at a time
         whole[r[0] * bits // 8 : (r[0] + 1) * bits // 8] |= np.frombuffer(r[1], np.uint8)
-    return Model(whole.tobytes(), bits, ranges, lowest, tokens, different, [0.0] * 120)
+    return Model(bits, ranges, lowest, tokens, different, [0.0] * 120), whole
 
 
-def parts(model: Model, values: np.ndarray, before: np.ndarray, tokens: np.ndarray, out: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def parts(model: Model, bits: np.ndarray, values: np.ndarray, before: np.ndarray, tokens: np.ndarray, out: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(level of the context, share of the bigram in it, smoothed share of the token); ``out`` is taken from each count."""
-    context = stored_levels(model, before)
-    both = np.maximum(0.0, values[stored_levels(model, pair(before, tokens))] - out)
-    single = np.maximum(0.0, values[stored_levels(model, tokens)] - out)
+    context = stored_levels(model, bits, before)
+    both = np.maximum(0.0, values[stored_levels(model, bits, pair(before, tokens))] - out)
+    single = np.maximum(0.0, values[stored_levels(model, bits, tokens)] - out)
     share = np.minimum(1.0, both / np.maximum(1.0, values[context] - out))
     return context, share, (single + 0.1) / (model.tokens + 0.1 * (model.different + 1))
 
 
-def fit_weights(texts: DataFrame, model: Model) -> Model:
+def fit_weights(texts: DataFrame, model: Model, filter_: Broadcast) -> Model:
     """For each level of the context the weight under which its tokens, each left out of the counts, are likeliest."""
-    shared = texts.sparkSession.sparkContext.broadcast(model)
 
     def likelihood(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, total = level_counts(), np.zeros((120, len(WEIGHTS)))
-        for _, tokens, counts in token_blocks((0, t.as_py()) for b in batches for t in b.column(0)):
-            level, share, one = parts(shared.value, values, contexts(tokens, counts), tokens, 1)
+        for _, tokens, counts in token_blocks(((0, t.as_py()) for b in batches for t in b.column(0)), SCORED):
+            level, share, one = parts(model, filter_.value, values, contexts(tokens, counts), tokens, 1)
             for k, w in enumerate(WEIGHTS):
                 total[:, k] += np.bincount(level, weights=np.log(w * share + (1 - w) * one), minlength=120)
         level, k = np.nonzero(total)
@@ -270,7 +270,11 @@ def score(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame:
         least = 1 << power
     hot = counts.where(F.col("count") >= least).toPandas().sort_values("hash")
     frequent = spark.sparkContext.broadcast((hot["hash"].to_numpy(np.int64), hot["count"].to_numpy(np.int64)))
-    model = spark.sparkContext.broadcast(fit_weights(texts, build(ngrams, ranges, tokens, different)))
+    del hot
+    model, bits = build(ngrams, ranges, tokens, different)
+    filter_ = spark.sparkContext.broadcast(bits)
+    del bits
+    model = fit_weights(texts, model, filter_)
     floor = tokens + 0.1 * (different + 1)
 
     kept = docs.drop(text)
@@ -280,12 +284,12 @@ def score(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, row = level_counts(), TaskContext.get().partitionId() << 33
-        m, (known, times) = model.value, frequent.value
-        weights = np.array(m.weights)
+        known, times = frequent.value
+        weights = np.array(model.weights)
         for batch in batches:
-            for rows, tokens, n in token_blocks(enumerate(batch.column(batch.num_columns - 1).to_pylist())):
+            for rows, tokens, n in token_blocks(enumerate(batch.column(batch.num_columns - 1).to_pylist()), SCORED):
                 owner = np.repeat(np.arange(len(n)), n)
-                level, share, one = parts(m, values, contexts(tokens, n), tokens, 0)
+                level, share, one = parts(model, filter_.value, values, contexts(tokens, n), tokens, 0)
                 w = weights[level]
                 logs = np.bincount(owner, weights=np.log10(w * share + (1 - w) * one), minlength=len(n))
                 signed = tokens.view(np.int64)
