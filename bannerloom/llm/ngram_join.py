@@ -14,6 +14,7 @@ from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -30,6 +31,8 @@ WIDTH = 3
 BROADCAST_KEYS = 1_000_000
 #: Sets that a task remembers so as not to give a copy's signatures again.
 REMEMBERED = 1_000_000
+#: Sets, and shingles in them, that a tile holds at about most.
+TILE_SETS, TILE_SHINGLES = 256, 500_000
 PAIRS = ((0, 1), (0, 2), (1, 2))
 
 
@@ -181,6 +184,79 @@ def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, n: int, perc
     return both.where(100 * shared >= percent * (F.size("sa") + F.size("sb") - shared)).select("a", "b").distinct()
 
 
+def linked(a: pd.DataFrame, b: pd.DataFrame, percent: int) -> Iterator[tuple[int, int]]:
+    """A forest of the links between two tiles (cid, root, n, set) that tie different roots."""
+    na, nb = a["n"].to_numpy(), b["n"].to_numpy()
+    may = (a["root"].to_numpy()[:, None] != b["root"].to_numpy()[None, :]) & (
+        100 * np.minimum(na[:, None], nb[None, :]) >= percent * np.maximum(na[:, None], nb[None, :])
+    )
+    if not may.any():
+        return
+    common = np.intersect1d(np.concatenate(a["set"].tolist()), np.concatenate(b["set"].tolist()))
+    shared = np.zeros(may.shape, np.float32)
+    for at in range(0, len(common), 4096):  # counts of common shingles as products of 0/1 matrices
+        some = common[at : at + 4096]
+        sides = []
+        for rows in (a["set"], b["set"]):
+            flags = np.zeros((len(rows), len(some)), np.float32)
+            for i, found in enumerate(rows):
+                where = np.searchsorted(some, found)
+                where[where == len(some)] = 0
+                flags[i, where[some[where] == found]] = 1
+            sides.append(flags)
+        shared += sides[0] @ sides[1].T
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    hit = may & (100 * shared >= percent * (na[:, None] + nb[None, :] - shared))
+    ids, others = a["cid"].tolist(), b["cid"].tolist()
+    of_a, of_b = a["root"].tolist(), b["root"].tolist()
+    for i, j in zip(*np.nonzero(hit)):
+        x, y = root(of_a[i]), root(of_b[j])
+        if x != y:
+            up[max(x, y)] = min(x, y)
+            yield ids[i], others[j]
+
+
+def compared(left: DataFrame, leads: DataFrame, docs: DataFrame, members: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (a, b) that tie classes of different roots sharing a bucket, enough of them for the components.
+
+    ``left`` has (sig, cid, n, root) of all buckets with several roots. Classes with one
+    lead lie in one tile, or in several of bounded size; tiles that share a bucket are
+    compared in tasks, which return a forest. So pairs are never rows.
+    """
+    nodes = left.select("cid", "n", "root").distinct().join(leads, "cid", "left").withColumn("b", F.coalesce("b", "cid"))
+    cuts = nodes.groupBy("b").agg(F.ceil(F.greatest(F.count("*") / TILE_SETS, F.sum("n") / TILE_SHINGLES)).cast("int").alias("cuts"))
+    tiles = nodes.join(stage(cuts, "cuts"), "b").select(
+        "cid", "n", "root", F.xxhash64("b", F.when(F.col("cuts") > 1, F.pmod(F.xxhash64("cid"), F.col("cuts"))).otherwise(0)).alias("tile")
+    )
+    tiles = stage(tiles, "tiles")
+    at = stage(left.select("sig", "cid").join(tiles.select("cid", "tile"), "cid").select("sig", "tile").distinct(), "at")
+    near = at.toDF("sig", "ta").join(at.toDF("sig", "tb"), "sig").where("ta <= tb").select("ta", "tb").distinct()
+    near = stage(near.withColumn("pair", F.xxhash64("ta", "tb")), "near")
+    sets = stage(sets_of(docs, members.join(tiles.select("cid"), "cid", "left_semi"), n).dropDuplicates(["cid"]), "sets")
+    full = stage(tiles.join(sets, "cid"), "full")
+    sides = near.select("pair", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("ta").alias("tile")), F.struct(F.lit(1).alias("side"), F.col("tb").alias("tile")))).alias("x"))
+    sides = sides.select("pair", "x.side", "x.tile").join(near.where("ta = tb").select("pair").withColumn("own", F.lit(True)), "pair", "left").where("side = 0 or own is null")
+    rows = sides.join(full, "tile").select("pair", "side", "cid", "n", "root", "set")
+
+    def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for _, one in group.groupby("pair", sort=False):
+            a, b = one[one["side"] == 0], one[one["side"] == 1]
+            found += linked(a, b if len(b) else a, percent)
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    # small pairs of tiles share a call: as many groups as make TILE_SETS rows each
+    size = rows.groupBy("pair").agg(F.count("*").alias("k"))
+    groups = max(1, (size.agg(F.sum("k")).first()[0] or 0) // TILE_SETS)
+    return rows.groupBy(F.pmod("pair", F.lit(groups)).alias("g")).applyInPandas(compare, "a long, b long")
+
+
 def components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(doc_id, key, n_shingles, cid, component): a row for each document.
 
@@ -188,8 +264,9 @@ def components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     that links lead to; both null for documents without words. Links of Jaccard
     ``percent`` / 100 or more are decided on whole sets, and every pair of classes that
     shares a signature is either decided or already in one component: first each class
-    with the class that leads most of its buckets, then what is left between different
-    components. So a large group of near copies costs a pair for each member.
+    with the class that leads most of its buckets, then, in tiles, what is left between
+    different components. So a large group of near copies gives rows for its members and
+    not for its pairs.
     """
     spark = docs.sparkSession
     rows = stage(signed(docs, n, percent), "signed")
@@ -209,12 +286,15 @@ def components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     # rows become classes; copies of one class in a bucket become one
     buckets = stage(shared.join(known.select("row", "cid", "n"), "row").select("sig", "cid", "n").distinct(), "buckets")
 
-    lead = buckets.groupBy("sig").agg(F.min(F.struct("cid", "n")).alias("lead"))
-    fits = 100 * F.least("n", "lead.n") >= percent * F.greatest("n", "lead.n")
-    with_lead = buckets.join(stage(lead, "leads"), "sig").where((F.col("cid") != F.col("lead.cid")) & fits)
-    best = with_lead.groupBy("cid", F.col("lead.cid").alias("b")).count().groupBy("cid").agg(F.max_by("b", F.struct("count", "b")).alias("b"))
-    first = stage(best.select(F.col("cid").alias("a"), "b"), "pairs")
-    links = stage(verified(first, docs, members, n, percent), "links")
+    # the class in most buckets leads each of its buckets: of near copies, the one least changed
+    often = buckets.withColumn("often", F.count("*").over(Window.partitionBy("cid")))
+    lead = often.groupBy("sig").agg(F.max(F.struct("often", F.col("cid").alias("b"), F.col("n").alias("m"))).alias("lead"))
+    with_lead = buckets.join(stage(lead.select("sig", "lead.b", "lead.m"), "leads"), "sig")
+    best = with_lead.where("cid <> b").groupBy("cid", "n", "b", "m").count()
+    best = best.groupBy("cid", "n").agg(F.max_by(F.struct("b", "m"), F.struct("count", "b")).alias("best"))
+    best = stage(best.select("cid", "n", "best.b", "best.m"), "best")
+    pairs = best.where(100 * F.least("n", "m") >= percent * F.greatest("n", "m")).select(F.col("cid").alias("a"), "b")
+    links = stage(verified(stage(pairs, "pairs"), docs, members, n, percent), "links")
 
     roots = stage(classes(spark, links), "roots")
     named = stage(
@@ -222,11 +302,7 @@ def components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     )
     open_ = named.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig")
     left = stage(named.join(open_, "sig", "left_semi"), "open")
-    x, y = left.toDF("sig", "a", "na", "ra"), left.toDF("sig", "b", "nb", "rb")
-    cross = x.join(y, "sig").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
-    tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = stage(cross.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-    more = stage(verified(rest, docs, members, n, percent), "links")
+    more = stage(compared(left, best.select("cid", "b"), docs, members, n, percent), "links")
     roots = stage(classes(spark, links.unionByName(more)), "roots")
 
     placed = known.join(roots, known["cid"] == roots["node"], "left").select(
