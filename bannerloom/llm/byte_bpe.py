@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest as digest
 
-#: Chunks, and pre-tokens, that a worker remembers (twice as many at most), and their greatest length.
-REMEMBERED, REMEMBERED_LENGTH = 200_000, 48
+from bannerloom.llm.common import Memory
+
 #: Rows whose ids a task holds at a time.
 ROWS = 200
 CHUNK = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
@@ -67,24 +67,6 @@ class PerfectHash:
         return rank if rank >= 0 and self.tokens[rank] == token else -1
 
 
-class Memory(dict):
-    """Remembers a function's results for short keys: when full, only what is asked for again stays."""
-
-    def __init__(self, compute):
-        self.compute, self.old = compute, {}
-
-    def __missing__(self, key: str) -> bytes:
-        got = self.old.pop(key, None)
-        if got is None:
-            got = self.compute(key)
-        if len(key) <= REMEMBERED_LENGTH:
-            if len(self) >= REMEMBERED:
-                self.old = dict(self)
-                self.clear()
-            self[key] = got
-        return got
-
-
 class Codec:
     def __init__(self, tokens: list[bytes], pattern: str):
         self.tokens = tokens

@@ -18,9 +18,29 @@ from bannerloom.session import scratch_dir
 # fixed values of the text contracts
 WHITE = " \t\n\x0b\x0c\r"
 WORD_GAP = "[\\x20\\x09-\\x0D]+"
+#: Keys that a Memory holds (twice as many at most), and their greatest length.
+REMEMBERED, REMEMBERED_LENGTH = 200_000, 48
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+class Memory(dict):
+    """Remembers a function's results for short keys: when full, only what is asked for again stays."""
+
+    def __init__(self, compute):
+        self.compute, self.old = compute, {}
+
+    def __missing__(self, key: str | bytes) -> bytes:
+        got = self.old.pop(key, None)
+        if got is None:
+            got = self.compute(key)
+        if len(key) <= REMEMBERED_LENGTH:
+            if len(self) >= REMEMBERED:
+                self.old = dict(self)
+                self.clear()
+            self[key] = got
+        return got
+
+
 def words(text: str | None) -> list[bytes]:
     """Words between ASCII white space, A-Z lower-cased (``bytes`` methods touch ASCII only)."""
     return (text or "").encode().lower().split()

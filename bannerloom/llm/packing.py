@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
+import re
+from array import array
 from collections.abc import Iterator, Sequence
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -14,39 +14,37 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from bannerloom.llm.common import numbered, stage, with_rank
+from bannerloom.llm.common import Memory, numbered, stage, with_rank
 
-#: Words whose ids a task remembers.
-REMEMBERED = 300_000
+#: Combining diacritical marks.
+MARKS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]")
 PIECE = ["start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
 
 def word_encoder(path: str):
-    """text -> array of ids. White space ends every token of this tokenizer, so words are encoded once and remembered."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    """(text, end) -> the ids as 16-bit numbers, or 32-bit ones for a vocabulary beyond that, and their type.
+
+    White space ends every token of this tokenizer, so words are encoded once and
+    remembered. It lower-cases, so A-Z is lower-cased before, but for texts with
+    combining marks: with those, capitals and small letters may compose otherwise.
+    """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their names in a text are text
-    known: dict[bytes, list[int]] = {}
+    kind = "H" if tokenizer.get_vocab_size() <= 1 << 16 else "I"
+    known = Memory(lambda word: array(kind, tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes())
 
-    def encode(text: str, end: int) -> np.ndarray:
-        found = text.encode().split()
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = list(set(found).difference(known))
-        if new:
-            got = tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-            known.update(zip(new, (g.ids for g in got)))
-        ids = list(chain.from_iterable(map(known.__getitem__, found)))
-        ids.append(end)
-        return np.array(ids, "<u4")
+    def encode(text: str, end: int) -> bytes:
+        data = text.encode()
+        data = data if not text.isascii() and MARKS.search(text) else data.lower()
+        return b"".join([*map(known.__getitem__, data.split()), array(kind, [end]).tobytes()])
 
-    return encode
+    return encode, np.dtype(kind)
 
 
 def tokenize(docs: DataFrame, path: str, window: int, end: int) -> DataFrame:
-    """All columns but ``text``, and the ids as little-endian 32-bit numbers, their count, the
+    """All columns but ``text``, and the ids as numbers of 16 or 32 bits, their count, the
     whole windows in them, those of the task's rows before, and the rest."""
     rest = docs.drop("text")
     schema = T.StructType(
@@ -55,16 +53,16 @@ def tokenize(docs: DataFrame, path: str, window: int, end: int) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, done = word_encoder(path), 0
+        (encode, kind), done = word_encoder(path), 0
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
                 ids = [encode(t or "", end) for t in batch.column(batch.num_columns - 1).to_pylist()]
-                n = np.array([len(x) for x in ids], np.int64)
+                n = np.array([len(x) // kind.itemsize for x in ids], np.int64)
                 full = n // window
                 at_full = done + np.cumsum(full) - full
                 done += int(full.sum())
-                more = [pa.array([x.tobytes() for x in ids], pa.binary()), *map(pa.array, (n, full, at_full, n % window))]
+                more = [pa.array(ids, pa.binary()), *map(pa.array, (n, full, at_full, n % window))]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *more], schema.names)
 
     return docs.select(*rest.columns, F.col("text").cast("string").alias("__text")).mapInArrow(run, schema)
@@ -206,7 +204,9 @@ def cut(placed: DataFrame, kept: list[str], window: int) -> DataFrame:
                         if head < rest:
                             spans.append((full * window + head, rest - head, at[i] + head))
                     of += [i] * len(spans)
-                    out += [(s, k, ids[i][4 * s : 4 * (s + k)], n[i], p // window, p % window) for s, k, p in spans]
+                    kind = np.dtype(f"u{len(ids[i]) // n[i]}")
+                    own = np.frombuffer(ids[i], kind).astype("<u4")
+                    out += [(s, k, own[s : s + k].tobytes(), n[i], p // window, p % window) for s, k, p in spans]
                 columns = [c.take(pa.array(of, pa.int64())) for c in batch.columns[: len(kept)]]
                 values = zip(*out) if out else [()] * len(PIECE)
                 columns += [pa.array(v, pa.binary() if name == "ids" else pa.int64()) for name, v in zip(PIECE, values)]
