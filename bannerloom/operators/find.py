@@ -10,18 +10,28 @@ from pyspark.sql import functions as F
 
 from bannerloom.operators import skew
 
-NUMBER_WIDTH = 40  # digits to which numbers are padded for numeric ordering
-
 # collation of each comparison strength: letters, letters and accents, and case as well
 COLLATIONS = {1: "UNICODE_CI_AI", 2: "UNICODE_CI", 3: "UNICODE"}
 
 
 def project(df: DataFrame, include: Sequence[str] | None = None, exclude: Sequence[str] | None = None) -> DataFrame:
-    """Keep the named columns, or all but the named ones. Dots reach into structs."""
+    """Keep the named columns, or all but the named ones. Dots reach into structs, which keep their shape."""
     if include is not None and exclude is not None:
         raise ValueError("either include or exclude")
     if include is not None:
-        return df.select(*[F.col(c).alias(c.replace(".", "_")) if "." in c else F.col(c) for c in include])
+        tree: dict[str, dict] = {}
+        for name in include:
+            node = tree
+            for part in name.split("."):
+                node = node.setdefault(part, {})
+
+        def keep(column: Column, node: dict[str, dict], name: str) -> Column:
+            if not node:
+                return column.alias(name)
+            inner = F.struct(*[keep(column[k], v, k) for k, v in node.items()])
+            return F.when(column.isNotNull(), inner).alias(name)
+
+        return df.select(*[keep(F.col(k), v, k) for k, v in tree.items()])
     result = df
     for name in exclude or []:
         outer, _, inner = name.partition(".")
@@ -37,17 +47,19 @@ def key_range(
 ) -> DataFrame:
     """Rows with lower <= keys < upper, compared key by key.
 
-    The bounds on the first key are added as plain comparisons so that they
-    reach the scan.
+    NULL sorts first, in rows and in bounds. The bounds on the first key are added
+    as plain comparisons so that they reach the scan.
     """
     order: skew.Order = [(k, True) for k in keys]
     row = {k: F.col(k) for k in keys}
     if lower is not None:
         mark = {k: F.lit(x) for k, x in zip(keys, lower, strict=True)}
-        df = df.where(F.col(keys[0]) >= F.lit(lower[0])).where(skew.follows(row, mark, order, True))
+        first = F.lit(True) if lower[0] is None else F.col(keys[0]) >= F.lit(lower[0])
+        df = df.where(first).where(skew.follows(row, mark, order, True))
     if upper is not None:
         mark = {k: F.lit(x) for k, x in zip(keys, upper, strict=True)}
-        df = df.where(F.col(keys[0]) <= F.lit(upper[0])).where(~skew.follows(row, mark, order, True))
+        first = F.col(keys[0]).isNull() if upper[0] is None else F.col(keys[0]).isNull() | (F.col(keys[0]) <= F.lit(upper[0]))
+        df = df.where(first).where(~skew.follows(row, mark, order, True))
     return df
 
 
@@ -62,14 +74,24 @@ def collated(c: Column, strength: int = 2) -> Column:
 
 
 def numeric_key(c: Column) -> Column:
-    """Sort key under which runs of digits order by value (numbers up to NUMBER_WIDTH digits)."""
-    padded = F.regexp_replace(c, r"(\d+)", "0" * NUMBER_WIDTH + "$1")
-    return F.regexp_replace(padded, rf"\d*?(\d{{{NUMBER_WIDTH}}})(?!\d)", "$1")
+    """Sort key under which runs of digits order by value, whatever their length.
+
+    Each run loses its leading zeros and is led by its length in ten digits, so longer
+    numbers come later. Other text stays as it is.
+    """
+    runs = F.regexp_extract_all(c, F.lit(r"(\D*)(\d*)"), 0)
+
+    def key(run: Column) -> Column:
+        number = F.regexp_replace(F.regexp_extract(run, r"(\d*)$", 1), r"^0+(?=\d)", "")
+        text = F.regexp_extract(run, r"^(\D*)", 1)
+        return F.when(number == "", text).otherwise(F.concat(text, F.lpad(F.length(number).cast("string"), 10, "0"), number))
+
+    return F.when(c.isNotNull(), F.concat_ws("", F.transform(runs, key)))
 
 
 def retain(df: DataFrame, ts: str, as_of: Column, seconds: int) -> DataFrame:
-    """Rows not older than ``seconds`` at ``as_of``."""
-    return df.where(F.col(ts) >= as_of - F.make_dt_interval(secs=F.lit(seconds)))
+    """Rows not older than ``seconds`` at ``as_of``; rows without a timestamp do not age."""
+    return df.where(F.col(ts).isNull() | (F.col(ts) >= as_of - F.make_dt_interval(secs=F.lit(seconds))))
 
 
 def oid_time(oid: Column) -> Column:

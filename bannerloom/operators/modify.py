@@ -78,6 +78,12 @@ def upsert_counts(base: DataFrame, changes: DataFrame, key: str) -> DataFrame:
 #
 # Whether the first assignment to a present row changes it depends on v. That
 # comparison stays open (open, open_add, open_to) until the row is known.
+#
+# Values are folded as decimals, which add up to the same however runs are cut. A run
+# also tells whether a present row is still the same row (p_kept): a row that was
+# deleted and created again has nothing of the old one.
+
+VALUE = "decimal(38,9)"
 
 
 def _zero_counts(**given: Column) -> dict[str, Column]:
@@ -91,7 +97,8 @@ def _counts(prefix: str, values: Mapping[str, Column]) -> list[Column]:
 
 def _operation(op: Column, amount: Column, counted: bool) -> Column:
     """The short form of a single operation, with what is needed for counts if wanted."""
-    none = F.lit(None).cast("double")
+    none, zero = F.lit(None).cast(VALUE), F.lit(0).cast(VALUE)
+    amount = amount.cast(VALUE)
 
     def is_op(*names: str) -> Column:
         return op.isin(*names)
@@ -105,7 +112,8 @@ def _operation(op: Column, amount: Column, counted: bool) -> Column:
         F.when(creates, amount).alias("a_value"),
         (~is_op("delete")).alias("p_exists"),
         is_op("insert", "inc").alias("p_adds"),
-        F.when(is_op("insert"), F.lit(0.0)).when(is_op("upsert", "set", "inc"), amount).alias("p_value"),
+        F.when(is_op("insert"), zero).when(is_op("upsert", "set", "inc"), amount).alias("p_value"),
+        (~is_op("delete")).alias("p_kept"),
     ]
     if not counted:
         return F.struct(*effect)
@@ -119,7 +127,7 @@ def _operation(op: Column, amount: Column, counted: bool) -> Column:
     return F.struct(
         *effect,
         assigns.alias("open"),
-        F.when(assigns, F.lit(0.0)).otherwise(none).alias("open_add"),
+        F.when(assigns, zero).otherwise(none).alias("open_add"),
         F.when(assigns, amount).otherwise(none).alias("open_to"),
         *_counts("a", absent),
         *_counts("p", present),
@@ -128,12 +136,12 @@ def _operation(op: Column, amount: Column, counted: bool) -> Column:
 
 def _resolved(g: Column, value: Column) -> Column:
     """1 when the open comparison of ``g`` finds a change on a row with this value."""
-    changed = g["open"] & ~g["open_to"].eqNullSafe(value + g["open_add"])
+    changed = g["open"] & ~g["open_to"].eqNullSafe((value + g["open_add"]).cast(VALUE))
     return F.when(changed, 1).otherwise(0).cast("long")
 
 
 def _value_after(g: Column, value: Column) -> Column:
-    return F.when(g["p_adds"], value + g["p_value"]).otherwise(g["p_value"])
+    return F.when(g["p_adds"], (value + g["p_value"]).cast(VALUE)).otherwise(g["p_value"])
 
 
 def _merge(f: Column, g: Column) -> Column:
@@ -148,6 +156,7 @@ def _merged_effect(f: Column, g: Column) -> list[Column]:
         F.when(f["p_exists"], g["p_exists"]).otherwise(g["a_exists"]).alias("p_exists"),
         (f["p_exists"] & f["p_adds"] & g["p_adds"]).alias("p_adds"),
         F.when(f["p_exists"], _value_after(g, f["p_value"])).otherwise(g["a_value"]).alias("p_value"),
+        (f["p_kept"] & g["p_kept"]).alias("p_kept"),
     ]
 
 
@@ -166,7 +175,7 @@ def _merge_counted(f: Column, g: Column) -> Column:
     return F.struct(
         *_merged_effect(f, g),
         (f["open"] | keeps_open).alias("open"),
-        F.when(f["open"], f["open_add"]).when(keeps_open, f["p_value"] + g["open_add"]).alias("open_add"),
+        F.when(f["open"], f["open_add"]).when(keeps_open, (f["p_value"] + g["open_add"]).cast(VALUE)).alias("open_add"),
         F.when(f["open"], f["open_to"]).when(keeps_open, g["open_to"]).alias("open_to"),
         *_counts("a", absent),
         *_counts("p", present),
@@ -175,12 +184,12 @@ def _merge_counted(f: Column, g: Column) -> Column:
 
 def _effects(base: DataFrame, ops: DataFrame, key: str, ordered: bool, counted: bool) -> DataFrame:
     """base full join folded operations: _old row struct, _f short form."""
+    order = ["seq"]
     if not ordered:
-        span = ops.agg(F.coalesce(F.max("seq"), F.lit(0)) + F.lit(1)).scalar()
         rank = F.create_map(*[F.lit(x) for kv in UNORDERED_RANK.items() for x in kv])[F.col("op")]
-        ops = ops.withColumn("seq", rank * span + F.col("seq"))
-    element = _operation(F.col("op"), F.col("amount").cast("double"), counted)
-    folded = skew.ordered_fold(ops, [key], "seq", element, _merge_counted if counted else _merge, "_f")
+        ops, order = ops.withColumn("_rank", rank), ["_rank", "seq"]
+    element = _operation(F.col("op"), F.col("amount"), counted)
+    folded = skew.ordered_fold(ops, [key], order, element, _merge_counted if counted else _merge, "_f")
     others = [c for c in base.columns if c != key]
     old = base.select(F.col(key), F.struct(*others).alias("_old"))
     return old.join(folded, key, "full")
@@ -192,15 +201,19 @@ def bulk_write(base: DataFrame, ops: DataFrame, key: str, value: str, ordered: b
     insert creates an absent row, upsert assigns or creates, set and inc change
     a present row, delete removes it. Ordered: by seq. Unordered: inserts, then
     updates, then deletes. An insert of an existing key is rejected and counted
-    and does not stop the operations behind it.
+    and does not stop the operations behind it. A created row has NULL in the other
+    columns, also where a row of that key was deleted before. Values count to nine
+    decimal places.
     """
     effects = _effects(base, ops, key, ordered, counted=False)
     f, old = F.col("_f"), F.col("_old")
     was = old.isNotNull()
     exists = F.when(f.isNull(), was).when(was, f["p_exists"]).otherwise(f["a_exists"])
-    after = F.when(f.isNull(), old[value]).when(was, _value_after(f, old[value])).otherwise(f["a_value"])
+    changed = F.when(was, _value_after(f, old[value].cast(VALUE))).otherwise(f["a_value"])
+    after = F.when(f.isNull(), old[value]).otherwise(changed.cast(base.schema[value].dataType))
+    same_row = f.isNull() | f["p_kept"]
     kept: Sequence[str] = [c for c in base.columns if c != key]
-    return effects.where(exists).select(key, *[after.alias(c) if c == value else old[c].alias(c) for c in kept])
+    return effects.where(exists).select(key, *[after.alias(c) if c == value else F.when(same_row, old[c]).alias(c) for c in kept])
 
 
 def bulk_counts(base: DataFrame, ops: DataFrame, key: str, value: str, ordered: bool = True) -> DataFrame:
@@ -212,7 +225,7 @@ def bulk_counts(base: DataFrame, ops: DataFrame, key: str, value: str, ordered:
     def count(c: str) -> Column:
         n = F.when(was, f[f"p_{c}"]).otherwise(f[f"a_{c}"])
         if c == "modified":
-            n = n + F.when(was, _resolved(f, old[value])).otherwise(0)
+            n = n + F.when(was, _resolved(f, old[value].cast(VALUE))).otherwise(0)
         return F.coalesce(F.sum(n), F.lit(0)).alias(c)
 
     return touched.agg(*[count(c) for c in COUNTS])
@@ -222,10 +235,13 @@ def bulk_counts(base: DataFrame, ops: DataFrame, key: str, value: str, ordered:
 
 
 def change_feed(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
-    """Changes between two versions: op, key, changed column names, old and new row."""
+    """Changes between two versions: op, key, changed column names, old and new row.
+
+    NULL is a key like any other.
+    """
     values = [c for c in before.columns if c != key]
-    old = before.select(F.col(key), F.struct(*values).alias("before"))
-    new = after.select(F.col(key), F.struct(*values).alias("after"))
+    old = before.select(F.col(key).alias("_old_key"), F.struct(*values).alias("before"))
+    new = after.select(F.col(key).alias("_new_key"), F.struct(*values).alias("after"))
     op = (
         F.when(F.col("before").isNull(), "insert")
         .when(F.col("after").isNull(), "delete")
@@ -236,8 +252,8 @@ def change_feed(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
         lambda c: c.isNotNull(),
     )
     return (
-        old.join(new, key, "full")
+        old.join(new, F.col("_old_key").eqNullSafe(F.col("_new_key")), "full")
         .withColumn("op", op)
         .where(F.col("op").isNotNull())
-        .select(key, "op", F.when(F.col("op") == "update", changed).alias("updated"), "before", "after")
+        .select(F.coalesce("_old_key", "_new_key").alias(key), "op", F.when(F.col("op") == "update", changed).alias("updated"), "before", "after")
     )

@@ -53,7 +53,7 @@ def typed(df: DataFrame) -> DataFrame:
         "impression_count",
         to_int("campaign_id").alias("campaign_id"),
         to_int("banner_id").alias("banner_id"),
-        to_int("click_count").alias("click_count"),
+        F.col("click_count").cast("int").alias("click_count"),  # a count beyond it is an error
     )
 
 

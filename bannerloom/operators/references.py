@@ -21,9 +21,9 @@ def dereference(
     ref = F.col("ref")
     foreign = ref["database"].isNotNull() & (ref["database"] != database)
     message = F.concat(F.lit("reference into another database: "), ref["database"])
-    checked = refs.withColumn(
-        "_id", F.when(foreign, F.raise_error(message).cast("long")).otherwise(ref["id"])
-    )
+    # a filter, so that the check is made for every row, whatever columns are read later
+    fine = F.when(foreign, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    checked = refs.where(fine).withColumn("_id", ref["id"])
 
     def one(collection: str, table: DataFrame, key: str) -> DataFrame:
         target = table.select(F.col(key).alias("_id"), *[F.expr(e).alias(n) for n, e in columns.items()])

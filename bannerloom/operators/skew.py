@@ -7,9 +7,10 @@ plain window is returned. Otherwise only the large keys are cut into ordered pie
 the pieces are worked on in parallel, and what earlier pieces contribute is
 added. Results are the same as those of the plain window.
 
-``hot_keys`` has at most ``MAX_HOT_KEYS`` rows whatever the input size, so the
-driver can hold it and it can be broadcast; a key outside that list holds less
-than 1/MAX_HOT_KEYS of the rows and stays in one task.
+``hot_keys`` lists every key that SUPPORT sampled rows speak for, so at most
+SAMPLE_ROWS / SUPPORT keys whatever the input size: the driver can hold them and they
+can be broadcast. A key outside that list holds about HOT_ROWS rows or less than
+SUPPORT / SAMPLE_ROWS of the table, which is a task's share of a table that large.
 
 The inputs are read more than once: pass tables, or write an expensive plan
 first.
@@ -24,12 +25,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bannerloom.session import scratch_dir
+
 HOT_ROWS = 1_000_000
 SAMPLE_ROWS = 2_000_000
 FOLD_ROWS = 100_000  # rows of one key that may be gathered in an array
-MAX_HOT_KEYS = 1_000
-PIECES = 200
-SAMPLES_PER_PIECE = 20
+SUPPORT = 20  # sampled rows of a key below which the sample says nothing about it
 # Spark bounds row_number() <= k before the shuffle only up to this k
 # (spark.sql.optimizer.windowGroupLimitThreshold).
 GROUP_LIMIT_MAX = 1_000
@@ -61,8 +62,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) ->
 
     A table with fewer rows has no such key. In a larger one than SAMPLE_ROWS
     the keys are found in a sample: it only decides which keys are cut, and a key
-    with a noticeable share of the rows cannot be missed. The largest come
-    first and at most MAX_HOT_KEYS are returned.
+    with a noticeable share of the rows cannot be missed. At least SUPPORT sampled
+    rows are asked for, so noise is not taken for a large key.
     """
     min_rows = HOT_ROWS if min_rows is None else min_rows
     total = df.count()
@@ -72,10 +73,10 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) ->
     some = df.select(*keys) if share == 1.0 else df.select(*keys).sample(share, seed=0)
     largest = (
         some.groupBy(*keys)
-        .agg(F.ceil(F.count(F.lit(1)) / share).alias("_n"))
-        .where(F.col("_n") >= (min_rows if share == 1.0 else min_rows // 2))
-        .orderBy(F.desc("_n"), *keys)
-        .limit(MAX_HOT_KEYS)
+        .agg(F.count(F.lit(1)).alias("_some"))
+        .withColumn("_n", F.ceil(F.col("_some") / share))
+        .where((F.col("_n") >= min_rows) if share == 1.0 else (F.col("_n") >= min_rows // 2) & (F.col("_some") >= SUPPORT))
+        .drop("_some")
     )
     rows = largest.collect()
     return df.sparkSession.createDataFrame(rows, largest.schema) if rows else None
@@ -93,7 +94,7 @@ def join_unique(
 
     Adaptive skew splitting does not reach a join whose side is an aggregate or
     a window. Here the left rows of large keys are joined to the few right rows
-    of those keys, which are broadcast (at most MAX_HOT_KEYS rows), and the rest
+    of those keys, which are broadcast, and the rest
     as usual. A stream is joined as usual.
     """
     hot = None if left.isStreaming else hot_keys(left, keys, min_rows)
@@ -199,70 +200,48 @@ def row_numbers(
     order: Order,
     out: str,
     min_rows: int | None = None,
-    pieces: int = PIECES,
 ) -> DataFrame:
     """row_number() per key, or over the whole table when ``keys`` is empty.
 
-    ``order`` must be total within a key (end it with a unique column). A large
-    key is cut at sampled split points; the sample only places the cuts, every
-    row is numbered.
+    ``order`` must be total within a key (end it with a unique column). Rows of large
+    keys (of a large table, if there is no key) are range-partitioned by key and order:
+    however many rows a key has, they fill as many tasks as they need.
     """
-    cols = [c for c, _ in order]
-    sort = sort_columns(order)
-    wanted = pieces * SAMPLES_PER_PIECE
-    row_hash = F.xxhash64(*[F.col(c) for c in [*keys, *cols]])
-
-    def number(*by: str) -> Column:
-        return F.row_number().over(Window.partitionBy(*by).orderBy(*sort)).cast("long")
-
-    def marks(sample: DataFrame, by: Sequence[str]) -> DataFrame:
-        """About ``pieces`` evenly spaced rows out of the distinct sampled ones."""
-        total = F.count(F.lit(1)).over(Window.partitionBy(*by))
-        step = F.greatest(F.lit(SAMPLES_PER_PIECE), F.ceil(total / pieces))
-        spaced = sample.distinct().withColumn("_nth", number(*by)).withColumn("_step", step)
-        return spaced.where("_nth % _step = 0")
-
-    def piece(bounds: Column) -> Column:
-        row = {c: F.col(c) for c in cols}
-        return F.size(F.filter(bounds, lambda b: follows(row, {c: b[c] for c in cols}, order, True)))
-
-    bounds = F.collect_list(F.struct(*[F.col(c) for c in cols]))
     if not keys:
-        n = df.count()
-        if n < (HOT_ROWS if min_rows is None else min_rows):
-            return df.withColumn(out, number())
-        sample = df.where(F.pmod(row_hash, F.lit(n)) < wanted).select(*cols)
-        cut = df.withColumn("_b", marks(sample, []).agg(bounds).scalar())
-        cut = cut.withColumn("_piece", piece(F.col("_b"))).drop("_b")
-        before = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-        # at most pieces + 1 rows
-        offsets = F.broadcast(
-            cut.groupBy("_piece")
-            .agg(F.count(F.lit(1)).alias("_c"))
-            .select("_piece", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
-        )
-        joined = cut.withColumn(out, number("_piece")).join(offsets, "_piece")
-        return joined.withColumn(out, F.col(out) + F.col("_off")).drop("_piece", "_off")
-
+        if df.count() < (HOT_ROWS if min_rows is None else min_rows):
+            return df.withColumn(out, F.row_number().over(Window.orderBy(*sort_columns(order))).cast("long"))
+        return _ranged_numbers(df, [], order, out)
+    usual = F.row_number().over(Window.partitionBy(*keys).orderBy(*sort_columns(order))).cast("long")
     hot = hot_keys(df, keys, min_rows)
     if hot is None:
-        return df.withColumn(out, number(*keys))
-    large = df.select(*keys, *[c for c in cols if c not in keys], row_hash.alias("_hash")).join(F.broadcast(hot), list(keys))
-    sample = large.where(F.pmod("_hash", "_n") < wanted).drop("_hash", "_n")
-    # one short array for each large key
-    split_points = marks(sample, keys).groupBy(*keys).agg(bounds.alias("_b"))
-    cut = _attach(df, split_points, keys, small=True)
-    cut = cut.withColumn("_piece", F.when(F.col("_b").isNotNull(), piece(F.col("_b")))).drop("_b")
+        return df.withColumn(out, usual)
+    marked = _attach(df, hot.select(*keys, F.lit(True).alias("_hot")), keys, small=True)
+    rest = marked.where(F.col("_hot").isNull()).drop("_hot").withColumn(out, usual)
+    return rest.unionByName(_ranged_numbers(marked.where(F.col("_hot")).drop("_hot"), keys, order, out))
+
+
+def _ranged_numbers(df: DataFrame, keys: Sequence[str], order: Order, out: str) -> DataFrame:
+    """Range partitions in order, numbered inside, plus what lies in the partitions before.
+
+    The numbered rows are written, as their partitions must not change afterwards. In a
+    partition the rows of a key follow each other, so a row's number there is its
+    distance from the key's first row.
+    """
+    sort = [*[F.col(k).asc_nulls_first() for k in keys], *sort_columns(order)]
+    ranged = df.repartitionByRange(*sort).sortWithinPartitions(*sort).withColumn("_id", F.monotonically_increasing_id())
+    path = scratch_dir(df.sparkSession, "numbers")
+    ranged.withColumn("_piece", F.shiftright("_id", 33)).write.parquet(path)
+    cut = df.sparkSession.read.parquet(path)
     before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    # a row for each key and piece
     offsets = (
-        cut.where(F.col("_piece").isNotNull())
-        .groupBy(*keys, "_piece")
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_off", F.sum("_c").over(before))
-        .select(*keys, "_piece", "_off")
+        cut.groupBy(*keys, "_piece")
+        .agg(F.count(F.lit(1)).alias("_c"), F.min("_id").alias("_first"))
+        .withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0)))
+        .drop("_c")
     )
-    joined = _attach(cut.withColumn(out, number(*keys, "_piece")), offsets, [*keys, "_piece"], small=False)
-    return joined.withColumn(out, F.col(out) + F.coalesce("_off", F.lit(0))).drop("_piece", "_off")
+    joined = _attach(cut, offsets, [*keys, "_piece"], small=False)
+    return joined.withColumn(out, F.col("_id") - F.col("_first") + F.col("_off") + 1).select(*df.columns, out)
 
 
 def top_rows(df: DataFrame, keys: Sequence[str], order: Order, depth: int, out: str) -> DataFrame:
@@ -280,19 +259,21 @@ def top_rows(df: DataFrame, keys: Sequence[str], order: Order, depth: int, out:
 def ordered_fold(
     df: DataFrame,
     keys: Sequence[str],
-    seq: str,
+    seq: str | Sequence[str],
     element: Column,
     merge: Callable[[Column, Column], Column],
     out: str,
     chunk: int | None = None,
 ) -> DataFrame:
-    """Combine ``element`` over each key in ``seq`` order with an associative merge.
+    """Combine ``element`` over each key in the order of ``seq`` with an associative merge.
 
-    ``seq`` is a unique integer. When every key has fewer than FOLD_ROWS rows
-    they are folded in one step. Otherwise ``seq`` is cut into ranges of about
-    the square root of its span (or ``chunk``), folded per (key, range), then
-    over the ranges: with N rows on one key no array is longer than about sqrt(N).
+    ``seq`` names one or more columns that together are unique in a key. When every key
+    has fewer than FOLD_ROWS rows they are folded in one step. Otherwise the rows of a
+    key are numbered and folded in runs of about the square root of the largest key's
+    rows (or ``chunk``), then over the runs: whatever values ``seq`` has, no array is
+    longer than that. ``merge`` must be exact, so that the cut does not matter.
     """
+    by_seq = [seq] if isinstance(seq, str) else list(seq)
 
     def folded(rows: DataFrame, by: Sequence[str], to: str) -> DataFrame:
         items = F.array_sort(F.col("_l"))
@@ -301,12 +282,12 @@ def ordered_fold(
         gathered = F.collect_list(F.struct(F.col("_q").alias("q"), F.col("_e").alias("e")))
         return rows.groupBy(*by).agg(gathered.alias("_l")).select(*by, result.alias(to))
 
-    lifted = df.select(*keys, F.col(seq).alias("_q"), element.alias("_e"))
-    if chunk is None and largest_group(lifted, keys) < FOLD_ROWS:
-        return folded(lifted, keys, out)
-    if chunk is None:
-        span = df.agg((F.max(seq) - F.min(seq)).alias("n")).first()["n"] or 0
-        chunk = max(1, math.isqrt(span))
-    ranged = lifted.withColumn("_range", F.floor(F.col("_q") / chunk))
+    names = [f"_q{i}" for i in range(len(by_seq))]
+    lifted = df.select(*keys, *[F.col(c).alias(n) for c, n in zip(by_seq, names)], element.alias("_e"))
+    largest = largest_group(lifted, keys) if chunk is None else 0
+    if chunk is None and largest < FOLD_ROWS:
+        return folded(lifted.withColumn("_q", F.struct(*names)), keys, out)
+    numbered = row_numbers(lifted, keys, [(n, True) for n in names], "_q").drop(*names)
+    ranged = numbered.withColumn("_range", F.floor((F.col("_q") - 1) / (chunk or max(1, math.isqrt(largest)))))
     parts = folded(ranged, [*keys, "_range"], "_e")
     return folded(parts.withColumnRenamed("_range", "_q"), keys, out)

@@ -43,27 +43,39 @@ def _(v: Views) -> DataFrame:
     return datasets.discover(v.spark, staged_csv(v))
 
 
-@query(
-    "csv_roundtrip",
-    with_views(
-        """SELECT CAST(click_id AS VARCHAR) AS click_id, CAST(banner_id AS VARCHAR) AS banner_id,
-  CAST(campaign_id AS VARCHAR) AS campaign_id, period AS dataset_id FROM clk""",
-        "clk",
-    ),
-)
+VIEW_OF = {"impressions": "imp", "clicks": "clk", "conversions": "conv"}
+EVERY_FIELD = sorted({f for kind in KINDS for f in schemas.INPUTS[kind].fieldNames()})
+
+
+def _roundtrip_sql() -> str:
+    """All fields of all kinds and folders; dataset 4 has the rows of dataset 1."""
+    selects = []
+    for kind in KINDS:
+        own = schemas.INPUTS[kind].fieldNames()
+        fields = ", ".join(f"{f'CAST({c} AS VARCHAR)' if c in own else 'CAST(NULL AS VARCHAR)'} AS {c}" for c in EVERY_FIELD)
+        for dataset, where in (("period", "TRUE"), (COPY_OF_FIRST, "period = 1")):
+            selects.append(f"SELECT '{kind}' AS kind, {fields}, {dataset} AS dataset_id FROM {VIEW_OF[kind]} WHERE {where}")
+    return with_views("\nUNION ALL ".join(selects), *VIEW_OF.values())
+
+
+@query("csv_roundtrip", _roundtrip_sql())
 def _(v: Views) -> DataFrame:
     root = staged_csv(v)
-    read = [
-        datasets.read_csv(v.spark, root, n, "clicks").withColumn("dataset_id", datasets.dataset_of(F.input_file_name()))
-        for n in PERIODS
-    ]
+    read = []
+    for kind in KINDS:
+        for n in [*PERIODS, COPY_OF_FIRST]:
+            rows = datasets.read_csv(v.spark, root, n, kind)
+            fields = [F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in EVERY_FIELD]
+            read.append(rows.select(F.lit(kind).alias("kind"), *fields, datasets.dataset_of(F.input_file_name()).alias("dataset_id")))
     return reduce(DataFrame.unionByName, read)
 
 
 def _contract_sql() -> str:
-    views = {"impressions": ("imp WHERE period = 1", "imp"), "clicks": ("clk WHERE period = 1", "clk")}
-    views["conversions"] = ("conv WHERE period = 1", "conv")
-    tables_ = {**{k: (views[k][0], schemas.INPUTS[k]) for k in KINDS}, "performance": ("perf", schemas.PERFORMANCE)}
+    tables_ = {"performance": ("perf", schemas.PERFORMANCE)}
+    for k in KINDS:
+        for n in [*PERIODS, COPY_OF_FIRST]:
+            period = 1 if n == COPY_OF_FIRST else n
+            tables_[f"{k}_{n}"] = (f"{VIEW_OF[k]} WHERE period = {period}", schemas.INPUTS[k])
     rows = [
         f"SELECT '{t}' AS table_name, '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS expected, "
         f"'{f.dataType.simpleString()}' AS found, TRUE AS ok, COUNT(*) AS rows, COUNT({f.name}) AS filled FROM {source}"
@@ -76,15 +88,21 @@ def _contract_sql() -> str:
 @query("schema_contract", _contract_sql())
 def _(v: Views) -> DataFrame:
     root = staged_csv(v)
-    reports = [schemas.schema_contract(k, datasets.read_csv(v.spark, root, 1, k), schemas.INPUTS[k]) for k in KINDS]
+    reports = [
+        schemas.schema_contract(f"{k}_{n}", datasets.read_csv(v.spark, root, n, k), schemas.INPUTS[k])
+        for k in KINDS
+        for n in [*PERIODS, COPY_OF_FIRST]
+    ]
     return reduce(DataFrame.unionByName, [*reports, schemas.schema_contract("performance", v.perf, schemas.PERFORMANCE)])
 
 
 def _digest_sql(table: str, kind: str, columns: list[str], group: str) -> str:
-    line = " || ',' || ".join(f"COALESCE(CAST({c} AS VARCHAR), '')" for c in columns)
-    return f"""SELECT dataset_id, '{kind}' AS kind,
-  md5(COUNT(*) || '|' || SUM(h) || '|' || BIT_XOR(h)) AS fingerprint
-FROM (SELECT {group} AS dataset_id, ('0x' || SUBSTR(md5({line}), 1, 12))::BIGINT AS h FROM {table}) GROUP BY 1"""
+    fields = [f"COALESCE(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns]
+    line = " || ".join([f"'{','.join(columns)};'", *fields])
+    quarters = [f"('0x' || SUBSTR(h, {at}, 8))::BIGINT" for at in (1, 9, 17, 25)]
+    sums = " || '|' || ".join(f"SUM({q}) || '|' || BIT_XOR({q})" for q in quarters)
+    return f"""SELECT dataset_id, '{kind}' AS kind, md5(COUNT(*) || '|' || {sums}) AS fingerprint
+FROM (SELECT {group} AS dataset_id, md5({line}) AS h FROM {table}) GROUP BY 1"""
 
 
 def _digests_sql(group: str) -> str:
@@ -111,9 +129,25 @@ def _(v: Views) -> DataFrame:
     return reduce(DataFrame.unionByName, each)
 
 
-@query("file_checksums")
+def _lines_sql() -> str:
+    """The distinct (checksum, kind, dataset) of datasets written as one file each, headers included."""
+    parts = []
+    for kind in KINDS:
+        columns = schemas.INPUTS[kind].fieldNames()
+        line = " || ',' || ".join(f"COALESCE(CAST({c} AS VARCHAR), '')" for c in columns)
+        lines = f"SELECT period AS dataset_id, {line} AS value FROM {VIEW_OF[kind]} UNION ALL SELECT n, '{','.join(columns)}' FROM (VALUES (1), (2), (3)) t(n)"
+        parts.append(_digest_sql(f"({lines})", kind, ["value"], "dataset_id").replace("AS fingerprint", "AS checksum"))
+    return with_views(" UNION ALL ".join(parts), *VIEW_OF.values())
+
+
+@query("file_checksums", _lines_sql())
 def _(v: Views) -> DataFrame:
-    return datasets.file_checksums(v.spark, staged_csv(v))
+    root = scratch_dir(v.spark, "csv")
+    for kind, df in kind_tables(v).items():
+        for n in PERIODS:
+            # one file for each folder, so that its checksum can be stated in SQL
+            datasets.write_csv(df.where(F.col("period") == n).coalesce(1), root, n, kind)
+    return datasets.file_checksums(v.spark, root).drop("path")
 
 
 # --- history: one dataset per calendar day, days up to HISTORY_DAYS are processed
@@ -239,22 +273,24 @@ def _(v: Views) -> DataFrame:
     return tables.scan_dataset(v.spark, path, 2)
 
 
-@query("perf_clustered_layout", with_views("SELECT * FROM perf WHERE campaign_id BETWEEN 10 AND 40", "perf"))
+@query("perf_clustered_layout", with_views("SELECT *, campaign_id BETWEEN 10 AND 40 AS in_range FROM perf", "perf"))
 def _(v: Views) -> DataFrame:
+    """All rows as written; those of a range read by the range."""
     written = tables.write_out(tables.clustered(v.perf), scratch_dir(v.spark, "perf"))
-    return written.where(F.col("campaign_id").between(10, 40))
+    inside = F.col("campaign_id").between(10, 40)
+    ranged = written.where(inside).withColumn("in_range", F.lit(True))
+    return ranged.unionByName(written.where(~inside).withColumn("in_range", F.lit(False)))
 
 
 @query(
     "pipeline_out",
-    """SELECT o_custkey, COUNT(*) AS n, ROUND(SUM(o_totalprice), 2) AS total FROM orders
-WHERE o_orderstatus = 'F' GROUP BY o_custkey""",
+    """SELECT o_custkey, o_orderstatus, COUNT(*) AS n, ROUND(SUM(o_totalprice), 2) AS total FROM orders
+GROUP BY o_custkey, o_orderstatus""",
 )
 def _(v: Views) -> DataFrame:
     result = (
         v.table("orders")
-        .where(F.col("o_orderstatus") == "F")
-        .groupBy("o_custkey")
+        .groupBy("o_custkey", "o_orderstatus")
         .agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
     )
     return tables.write_out(result, scratch_dir(v.spark, "out"))
@@ -277,12 +313,6 @@ def _(v: Views) -> DataFrame:
     return tables.insert_unique(v.table("orders"), v.ops, ["o_orderkey"], "seq")[1]
 
 
-@query("parallel_scan", "SELECT COUNT(*) AS total, TRUE AS within FROM lineitem")
-def _(v: Views) -> DataFrame:
-    scanned = tables.parallel_scan(v.table("lineitem"), 4)
-    return scanned.agg(F.sum("rows").alias("total"), (F.max("cursor") < 4).alias("within"))
-
-
 @query(
     "unique_key_violations",
     "SELECT l_orderkey, l_linenumber, COUNT(*) AS occurrences FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1",
@@ -314,16 +344,22 @@ def _(v: Views) -> DataFrame:
 
 
 def damaged_chunks(v: Views) -> DataFrame:
-    """Chunks with a missing, a truncated, a full extra and an empty extra chunk in some files."""
+    """Chunks with a missing, truncated, repeated, overlong, negative, full extra and empty extra chunk in some files."""
     f, n = F.col("file_id") % 10, F.col("n")
     sound = blobs.split(v.blobs, CHUNK).where(~((f == 3) & (n == 0)))
     cut = sound.withColumn(
-        "data", F.when((f == 5) & (n == 0), F.substring("data", F.lit(1), F.octet_length("data") - 1)).otherwise(F.col("data"))
+        "data",
+        F.when((f == 5) & (n == 0), F.substring("data", F.lit(1), F.octet_length("data") - 1))
+        .when((f == 4) & (n == 0), F.concat("data", F.lit("x").cast("binary")))
+        .when((f == 6) & (n == 0), F.concat(F.lit("\x01").cast("binary"), F.substring("data", F.lit(2), F.octet_length("data"))))
+        .otherwise(F.col("data")),
     )
+    again = sound.where((f == 2) & (n == 0))
     extra = v.blobs.where(f.isin(7, 8)).select(
         "file_id", F.lit(1_000_000).alias("n"), F.when(f == 7, F.lit("x")).otherwise("").cast("binary").alias("data")
     )
-    return cut.unionByName(extra)
+    negative = v.blobs.where(f == 9).select("file_id", F.lit(-1).alias("n"), F.lit("").cast("binary").alias("data"))
+    return reduce(DataFrame.unionByName, [cut, again, extra, negative])
 
 
 @query(
@@ -331,13 +367,14 @@ def damaged_chunks(v: Views) -> DataFrame:
     with_views(
         f"""SELECT file_id, length, status, CASE WHEN status = 'ok' THEN md5(content) END AS content_md5 FROM (
   SELECT file_id, content, {BYTES} AS length,
-    CASE WHEN file_id % 10 = 7 THEN 'extra' WHEN {BYTES} = 0 THEN 'ok'
-         WHEN file_id % 10 = 3 THEN 'missing' WHEN file_id % 10 = 5 THEN 'truncated' ELSE 'ok' END AS status FROM blobs)""",
+    CASE WHEN file_id % 10 IN (7, 9) THEN 'extra' WHEN {BYTES} = 0 THEN 'ok' WHEN file_id % 10 = 3 THEN 'missing'
+         WHEN file_id % 10 = 5 THEN 'truncated' WHEN file_id % 10 = 2 THEN 'repeated'
+         WHEN file_id % 10 = 4 THEN 'overlong' WHEN file_id % 10 = 6 THEN 'corrupt' ELSE 'ok' END AS status FROM blobs)""",
         "blobs",
     ),
 )
 def _(v: Views) -> DataFrame:
-    whole = blobs.assemble(blobs.describe(v.blobs, CHUNK), damaged_chunks(v))
+    whole = blobs.contents(blobs.describe(v.blobs, CHUNK), damaged_chunks(v))
     return whole.select("file_id", "length", "status", F.md5("content").alias("content_md5"))
 
 

@@ -34,7 +34,8 @@ def _(v: Views) -> DataFrame:
         ).alias("order"),
     )
     slim = find.project(nested, exclude=["o_custkey", "order.date"])
-    return find.project(slim, include=["o_orderkey", "order.price", "order.status"])
+    kept = find.project(slim, include=["o_orderkey", "order.price", "order.status"])
+    return kept.select("o_orderkey", F.col("order.price").alias("order_price"), F.col("order.status").alias("order_status"))
 
 
 @query(
@@ -364,30 +365,31 @@ def _(v: Views) -> DataFrame:
 def _bulk_sql(order: str, result: str) -> str:
     """Operations applied one after the other per key by recursion."""
     body = f""",
-queue AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY o_orderkey ORDER BY {order}) AS i FROM ops),
+queue AS (SELECT seq, o_orderkey, op, CAST(amount AS DECIMAL(38,9)) AS amount, ROW_NUMBER() OVER (PARTITION BY o_orderkey ORDER BY {order}) AS i FROM ops),
 run AS (
-  SELECT k.o_orderkey, CAST(0 AS BIGINT) AS i, o.o_orderkey IS NOT NULL AS present, o_totalprice AS price,
-    CAST(NULL AS VARCHAR) AS did, FALSE AS changed
+  SELECT k.o_orderkey, CAST(0 AS BIGINT) AS i, o.o_orderkey IS NOT NULL AS present, CAST(o_totalprice AS DECIMAL(38,9)) AS price,
+    CAST(NULL AS VARCHAR) AS did, FALSE AS changed, o_orderstatus AS status
   FROM (SELECT o_orderkey FROM orders UNION SELECT o_orderkey FROM ops) k LEFT JOIN orders o USING (o_orderkey)
   UNION ALL
   SELECT r.o_orderkey, q.i,
     CASE WHEN op = 'delete' THEN FALSE WHEN op IN ('insert', 'upsert') THEN TRUE ELSE present END,
     CASE WHEN op = 'delete' THEN NULL WHEN op = 'upsert' THEN amount WHEN op = 'insert' AND NOT present THEN amount
-         WHEN op = 'set' AND present THEN amount WHEN op = 'inc' AND present THEN price + amount ELSE price END,
+         WHEN op = 'set' AND present THEN amount WHEN op = 'inc' AND present THEN CAST(price + amount AS DECIMAL(38,9)) ELSE price END,
     CASE WHEN op = 'insert' THEN CASE WHEN present THEN 'rejected' ELSE 'inserted' END
          WHEN op = 'delete' THEN CASE WHEN present THEN 'removed' END
          WHEN present THEN 'matched' WHEN op = 'upsert' THEN 'upserted' END,
     COALESCE(present AND op IN ('set', 'upsert', 'inc')
-      AND CASE WHEN op = 'inc' THEN amount <> 0 ELSE amount <> price END, FALSE)
+      AND CASE WHEN op = 'inc' THEN amount <> 0 ELSE amount <> price END, FALSE),
+    CASE WHEN op = 'delete' THEN NULL ELSE status END
   FROM run r JOIN queue q ON q.o_orderkey = r.o_orderkey AND q.i = r.i + 1
 )
 {result}"""
     return with_views("@", "ops", recursive=True).replace("\n@", body)
 
 
-FINAL_ROWS = """SELECT m.o_orderkey, ROUND(s.b, 2) AS o_totalprice, o.o_orderstatus
-FROM (SELECT o_orderkey, ARG_MAX(struct_pack(a := present, b := price), i) AS s FROM run GROUP BY 1) m
-LEFT JOIN orders o ON o.o_orderkey = m.o_orderkey WHERE s.a"""
+FINAL_ROWS = """SELECT o_orderkey, ROUND(CAST(s.b AS DOUBLE), 2) AS o_totalprice, s.c AS o_orderstatus
+FROM (SELECT o_orderkey, ARG_MAX(struct_pack(a := present, b := price, c := status), i) AS s FROM run GROUP BY 1) m
+WHERE s.a"""
 COUNT_ROW = "SELECT " + ", ".join(
     f"COUNT(*) FILTER ({'changed' if c == 'modified' else f'did = {c!r}'}) AS {c}" for c in modify.COUNTS
 ) + " FROM run"

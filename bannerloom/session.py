@@ -34,10 +34,12 @@ def build_session(app_name: str = "bannerloom", master: str | None = None, **ext
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder of the cluster.
 
-    The folder is ``spark.checkpoint.dir``. Where it is unset (tests on one
-    machine) a new temporary folder is made.
+    The folder is ``spark.checkpoint.dir``, which all machines of a cluster must share.
+    Only with a local master may it be unset: then a new temporary folder is made.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the whole cluster shares")
         base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_SIZE = 255 * 1024  # default chunk size in bytes
-MAX_CELL = 1 << 28  # a content above this stays as chunk rows
+CHUNK_SIZE = 255 * 1024  # fixed value: default chunk size in bytes
+MAX_CELL = (1 << 31) - 64  # bytes that a cell can hold at most
 
 
 def describe(blobs: DataFrame, chunk_size: int = CHUNK_SIZE) -> DataFrame:
@@ -35,62 +35,73 @@ def split(blobs: DataFrame, chunk_size: int = CHUNK_SIZE) -> DataFrame:
 
 
 def verify(files: DataFrame, chunks: DataFrame) -> DataFrame:
-    """files with ``status``: ok, missing, truncated or extra.
+    """files with ``status``: ok, missing, repeated, truncated, overlong or extra.
 
-    Only chunk numbers and lengths are aggregated, never contents. Chunks behind
-    the end are an error unless they are empty.
+    Only chunk numbers and lengths are aggregated, never contents. A chunk behind the
+    end is an error unless it is empty, one with a negative number always is.
     """
     spec = files.withColumn("_count", F.ceil(F.col("length") / F.col("chunk_size")))
     # one row per file against many chunk rows; the few numbers travel, not the data
     measured = chunks.select("file_id", "n", F.octet_length("data").alias("_len")).join(
         spec.select("file_id", "length", "chunk_size", "_count"), "file_id"
     )
-    inside = F.col("n") < F.col("_count")
+    inside = (F.col("n") >= 0) & (F.col("n") < F.col("_count"))
     expected = F.least(F.col("chunk_size").cast("long"), F.col("length") - F.col("n") * F.col("chunk_size"))
-    found = measured.groupBy("file_id").agg(
-        F.count_if(inside).alias("_inside"),
+    # a row for each chunk number, so that no file's numbers are gathered in one place
+    numbers = measured.groupBy("file_id", "n").agg(
+        F.count_if(inside).alias("_times"),
         F.count_if(inside & (F.col("_len") < expected)).alias("_short"),
-        F.count_if(~inside & (F.col("_len") > 0)).alias("_extra"),
+        F.count_if(inside & (F.col("_len") > expected)).alias("_long"),
+        F.count_if(F.coalesce(~inside & ((F.col("_len") > 0) | (F.col("n") < 0)), F.lit(True))).alias("_extra"),
+    )
+    found = numbers.groupBy("file_id").agg(
+        F.count_if(F.col("_times") > 0).alias("_inside"),
+        F.count_if(F.col("_times") > 1).alias("_repeated"),
+        *[F.sum(c).alias(c) for c in ("_short", "_long", "_extra")],
     )
     return (
         spec.join(found, "file_id", "left")
         .withColumn(
             "status",
             F.when(F.coalesce("_inside", F.lit(0)) < F.col("_count"), "missing")
+            .when(F.col("_repeated") > 0, "repeated")
             .when(F.col("_short") > 0, "truncated")
+            .when(F.col("_long") > 0, "overlong")
             .when(F.col("_extra") > 0, "extra")
             .otherwise("ok"),
         )
-        .drop("_count", "_inside", "_short", "_extra")
+        .drop("_count", "_inside", "_repeated", "_short", "_long", "_extra")
     )
 
 
-def assemble(files: DataFrame, chunks: DataFrame, max_cell: int = MAX_CELL) -> DataFrame:
-    """files with ``status`` and ``content``; content is NULL unless the file is sound.
+def assemble(files: DataFrame, chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(files with ``status``, the chunk rows of the sound files in file and chunk order).
 
-    A sound file above ``max_cell`` bytes gets status ``large`` and is left to be
-    read as ordered chunk rows, so the bytes gathered for one row are bounded.
+    The same for contents of any size: nothing is put into one cell.
     """
-    checked = verify(files, chunks).withColumn(
-        "status",
-        F.when((F.col("status") == "ok") & (F.col("length") > max_cell), "large").otherwise(F.col("status")),
-    )
-    sound = checked.where(F.col("status") == "ok").select("file_id", "length", "chunk_size")
-    # chunks that lie behind max_cell whatever the file need not travel
-    smallest = files.agg(F.min("chunk_size")).scalar()
-    parts = (
-        chunks.where(F.col("n") * smallest < max_cell)
-        .join(sound, "file_id")
-        .where(F.col("n") * F.col("chunk_size") < F.col("length"))
-    )
-    joined = parts.groupBy("file_id", "length").agg(F.expr("listagg(data) WITHIN GROUP (ORDER BY n)").alias("_body"))
-    contents = joined.select("file_id", F.substring("_body", F.lit(1), F.col("length").cast("int")).alias("content"))
-    whole = checked.join(contents, "file_id", "left")
-    empty = (F.col("status") == "ok") & (F.col("length") == 0)
-    return whole.withColumn("content", F.when(empty, F.lit(b"").cast("binary")).otherwise(F.col("content")))
+    checked = verify(files, chunks)
+    sound = checked.where(F.col("status") == "ok").select("file_id", F.col("length").alias("_length"), "chunk_size")
+    within = chunks.join(sound, "file_id").where(F.col("n") * F.col("chunk_size") < F.col("_length"))
+    return checked, within.select(*chunks.columns).orderBy("file_id", "n")
 
 
-def ordered_chunks(files: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Chunk rows of sound files in file and chunk order, for contents of any size."""
-    sound = verify(files, chunks).where(F.col("status").isin("ok", "large")).select("file_id")
-    return chunks.join(sound, "file_id", "left_semi").orderBy("file_id", "n")
+def contents(files: DataFrame, chunks: DataFrame) -> DataFrame:
+    """files with ``status`` and ``content`` in one cell; content is NULL unless the file is sound.
+
+    With an ``md5`` column in files a content that does not have it gets status
+    ``corrupt``. A sound file that no cell can hold (MAX_CELL bytes) is an error: read it
+    with ``assemble``.
+    """
+    checked, parts = assemble(files, chunks)
+    large = F.when((F.col("status") == "ok") & (F.col("length") > MAX_CELL), F.raise_error(F.lit("a content is too large for a cell")).cast("boolean"))
+    checked = checked.where(F.coalesce(large, F.lit(True)))
+    joined = parts.groupBy("file_id").agg(F.expr("listagg(data) WITHIN GROUP (ORDER BY n)").alias("content"))
+    whole = checked.join(joined, "file_id", "left")
+    empty = (F.col("status") == "ok") & (F.col("length") == 0)
+    whole = whole.withColumn("content", F.when(empty, F.lit(b"").cast("binary")).otherwise(F.col("content")))
+    if "md5" not in files.columns:
+        return whole
+    corrupt = F.col("content").isNotNull() & (F.md5("content") != F.col("md5"))
+    return whole.withColumns(
+        {"status": F.when(corrupt, "corrupt").otherwise(F.col("status")), "content": F.when(~F.coalesce(corrupt, F.lit(False)), F.col("content"))}
+    )

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from bannerloom.schemas import INPUTS
 
 PATH_PARTS = r"/([^/]+)/([a-z]+)_\d+\.csv(?:/[^/]*)?$"
-HASH_DIGITS = 12
 
 
 def csv_path(root: str, dataset_id: int, kind: str) -> str:
@@ -57,6 +56,25 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def complete(spark: SparkSession, root: str, dataset_id: int) -> bool:
+    """Whether all kinds are there, each as one file or as a folder that its writer has finished.
+
+    A folder of part files counts when it has the ``_SUCCESS`` marker: a part file that
+    comes later comes before the marker, so none is missed.
+    """
+    found = list_files(spark, f"{root}/{dataset_id}")
+    in_folder = F.col("path").rlike(r"\.csv/[^/]*$")
+    folders = found.where(in_folder).select("kind", F.regexp_replace("path", r"/[^/]*$", "").alias("folder")).distinct()
+    # names that start with an underscore are hidden from Spark's readers, so the marker is asked for by its path
+    kinds = {r.kind for r in found.where(~in_folder).select("kind").distinct().collect()}
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for r in folders.collect():  # three at most
+        mark = path(f"{r.folder}/_SUCCESS")
+        if mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark):
+            kinds.add(r.kind)
+    return kinds >= set(INPUTS)
+
+
 def discover(spark: SparkSession, root: str) -> DataFrame:
     """Dataset numbers in numeric order; other folders are skipped."""
     return (
@@ -72,11 +90,17 @@ def digest(columns: list[str]) -> Column:
     """Aggregate: a fingerprint of the rows, independent of their order and files.
 
     Count, sum and xor of row hashes combine before the shuffle, so a dataset of
-    any size is fingerprinted without reading a file in one piece.
+    any size is fingerprinted without reading a file in one piece. Each field is led by
+    its length, NULL is marked, and the column names come first, so different rows have
+    different texts; all 128 bits of a row's hash count.
     """
-    line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
-    h = F.conv(F.substring(F.md5(line), 1, HASH_DIGITS), 16, 10).cast("long")
-    parts = [F.count(F.lit(1)), F.sum(h.cast("decimal(20,0)")), F.bit_xor(h)]
+    texts = [F.col(c).cast("string") for c in columns]
+    fields = [F.when(t.isNull(), "-").otherwise(F.concat(F.length(t).cast("string"), F.lit(":"), t)) for t in texts]
+    row = F.md5(F.concat(F.lit(",".join(columns) + ";"), *fields))
+    parts: list[Column] = [F.count(F.lit(1))]
+    for at in (1, 9, 17, 25):
+        h = F.conv(F.substring(row, at, 8), 16, 10).cast("long")
+        parts += [F.sum(h.cast("decimal(20,0)")), F.bit_xor(h)]
     return F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,34 +56,15 @@ def insert_unique(existing: DataFrame, batch: DataFrame, key: Sequence[str], seq
     batch. Rejection does not stop the rest, as an ordered insert would: the
     rejected rows come back as a second DataFrame. ``seq`` is unique in the
     batch; rows are told apart by it, so a key repeated very often is reduced
-    before the shuffle and never gathered.
+    before the shuffle and never gathered. NULL is a key value like any other.
     """
     first = batch.groupBy(*key).agg(F.min(seq).alias(seq))
-    new = first.join(existing.select(*key), list(key), "left_anti").select(seq)
+    there = existing.select(*[F.col(k).alias(f"_there_{k}") for k in key])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_there_{k}")) for k in key])
+    new = first.join(there, same, "left_anti").select(seq)
     return batch.join(new, seq, "left_semi"), batch.join(new, seq, "left_anti")
 
 
-def parallel_scan(df: DataFrame, cursors: int) -> DataFrame:
-    """Read the table once through up to ``cursors`` disjoint cursors.
-
-    A cursor is a set of input splits, so nothing is moved. One row per batch:
-    (cursor, rows).
-    """
-    if cursors < 1:
-        raise ValueError("at least one cursor is needed")
-    tagged = df.select((F.spark_partition_id() % cursors).alias("cursor"))
-
-    def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                cursor = batch.column(0)[0].as_py()
-                yield pa.RecordBatch.from_pydict(
-                    {"cursor": pa.array([cursor], pa.int32()), "rows": pa.array([batch.num_rows], pa.int64())}
-                )
-
-    return tagged.mapInArrow(count_batches, "cursor int, rows long")
-
-
 def unique_key_violations(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Key values that occur more than once."""
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("occurrences")).where(F.col("occurrences") > 1)

@@ -40,8 +40,7 @@ def ingest_dataset(spark: SparkSession, root: str, dataset_id: int, perf_path: s
     ).first()
     if known["handled"]:
         return "handled before"
-    kinds = datasets.list_files(spark, f"{root}/{dataset_id}").agg(F.count_distinct("kind").alias("n")).first()["n"]
-    if kinds < len(schemas.INPUTS):
+    if not datasets.complete(spark, root, dataset_id):
         return "incomplete"
     # one short row per file kind
     prints = spark.createDataFrame(

@@ -57,7 +57,7 @@ def test_find_one(grid):
 
 def test_projection(spark):
     df = spark.sql("SELECT 1 AS x, named_struct('p', 2, 'q', 3) AS s, 4 AS y")
-    assert find.project(df, include=["s.p", "y"]).columns == ["s_p", "y"]
+    assert find.project(df, include=["s.p", "y"]).columns == ["s", "y"]
     assert find.project(df, exclude=["x", "s.q"]).first().asDict(True) == {"s": {"p": 2}, "y": 4}
     with pytest.raises(ValueError):
         find.project(df, ["x"], ["y"])
@@ -154,17 +154,30 @@ def test_chunks(stored):
 
 
 def test_round_trip(stored):
-    got = {r.file_id: (r.status, bytes(r.content).decode()) for r in blobs.assemble(*stored).collect()}
+    got = {r.file_id: (r.status, bytes(r.content).decode()) for r in blobs.contents(*stored).collect()}
     assert got == {k: ("ok", v) for k, v in CONTENT.items()}
 
 
 def test_large_contents_stay_chunks(stored):
-    got = {r.file_id: (r.status, r.content) for r in blobs.assemble(*stored, max_cell=25).collect()}
-    assert got[5] == ("large", None) and got[3][0] == "ok"
-    text = b"".join(bytes(r.data) for r in blobs.ordered_chunks(*stored).where("file_id = 5").collect())
+    files, chunks = blobs.assemble(*stored)
+    assert {r.status for r in files.collect()} == {"ok"}
+    text = b"".join(bytes(r.data) for r in chunks.where("file_id = 5").collect())
     assert text.decode() == CONTENT[5]
 
 
+def test_a_content_no_cell_can_hold_is_an_error(stored, monkeypatch):
+    monkeypatch.setattr(blobs, "MAX_CELL", 25)
+    with pytest.raises(Exception, match="too large for a cell"):
+        blobs.contents(*stored).collect()
+
+
+def test_corrupt_content(stored):
+    files, chunks = stored
+    other = chunks.withColumn("data", F.expr("if(n = 1 and file_id = 5, cast('ABCDEFG' as binary), data)"))
+    got = {r.file_id: (r.status, r.content) for r in blobs.contents(files, other).collect()}
+    assert got[5] == ("corrupt", None) and got[4][0] == "ok"
+
+
 @pytest.mark.parametrize(
     "change, status",
     [
@@ -175,11 +188,15 @@ def test_large_contents_stay_chunks(stored):
             lambda c: c.unionByName(c.where("n = 0").withColumn("n", F.lit(50)).withColumn("data", F.lit(b""))),
             "ok",
         ),
+        (lambda c: c.where("n <> 1").unionByName(c.where("n = 0")), "missing"),
+        (lambda c: c.unionByName(c.where("n = 0")), "repeated"),
+        (lambda c: c.withColumn("data", F.expr("if(n = 0, concat(data, cast('x' as binary)), data)")), "overlong"),
+        (lambda c: c.unionByName(c.where("n = 0").withColumn("n", F.lit(-1))), "extra"),
     ],
 )
 def test_damage(stored, change, status):
     files, chunks = stored
-    got = {r.file_id: r.status for r in blobs.assemble(files, change(chunks)).collect()}
+    got = {r.file_id: r.status for r in blobs.assemble(files, change(chunks))[0].collect()}
     assert got[5] == status and got[1] == "ok"
 
 
@@ -193,8 +210,30 @@ def test_revisions(spark):
     assert rows(tables.list_names(files)) == [("f0",), ("f1",)]
 
 
-def test_parallel_scan(spark):
-    got = tables.parallel_scan(spark.range(1000).repartition(7), 3).collect()
-    assert sum(r.rows for r in got) == 1000 and {r.cursor for r in got} <= {0, 1, 2}
-    with pytest.raises(ValueError):
-        tables.parallel_scan(spark.range(1), 0)
+def test_null_keys_and_times(spark):
+    df = spark.createDataFrame([(None,), (1,), (5,)], "k int")
+    assert rows(find.key_range(df, ["k"], upper=[5])) == [(1,), (None,)]
+    assert rows(find.key_range(df, ["k"], lower=[None])) == [(1,), (5,), (None,)]
+    assert rows(find.key_range(df, ["k"], lower=[1])) == [(1,), (5,)]
+    existing = spark.createDataFrame([(None, "a")], "k int, v string")
+    batch = spark.createDataFrame([(None, 1), (3, 2), (None, 3)], "k int, seq int")
+    accepted, rejected = tables.insert_unique(existing, batch, ["k"], "seq")
+    assert rows(accepted.select("k", "seq")) == [(3, 2)] and rejected.count() == 2
+    old = spark.sql("SELECT timestamp'2024-01-01 00:00:00' AS ts UNION ALL SELECT NULL")
+    assert rows(find.retain(old, "ts", F.lit("2024-02-01").cast("timestamp"), 60)) == [(None,)]
+
+
+def test_numbers_of_any_length_order_by_value(spark):
+    texts = ["a2", "a" + "9" * 41, "a10", "a" + "1" * 60, "a002", "b", "a", "", "1x2", "1x10"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("k", find.numeric_key(F.col("t")))
+    got = [r.t for r in df.orderBy("k", "t").collect()]
+    assert got.index("a2") < got.index("a10") < got.index("a" + "9" * 41) < got.index("a" + "1" * 60)
+    assert got.index("1x2") < got.index("1x10") and got[0] == "" and got[-1] == "b"
+    assert len({r.k for r in df.where("t in ('a2', 'a002')").collect()}) == 1
+
+
+def test_nested_include_keeps_the_struct(spark):
+    df = spark.sql("SELECT 1 AS id, named_struct('x', 2, 'y', 3) AS s UNION ALL SELECT 2, NULL")
+    got = find.project(df, include=["id", "s.x"])
+    assert got.schema.simpleString() == "struct<id:int,s:struct<x:int>>"
+    assert sorted((r.id, r.s and r.s.x) for r in got.collect()) == [(1, 2), (2, None)]

@@ -68,6 +68,24 @@ def test_runs_merge_the_same_however_they_are_cut(spark, chunk, counted):
     assert {r.k: r.f for r in whole} == {r.k: r.f for r in cut}
 
 
+def test_a_created_row_has_nothing_of_the_deleted_one(spark):
+    base = spark.createDataFrame([(1, 0.1, "OLD"), (2, 1.0, "KEPT")], "k long, v double, name string")
+    ops = spark.createDataFrame([(1, 1, "delete", None), (2, 1, "insert", 5.0), (3, 2, "insert", 9.0)], OPS)
+    assert rows(modify.bulk_write(base, ops, "k", "v")) == [(1, 5.0, None), (2, 1.0, "KEPT")]
+
+
+def test_unordered_bulk_with_negative_numbers(spark):
+    base = spark.createDataFrame([(1, 1.0)], "k long, v double")
+    ops = spark.createDataFrame([(-5, 1, "delete", None), (-4, 1, "insert", 2.0)], OPS)
+    assert modify.bulk_write(base, ops, "k", "v", ordered=False).count() == 0
+
+
+def test_counts_add_up_exactly(spark):
+    base = spark.createDataFrame([(1, 0.1)], "k long, v double")
+    ops = spark.createDataFrame([(1, 1, "inc", 0.2), (2, 1, "inc", 0.3), (3, 1, "set", 0.6)], OPS)
+    assert modify.bulk_counts(base, ops, "k", "v").first().modified == 2
+
+
 def test_no_operations(spark):
     b = spark.createDataFrame([(1, 2.0)], "k long, v double")
     none = spark.createDataFrame([], OPS)
@@ -107,6 +125,8 @@ def test_change_feed(spark, base):
     after = spark.createDataFrame([(2, "b", None), (3, "c", 4.0), (4, "d", 1.0)], base.schema)
     got = {r.k: (r.op, r.updated) for r in modify.change_feed(base, after, "k").collect()}
     assert got == {1: ("delete", None), 3: ("update", ["v"]), 4: ("insert", None)}
+    null = spark.createDataFrame([(None, "n", 1.0)], base.schema)
+    assert modify.change_feed(null, null, "k").count() == 0
 
 
 def test_insert_unique(spark, base):

@@ -80,19 +80,19 @@ def test_previous_row_needs_ascending_order(rows):
 def test_row_numbers(rows, min_rows, order):
     w = Window.partitionBy("user").orderBy(*skew.sort_columns(order))
     want = rows.withColumn("n", F.row_number().over(w).cast("long"))
-    got = skew.row_numbers(rows, ["user"], order, "n", min_rows, pieces=10)
+    got = skew.row_numbers(rows, ["user"], order, "n", min_rows)
     same(got.select(want.columns), want)
 
 
 def test_row_numbers_of_the_whole_table(rows):
     order = [("value", False), ("t", True), ("id", True)]
     want = rows.withColumn("n", F.row_number().over(Window.orderBy(*skew.sort_columns(order))).cast("long"))
-    got = skew.row_numbers(rows, [], order, "n", min_rows=1, pieces=10)
+    got = skew.row_numbers(rows, [], order, "n", min_rows=1)
     same(got.select(want.columns), want)
 
 
 def test_split_path_really_splits(rows):
-    got = skew.row_numbers(rows, ["user"], [("id", True)], "n", 500, pieces=10)
+    got = skew.row_numbers(rows, ["user"], [("id", True)], "n", 500)
     plan = got._jdf.queryExecution().analyzed().toString()
     assert "_piece" in plan
 
@@ -122,3 +122,22 @@ def test_ordered_fold(rows, chunk):
         F.array_join(F.transform(F.array_sort(F.collect_list("id")), lambda x: x.cast("string")), ",").alias("s")
     )
     same(got, want)
+
+
+def test_fold_arrays_are_bounded_by_rows_and_not_by_the_span(spark, monkeypatch):
+    """One key, its numbers close together and one far away."""
+    monkeypatch.setattr(skew, "FOLD_ROWS", 10)
+    df = spark.createDataFrame([(1, i) for i in range(100)] + [(1, 10**12)], "k long, q long")
+    longest = F.struct(F.lit(1).alias("n"), F.lit(1).alias("steps"))
+
+    def merge(a, b):
+        return F.struct((a["n"] + b["n"]).alias("n"), (a["steps"] + 1).alias("steps"))
+
+    got = skew.ordered_fold(df, ["k"], "q", longest, merge, "f").first().f
+    assert got.n == 101 and got.steps <= 20
+
+
+def test_many_large_keys_are_all_listed(spark, monkeypatch):
+    monkeypatch.setattr(skew, "SAMPLE_ROWS", 100_000)
+    df = spark.range(300_000).select((F.col("id") % 2000).alias("k"))
+    assert skew.hot_keys(df, ["k"], 100).count() == 2000
