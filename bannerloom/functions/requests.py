@@ -11,6 +11,11 @@ COOKIE_DAYS = 30
 COOKIE_TIME_FORMAT = "EEE, dd-MMM-yyyy HH:mm:ss 'PST'"
 BAD_REQUEST_MESSAGE = "The request method is unsupported!"
 NO_DATA_MESSAGE = "No Data found!"
+COOKIE_TEXT = COOKIE_NAME + '=%s; domain=%s; expires=%s;"'
+ERROR_PAGE = (
+    "<html><head><title>400 Bad Request</title></head><body><h1>Bad Request</h1>"
+    "<p>Your browser sent a request that this server could not understand.</p><p>%s</p></body></html>"
+)
 
 DEFAULT_DOMAIN = "banners.example.com"
 DEFAULT_IMAGE_BASE = "https://banners.example.com/images"
@@ -32,11 +37,7 @@ def error_message(status: Column) -> Column:
 
 
 def error_page(message: Column) -> Column:
-    return F.format_string(
-        "<html><head><title>400 Bad Request</title></head><body><h1>Bad Request</h1>"
-        "<p>Your browser sent a request that this server could not understand.</p><p>%s</p></body></html>",
-        message,
-    )
+    return F.format_string(ERROR_PAGE, message)
 
 
 def seen_banners(cookie: Column) -> Column:
@@ -54,7 +55,7 @@ def id_list(ids: Column) -> Column:
 def set_cookie(ids: Column, now: Column, domain: str = DEFAULT_DOMAIN) -> Column:
     """The cookie that remembers the served list for COOKIE_DAYS days."""
     expires = F.date_format(now + F.make_dt_interval(F.lit(COOKIE_DAYS)), COOKIE_TIME_FORMAT)
-    return F.format_string(f'{COOKIE_NAME}=%s; domain={domain}; expires=%s;"', id_list(ids), expires)
+    return F.format_string(COOKIE_TEXT, id_list(ids), F.lit(domain), expires)
 
 
 def page(ids: Column, image_base: str = DEFAULT_IMAGE_BASE) -> Column:

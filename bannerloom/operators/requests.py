@@ -79,12 +79,15 @@ def pick_banners(visits: DataFrame, ready: Serving) -> DataFrame:
     if longest <= serving.SEEN_IN_POOL:
         return usual(visits)
     is_long = serving.seen_size(F.col("seen")) > serving.SEEN_IN_POOL
-    long = visits.where(is_long)
+    # the same list in the same campaign has one answer: it is found once, whatever ids the requests have
+    listed = F.concat_ws(",", F.col("campaign_id").cast("string"), F.sort_array(F.array_distinct("seen")).cast("array<string>"))
+    long = visits.where(is_long).withColumn("_list", F.md5(listed))
+    different = long.groupBy("_list").agg(F.first("campaign_id").alias("campaign_id"), F.first("seen").alias("seen"))
     exact = (
         usual(long)
-        .join(serving.answer_long(long, ready.perf, "request_id"), "request_id", "left")
+        .join(serving.answer_long(different, ready.perf, "_list"), "_list", "left")
         .withColumn("picks", F.coalesce("long_picks", "picks"))
-        .drop("long_picks")
+        .drop("long_picks", "_list")
     )
     return usual(visits.where(~is_long)).unionByName(exact)
 

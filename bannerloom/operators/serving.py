@@ -227,13 +227,14 @@ def serving_lists(perf: DataFrame, seed: str, ring: DataFrame | None = None) ->
 def answer(visits: DataFrame, lists: DataFrame, around: DataFrame, ring_size: int, seed: str) -> DataFrame:
     """Adds ``picks`` to visits(campaign_id, seen): the unshuffled served ids.
 
-    Right for seen lists up to SEEN_IN_POOL distinct entries.
+    Right for seen lists up to SEEN_IN_POOL distinct entries. Without any banner the
+    list is empty.
     """
     known = with_lists(visits, lists, around, ring_size, seed)
     picks = F.when(F.col("pool").isNotNull(), prefer_unseen(F.col("pool"), F.col("seen"), TOP_TIER)).otherwise(
         F.col("fixed")
     )
-    return known.withColumn("picks", picks)
+    return known.withColumn("picks", F.coalesce(picks, F.array().cast("array<int>")))
 
 
 def with_lists(visits: DataFrame, lists: DataFrame, around: DataFrame, ring_size: int, seed: str) -> DataFrame:

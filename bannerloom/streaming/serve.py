@@ -74,7 +74,7 @@ def _with_memory(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState)
         now = int(visit.ts.value // 1_000_000)
         seen = ids if at is not None and now - at <= COOKIE_DAYS * DAY_MS else []
         if visit.pool is None:
-            picks = list(visit.fixed)
+            picks = [] if visit.fixed is None else list(visit.fixed)
         else:
             known = set(seen)
             ranked = sorted(visit.pool, key=lambda b: b in known)  # stable: rank order within each part

@@ -165,3 +165,19 @@ def test_answers(spark, lengths):
             assert campaign != 4 or got[i][0] == 1
     answers = {r.request_id: r for r in requests_op.respond(requests, ready).collect()}
     assert all(a.status == 200 and set(a.banner_ids) == set(got[i]) for i, a in answers.items())
+
+
+def test_requests_that_share_an_id(spark):
+    perf = perf_of(spark, [(7, b, float(100 - b), 1) for b in range(1, 91)])
+    ready = requests_op.prepare(perf, "s")
+    cookie = "seen_banners_cookie=[" + ", ".join(map(str, range(1, 71))) + "]"
+    asked = spark.createDataFrame([(1, datetime(2024, 1, 1), 1, "GET", "7", cookie)] * 2, REQUEST)
+    got = requests_op.respond(asked, ready).collect()
+    assert len(got) == 2 and all(sorted(r.banner_ids) == list(range(71, 81)) for r in got)
+
+
+def test_empty_table_gives_an_empty_page(spark):
+    ready = requests_op.prepare(perf_of(spark, []), "s")
+    asked = spark.createDataFrame([(1, datetime(2024, 1, 1), 1, "GET", "7", None)], REQUEST)
+    got = requests_op.respond(asked, ready).first()
+    assert got.status == 200 and got.banner_ids == [] and "<body></body>" in got.body and "=[];" in got.set_cookie
