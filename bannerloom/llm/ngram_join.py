@@ -225,16 +225,23 @@ def linked(a: pd.DataFrame, b: pd.DataFrame, percent: int) -> Iterator[tuple[int
 def compared(left: DataFrame, leads: DataFrame, docs: DataFrame, members: DataFrame, n: int, percent: int) -> DataFrame:
     """Links (a, b) that tie classes of different roots sharing a bucket, enough of them for the components.
 
-    ``left`` has (sig, cid, n, root) of all buckets with several roots. Classes with one
-    lead lie in one tile, or in several of bounded size; tiles that share a bucket are
-    compared in tasks, which return a forest. So pairs are never rows.
+    ``left`` has (sig, cid, n, root) of all buckets with several roots. Classes that
+    leads tie into one tree lie in one tile, or in several of bounded size with the
+    classes of a lead together; tiles that share a bucket are compared in tasks, which
+    return a forest. So pairs are never rows.
     """
     nodes = left.select("cid", "n", "root").distinct().join(leads, "cid", "left").withColumn("b", F.coalesce("b", "cid"))
-    cuts = nodes.groupBy("b").agg(F.ceil(F.greatest(F.count("*") / TILE_SETS, F.sum("n") / TILE_SHINGLES)).cast("int").alias("cuts"))
-    tiles = nodes.join(stage(cuts, "cuts"), "b").select(
-        "cid", "n", "root", F.xxhash64("b", F.when(F.col("cuts") > 1, F.pmod(F.xxhash64("cid"), F.col("cuts"))).otherwise(0)).alias("tile")
-    )
-    tiles = stage(tiles, "tiles")
+    nodes = stage(nodes, "nodes")
+    trees = classes(left.sparkSession, nodes.select(F.col("cid").alias("a"), "b")).withColumnRenamed("root", "root_")
+    nodes = stage(nodes.join(trees, nodes["cid"] == trees["node"], "left").select("cid", "n", "root", "b", F.coalesce("root_", "cid").alias("tree")), "trees")
+
+    def cut(rows: DataFrame, by: list[str], key: str, out: str) -> DataFrame:
+        """Numbers ``out`` that cut each group of ``by`` into bounded parts, rows of one ``key`` together."""
+        pieces = rows.groupBy(*by).agg(F.ceil(F.greatest(F.count("*") / TILE_SETS, F.sum("n") / TILE_SHINGLES)).cast("int").alias("pieces"))
+        return rows.join(stage(pieces, "pieces"), by).withColumn(out, F.pmod(F.xxhash64(key), F.col("pieces"))).drop("pieces")
+
+    parts = cut(cut(nodes, ["tree"], "b", "part"), ["tree", "part"], "cid", "piece")
+    tiles = stage(parts.select("cid", "n", "root", F.xxhash64("tree", "part", "piece").alias("tile")), "tiles")
     at = stage(left.select("sig", "cid").join(tiles.select("cid", "tile"), "cid").select("sig", "tile").distinct(), "at")
     near = at.toDF("sig", "ta").join(at.toDF("sig", "tb"), "sig").where("ta <= tb").select("ta", "tb").distinct()
     near = stage(near.withColumn("pair", F.xxhash64("ta", "tb")), "near")
