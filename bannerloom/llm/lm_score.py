@@ -268,9 +268,18 @@ def score(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame:
         if left < 0:
             break
         least = 1 << power
-    hot = counts.where(F.col("count") >= least).toPandas().sort_values("hash")
-    frequent = spark.sparkContext.broadcast((hot["hash"].to_numpy(np.int64), hot["count"].to_numpy(np.int64)))
-    del hot
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [pa.array([batch.column(k).to_numpy().astype(np.int64).tobytes()], pa.binary()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(packed, ["hash", "count"])
+
+    # 16 bytes for each of the frequent words, and no row of its own in the driver
+    hot = counts.where(F.col("count") >= least).select("hash", "count").mapInArrow(pack, "hash binary, count binary").collect()
+    hashes, times = (np.frombuffer(b"".join(bytes(r[k]) for r in hot), np.int64) for k in (0, 1))
+    order = np.argsort(hashes)
+    frequent = spark.sparkContext.broadcast((hashes[order], times[order]))
+    del hot, hashes, times
     model, bits = build(ngrams, ranges, tokens, different)
     filter_ = spark.sparkContext.broadcast(bits)
     del bits
