@@ -230,7 +230,7 @@ def fit_weights(texts: DataFrame, model: Model, filter_: Broadcast) -> Model:
 
 
 def score(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame:
-    """``docs`` and ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
+    """The columns of ``docs`` but the text, and ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
     Learns from the rows where ``learn`` is true (null: not). A text's tokens are its
     words and an end. ``base_score`` is the sum of the log10 shares of exact counts,
