@@ -305,7 +305,7 @@ def score(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame:
                 at = np.minimum(np.searchsorted(known, signed), max(0, len(known) - 1))
                 is_hot = known[at] == signed if len(known) else np.zeros(len(signed), bool)
                 c = times[at[is_hot]] if len(known) else np.zeros(0)
-                base = np.bincount(owner[is_hot], weights=np.log10((c + 0.1) / floor), minlength=len(n))
+                base = np.bincount(owner[is_hot], weights=np.log10((c + 0.1) / floor), minlength=len(n)).astype(float)  # ints if none
                 seen = np.bincount(owner[is_hot], minlength=len(n))
                 rare, where = signed[~is_hot], owner[~is_hot]
                 order = np.lexsort((rare, where))
