@@ -245,8 +245,9 @@ def compared(left: DataFrame, leads: DataFrame, docs: DataFrame, members: DataFr
     at = stage(left.select("sig", "cid").join(tiles.select("cid", "tile"), "cid").select("sig", "tile").distinct(), "at")
     near = at.toDF("sig", "ta").join(at.toDF("sig", "tb"), "sig").where("ta <= tb").select("ta", "tb").distinct()
     near = stage(near.withColumn("pair", F.xxhash64("ta", "tb")), "near")
-    sets = stage(sets_of(docs, members.join(tiles.select("cid"), "cid", "left_semi"), n).dropDuplicates(["cid"]), "sets")
-    full = stage(tiles.join(sets, "cid"), "full")
+    # joined and made unique by one shuffle of the sets
+    sets = sets_of(docs, members.join(tiles.select("cid"), "cid", "left_semi"), n)
+    full = stage(tiles.join(sets, "cid").dropDuplicates(["cid"]), "full")
     sides = near.select("pair", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("ta").alias("tile")), F.struct(F.lit(1).alias("side"), F.col("tb").alias("tile")))).alias("x"))
     sides = sides.select("pair", "x.side", "x.tile").join(near.where("ta = tb").select("pair").withColumn("own", F.lit(True)), "pair", "left").where("side = 0 or own is null")
     rows = sides.join(full, "tile").select("pair", "side", "cid", "n", "root", "set")
