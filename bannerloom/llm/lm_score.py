@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard as zstd
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,14 +20,17 @@ from bannerloom.llm.common import stage, words
 
 #: A count c is kept as the level 1 + floor(log_BASE c).
 BASE = 1.5
-#: Bits of the filter for each stored level, probes for each, and the largest filter that is broadcast.
+#: Bits of the filter for each stored level, probes for each, and the largest filter that is broadcast:
+#: n-grams are shuffled to the blocks of a larger one.
 BITS, PROBES, MAX_FILTER_BYTES = 10, 4, 64 << 20
 #: Bytes of text for each hash range; a range is counted by one task and has a block of the filter.
 RANGE_BYTES = 8 << 20
 #: Exact counts of at most so many frequent words are broadcast (16 bytes each); the others are joined.
 FREQUENT = 1_000_000
-#: Tokens that a task counts and scores at a time, and words whose hash it remembers.
-COUNTED, SCORED, REMEMBERED = 1_500_000, 400_000, 300_000
+#: Tokens that a task counts, sends to a filter in blocks and scores at a time, and words whose hash it remembers.
+COUNTED, SENT, SCORED, REMEMBERED = 1_500_000, 800_000, 400_000, 300_000
+#: Levels are below this.
+LEVELS = 120
 #: Weights of the bigram counts that are tried for each level of the context.
 WEIGHTS = np.linspace(0.0, 0.95, 20)
 # hashes of the end and of the start of a text; words are hashed with another seed
@@ -56,6 +60,25 @@ def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return mix(a * np.uint64(0x9E3779B97F4A7C15) + mix(b))
 
 
+def squeezed(numbers: np.ndarray) -> bytes:
+    """Compressed, the bytes of equal weight side by side."""
+    return zstd.compress(numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes(), 1)
+
+
+def unsqueezed(data: bytes, kind: type) -> np.ndarray:
+    flat = np.frombuffer(zstd.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(flat.T).view(kind).ravel()
+
+
+def squeezed_steps(numbers: np.ndarray) -> bytes:
+    """For sorted 64-bit numbers, whose steps have fewer bytes."""
+    return squeezed(np.diff(numbers, prepend=numbers.dtype.type(0)))
+
+
+def unsqueezed_steps(data: bytes) -> np.ndarray:
+    return np.cumsum(unsqueezed(data, np.uint64), dtype=np.uint64)
+
+
 def token_blocks(texts: Iterator[tuple[int, str | None]], size: int) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
     """(rows, tokens, tokens of each row) for about ``size`` tokens at a time; a row's end is a token."""
     known = Hashes()
@@ -99,7 +122,7 @@ def counted(texts: DataFrame, ranges: int) -> DataFrame:
         cuts = np.searchsorted(range_of(found, ranges), np.arange(ranges + 1))
         for r, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
             if lo < hi:
-                yield kind, r, found[lo:hi].tobytes(), n[lo:hi].astype(np.uint32).tobytes()
+                yield kind, r, squeezed_steps(found[lo:hi]), squeezed(n[lo:hi].astype(np.uint32))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, tokens, counts in token_blocks(((0, t.as_py()) for b in batches for t in b.column(0)), COUNTED):
@@ -109,11 +132,11 @@ def counted(texts: DataFrame, ranges: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["kind", "range", "hashes", "counts"])
 
     def merge(group: pd.DataFrame) -> pd.DataFrame:
-        hashes = np.concatenate([np.frombuffer(x, np.uint64) for x in group["hashes"]])
-        counts = np.concatenate([np.frombuffer(x, np.uint32) for x in group["counts"]])
+        hashes = np.concatenate([unsqueezed_steps(x) for x in group["hashes"]])
+        counts = np.concatenate([unsqueezed(x, np.uint32) for x in group["counts"]])
         found, where = np.unique(hashes, return_inverse=True)
         total = np.bincount(where, weights=counts, minlength=len(found)).astype(np.int64)
-        return pd.DataFrame({"kind": [group["kind"].iloc[0]], "range": [group["range"].iloc[0]], "hashes": [found.tobytes()], "counts": [total.tobytes()]})
+        return pd.DataFrame({"kind": [group["kind"].iloc[0]], "range": [group["range"].iloc[0]], "hashes": [squeezed_steps(found)], "counts": [squeezed(total)]})
 
     schema = "kind int, range long, hashes binary, counts binary"
     return stage(texts.mapInArrow(count, schema).groupBy("kind", "range").applyInPandas(merge, schema), "ngrams")
@@ -123,7 +146,7 @@ def levels(counts: np.ndarray) -> np.ndarray:
     return 1 + np.floor(np.log(counts) / math.log(BASE) + 1e-9).astype(np.int64)
 
 
-def level_counts(most: int = 120) -> np.ndarray:
+def level_counts(most: int = LEVELS) -> np.ndarray:
     """By level, the mean of the counts that have it; 0 for level 0."""
     edges = [math.ceil(BASE**k - 1e-9) for k in range(most + 1)]
     return np.array([0.0] + [(a + max(a, b - 1)) / 2 for a, b in zip(edges, edges[1:])])
@@ -142,91 +165,199 @@ class Model(NamedTuple):
 
     bits: int  # of a block; the filter has a block for each hash range
     ranges: int
-    lowest: int  # levels up to this one are not stored
     tokens: int  # of the corpus
     different: int
     weights: list[float]  # of the bigrams, by the level of their context
 
 
-def stored_levels(model: Model, bits: np.ndarray, grams: np.ndarray) -> np.ndarray:
-    """The level of each n-gram: probes go on from the lowest stored level until one is absent."""
-    found, where = np.unique(grams, return_inverse=True)
-    base = range_of(found, model.ranges).astype(np.uint64) * np.uint64(model.bits)
-    got, alive, level = np.zeros(len(found), np.int64), np.arange(len(found)), model.lowest + 1
-    while len(alive) and level < 120:
-        bit = probes(found[alive], level, model.bits) + base[alive]
-        hit = ((bits[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1).all(axis=0)
+def found_levels(block: np.ndarray, bits: int, grams: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """The level of each n-gram, whose block starts at bit ``base``: probes go on from level 1 until one is absent."""
+    got, alive, level = np.zeros(len(grams), np.int64), np.arange(len(grams)), 1
+    while len(alive) and level < LEVELS:
+        bit = probes(grams[alive], level, bits) + base[alive]
+        hit = ((block[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1).all(axis=0)
         alive = alive[hit]
         got[alive] = level
         level += 1
-    return got[where]
+    return got
 
 
-def build(ngrams: DataFrame, ranges: int, tokens: int, different: int) -> tuple[Model, np.ndarray]:
-    """The filter: tasks make the blocks of their hash ranges, the driver puts them side by side.
+def stored_levels(model: Model, bits: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """The level of each n-gram in the whole filter."""
+    found, where = np.unique(grams, return_inverse=True)
+    base = range_of(found, model.ranges).astype(np.uint64) * np.uint64(model.bits)
+    return found_levels(bits, model.bits, found, base)[where]
 
-    It has BITS for every stored level, so it grows with the corpus up to
-    MAX_FILTER_BYTES. Beyond that the quantisation starts at a higher count, the least
-    one that fits; the counts themselves are always those of the whole corpus.
+
+def build(ngrams: DataFrame, ranges: int, tokens: int, different: int) -> tuple[Model, DataFrame]:
+    """The filter's blocks (range, bits), one or two to be united for each hash range.
+
+    It has BITS for every stored level, so it grows with the corpus, and a block with
+    the share of one range in it.
     """
 
     def sizes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for counts in pdf["counts"]:
-                n = np.bincount(levels(np.frombuffer(counts, np.int64)))
+                n = np.bincount(levels(unsqueezed(counts, np.int64)))
                 yield pd.DataFrame({"level": np.arange(len(n)), "n": n})
 
     by_level = ngrams.select("counts").mapInPandas(sizes, "level int, n long").groupBy("level").agg(F.sum("n")).collect()
-    lowest = 0
-    while (bits := BITS * sum(max(0, level - lowest) * n for level, n in by_level)) > 8 * MAX_FILTER_BYTES:
-        lowest += 1
-    bits = 8 * math.ceil((bits / ranges + 64) / 8)
+    bits = 8 * math.ceil((BITS * sum(level * n for level, n in by_level) / ranges + 64) / 8)
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for at, hashes, counts in zip(pdf["range"], pdf["hashes"], pdf["counts"]):
-                grams, top = np.frombuffer(hashes, np.uint64), levels(np.frombuffer(counts, np.int64))
-                block, level = np.zeros(bits, bool), lowest + 1
+                grams, top = unsqueezed_steps(hashes), levels(unsqueezed(counts, np.int64))
+                block, level = np.zeros(bits, bool), 1
                 while len(grams := grams[top >= level]):
                     top = top[top >= level]
                     block[probes(grams, level, bits).ravel().astype(np.int64)] = True
                     level += 1
                 yield pd.DataFrame({"range": [at], "bits": [np.packbits(block, bitorder="little").tobytes()]})
 
-    whole = np.zeros(ranges * bits // 8, np.uint8)
     made = stage(ngrams.mapInPandas(blocks, "range long, bits binary"), "blocks")
-    for r in made.toLocalIterator(prefetchPartitions=True):  # MAX_FILTER_BYTES for each kind, a few blocks at a time
-        whole[r[0] * bits // 8 : (r[0] + 1) * bits // 8] |= np.frombuffer(r[1], np.uint8)
-    return Model(bits, ranges, lowest, tokens, different, [0.0] * 120), whole
+    return Model(bits, ranges, tokens, different, [0.0] * LEVELS), made
+
 
+def gathered(model: Model, blocks: DataFrame) -> np.ndarray:
+    """The filter in one piece of at most MAX_FILTER_BYTES: the driver puts the blocks side by side."""
+    whole = np.zeros(model.ranges * model.bits // 8, np.uint8)
+    for r in blocks.toLocalIterator(prefetchPartitions=True):  # MAX_FILTER_BYTES for each kind, a few blocks at a time
+        whole[r[0] * model.bits // 8 : (r[0] + 1) * model.bits // 8] |= np.frombuffer(r[1], np.uint8)
+    return whole
 
-def parts(model: Model, bits: np.ndarray, values: np.ndarray, before: np.ndarray, tokens: np.ndarray, out: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+
+def coded(context: np.ndarray, both: np.ndarray, single: np.ndarray) -> np.ndarray:
+    """The levels of a context, the bigram and the token as one number."""
+    return (context * LEVELS + both) * LEVELS + single
+
+
+def parts(model: Model, codes: np.ndarray, out: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(level of the context, share of the bigram in it, smoothed share of the token); ``out`` is taken from each count."""
-    context = stored_levels(model, bits, before)
-    both = np.maximum(0.0, values[stored_levels(model, bits, pair(before, tokens))] - out)
-    single = np.maximum(0.0, values[stored_levels(model, bits, tokens)] - out)
-    share = np.minimum(1.0, both / np.maximum(1.0, values[context] - out))
-    return context, share, (single + 0.1) / (model.tokens + 0.1 * (model.different + 1))
+    values = level_counts()
+    context, both, single = codes // (LEVELS * LEVELS), codes // LEVELS % LEVELS, codes % LEVELS
+    share = np.minimum(1.0, np.maximum(0.0, values[both] - out) / np.maximum(1.0, values[context] - out))
+    return context, share, (np.maximum(0.0, values[single] - out) + 0.1) / (model.tokens + 0.1 * (model.different + 1))
 
 
-def fit_weights(texts: DataFrame, model: Model, filter_: Broadcast) -> Model:
-    """For each level of the context the weight under which its tokens, each left out of the counts, are likeliest."""
+def log_shares(model: Model, codes: np.ndarray) -> np.ndarray:
+    level, share, one = parts(model, codes, 0)
+    w = np.array(model.weights)[level]
+    return np.log10(w * share + (1 - w) * one)
+
 
-    def likelihood(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, total = level_counts(), np.zeros((120, len(WEIGHTS)))
+def filter_codes(model: Model, bits: np.ndarray, before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    context, single = stored_levels(model, bits, before), stored_levels(model, bits, tokens)
+    return coded(context, stored_levels(model, bits, pair(before, tokens)), single)
+
+
+def text_codes(texts: DataFrame, model: Model, filter_: Broadcast) -> DataFrame:
+    """(code, n): how often the tokens of ``texts`` have a code, in parts."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, tokens, counts in token_blocks(((0, t.as_py()) for b in batches for t in b.column(0)), SCORED):
-            level, share, one = parts(model, filter_.value, values, contexts(tokens, counts), tokens, 1)
-            for k, w in enumerate(WEIGHTS):
-                total[:, k] += np.bincount(level, weights=np.log(w * share + (1 - w) * one), minlength=120)
-        level, k = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(level), pa.array(k), pa.array(total[level, k])], ["level", "k", "ll"])
+            code, n = np.unique(filter_codes(model, filter_.value, contexts(tokens, counts), tokens), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["code", "n"])
+
+    return texts.mapInArrow(count, "code long, n long")
+
+
+def fit_weights(model: Model, codes: DataFrame) -> Model:
+    """For each level of the context the weight under which its tokens, each left out of the counts, are likeliest."""
+    rows = codes.groupBy("code").agg(F.sum("n")).collect()  # by levels: thousands, whatever the corpus
+    code, n = (np.array(x, np.int64) for x in zip(*sorted(map(tuple, rows)))) if rows else (np.zeros(0, np.int64),) * 2
+    level, share, one = parts(model, code, 1)
+    total = np.stack([np.bincount(level, weights=n * np.log(w * share + (1 - w) * one), minlength=LEVELS) for w in WEIGHTS], axis=1)
+    best = len(WEIGHTS) - 1 - total[:, ::-1].argmax(axis=1)  # the last of equal ones
+    seen = np.bincount(level, minlength=LEVELS) > 0
+    return model._replace(weights=[float(WEIGHTS[k]) if s else 0.0 for k, s in zip(best, seen)])
+
+
+class Parcel(NamedTuple):
+    """The tokens of some rows as a row of a table: different tokens, their places (compressed), tokens and use of each row."""
+
+    vocabulary: bytes
+    places: bytes
+    counts: bytes
+    learn: bytes
 
-    rows = texts.mapInArrow(likelihood, "level long, k long, ll double").groupBy("level", "k").agg(F.sum("ll").alias("ll"))
-    best: dict[int, tuple[float, int]] = {}
-    for level, k, ll in rows.collect():  # at most 120 x 20
-        best[level] = max(best.get(level, (-math.inf, 0)), (ll, k))
-    weights = [float(WEIGHTS[best[level][1]]) if level in best else 0.0 for level in range(120)]
-    return model._replace(weights=weights)
+
+PARCEL = T.StructType([T.StructField(n, T.BinaryType()) for n in Parcel._fields])
+
+
+def parcel(tokens: np.ndarray, counts: np.ndarray, learn: np.ndarray) -> Parcel:
+    found, where, n = np.unique(tokens, return_inverse=True, return_counts=True)
+    order = np.argsort(-n, kind="stable")  # frequent tokens have small numbers, whose bytes lie together
+    number = np.empty(len(found), np.uint32)
+    number[order] = np.arange(len(found), dtype=np.uint32)
+    return Parcel(found[order].tobytes(), squeezed(number[where]), counts.astype(np.int64).tobytes(), learn.astype(bool).tobytes())
+
+
+def opened(p: Parcel) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(different tokens, place of each token there, bigrams, tokens of each row)."""
+    vocabulary, counts = np.frombuffer(p.vocabulary, np.uint64), np.frombuffer(p.counts, np.int64)
+    places = unsqueezed(p.places, np.uint32)
+    tokens = vocabulary[places]
+    return vocabulary, places, pair(contexts(tokens, counts), tokens), counts
+
+
+def shuffled_codes(parcels: DataFrame, model: Model, blocks: DataFrame) -> DataFrame:
+    """(first, learn, keys, times) for parcels (first row, parcel) by a filter of any size: codes by row, see row_codes.
+
+    The different n-grams of a parcel go to the blocks of their hash ranges and their
+    levels come back, so no task needs more than a block and what is asked of it. Hash
+    order is range order, so answers in the order of the ranges are in that of the n-grams.
+    """
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, p in zip(batch.column(0).to_pylist(), batch.column(1)):
+                vocabulary, _, grams, _ = opened(Parcel(**p.as_py()))
+                found = np.unique(np.concatenate([START[None], vocabulary, grams]))
+                cuts = np.searchsorted(range_of(found, model.ranges), np.arange(model.ranges + 1))
+                rows = [(first, r, squeezed_steps(found[lo:hi])) for r, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])) if lo < hi]
+                columns = [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))]
+                yield pa.RecordBatch.from_arrays(columns, ["first", "range", "hashes"])
+
+    def answer(asked: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+        whole = np.zeros(model.bits // 8, np.uint8)
+        for x in block["bits"]:
+            whole |= np.frombuffer(x, np.uint8)
+        got = [found_levels(whole, model.bits, g, np.zeros(len(g), np.uint64)) for g in map(unsqueezed_steps, asked["hashes"])]
+        return pd.DataFrame({"first": asked["first"], "range": asked["range"], "levels": [squeezed(x.astype(np.uint8)) for x in got]})
+
+    def read(answers: pd.DataFrame, parcels: pd.DataFrame) -> pd.DataFrame:
+        p = Parcel(**parcels["parcel"].iloc[0])
+        vocabulary, places, grams, counts = opened(p)
+        where = np.unique(np.concatenate([START[None], vocabulary, grams]), return_inverse=True)[1]
+        level = np.concatenate([unsqueezed(x, np.uint8) for x in answers.sort_values("range")["levels"]])[where].astype(np.int64)
+        single, both = level[1 : len(vocabulary) + 1][places], level[len(vocabulary) + 1 :]
+        before = np.append(0, single[:-1])
+        before[np.cumsum(counts) - counts] = level[0]
+        keys, times = np.unique(np.repeat(np.arange(len(counts)), counts) * LEVELS**3 + coded(before, both, single), return_counts=True)
+        return pd.DataFrame({"first": parcels["first"], "learn": [p.learn], "keys": [squeezed_steps(keys)], "times": [squeezed(times.astype(np.uint32))]})
+
+    asked = parcels.mapInArrow(ask, "first long, range long, hashes binary")
+    answers = asked.groupBy("range").cogroup(blocks.groupBy("range")).applyInPandas(answer, "first long, range long, levels binary")
+    coded_rows = answers.groupBy("first").cogroup(parcels.groupBy("first")).applyInPandas(read, "first long, learn binary, keys binary, times binary")
+    return stage(coded_rows, "codes")
+
+
+def row_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, use of each row, then by row and code: place of the row, code, times) of each parcel."""
+    for batch in batches:
+        for first, learn, keys, times in zip(*(batch.column(k) for k in ("first", "learn", "keys", "times"))):
+            found = unsqueezed_steps(keys.as_py()).astype(np.int64)
+            yield first.as_py(), np.frombuffer(learn.as_py(), bool), found // LEVELS**3, found % LEVELS**3, unsqueezed(times.as_py(), np.uint32)
+
+
+def sum_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, learn, owner, codes, times in row_codes(batches):
+        used = learn[owner]
+        code, where = np.unique(codes[used], return_inverse=True)
+        n = np.bincount(where, weights=times[used], minlength=len(code)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["code", "n"])
 
 
 def score(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame:
@@ -240,7 +371,8 @@ def score(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame:
     rows to learn from all shares are those of unseen tokens.
 
     Exact counts of FREQUENT words are broadcast, those of the others are joined by
-    Spark, so that neither the vocabulary nor a frequent word meets in one task.
+    Spark, so that neither the vocabulary nor a frequent word meets in one task. A filter
+    of more than MAX_FILTER_BYTES stays in its blocks; scores are the same either way.
     """
     names = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     spark = docs.sparkSession
@@ -253,7 +385,7 @@ def score(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame:
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for hashes, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                h, c = np.frombuffer(hashes, np.uint64), np.frombuffer(counts, np.int64)
+                h, c = unsqueezed_steps(hashes), unsqueezed(counts, np.int64)
                 real = h != START
                 yield pa.RecordBatch.from_arrays([pa.array(h[real].view(np.int64)), pa.array(c[real])], ["hash", "count"])
 
@@ -280,27 +412,31 @@ def score(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame:
     order = np.argsort(hashes)
     frequent = spark.sparkContext.broadcast((hashes[order], times[order]))
     del hot, hashes, times
-    model, bits = build(ngrams, ranges, tokens, different)
-    filter_ = spark.sparkContext.broadcast(bits)
-    del bits
-    model = fit_weights(texts, model, filter_)
+    model, blocks = build(ngrams, ranges, tokens, different)
+    wide = model.ranges * model.bits > 8 * MAX_FILTER_BYTES
+    filter_ = None if wide else spark.sparkContext.broadcast(gathered(model, blocks))
+    if not wide:
+        model = fit_weights(model, text_codes(texts, model, filter_))
     floor = tokens + 0.1 * (different + 1)
 
     kept = docs.drop(text)
     more = {"__row": T.LongType(), "n_tokens": T.LongType(), "__known": T.LongType(), "__base": T.DoubleType(), "score": T.DoubleType(),
-            "__rare": T.ArrayType(T.LongType()), "__times": T.ArrayType(T.LongType())}
+            "__rare": T.ArrayType(T.LongType()), "__times": T.ArrayType(T.LongType()), "__parcel": PARCEL}
     schema = T.StructType([*kept.schema.fields, *[T.StructField(n, k) for n, k in more.items()]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, row = level_counts(), TaskContext.get().partitionId() << 33
+        row = TaskContext.get().partitionId() << 33
         known, times = frequent.value
-        weights = np.array(model.weights)
         for batch in batches:
-            for rows, tokens, n in token_blocks(enumerate(batch.column(batch.num_columns - 1).to_pylist()), SCORED):
+            learns = batch.column(batch.num_columns - 2).to_numpy(zero_copy_only=False)
+            for rows, tokens, n in token_blocks(enumerate(batch.column(batch.num_columns - 1).to_pylist()), SENT if wide else SCORED):
                 owner = np.repeat(np.arange(len(n)), n)
-                level, share, one = parts(model, filter_.value, values, contexts(tokens, n), tokens, 0)
-                w = weights[level]
-                logs = np.bincount(owner, weights=np.log10(w * share + (1 - w) * one), minlength=len(n))
+                logs, parcels = np.zeros(len(n)), [None] * len(n)
+                if wide:
+                    parcels[0] = parcel(tokens, n, learns[rows])._asdict()
+                else:
+                    codes = filter_codes(model, filter_.value, contexts(tokens, n), tokens)
+                    logs = np.bincount(owner, weights=log_shares(model, codes), minlength=len(n))
                 signed = tokens.view(np.int64)
                 at = np.minimum(np.searchsorted(known, signed), max(0, len(known) - 1))
                 is_hot = known[at] == signed if len(known) else np.zeros(len(signed), bool)
@@ -315,18 +451,31 @@ def score(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame:
                 repeat = np.diff(np.append(first, len(rare)))
                 offsets = pa.array(np.searchsorted(where[first], np.arange(len(n) + 1)).astype(np.int32))
                 values_of = [pa.array(row + np.arange(len(n))), pa.array(n.astype(np.int64)), pa.array(seen.astype(np.int64)), pa.array(base), pa.array(logs),
-                             pa.ListArray.from_arrays(offsets, pa.array(rare[first])), pa.ListArray.from_arrays(offsets, pa.array(repeat.astype(np.int64)))]
+                             pa.ListArray.from_arrays(offsets, pa.array(rare[first])), pa.ListArray.from_arrays(offsets, pa.array(repeat.astype(np.int64))),
+                             pa.array(parcels, pa.struct([(k, pa.binary()) for k in Parcel._fields]))]
                 row += len(n)
-                mine = [c.slice(rows[0], len(rows)) for c in batch.columns[:-1]]
+                mine = [c.slice(rows[0], len(rows)) for c in batch.columns[:-2]]
                 yield pa.RecordBatch.from_arrays([*mine, *values_of], schema.names)
 
-    done = stage(docs.select(*kept.columns, F.col(text).cast("string").alias("__text")).mapInArrow(run, schema), "scored")
+    use = F.coalesce(learn, F.lit(False)).alias("__learn")
+    done = stage(docs.select(*kept.columns, use, F.col(text).cast("string").alias("__text")).mapInArrow(run, schema), "scored")
     rare = done.select("__row", F.explode(F.arrays_zip("__rare", "__times")).alias("x")).select("__row", F.col("x.__rare").alias("hash"), F.col("x.__times").alias("times"))
     c = F.coalesce("count", F.lit(0))
     found = rare.join(counts.where(F.col("count") < least), "hash", "left").groupBy("__row").agg(
         F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("__more"), F.sum(F.col("times") * F.log10((c + 0.1) / F.lit(floor))).alias("__rest")
     )
-    joined = done.join(found, "__row", "left")
+    joined = done.drop("__parcel").join(found, "__row", "left")
+    if wide:
+        codes = shuffled_codes(done.where("__parcel is not null").select(F.col("__row").alias("first"), F.col("__parcel").alias("parcel")), model, blocks)
+        model = fit_weights(model, codes.mapInArrow(sum_codes, "code long, n long"))
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for first, learn, owner, code, n in row_codes(batches):
+                logs = np.bincount(owner, weights=n * log_shares(model, code), minlength=len(learn))
+                yield pa.RecordBatch.from_arrays([pa.array(first + np.arange(len(learn))), pa.array(logs)], ["__row", "score"])
+
+        scores = codes.mapInArrow(add, "__row long, score double")
+        joined = joined.drop("score").join(scores, "__row", "left")
     return joined.select(
         *kept.columns,
         "n_tokens",

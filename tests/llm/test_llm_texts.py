@@ -237,3 +237,16 @@ def test_lm_score(docs, none, texts, monkeypatch, frequent, most):
         assert sum(r.score for r in rows if r.doc_id and r.doc_id % 3) > sum(r.base_score for r in rows if r.doc_id and r.doc_id % 3)
     assert lm_score.score(none, F.lit(True)).count() == 0
     assert lm_score.score(docs, F.lit(False)).where("n_known = 0 and train_tokens = 0").count() == len(texts)
+
+
+def test_lm_score_does_not_depend_on_the_bound_of_the_broadcast(docs, none, monkeypatch):
+    """A filter that stays in its blocks holds all levels too."""
+    def scores(most):
+        monkeypatch.setattr(lm_score, "MAX_FILTER_BYTES", most)
+        rows = lm_score.score(docs, F.col("doc_id") % 3 != 0).select("doc_id", "n_tokens", "n_known", "base_score", "score").collect()
+        return sorted((str(r.doc_id), r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in rows)
+
+    whole = scores(64 << 20)
+    monkeypatch.setattr(lm_score, "SENT", 500, raising=False)  # many parcels
+    assert scores(0) == scores(400) == whole
+    assert lm_score.score(none, F.lit(True)).count() == 0
