@@ -67,7 +67,7 @@ def base_failed() -> Column:
 
 
 def failures() -> Column:
-    """Whether a document fails any rule that counts against its host."""
+    """Whether a document fails any rule; all count against its host."""
     return (
         base_failed()
         | (5 * F.col("n_symbols") > F.col("n_words"))
@@ -101,10 +101,11 @@ def host_verdicts(measured: DataFrame, host: str, rate: float = HOST_RATE, margi
     return shrunk.select("__host", "docs", "failed", "rate", (F.col("rate") - margin * deviation > rate).alias("rejected"))
 
 
-def judge(docs: DataFrame, host: str = "source", text: str = "text", carry: list[str] | None = None) -> DataFrame:
+def judge(docs: DataFrame, host: str = "source", text: str = "text", carry: list[str] | None = None, own: bool = False) -> DataFrame:
     """The columns of ``docs`` named in ``carry`` (all if None), the measures, ``base_failed`` and ``kept``.
 
-    Kept are documents that pass the base rules and whose host is not rejected. Null and
+    Kept are documents that pass the base rules and whose host is not rejected; with
+    ``own`` they must pass the rules for symbols and length of words too. Null and
     empty texts fail the base rules (no words); documents without a host are judged alone;
     repeated rows count each; columns named like a result are replaced; an empty table
     stays empty. Measures are taken once and written, as hosts and documents both read
@@ -117,4 +118,5 @@ def judge(docs: DataFrame, host: str = "source", text: str = "text", carry: list
     measured = stage(measured.select(*carry, "__host", *MEASURES, "base_failed"), "measures")
     bad = stage(host_verdicts(measured, "__host").where("rejected").select("__host", F.lit(True).alias("__bad")), "hosts")
     joined = measured.join(bad, "__host", "left")
-    return joined.select(*carry, *MEASURES, "base_failed", (~F.col("base_failed") & F.col("__bad").isNull()).alias("kept"))
+    failed = failures() if own else F.col("base_failed")
+    return joined.select(*carry, *MEASURES, "base_failed", (~failed & F.col("__bad").isNull()).alias("kept"))

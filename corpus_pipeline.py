@@ -39,8 +39,8 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the rules and whose host is not rejected."""
-    return quality_rules.judge(docs, carry=docs.columns).where("kept").select(*docs.columns)
+    """Documents that pass all rules and whose host is not rejected."""
+    return quality_rules.judge(docs, carry=docs.columns, own=True).where("kept").select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -132,3 +132,14 @@ def test_pipeline(spark, tmp_path):
     assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), str(tmp_path)).count() == 0
     for name, apply in corpus_pipeline.STAGES[:-1]:
         assert apply(spark, docs.limit(0), str(tmp_path)).count() == 0, name
+
+
+def test_pipeline_drops_documents_that_fail_any_rule(spark):
+    """On a host that is not rejected; symbols and short or long words count like the base rules."""
+    plain = " ".join(f"word{i}" for i in range(60))
+    texts = [plain, plain + " $$" * 12, " ".join("abcdefghijk" + str(1000 + i) for i in range(60)), " ".join(chr(97 + i % 26) for i in range(60)), "few words"]
+    texts += [plain + " $", *[plain + f" more{i}" for i in range(20)]]
+    docs = spark.createDataFrame([(i, x, "s") for i, x in enumerate(texts)], "doc_id long, text string, source string")
+    kept = corpus_pipeline.rules(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == {0, *range(5, 26)}
