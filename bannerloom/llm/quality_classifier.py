@@ -72,6 +72,7 @@ def sampled(docs: DataFrame, labels: DataFrame, allowed: Column) -> list[tuple[i
     """(label, text, use) of at most SAMPLE_ROWS documents for each label and use, by hash order.
 
     Only ``labels`` is ordered; the chosen ids are few (4 x SAMPLE_ROWS) and are broadcast.
+    Of the rows of an id only the one whose text has the least hash reaches the driver.
     Documents with contradictory or null labels, and those that are not ``allowed``, are left out.
     """
     one = labels.where(F.col("doc_id").isNotNull() & allowed).groupBy("doc_id").agg(F.min("quality").alias("lo"), F.max("quality").alias("hi"))
@@ -89,7 +90,9 @@ def sampled(docs: DataFrame, labels: DataFrame, allowed: Column) -> list[tuple[i
     every = F.greatest(F.lit(1), F.ceil(F.length(text) / limit)).cast("int")
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text)), CHUNK * every)
     spread = F.concat_ws("", F.transform(starts, lambda i: F.substring(text, i, F.lit(CHUNK))))
-    return [tuple(r) for r in rows.select("__label", F.coalesce(spread, F.lit("")), "__use").orderBy("doc_id").collect()]
+    one = F.min(F.struct(F.xxhash64(text).alias("h"), F.coalesce(spread, F.lit("")).alias("text")))
+    picked = rows.groupBy("doc_id", "__label", "__use").agg(one.alias("one"))
+    return [tuple(r) for r in picked.orderBy("doc_id").select("__label", "one.text", "__use").collect()]
 
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column) -> Model:

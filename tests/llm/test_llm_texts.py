@@ -250,3 +250,11 @@ def test_lm_score_does_not_depend_on_the_bound_of_the_broadcast(docs, none, monk
     monkeypatch.setattr(lm_score, "SENT", 500, raising=False)  # many parcels
     assert scores(0) == scores(400) == whole
     assert lm_score.score(none, F.lit(True)).count() == 0
+
+
+def test_classifier_samples_one_row_of_an_id(spark):
+    rows = [(i, f"text of {i}") for i in range(20)] + [(3, f"another text {k}") for k in range(200)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    found = [quality_classifier.sampled(spark.createDataFrame(rows, "doc_id long, text string").repartition(k), labels, F.lit(True)) for k in (1, 7)]
+    assert len(found[0]) == 20 and found[0] == found[1]
+    assert {t for _, t, _ in found[0]} >= {f"text of {i}" for i in range(20) if i != 3}
