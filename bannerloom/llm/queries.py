@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bannerloom.llm import byte_bpe, embedding_dedup, line_dedup, lm_score, ngram_join, packing, quality_classifier, quality_rules, sharding, url_filter
+from bannerloom.llm import byte_bpe, embedding_dedup, embedding_whitening, license_scan, line_dedup, lm_score, ngram_join, packing
+from bannerloom.llm import quality_classifier, quality_rules, sharding, spelling_variants, url_filter
 from bannerloom.llm.common import fold
 from bannerloom.llm.url_filter import Rule
 
@@ -189,3 +190,59 @@ def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingles have a Jaccard similarity of 0.9 or more."""
     return ngram_join.join(table(spark, sf_dir, "documents", "doc_id", "text"), n=3, percent=90)
+
+
+def license_sql() -> str:
+    """The templates as regular expressions over the words of a text, the base phrases as lists of words."""
+    templates = license_scan.TEMPLATES
+    found = [f"regexp_matches(line, '{license_scan.as_pattern(license_scan.parse(t.text))} ')" for t in templates]
+    labels = ", ".join(f"CASE WHEN {f} THEN '{t.label}' END" for t, f in zip(templates, found) if not t.base)
+    base = [(t.label, license_scan.parse(t.text)) for t in templates if t.base]
+    places = ", ".join(
+        f"""list_transform(list_filter(range(1, len(words) + 1), lambda i: {" AND ".join(f"words[i + {k}] = '{w.decode()}'" for k, w in enumerate(phrase))}),
+    lambda i: {{'label': '{label}', 'at': i - 1}})"""
+        for label, phrase in base
+    )
+    sure = ", ".join(f"CASE WHEN {f} THEN {license_scan.strength(t)!r} ELSE 0.0 END" for t, f in zip(templates, found))
+    return f"""WITH w AS (SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents),
+p AS (SELECT *, ' ' || array_to_string(words, ' ') || ' ' AS line, flatten([{places}]) AS places FROM w),
+l AS (SELECT *, list_distinct(list_transform(places, lambda x: x.label)) AS base, list_filter([{labels}], lambda x: x IS NOT NULL) AS more FROM p)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base,
+  list_min(list_transform(places, lambda x: x.at)) AS first_word, list_max(list_transform(places, lambda x: x.at)) AS last_word,
+  array_to_string(list_sort(base), ',') AS base_labels, array_to_string(list_sort(list_distinct(list_concat(base, more))), ',') AS labels,
+  CAST(greatest({sure}) AS DOUBLE) AS score FROM l"""
+
+
+@query("op11_license_scan", license_sql())
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses and notices in all documents, and the places of the three base phrases."""
+    scanned = license_scan.scan(table(spark, sf_dir, "documents", "doc_id", "text"), carry=["doc_id"])
+    base, all_ = F.filter("matches", lambda m: m["base"]), F.col("matches")
+
+    def labels(places: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(places, lambda m: m["label"]))), ",")
+
+    at = F.transform(base, lambda m: m["first_word"])
+    return scanned.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(at).alias("first_word"), F.array_max(at).alias("last_word"),
+        labels(base).alias("base_labels"), labels(all_).alias("labels"),
+        F.coalesce(F.array_max(F.transform(all_, lambda m: m["strength"])), F.lit(0.0)).alias("score"),
+    )
+
+
+@query("op12_spelling_variants")
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of seven letters or more, of which every 31st run has lost a letter, with their more frequent forms."""
+    found = spelling_variants.variants(table(spark, sf_dir, "documents", "doc_id", "text"), noise=31, least=7, twice=2, times=10)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query("op13_embedding_whitening")
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first eight whitened components of all embeddings, a row for each."""
+    white = embedding_whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), components=8)
+    return white.select("*", F.posexplode("whitened").alias("at", "one")).select(
+        "vec_id", (F.col("at") + 1).cast("int").alias("component"), "n", F.expr("try_cast(deviation AS BIGINT)").alias("deviation"),
+        F.col("one").alias("whitened"), F.expr("explained[at]").alias("explained"), "identity_error",
+    )

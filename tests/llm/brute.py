@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 
@@ -100,3 +102,54 @@ def cosine_links(ids, vectors, labels, threshold):
                 links[j] += 1
                 groups.join(i, j)
     return list(zip(links, smallest(ids, groups)))
+
+
+def spelling(docs, noise, least=7, twice=2, times=10):
+    """{word: (n, near words, form, its n, root)} of (doc_id, text)."""
+    counts = Counter()
+    for doc, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            if noise and h % noise == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    counts = {w: n for w, n in counts.items() if len(w) >= least and n >= twice}
+
+    def one_edit(a, b):
+        if len(a) < len(b):
+            a, b = b, a
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        return len(a) == len(b) + 1 and any(a[:i] + a[i + 1 :] == b for i in range(len(a)))
+
+    near_words = {w: [v for v in counts if abs(len(v) - len(w)) < 2 and one_edit(w, v)] for w in counts}
+    form = {}
+    for w, near_ in near_words.items():
+        best = min(near_, key=lambda v: (-counts[v], v), default=None)
+        form[w] = best if best and counts[best] >= times * counts[w] else None
+
+    def root(w):
+        while form[w]:
+            w = form[w]
+        return w
+
+    return {w: (n, len(near_words[w]), form[w], counts.get(form[w]), root(w)) for w, n in counts.items()}
+
+
+def licenses(text, phrases):
+    """(words, [(label, place)]) of phrases, by comparing word for word."""
+    found = [w.translate(LOWER) for w in re.split(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text or "") if w]
+    return len(found), [(label, i) for i in range(len(found)) for label, p in phrases if found[i : i + len(p.split())] == p.split()]
+
+
+def whitened(vectors, components):
+    """(n, deviations, explained, whitened without signs) of vectors of one length."""
+    x = [[int(np.floor(1024.0 * float(c))) + 100000 for c in v] for v in vectors]
+    n, sums = len(x), [sum(c) for c in zip(*x)]
+    deviations = [sum((n * c - s) ** 2 for c, s in zip(v, sums)) for v in x]
+    centred = np.array([[float(Fraction(n * c - s, n)) for c, s in zip(v, sums)] for v in x])
+    covariance = centred.T @ centred / n
+    values, axes = np.linalg.eigh(covariance)
+    values, axes = values[::-1][:components], axes[:, ::-1][:, :components]
+    return n, deviations, values / np.trace(covariance), np.abs(centred @ axes / np.sqrt(values))
