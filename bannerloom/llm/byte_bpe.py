@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -173,11 +174,14 @@ def decode(docs: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decod
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = tokens.value.__getitem__
+        vocabulary = pa.array(tokens.value, pa.binary())
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
-                found = [b"".join(map(get, row or ())) for row in batch.column(batch.schema.get_field_index(ids)).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], schema.names)
+                rows = batch.column(batch.schema.get_field_index(ids))
+                first, end = rows.offsets[0].as_py(), rows.offsets[-1].as_py()
+                found = pa.ListArray.from_arrays(pc.subtract(rows.offsets, first), vocabulary.take(rows.values.slice(first, end - first)))
+                data = pc.binary_join(found, b"")
+                yield pa.RecordBatch.from_arrays([*batch.columns, pc.fill_null(data, b"")], schema.names)
 
     return docs.mapInArrow(run, schema)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pandas as pd
@@ -51,12 +53,66 @@ def fold(column: Column, folds: int) -> Column:
     return F.crc32(column.cast("string").cast("binary")) % folds
 
 
+#: Paths of staged tables that are still there, by the DataFrame that reads each.
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+#: For each scope that is open, the paths staged in it.
+_scopes: list[list[tuple[SparkSession, str]]] = []
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read again: cuts lineage, fixes generated ids."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if _scopes:
+        _scopes[-1].append((spark, path))
+    table = spark.read.schema(df.schema).parquet(path)
+    _paths[table] = path
+    return table
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    if paths:
+        # Spark removes the files of shuffles that nothing refers to when the driver collects its garbage
+        spark._jvm.System.gc()
+
+
+def free(*tables: DataFrame) -> None:
+    """Deletes staged tables that nothing that is still to be computed reads."""
+    for table in tables:
+        _delete(table.sparkSession, [p for p in [_paths.pop(table, None)] if p])
+
+
+@contextmanager
+def scope() -> Iterator[list[tuple[SparkSession, str]]]:
+    """Collects what is staged inside it, for ``release``; what is still there at its end belongs to the scope around it."""
+    made: list[tuple[SparkSession, str]] = []
+    _scopes.append(made)
+    try:
+        yield made
+    finally:
+        _scopes.pop()
+        if _scopes:
+            _scopes[-1].extend(made)
+
+
+def release(made: list[tuple[SparkSession, str]], *still_read: DataFrame) -> None:
+    """Deletes the tables of a scope but those whose files ``still_read`` reads."""
+    files = [f for df in still_read for f in df.inputFiles()]
+    gone = [(spark, path) for spark, path in made if not any(f"/{path.rsplit('/', 1)[-1]}/" in f for f in files)]
+    made[:] = [x for x in made if x not in gone]
+    if gone:
+        _delete(gone[0][0], [path for _, path in gone])
+
+
+def staged_result(df: DataFrame, name: str, made: list[tuple[SparkSession, str]]) -> DataFrame:
+    """``df`` staged, and the other tables of the scope it was made in deleted."""
+    table = stage(df, name)
+    release(made, table)
+    return table
 
 
 def numbered(df: DataFrame, key: str) -> DataFrame:
@@ -111,8 +167,10 @@ def classes(spark: SparkSession, links: DataFrame) -> DataFrame:
         small = large.join(low, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
         after = stage(small.where("a <> b").distinct(), "links")
         # a forest of stars: no node is both an end and a root, and no end has two roots
-        ends = after.groupBy("a").agg(F.count("*").alias("n"))
-        if after.join(ends.withColumnRenamed("a", "b"), "b", "left_semi").isEmpty() and ends.where("n > 1").isEmpty():
+        ends = stage(after.groupBy("a").agg(F.count("*").alias("n")), "ends")
+        done = after.join(ends.withColumnRenamed("a", "b"), "b", "left_semi").isEmpty() and ends.where("n > 1").isEmpty()
+        free(now, least, large, low, ends)
+        if done:
             roots = after.select(F.col("a").alias("node"), F.col("b").alias("root"))
             return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
         now = after

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bannerloom.llm.common import stage, words
+from bannerloom.llm.common import free, stage, words
 
 #: A count c is kept as the level 1 + floor(log_BASE c).
 BASE = 1.5
@@ -340,8 +340,12 @@ def shuffled_codes(parcels: DataFrame, model: Model, blocks: DataFrame) -> DataF
 
     asked = parcels.mapInArrow(ask, "first long, range long, hashes binary")
     answers = asked.groupBy("range").cogroup(blocks.groupBy("range")).applyInPandas(answer, "first long, range long, levels binary")
+    answers = stage(answers, "answers")
+    free(blocks)  # and the shuffled n-grams
     coded_rows = answers.groupBy("first").cogroup(parcels.groupBy("first")).applyInPandas(read, "first long, learn binary, keys binary, times binary")
-    return stage(coded_rows, "codes")
+    codes = stage(coded_rows, "codes")
+    free(answers)
+    return codes
 
 
 def row_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -413,6 +417,7 @@ def score(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame:
     frequent = spark.sparkContext.broadcast((hashes[order], times[order]))
     del hot, hashes, times
     model, blocks = build(ngrams, ranges, tokens, different)
+    free(ngrams)
     wide = model.ranges * model.bits > 8 * MAX_FILTER_BYTES
     filter_ = None if wide else spark.sparkContext.broadcast(gathered(model, blocks))
     if not wide:

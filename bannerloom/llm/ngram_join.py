@@ -20,9 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
-from bannerloom.llm.common import classes, stage, words
+from bannerloom.llm.common import classes, free, scope, stage, staged_result, words
 from bannerloom.llm.lm_score import Hashes, mix
 
 #: A band is this many times as wide as the sizes that can link with one size.
@@ -243,26 +242,24 @@ def compared(left: DataFrame, leads: DataFrame, docs: DataFrame, members: DataFr
     parts = cut(cut(nodes, ["tree"], "b", "part"), ["tree", "part"], "cid", "piece")
     tiles = stage(parts.select("cid", "n", "root", F.xxhash64("tree", "part", "piece").alias("tile")), "tiles")
     at = stage(left.select("sig", "cid").join(tiles.select("cid", "tile"), "cid").select("sig", "tile").distinct(), "at")
-    near = at.toDF("sig", "ta").join(at.toDF("sig", "tb"), "sig").where("ta <= tb").select("ta", "tb").distinct()
-    near = stage(near.withColumn("pair", F.xxhash64("ta", "tb")), "near")
+    near = stage(at.toDF("sig", "ta").join(at.toDF("sig", "tb"), "sig").where("ta <= tb").select("ta", "tb").distinct(), "near")
     # joined and made unique by one shuffle of the sets
     sets = sets_of(docs, members.join(tiles.select("cid"), "cid", "left_semi"), n)
     full = stage(tiles.join(sets, "cid").dropDuplicates(["cid"]), "full")
-    sides = near.select("pair", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("ta").alias("tile")), F.struct(F.lit(1).alias("side"), F.col("tb").alias("tile")))).alias("x"))
-    sides = sides.select("pair", "x.side", "x.tile").join(near.where("ta = tb").select("pair").withColumn("own", F.lit(True)), "pair", "left").where("side = 0 or own is null")
-    rows = sides.join(full, "tile").select("pair", "side", "cid", "n", "root", "set")
+    first, second = (F.struct(F.lit(k).alias("side"), F.col(c).alias("tile")) for k, c in ((0, "ta"), (1, "tb")))
+    sides = near.select("ta", "tb", F.explode(F.when(F.col("ta") == F.col("tb"), F.array(first)).otherwise(F.array(first, second))).alias("x"))
+    rows = sides.select("ta", "tb", "x.*").join(full, "tile").select("ta", "tb", "side", "cid", "n", "root", "set")
 
     def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         found = []
-        for _, one in group.groupby("pair", sort=False):
+        for _, one in group.groupby(["ta", "tb"], sort=False):
             a, b = one[one["side"] == 0], one[one["side"] == 1]
             found += linked(a, b if len(b) else a, percent)
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     # small pairs of tiles share a call: as many groups as make TILE_SETS rows each
-    size = rows.groupBy("pair").agg(F.count("*").alias("k"))
-    groups = max(1, (size.agg(F.sum("k")).first()[0] or 0) // TILE_SETS)
-    return rows.groupBy(F.pmod("pair", F.lit(groups)).alias("g")).applyInPandas(compare, "a long, b long")
+    groups = max(1, rows.count() // TILE_SETS)
+    return rows.groupBy(F.pmod(F.xxhash64("ta", "tb"), F.lit(groups)).alias("g")).applyInPandas(compare, "a long, b long")
 
 
 def components(docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -286,38 +283,50 @@ def components(docs: DataFrame, n: int, percent: int) -> DataFrame:
         "sets",
     )
     known = stage(some.drop("sigs").join(sets.select("k1", "k2", "cid"), ["k1", "k2"]).select("row", "doc_id", "key", "n", "cid"), "classes")
+    none = stage(rows.where("n = 0").select("doc_id", "key", "n"), "none")
     members = sets.select("cid", "doc_id", "key")
 
-    sig = Window.partitionBy("sig")
-    each = some.select("row", F.explode("sigs").alias("sig")).select("sig", "row", F.min("row").over(sig).alias("lo"), F.max("row").over(sig).alias("hi"))
-    shared = stage(each.where("lo < hi").select("sig", "row"), "shared")
+    # signatures that are met twice are found by sums of parts, and only they are kept, by a
+    # join of plain tables: a signature that very many sets share is never in one task
+    each = some.select("row", F.explode("sigs").alias("sig"))
+    twice = stage(each.groupBy("sig").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).where("lo < hi").select("sig"), "twice")
+    shared = stage(each.join(twice, "sig", "left_semi").select("sig", "row"), "shared")
+    free(rows, twice)
     # rows become classes; copies of one class in a bucket become one
     buckets = stage(shared.join(known.select("row", "cid", "n"), "row").select("sig", "cid", "n").distinct(), "buckets")
+    free(shared)
 
     # the class in most buckets leads each of its buckets: of near copies, the one least changed
-    often = buckets.withColumn("often", F.count("*").over(Window.partitionBy("cid")))
-    lead = often.groupBy("sig").agg(F.max(F.struct("often", F.col("cid").alias("b"), F.col("n").alias("m"))).alias("lead"))
-    with_lead = buckets.join(stage(lead.select("sig", "lead.b", "lead.m"), "leads"), "sig")
-    best = with_lead.where("cid <> b").groupBy("cid", "n", "b", "m").count()
+    times = stage(buckets.groupBy("cid").agg(F.count("*").alias("often")), "times")
+    lead = buckets.join(times, "cid").groupBy("sig").agg(F.max(F.struct("often", F.col("cid").alias("b"), F.col("n").alias("m"))).alias("lead"))
+    leads = stage(lead.select("sig", "lead.b", "lead.m"), "leads")
+    best = buckets.join(leads, "sig").where("cid <> b").groupBy("cid", "n", "b", "m").count()
     best = best.groupBy("cid", "n").agg(F.max_by(F.struct("b", "m"), F.struct("count", "b")).alias("best"))
     best = stage(best.select("cid", "n", "best.b", "best.m"), "best")
-    pairs = best.where(100 * F.least("n", "m") >= percent * F.greatest("n", "m")).select(F.col("cid").alias("a"), "b")
-    links = stage(verified(stage(pairs, "pairs"), docs, members, n, percent), "links")
-
-    roots = stage(classes(spark, links), "roots")
+    free(times, leads)
+    pairs = stage(best.where(100 * F.least("n", "m") >= percent * F.greatest("n", "m")).select(F.col("cid").alias("a"), "b"), "pairs")
+    with scope() as made:
+        links = staged_result(verified(pairs, docs, members, n, percent), "links", made)
+    with scope() as made:
+        roots = staged_result(classes(spark, links), "roots", made)
     named = stage(
         buckets.join(roots, buckets["cid"] == roots["node"], "left").select("sig", "cid", "n", F.coalesce("root", "cid").alias("root")), "named"
     )
-    open_ = named.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig")
+    free(buckets, roots, pairs)
+    open_ = stage(named.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig"), "open_sigs")
     left = stage(named.join(open_, "sig", "left_semi"), "open")
-    more = stage(compared(left, best.select("cid", "b"), docs, members, n, percent), "links")
-    roots = stage(classes(spark, links.unionByName(more)), "roots")
+    free(named, open_)
+    with scope() as made:
+        more = staged_result(compared(left, best.select("cid", "b"), docs, members, n, percent), "links", made)
+    with scope() as made:
+        roots = staged_result(classes(spark, links.unionByName(more)), "roots", made)
+    free(left, best, links, more)
 
     placed = known.join(roots, known["cid"] == roots["node"], "left").select(
         "doc_id", "key", F.col("n").alias("n_shingles"), "cid", F.coalesce("root", "cid").alias("component")
     )
-    none = rows.where("n = 0").select("doc_id", "key", F.col("n").alias("n_shingles"), *[F.lit(None).cast("long").alias(c) for c in ("cid", "component")])
-    return placed.unionByName(none)
+    alone = none.select("doc_id", "key", F.col("n").alias("n_shingles"), *[F.lit(None).cast("long").alias(c) for c in ("cid", "component")])
+    return placed.unionByName(alone)
 
 
 def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -330,7 +339,8 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     texts give signatures in proportion to their length. Only ``doc_id`` and ``text``
     are read; an empty table gives an empty one.
     """
-    placed = stage(components(docs, n, percent), "components")
+    with scope() as made:
+        placed = staged_result(components(docs, n, percent), "components", made)
     smallest = stage(placed.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id")), "smallest")
     joined = placed.join(smallest, "component", "left")
     return joined.select("doc_id", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
@@ -339,14 +349,22 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each component: that of the smallest id, null ids last.
 
-    Documents without words stay. Of rows with one id and one text, one stays. All
-    columns stay as they are.
+    Documents without words stay. Of rows with one id and one text, that one stays whose
+    other columns, as JSON, come first. All columns stay as they are.
     """
-    placed = stage(components(docs, n, percent), "components")
+    with scope() as made:
+        placed = staged_result(components(docs, n, percent), "components", made)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     chosen = placed.where("component is not null").groupBy("component").agg(F.min(order).alias("one")).select("one.doc_id", "one.key")
     alone = placed.where("component is null").select("doc_id", "key").distinct()
-    keep = stage(chosen.unionByName(alone).toDF("__id", "__key"), "keep")
+    # rows with one id and one text are few, and only they are sent to be compared
+    often = placed.groupBy("doc_id", "key").agg((F.count("*") > 1).alias("__often")).toDF("__of", "__of_key", "__often")
+    both = chosen.unionByName(alone).toDF("__id", "__key")
+    same = (F.col("__key") == F.col("__of_key")) & F.col("__id").eqNullSafe(F.col("__of"))
+    keep = stage(both.join(often, same).select("__id", "__key", "__often"), "keep")
     keyed = docs.withColumn("__text_key", text_key(F.col("text")))
-    kept = keyed.join(keep, (F.col("__text_key") == F.col("__key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "__text_key"]).select(*docs.columns)
+    kept = keyed.join(keep, (F.col("__text_key") == F.col("__key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id")))
+    others = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
+    first = F.min_by(F.struct(*docs.columns), F.to_json(F.struct(*others, F.lit(0).alias("__none"))))
+    repeated = kept.where("__often").groupBy("__id", "__text_key").agg(first.alias("__row")).select("__row.*")
+    return kept.where("not __often").select(*docs.columns).unionByName(repeated)

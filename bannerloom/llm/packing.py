@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -18,29 +20,79 @@ from bannerloom.llm.common import Memory, numbered, stage, with_rank
 
 #: Combining diacritical marks.
 MARKS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]")
+#: Small letters of ASCII and Latin-1, and words of these and other printable ASCII but capitals: no normalisation changes them.
+LETTERS = "a-zß-öø-ÿ"
+PLAIN = re.compile(f"[!-@\\[-`{{-~{LETTERS}]+").fullmatch
 PIECE = ["start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
 
+def piece_pattern(tokenizer: str) -> str | None:
+    """The pattern that splits ``PLAIN`` words into pieces, if each is encoded for itself by byte-level BPE; None if that is not sure.
+
+    ``tokenizer`` is its JSON. Classes of letters and digits become those of plain words.
+    """
+    about = json.loads(tokenizer)
+    normal = about["normalizer"] or {"type": "Sequence", "normalizers": []}
+    harmless = normal["type"] == "Sequence" and all(
+        n["type"] in ("NFC", "Lowercase") or (n["type"] == "Replace" and n["pattern"] == {"Regex": "\\s+"}) for n in normal["normalizers"]
+    )
+    steps = (about["pre_tokenizer"] or {}).get("pretokenizers", [])
+    if not harmless or [s["type"] for s in steps] != ["Split", "ByteLevel"] or about["model"]["type"] != "BPE":
+        return None
+    split, by_bytes = steps
+    alone = split["behavior"] == "Removed" and split["invert"] and not by_bytes["add_prefix_space"] and not by_bytes["use_regex"]
+    pattern = split["pattern"].get("Regex", "\\p").replace("\\p{L}", LETTERS).replace("\\p{N}", "0-9")
+    return pattern if alone and "\\p" not in pattern else None
+
+
+def byte_letters() -> dict[int, int]:
+    """For byte-level BPE, the letter of each byte that is not printable in Latin-1: those from 256 on, in turn."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in shown)}
+
+
+@lru_cache(maxsize=1)
 def word_encoder(path: str):
     """(text, end) -> the ids as 16-bit numbers, or 32-bit ones for a vocabulary beyond that, and their type.
 
     White space ends every token of this tokenizer, so words are encoded once and
-    remembered. It lower-cases, so A-Z is lower-cased before, but for texts with
-    combining marks: with those, capitals and small letters may compose otherwise.
+    remembered, and so are the pieces that its pattern cuts plain words into. It
+    lower-cases, so A-Z is lower-cased before, but not in texts where that may make a
+    difference: those with combining marks, with which capitals and small letters may
+    compose otherwise, and with the start of a special token's name, as such names are
+    found before. A worker keeps its memory from task to task.
     """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their names in a text are text
-    kind = "H" if tokenizer.get_vocab_size() <= 1 << 16 else "I"
-    known = Memory(lambda word: array(kind, tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes())
+    code = "H" if tokenizer.get_vocab_size() <= 1 << 16 else "I"
+    starts = {t.content[:2] for t in tokenizer.get_added_tokens_decoder().values()}
+    pattern = piece_pattern(tokenizer.to_str())
+    split = re.compile(pattern).findall if pattern else None
+    tokens, shown = tokenizer.model.tokenize, byte_letters()
+
+    def alone(data: bytes) -> bytes:
+        return array(code, tokenizer.encode(data.decode(), add_special_tokens=False).ids).tobytes()
+
+    def plain_piece(text: str) -> bytes:
+        letters = text if text.isascii() else text.encode().decode("latin-1").translate(shown)
+        return array(code, [t.id for t in tokens(letters)]).tobytes()
+
+    piece = Memory(plain_piece).__getitem__
+
+    def whole(data: bytes) -> bytes:
+        word = data.decode()
+        return b"".join(map(piece, split(word))) if split and PLAIN(word) else alone(data)
+
+    lowered, as_is = Memory(whole).__getitem__, Memory(alone).__getitem__
 
     def encode(text: str, end: int) -> bytes:
         data = text.encode()
-        data = data if not text.isascii() and MARKS.search(text) else data.lower()
-        return b"".join([*map(known.__getitem__, data.split()), array(kind, [end]).tobytes()])
+        exact = any(s in text for s in starts) or (not text.isascii() and MARKS.search(text))
+        found = map(as_is, data.split()) if exact else map(lowered, data.lower().split())
+        return b"".join([*found, array(code, [end]).tobytes()])
 
-    return encode, np.dtype(kind)
+    return encode, np.dtype(code)
 
 
 def tokenize(docs: DataFrame, path: str, window: int, end: int) -> DataFrame:
@@ -104,9 +156,35 @@ def solve(combos: np.ndarray, histogram: np.ndarray, steps: int = 300) -> np.nda
     return x
 
 
+def filling(left: np.ndarray, window: int, longest: int) -> list[int] | None:
+    """Lengths that are left and fill the window, ``longest`` first.
+
+    Greedy: one or two lengths that fill the gap, else the longest one that fits, and so on.
+    """
+    left, parts, gap = left.copy(), [longest], window - longest
+    left[longest] -= 1
+    while True:
+        if left[gap]:
+            return [*parts, gap]
+        b = np.arange(1, gap // 2 + 1)
+        often = np.minimum(left[b], left[gap - b])
+        if gap % 2 == 0 and len(b):
+            often[-1] = left[gap // 2] // 2
+        if often.max(initial=0):
+            return [*parts, int(b[often.argmax()]), int(gap - b[often.argmax()])]
+        fits = np.flatnonzero(left[:gap])
+        if not len(fits):
+            return None
+        parts.append(int(fits[-1]))
+        left[parts[-1]] -= 1
+        gap -= parts[-1]
+
+
 def plan(counts: dict[int, int], window: int) -> tuple[list[tuple[int, int, int, int, int]], list[tuple[int, int, int]], int]:
     """Where the rests of each length go, from their histogram.
 
+    The rounded solution of the least squares problem comes first; the residuals are packed
+    greedily, the longest first.
     Returns slots (length, first rank, end rank, first sequence, offset), leftovers
     (length, first rank, place of the first on the line of leftovers), and the number of
     sequences of the slots. Both lists are bounded by the window, not by the input.
@@ -117,22 +195,31 @@ def plan(counts: dict[int, int], window: int) -> tuple[list[tuple[int, int, int,
     total, slots, sequence = left.copy(), [], 0
     combos = combinations(window)
     combos = combos[((combos == 0) | (left[combos] > 0)).all(axis=1)]
+
+    def take(parts: list[int], n: int) -> None:
+        """``n`` sequences of these lengths."""
+        nonlocal sequence
+        offset = 0
+        for length in parts:
+            lo = int(total[length] - left[length])
+            slots.append((length, lo, lo + n, sequence, offset))
+            left[length] -= n
+            offset += length
+        sequence += n
+
+    def possible(parts: list[int]) -> int:
+        return min(int(left[p]) // parts.count(p) for p in parts)
+
     if len(combos):
         x = solve(combos, left.astype(float))
-        for whole in (True, False):  # the rounded solution, then greedily what still fits
-            for k in np.argsort(-x, kind="stable"):
-                parts, times = np.unique(combos[k][combos[k] > 0], return_counts=True)
-                n = int(min(left[parts] // times))
-                n = min(n, int(x[k] + 0.5)) if whole else n
-                if n == 0:
-                    continue
-                offset = 0
-                for length in combos[k][combos[k] > 0].tolist():
-                    lo = int(total[length] - left[length])
-                    slots.append((length, lo, lo + n, sequence, offset))
-                    left[length] -= n
-                    offset += length
-                sequence += n
+        for k in np.argsort(-x, kind="stable"):
+            parts = combos[k][combos[k] > 0].tolist()
+            if n := min(int(x[k] + 0.5), possible(parts)):
+                take(parts, n)
+    # greedily what is left, from the longest rest on
+    for length in range(window - 1, 0, -1):
+        while left[length] and (parts := filling(left, window, length)):
+            take(parts, possible(parts))
     rest, place = [], 0
     for length in range(window, 0, -1):  # longest first
         if left[length]:
@@ -150,8 +237,9 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end: int = 1) -> D
     """One row for each piece: the columns of ``docs`` but ``text``, and ``PIECE``.
 
     A text becomes its ids and ``end``. Whole windows are sequences of their own. The
-    rests are packed by the plan: combinations that fill a window without padding, then
-    the others end to end, longest first, cut where a window is full. Only the very last
+    rests are packed by the plan: combinations that fill a window without padding, solved
+    for and then greedy; the few that no combination is left for lie end to end, longest
+    first, cut where a window is full. Only the very last
     sequence is not full. ``ids`` holds little-endian 32-bit numbers. Only the histogram
     of the rests (as many numbers as the window is long) reaches the driver.
 

@@ -11,10 +11,13 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bannerloom.llm.common import stage
+
 #: Labelled documents that dictionaries and calibration are fitted on, for each label and use.
 SAMPLE_ROWS = 1_500
-#: Bytes of all sampled text that one fit takes, spread evenly over the sampled documents.
-SAMPLE_BYTES = 16_000_000
+#: Characters of one document that a dictionary learns from, and of the pieces that a longer
+#: one gives, evenly spread over the whole text.
+LEARNT, PIECE = 4_096, 512
 DICTIONARY_BYTES = 65_536
 CHUNK = 2_048
 
@@ -68,12 +71,12 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 100
     return w
 
 
-def sampled(docs: DataFrame, labels: DataFrame, allowed: Column) -> list[tuple[int, str, int]]:
-    """(label, text, use) of at most SAMPLE_ROWS documents for each label and use, by hash order.
+def sampled(docs: DataFrame, labels: DataFrame, allowed: Column) -> DataFrame:
+    """(doc_id, text, __label, __use) of at most SAMPLE_ROWS documents for each label and use, by hash order.
 
     Only ``labels`` is ordered; the chosen ids are few (4 x SAMPLE_ROWS) and are broadcast.
-    Of the rows of an id only the one whose text has the least hash reaches the driver.
-    Documents with contradictory or null labels, and those that are not ``allowed``, are left out.
+    Of the rows of an id only the one whose text has the least hash is taken. Documents
+    with contradictory or null labels, and those that are not ``allowed``, are left out.
     """
     one = labels.where(F.col("doc_id").isNotNull() & allowed).groupBy("doc_id").agg(F.min("quality").alias("lo"), F.max("quality").alias("hi"))
     one = one.where("lo = hi and lo in (0, 1)").select("doc_id", F.col("lo").cast("int").alias("__label"), F.xxhash64("doc_id").alias("__h"))
@@ -83,38 +86,56 @@ def sampled(docs: DataFrame, labels: DataFrame, allowed: Column) -> list[tuple[i
         ids = part if ids is None else ids.unionByName(part)
     # a document's use follows from another part of its hash, so both uses get about half of the rows
     ids = ids.select("doc_id", "__label", F.pmod(F.shiftright("__h", 7), F.lit(2)).cast("int").alias("__use"))
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-    limit = SAMPLE_BYTES // (4 * SAMPLE_ROWS)
-    # long texts give evenly spread pieces, so that no text can fill the driver
-    text = F.col("text")
-    every = F.greatest(F.lit(1), F.ceil(F.length(text) / limit)).cast("int")
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text)), CHUNK * every)
-    spread = F.concat_ws("", F.transform(starts, lambda i: F.substring(text, i, F.lit(CHUNK))))
-    one = F.min(F.struct(F.xxhash64(text).alias("h"), F.coalesce(spread, F.lit("")).alias("text")))
-    picked = rows.groupBy("doc_id", "__label", "__use").agg(one.alias("one"))
-    return [tuple(r) for r in picked.orderBy("doc_id").select("__label", "one.text", "__use").collect()]
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
+    first = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("one")
+    return stage(rows.groupBy("doc_id", "__label", "__use").agg(first).select("doc_id", "one.text", "__label", "__use"), "sample")
+
+
+def spread(text: Column) -> Column:
+    """Texts of up to LEARNT characters whole, of longer ones LEARNT characters in pieces, evenly spread from start to end."""
+    pieces = LEARNT // PIECE
+    start = lambda i: F.floor((F.length(text) - PIECE) * i / (pieces - 1)).cast("int") + 1
+    some = F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)), lambda i: F.substring(text, start(i), F.lit(PIECE)))
+    return F.when(F.length(text) <= LEARNT, F.array(text)).otherwise(some)
+
+
+def measured(docs: DataFrame, by: tuple[bytes, bytes], text: str) -> Column:
+    """(difference, size) of each whole text by the dictionaries, see ``features``."""
+    shared = docs.sparkSession.sparkContext.broadcast(by)
+
+    @F.pandas_udf("d double, r double")
+    def apply(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        with_dictionary = compressors(*shared.value)
+        for texts in batches:
+            yield pd.DataFrame([features((t or "").encode(), with_dictionary) for t in texts], columns=["d", "r"], dtype="float64")
+
+    return apply(F.col(text))
 
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column) -> Model:
     """Dictionaries from one half of a bounded sample of labelled documents, calibration on the other.
 
-    Without both labels in the sample every score is the constant's.
+    The dictionaries learn from LEARNT characters of a document at most, as only these
+    come to the driver; the calibration documents are measured whole, in tasks. Without
+    both labels in the sample every score is the constant's.
     """
     rows = sampled(docs, labels, allowed)
+    learnt = rows.where("__use = 0").orderBy("doc_id").select("__label", spread(F.col("text")).alias("pieces")).collect()
     dictionaries = []
     for label in (1, 0):
-        pieces = [c for y, text, use in rows if y == label and use == 0 for c in chunks(text.encode())]
+        pieces = [c for r in learnt if r[0] == label for x in r[1] for c in chunks(x.encode())]
         try:
             trained = zstd.train_dictionary(DICTIONARY_BYTES, pieces, level=3).as_bytes()
         except (zstd.ZstdError, ValueError):  # too little text: the text itself
             trained = b"".join(pieces)[:DICTIONARY_BYTES]
         dictionaries.append(trained if len(trained) >= 8 else b"")
-    by = compressors(*dictionaries)
-    rest = [(y, text) for y, text, use in rows if use == 1] or [(y, text) for y, text, _ in rows]
-    y = np.array([r[0] for r in rest], float)
+    rest = rows.where("__use = 1")
+    rest = rows if rest.isEmpty() else rest
+    got = rest.select("doc_id", "__label", measured(rest, tuple(dictionaries), "text").alias("m")).orderBy("doc_id").select("__label", "m.d", "m.r").collect()
+    y = np.array([r[0] for r in got], float)
     if not len(y) or y.min() == y.max():
         return Model(*dictionaries, [0.0] * 8, [0.0] * 4 + [4.0 if len(y) and y.max() else 0.0])
-    x = vector(np.array([features(t.encode(), by) for _, t in rest]))
+    x = vector(np.array([[r[1], r[2]] for r in got]))
     center, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     return Model(*dictionaries, [*center, *scale], logistic((x - center) / scale, y).tolist())
 

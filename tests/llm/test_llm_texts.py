@@ -10,7 +10,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from bannerloom.llm import byte_bpe, line_dedup, lm_score, ngram_join, packing, quality_classifier, quality_rules, sharding
+from bannerloom.llm import byte_bpe, common, line_dedup, lm_score, ngram_join, packing, quality_classifier, quality_rules, sharding
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -171,7 +171,6 @@ def test_perfect_hash_is_perfect_and_minimal():
 
 def test_packing(docs, none, texts):
     tokenizer = Tokenizer.from_file(WORDS)
-    tokenizer.encode_special_tokens = True
     pieces = packing.pack(docs, WORDS, window=256, end=1)
     assert pieces.columns == [c for c in docs.columns if c != "text"] + packing.PIECE
     rows = pieces.select("doc_id", *packing.PIECE).collect()
@@ -255,6 +254,81 @@ def test_lm_score_does_not_depend_on_the_bound_of_the_broadcast(docs, none, monk
 def test_classifier_samples_one_row_of_an_id(spark):
     rows = [(i, f"text of {i}") for i in range(20)] + [(3, f"another text {k}") for k in range(200)]
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(20)], "doc_id long, quality int, toxic int")
-    found = [quality_classifier.sampled(spark.createDataFrame(rows, "doc_id long, text string").repartition(k), labels, F.lit(True)) for k in (1, 7)]
+    found = [
+        sorted(map(tuple, quality_classifier.sampled(spark.createDataFrame(rows, "doc_id long, text string").repartition(k), labels, F.lit(True)).collect()))
+        for k in (1, 7)
+    ]
     assert len(found[0]) == 20 and found[0] == found[1]
-    assert {t for _, t, _ in found[0]} >= {f"text of {i}" for i in range(20) if i != 3}
+    assert {t for _, t, _, _ in found[0]} >= {f"text of {i}" for i in range(20) if i != 3}
+
+
+def test_classifier_learns_from_all_parts_of_a_text(spark):
+    """No prefixes: texts of up to 4,096 characters are whole, the pieces of longer ones reach their ends."""
+    sizes = [0, 1, 511, 2047, 2667, 3000, 4096, 4097, 5000, 100_000]
+    texts_ = spark.createDataFrame([(n, "".join(chr(33 + i * 90 // n) for i in range(n))) for n in sizes], "n long, text string")
+    for r in texts_.select("n", "text", quality_classifier.spread(F.col("text")).alias("pieces")).collect():
+        whole = "".join(r.pieces)
+        if r.n <= 4096:
+            assert whole == r.text
+        else:
+            assert len(whole) == 4096 and r.pieces[-1] == r.text[-512:] and r.pieces[0] == r.text[:512]
+            assert [r.text.find(x[:1]) <= k * (r.n - 512) // 7 for k, x in enumerate(r.pieces)] == [True] * 8
+            assert len({x[:1] for x in r.pieces}) == 8
+
+
+def test_classifier_measures_whole_texts(spark):
+    """Scores, by the plain formula over all chunks of the text."""
+    import zstandard
+
+    good, bad = " ".join(f"the of and thing{i % 7} when" for i in range(300)), " ".join(f"$$ BUY {i % 5} !!" for i in range(300))
+    rows = [(i, (good if i % 2 else bad)[: 300 + 37 * i]) for i in range(80)]
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int")
+    model = quality_classifier.fit(made, labels, F.lit(True))
+    by = [zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(d) if d else None) for d in (model.good, model.bad, b"")]
+    for r in quality_classifier.score(made, model).collect():
+        data = r.text.encode()
+        g, b, plain = (sum(len(c.compress(data[k : k + 2048])) for k in range(0, len(data), 2048)) for c in by)
+        d, s = (b - g) / (b + g), plain / len(data)
+        x = (np.array([d, s, d * s, s * s]) - np.array(model.center[:4])) / np.array(model.center[4:])
+        assert abs(r.score - 1 / (1 + np.exp(-(x @ np.array(model.weights[:4]) + model.weights[4])))) < 1e-9
+        assert (r.score > 0.5) == bool(r.doc_id % 2)
+
+
+def test_packing_ids_of_special_names(spark):
+    tokenizer = Tokenizer.from_file(WORDS)
+    texts_ = ["some <|endoftext|> text", "a<|startoftext|>b C", "<|EndOfText|> X", "<| x", "<|endoftext|><|endoftext|>", "E\u0301 É <|endoftext|>", "plain Text", ""]
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string"), WORDS, window=4096, end=1).orderBy("doc_id").collect()
+    got = {}
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.start)):
+        got[r.doc_id] = got.get(r.doc_id, []) + np.frombuffer(r.ids, "<u4").tolist()
+    assert got == {i: tokenizer.encode(t, add_special_tokens=False).ids + [1] for i, t in enumerate(texts_)}
+
+
+def test_most_rests_come_from_the_plan():
+    rng = np.random.default_rng(4)
+    lengths = np.clip(rng.lognormal(5.5, 1.3, 1000).astype(int), 1, 100_000) % 2048
+    counts = {int(k): int(n) for k, n in Counter(lengths.tolist()).items() if k}
+    slots, rest, sequences = packing.plan(counts, 2048)
+    left = sum(counts[length] - lo for length, lo, _ in rest)
+    assert left < 0.1 * sum(counts.values())
+    room = np.zeros(sequences, int)
+    for length, lo, hi, first, offset in slots:
+        assert (room[first : first + hi - lo] == offset).all()
+        room[first : first + hi - lo] += length
+    assert (room == 2048).all()
+
+
+def test_freed_tables_are_gone_and_results_stay(spark):
+    import os
+
+    with common.scope() as made:
+        a = common.stage(spark.range(10), "a")
+        b = common.stage(a.where("id > 2"), "b")
+        with common.scope() as inner:
+            c = common.staged_result(b.where("id > 5"), "c", inner)
+        paths = [p for _, p in made]
+        result = common.staged_result(c.where("id > 6"), "result", made)
+    assert result.count() == 3 and not any(os.path.exists(p) for p in paths) and len(paths) == 3
+    common.free(result)
+    common.free(result)  # nothing more to do
