@@ -41,10 +41,12 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def tidy(apply: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    """The stage, which first deletes the tables of earlier ones that ``docs`` does not read."""
+    """The stage, which first deletes the tables of earlier ones of this run that ``docs`` does not read."""
 
     @wraps(apply)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if apply.__name__ == STAGES[0][1].__name__:
+            _written.clear()  # another run, whose result may not have been read yet
         release(_written, docs)
         with scope() as made:
             result = apply(spark, docs, sf_dir)
