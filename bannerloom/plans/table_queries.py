@@ -424,6 +424,71 @@ def _(v: Views) -> DataFrame:
     return modify.bulk_counts(_orders(v), v.ops, "o_orderkey", "o_totalprice", ordered=False)
 
 
+def _orders_with_null(v: Views) -> DataFrame:
+    """Orders, of which the first has a NULL key."""
+    first = F.when(F.col("o_orderkey") != 1, F.col("o_orderkey"))
+    return _orders(v).withColumn("o_orderkey", first)
+
+
+# every 50th operation goes to the NULL key; an operation gives the price, the status or both
+WHOLE_ROWS = with_views("@", "ops", "ev", recursive=True).replace(
+    "\n@",
+    """,
+base AS (SELECT NULLIF(o_orderkey, 1) AS o_orderkey, o_totalprice, o_orderstatus FROM orders),
+given AS (SELECT seq, CASE WHEN seq % 50 <> 0 THEN o_orderkey END AS o_orderkey, op, amount, seq % 3 <> 1 AS has_price,
+  UPPER(event_type[1]) AS status, seq % 3 <> 2 AS has_status FROM ops JOIN ev ON event_id = seq),
+queue AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY o_orderkey ORDER BY seq) AS i FROM given),
+run AS (
+  SELECT k.o_orderkey, CAST(0 AS BIGINT) AS i, b.o_orderstatus IS NOT NULL AS present, CAST(o_totalprice AS DECIMAL(38,9)) AS price, o_orderstatus AS status
+  FROM (SELECT o_orderkey FROM base UNION SELECT o_orderkey FROM given) k LEFT JOIN base b ON b.o_orderkey IS NOT DISTINCT FROM k.o_orderkey
+  UNION ALL
+  SELECT r.o_orderkey, q.i,
+    CASE WHEN op = 'delete' THEN FALSE WHEN op IN ('insert', 'upsert') THEN TRUE ELSE present END,
+    CASE WHEN op = 'delete' THEN NULL
+         WHEN NOT present THEN CASE WHEN op IN ('insert', 'upsert') AND has_price THEN CAST(amount AS DECIMAL(38,9)) END
+         WHEN has_price AND op IN ('set', 'upsert') THEN CAST(amount AS DECIMAL(38,9))
+         WHEN has_price AND op = 'inc' THEN CAST(price + CAST(amount AS DECIMAL(38,9)) AS DECIMAL(38,9)) ELSE price END,
+    CASE WHEN op = 'delete' THEN NULL
+         WHEN NOT present THEN CASE WHEN op IN ('insert', 'upsert') AND has_status THEN q.status END
+         WHEN has_status AND op IN ('set', 'upsert') THEN q.status ELSE r.status END
+  FROM run r JOIN queue q ON q.o_orderkey IS NOT DISTINCT FROM r.o_orderkey AND q.i = r.i + 1
+)
+SELECT o_orderkey, ROUND(CAST(s.b AS DOUBLE), 2) AS o_totalprice, s.c AS o_orderstatus
+FROM (SELECT o_orderkey, ARG_MAX(struct_pack(a := present, b := price, c := status), i) AS s FROM run GROUP BY 1) m WHERE s.a""",
+)
+
+
+@query("bulk_whole_rows", WHOLE_ROWS)
+def _(v: Views) -> DataFrame:
+    seq, status = F.col("seq"), F.upper(F.substring("event_type", 1, 1))
+    ops = v.ops.join(v.events.select(F.col("event_id").alias("seq"), "event_type"), "seq").select(
+        "seq",
+        F.when(seq % 50 != 0, F.col("o_orderkey")).alias("o_orderkey"),
+        "op",
+        F.col("amount").alias("o_totalprice"),
+        status.alias("o_orderstatus"),
+        F.array_compact(F.array(F.when(seq % 3 != 1, F.lit("o_totalprice")), F.when(seq % 3 != 2, F.lit("o_orderstatus")))).alias("given"),
+    )
+    return _cents(modify.bulk_rows(_orders_with_null(v), ops, "o_orderkey", ["o_totalprice", "o_orderstatus"], "given"))
+
+
+@query(
+    "replace_upsert",
+    _with_last_set(
+        """SELECT CASE WHEN l.seen THEN l.o_orderkey ELSE o.o_orderkey END AS o_orderkey,
+  CASE WHEN l.seen THEN amount ELSE o_totalprice END AS o_totalprice, CASE WHEN l.seen THEN 'N' ELSE o_orderstatus END AS o_orderstatus
+FROM (SELECT NULLIF(o_orderkey, 1) AS o_orderkey, o_totalprice, o_orderstatus FROM orders) o
+FULL JOIN (SELECT NULLIF(o_orderkey, 240) AS o_orderkey, amount, TRUE AS seen FROM last_set) l
+  ON o.o_orderkey IS NOT DISTINCT FROM l.o_orderkey"""
+    ),
+)
+def _(v: Views) -> DataFrame:
+    """Whole rows, of which one has a NULL key, replace orders and are new ones where there is none."""
+    key = F.when(F.col("o_orderkey") != 240, F.col("o_orderkey"))
+    rows = _settings(v).withColumn("o_orderkey", key).withColumn("o_orderstatus", F.lit("N"))
+    return modify.replace_by_key(_orders_with_null(v), rows, "o_orderkey", upsert=True)
+
+
 def feed(v: Views) -> DataFrame:
     """Changes of orders after the last set of every key and the removal of cheap rows."""
     before = _orders(v)

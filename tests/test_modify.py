@@ -150,3 +150,77 @@ def test_map_reduce_modes(spark):
     assert rows(find.map_reduce(counts("bbc"), emit, F.sum, old, "reduce")) == [("a", 2), ("b", 3), ("c", 1)]
     with pytest.raises(ValueError):
         find.map_reduce(counts("b"), emit, F.sum, old, "other")
+
+
+def test_null_is_a_key(spark):
+    base = spark.createDataFrame([(None, "a", 1.0), (1, "b", 2.0)], "k long, s string, v double")
+    change = spark.createDataFrame([(None, 9.0)], "k long, v double")
+    assert rows(modify.upsert(base, change, "k")) == [(1, "b", 2.0), (None, "a", 9.0)]
+    assert modify.upsert_counts(base, change, "k").first().asDict() == {"matched": 1, "modified": 1, "upserted": 0}
+    new = spark.createDataFrame([(None, None, 5.0), (7, "x", None)], "k long, s string, v double")
+    assert rows(modify.replace_by_key(base, new, "k")) == [(1, "b", 2.0), (None, None, 5.0)]
+    assert rows(modify.replace_by_key(base, new, "k", upsert=True)) == [(1, "b", 2.0), (7, "x", None), (None, None, 5.0)]
+    assert modify.replace_counts(base, new, "k", upsert=True).first().asDict() == {"matched": 1, "modified": 1, "upserted": 1}
+    assert modify.replace_counts(base, base, "k").first().asDict() == {"matched": 2, "modified": 0, "upserted": 0}
+    ops = spark.createDataFrame([(1, None, "inc", 2.0), (2, 8, "insert", 1.0), (3, None, "set", 3.0)], OPS)
+    assert rows(modify.bulk_write(base, ops, "k", "v")) == [(1, "b", 2.0), (8, None, 1.0), (None, "a", 3.0)]
+    assert modify.bulk_counts(base, ops, "k", "v").first().asDict() == {
+        "inserted": 1, "matched": 2, "modified": 1, "upserted": 0, "removed": 0, "rejected": 0}
+
+
+@pytest.mark.parametrize("chunk", [2, 10**6])
+def test_small_and_large_numbers_keep_their_digits(spark, chunk, monkeypatch):
+    monkeypatch.setattr(skew, "FOLD_ROWS", chunk)
+    base = spark.createDataFrame([(1, 0.0), (2, 1e30), (3, 0.0), (4, 1.0), (5, 1e308)], "k long, v double")
+    ops = [(1, 1, "inc", 1e-9), (2, 1, "inc", 1e-9), (3, 2, "inc", 1e-9), (4, 2, "inc", -1e30), (5, 3, "set", 1e-10), (6, 4, "inc", 1e30),
+           (7, 4, "inc", 1e-10), (8, 4, "inc", -1e30), (9, 5, "inc", 1e308), (10, 5, "inc", 1.0), (11, 6, "insert", 1e30)]
+    made = spark.createDataFrame(ops, OPS)
+    got = dict(rows(modify.bulk_write(base, made, "k", "v")))
+    assert got == {1: 2e-9, 2: 1e-9, 3: 1e-10, 4: 1.0000000001, 5: float("inf"), 6: 1e30}
+    assert modify.bulk_counts(base, made, "k", "v").first().asDict() == {
+        "inserted": 1, "matched": 10, "modified": 10, "upserted": 0, "removed": 0, "rejected": 0}
+
+
+def test_whole_numbers_and_decimals_stay_exact(spark):
+    big = 9_007_199_254_740_993
+    base = spark.sql(f"SELECT 1L AS k, {big}L AS n, CAST('12345678901234567890.12' AS DECIMAL(30,2)) AS d")
+    ops = spark.sql("SELECT 1L AS seq, 1L AS k, 'inc' AS op, 2L AS n, CAST('0.01' AS DECIMAL(30,2)) AS d")
+    r = modify.bulk_rows(base, ops, "k", ["n", "d"]).first()
+    assert r.n == big + 2 and str(r.d) == "12345678901234567890.13"
+
+
+def run_rows(base, ops, fields):
+    """Whole-row operations one after the other; (seq, key, op, values, touched)."""
+    table = {k: dict(r) for k, r in base.items()}
+    for _, k, op, values, touched in ops:
+        given = {c: values[c] for c in fields if c in touched}
+        if op == "delete":
+            table.pop(k, None)
+        elif k not in table:
+            if op in ("insert", "upsert"):
+                table[k] = {**dict.fromkeys(fields), "kept": None, **given}
+        elif op in ("set", "upsert"):
+            table[k].update(given)
+        elif op == "inc":
+            for c, x in given.items():
+                if c != "s":
+                    table[k][c] = None if table[k][c] is None or x is None else table[k][c] + x
+    return table
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("ordered", [True, False])
+def test_bulk_of_whole_rows(spark, seed, ordered, monkeypatch):
+    if seed:
+        monkeypatch.setattr(skew, "FOLD_ROWS", 10)
+    r, fields = random.Random(seed), ["s", "v", "n"]
+    some = lambda: {"s": r.choice(["a", "b", None]), "v": r.choice([0.0, 1.0, None]), "n": r.randrange(3)}
+    base = {k: {**some(), "kept": f"k{k}"} for k in [None, *range(0, 20, 2)]}
+    ops = [(i, 0 if r.random() < 0.3 else r.choice([None, *range(20)]), r.choice(["insert", "upsert", "set", "inc", "delete"]), some(),
+            r.sample(fields, r.randrange(4))) for i in range(300)]
+    want = run_rows(base, ops if ordered else sorted(ops, key=lambda o: (modify.UNORDERED_RANK[o[2]], o[0])), fields)
+    b = spark.createDataFrame([(k, x["s"], x["v"], x["n"], x["kept"]) for k, x in base.items()], "k long, s string, v double, n int, kept string")
+    o = spark.createDataFrame([(i, k, op, x["s"], x["v"], x["n"], t) for i, k, op, x, t in ops],
+                              "seq long, k long, op string, s string, v double, n int, given array<string>")
+    got = modify.bulk_rows(b, o, "k", fields, "given", ordered).collect()
+    assert {x.k: {c: x[c] for c in [*fields, "kept"]} for x in got} == want
