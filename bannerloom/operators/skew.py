@@ -22,7 +22,7 @@ import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from bannerloom.session import scratch_dir
@@ -115,83 +115,89 @@ def _attach(left: DataFrame, right: DataFrame, keys: Sequence[str], small: bool)
     return left.join(F.broadcast(renamed) if small else renamed, cond, "left").drop(*[f"_r_{k}" for k in keys])
 
 
-def _slice_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], slice_of: Column) -> DataFrame:
-    """Adds ``_slice``: the slice of rows of large keys, NULL for all other rows."""
+def _parted(df: DataFrame, keys: Sequence[str], min_rows: int | None) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of usual keys and those of large ones (None if there are none)."""
+    hot = hot_keys(df, keys, min_rows)
+    if hot is None:
+        return df, None
     marked = _attach(df, hot.select(*keys, F.lit(True).alias("_hot")), keys, small=True)
-    return marked.withColumn("_slice", F.when(F.col("_hot"), slice_of))
+    return marked.where(F.col("_hot").isNull()).drop("_hot"), marked.where(F.col("_hot")).drop("_hot")
 
 
-def running_max(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Order,
-    value: Column,
-    slice_of: Column,
-    out: str,
-    min_rows: int | None = None,
-) -> DataFrame:
-    """max(value) over all rows of the key up to the current one.
+def _in_pieces(df: DataFrame, keys: Sequence[str], order: Order) -> DataFrame:
+    """Range partitions by key and order, written, with ``_piece`` and ``_id``, which grows along both.
 
-    ``slice_of`` is a coarsening of the leading order column (for example the
-    hour of a timestamp): it must not decrease along ``order``.
+    The rows are written as their partitions must not change afterwards. A key fills as
+    many pieces as its rows need, whatever values the order has.
     """
-
-    def so_far(*by: str) -> Column:
-        w = Window.partitionBy(*by).orderBy(*sort_columns(order))
-        return F.max(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-
-    hot = hot_keys(df, keys, min_rows)
-    if hot is None:
-        return df.withColumn(out, so_far(*keys))
-    cut = _slice_hot(df, hot, keys, slice_of)
-    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        cut.where(F.col("_hot"))
-        .groupBy(*keys, "_slice")
-        .agg(F.max(value).alias("_m"))
-        .withColumn("_carry", F.max("_m").over(earlier))
-        .select(*keys, "_slice", "_carry")
-    )
-    joined = _attach(cut.withColumn(out, so_far(*keys, "_slice")), carried, [*keys, "_slice"], small=False)
-    return joined.withColumn(out, F.greatest(out, "_carry")).drop("_hot", "_slice", "_carry")
+    sort = [*[F.col(k).asc_nulls_first() for k in keys], *sort_columns(order)]
+    ranged = df.repartitionByRange(*sort).sortWithinPartitions(*sort).withColumn("_id", F.monotonically_increasing_id())
+    path = scratch_dir(df.sparkSession, "pieces")
+    ranged.withColumn("_piece", F.shiftright("_id", 33)).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
-def previous_row(
+def _scanned(
     df: DataFrame,
     keys: Sequence[str],
     order: Order,
-    columns: dict[str, str],
-    slice_of: Column,
-    min_rows: int | None = None,
+    own: Callable[[WindowSpec], Column],
+    summary: Column,
+    carry: Callable[[Column, WindowSpec], Column],
+    both: Callable[[Column, Column], Column],
+    out: str,
 ) -> DataFrame:
-    """lag() of several columns per key: ``columns`` maps source to output name.
+    """A prefix scan in parallel: what a window gives in each piece, and what the pieces before pass on.
 
-    ``order`` is ascending; ``slice_of`` as for running_max.
+    ``own`` is computed in each piece, ``summary`` aggregates a piece's rows of a key, ``carry``
+    scans the summaries of a key's pieces, and ``both`` puts a row's own value and what is
+    carried into its piece together. There are at most as many summaries as large keys
+    and pieces, so they are broadcast.
     """
-    if not all(asc for _, asc in order):
-        raise ValueError("the order must be ascending")
-    packed = F.struct(*[F.col(c) for c in columns])
-
-    def before(*by: str) -> Column:
-        return F.lag(packed).over(Window.partitionBy(*by).orderBy(*sort_columns(order)))
+    cut = _in_pieces(df, keys, order)
+    parts = cut.groupBy(*keys, "_piece").agg(summary.alias("_s"))
+    passed = parts.withColumn("_carry", carry(F.col("_s"), Window.partitionBy(*keys).orderBy("_piece"))).drop("_s")
+    inside = cut.withColumn("_own", own(Window.partitionBy(*keys, "_piece").orderBy("_id")))
+    joined = _attach(inside, passed, [*keys, "_piece"], small=True)
+    return joined.select(*df.columns, both(F.col("_own"), F.col("_carry")).alias(out))
+
+
+def running_max(df: DataFrame, keys: Sequence[str], order: Order, value: Column, out: str, min_rows: int | None = None) -> DataFrame:
+    """max(value) over all rows of the key up to the current one; ``order`` must be total within a key."""
+    before_and_here = (Window.unboundedPreceding, Window.currentRow)
+    usual, large = _parted(df, keys, min_rows)
+    done = usual.withColumn(out, F.max(value).over(Window.partitionBy(*keys).orderBy(*sort_columns(order)).rowsBetween(*before_and_here)))
+    if large is None:
+        return done
+    return done.unionByName(
+        _scanned(
+            large, keys, order,
+            own=lambda w: F.max(value).over(w.rowsBetween(*before_and_here)),
+            summary=F.max(value),
+            carry=lambda s, w: F.max(s).over(w.rowsBetween(Window.unboundedPreceding, -1)),
+            both=F.greatest,  # passes over NULLs
+            out=out,
+        )
+    )
 
-    def unpack(rows: DataFrame, prev: Column) -> DataFrame:
-        return rows.withColumns({out: prev[src] for src, out in columns.items()})
 
-    hot = hot_keys(df, keys, min_rows)
-    if hot is None:
-        return unpack(df.withColumn("_p", before(*keys)), F.col("_p")).drop("_p")
-    cut = _slice_hot(df, hot, keys, slice_of)
-    last_in_slice = F.max_by(packed, F.struct(*[F.col(c) for c, _ in order]))
-    carried = (
-        cut.where(F.col("_hot"))
-        .groupBy(*keys, "_slice")
-        .agg(last_in_slice.alias("_l"))
-        .withColumn("_carry", F.lag("_l").over(Window.partitionBy(*keys).orderBy("_slice")))
-        .select(*keys, "_slice", "_carry")
-    )
-    joined = _attach(cut.withColumn("_p", before(*keys, "_slice")), carried, [*keys, "_slice"], small=False)
-    return unpack(joined, F.coalesce(F.col("_p"), F.col("_carry"))).drop("_hot", "_slice", "_p", "_carry")
+def previous_row(df: DataFrame, keys: Sequence[str], order: Order, columns: dict[str, str], min_rows: int | None = None) -> DataFrame:
+    """lag() of several columns per key: ``columns`` maps source to output name; ``order`` must be total within a key."""
+    packed = F.struct(*[F.col(c) for c in columns])
+    usual, large = _parted(df, keys, min_rows)
+    done = usual.withColumn("_p", F.lag(packed).over(Window.partitionBy(*keys).orderBy(*sort_columns(order))))
+    if large is not None:
+        done = done.unionByName(
+            _scanned(
+                large, keys, order,
+                own=lambda w: F.lag(packed).over(w),
+                summary=F.max_by(packed, F.col("_id")),
+                carry=lambda s, w: F.lag(s).over(w),
+                both=F.coalesce,
+                out="_p",
+            )
+        )
+    return done.withColumns({new: F.col("_p")[c] for c, new in columns.items()}).drop("_p")
 
 
 def row_numbers(
@@ -221,17 +227,12 @@ def row_numbers(
 
 
 def _ranged_numbers(df: DataFrame, keys: Sequence[str], order: Order, out: str) -> DataFrame:
-    """Range partitions in order, numbered inside, plus what lies in the partitions before.
+    """Pieces in order, numbered inside, plus what lies in the pieces before.
 
-    The numbered rows are written, as their partitions must not change afterwards. In a
-    partition the rows of a key follow each other, so a row's number there is its
+    In a piece the rows of a key follow each other, so a row's number there is its
     distance from the key's first row.
     """
-    sort = [*[F.col(k).asc_nulls_first() for k in keys], *sort_columns(order)]
-    ranged = df.repartitionByRange(*sort).sortWithinPartitions(*sort).withColumn("_id", F.monotonically_increasing_id())
-    path = scratch_dir(df.sparkSession, "numbers")
-    ranged.withColumn("_piece", F.shiftright("_id", 33)).write.parquet(path)
-    cut = df.sparkSession.read.parquet(path)
+    cut = _in_pieces(df, keys, order)
     before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     # a row for each key and piece
     offsets = (

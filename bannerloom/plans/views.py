@@ -68,7 +68,6 @@ class Views:
             ["user_id"],
             [("ts", True), ("event_id", True)],
             F.when(F.col("event_type") == "click", F.col("event_id")),
-            F.date_trunc("hour", "ts"),
             "click_id",
         )
         return with_click.where(

@@ -51,7 +51,6 @@ def remembered(responses: DataFrame, min_rows: int | None = None) -> DataFrame:
         ["user_key"],
         [("ts", True), ("request_id", True)],
         {"picks": "_ids", "ts": "_at"},
-        F.date_trunc("hour", "ts"),
         min_rows,
     )
     alive = F.col("user_key").isNotNull() & (F.col("ts") - F.col("_at") <= F.make_dt_interval(F.lit(COOKIE_DAYS)))

@@ -58,7 +58,7 @@ def test_large_keys_do_not_reach_the_shuffled_join(rows):
 def test_running_max(rows, min_rows):
     w = Window.partitionBy("user").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
     want = rows.withColumn("m", F.max("value").over(w))
-    got = skew.running_max(rows, ["user"], ORDER, F.col("value"), F.floor(F.col("t") / 10), "m", min_rows)
+    got = skew.running_max(rows, ["user"], ORDER, F.col("value"), "m", min_rows)
     same(got.select(want.columns), want)
 
 
@@ -66,13 +66,38 @@ def test_running_max(rows, min_rows):
 def test_previous_row(rows, min_rows):
     w = Window.partitionBy("user").orderBy("t", "id")
     want = rows.withColumn("pv", F.lag("value").over(w)).withColumn("pt", F.lag("t").over(w))
-    got = skew.previous_row(rows, ["user"], ORDER, {"value": "pv", "t": "pt"}, F.floor(F.col("t") / 10), min_rows)
+    got = skew.previous_row(rows, ["user"], ORDER, {"value": "pv", "t": "pt"}, min_rows)
     same(got.select(want.columns), want)
 
 
-def test_previous_row_needs_ascending_order(rows):
-    with pytest.raises(ValueError):
-        skew.previous_row(rows, ["user"], [("t", False)], {"value": "v"}, F.col("t"))
+@pytest.mark.parametrize("min_rows", [1, 500, 5000])
+def test_previous_row_in_descending_order(rows, min_rows):
+    w = Window.partitionBy("user").orderBy(F.col("t").desc(), "id")
+    got = skew.previous_row(rows, ["user"], [("t", False), ("id", True)], {"value": "pv"}, min_rows)
+    same(got, rows.withColumn("pv", F.lag("value").over(w)))
+
+
+@pytest.fixture
+def small_pieces(spark):
+    """Pieces are not put together, though these tables are small."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.set(name, "true")
+
+
+def test_a_third_of_the_rows_in_one_second(spark, small_pieces):
+    """One user with a third of all rows, all at one time: many tasks share them, and the results are those of plain windows."""
+    rows = spark.range(30_000).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("user"), F.lit(5).alias("t"), F.xxhash64("id").alias("value")
+    )
+    w = Window.partitionBy("user").orderBy("t", "id")
+    got = skew.running_max(rows, ["user"], ORDER, F.col("value"), "m", 1000)
+    same(got, rows.withColumn("m", F.max("value").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    got = skew.previous_row(rows, ["user"], ORDER, {"value": "pv"}, 1000)
+    same(got, rows.withColumn("pv", F.lag("value").over(w)))
+    pieces = skew._in_pieces(rows.where("user = 0"), ["user"], ORDER).groupBy("_piece").count().collect()
+    assert len(pieces) > 1 and max(r["count"] for r in pieces) < 10_000
 
 
 @pytest.mark.parametrize("min_rows", [1, 500])
