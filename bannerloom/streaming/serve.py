@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming.stateful_processor import TimerValues
 
 from bannerloom.functions.requests import COOKIE_DAYS
 from bannerloom.operators import requests as requests_op
@@ -58,31 +60,57 @@ def remembered(responses: DataFrame, min_rows: int | None = None) -> DataFrame:
     return before.withColumn("seen", F.when(alive, F.col("_ids")).otherwise(empty)).drop("_ids", "_at")
 
 
+#: Visits that are answered in one frame.
+ANSWERED = 10_000
+NO_CAMPAIGN = -(1 << 62)  # stands for NULL
+LAST = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("at", T.LongType())])
 VISIT_OUT = "user_key long, request_id long, campaign_id int, seen array<int>, picks array<int>"
 
 
-def _with_memory(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One user's visits in time order; the served list is remembered for the next one."""
-    if state.hasTimedOut:
-        state.remove()
-        return
-    ids, at = state.get if state.exists else ([], None)
-    ids, rows = list(ids), []
-    visits = pd.concat(list(batches)).sort_values(["ts", "request_id"])
-    for visit in visits.itertuples():
-        now = int(visit.ts.value // 1_000_000)
-        seen = ids if at is not None and now - at <= COOKIE_DAYS * DAY_MS else []
-        if visit.pool is None:
-            picks = [] if visit.fixed is None else list(visit.fixed)
-        else:
-            known = set(seen)
-            ranked = sorted(visit.pool, key=lambda b: b in known)  # stable: rank order within each part
-            picks = ranked[: serving.TOP_TIER]
-        rows.append((key[0], visit.request_id, visit.campaign_id, seen, picks))
-        ids, at = [int(b) for b in picks], now
-    state.update((ids, at))
-    state.setTimeoutDuration(COOKIE_DAYS * DAY_MS)
-    yield pd.DataFrame(rows, columns=["user_key", "request_id", "campaign_id", "seen", "picks"])
+class RememberedLists(StatefulProcessor):
+    """One user's visits in time order; the served list is remembered for the next one.
+
+    The list is keyed state that expires COOKIE_DAYS days after it was written. Of the
+    visits of a micro-batch only times, numbers and campaigns are kept, 24 bytes for
+    each, and the lists once for each campaign; they come in chunks and are answered in
+    chunks, in the order of time, so no frame of all of them is made.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", LAST, ttlDurationMs=COOKIE_DAYS * DAY_MS)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        lists: dict[int, tuple[list[int] | None, list[int]]] = {}
+        parts: list[tuple[np.ndarray, ...]] = []
+        for chunk in rows:
+            ts = chunk["ts"].to_numpy("datetime64[us]")
+            campaigns = chunk["campaign_id"].astype("Int64").fillna(NO_CAMPAIGN).to_numpy(np.int64)
+            parts.append((np.isnat(ts), ts.astype(np.int64), chunk["request_id"].to_numpy(np.int64), campaigns))
+            first = np.unique(campaigns, return_index=True)[1]
+            for c, pool, fixed in zip(campaigns[first].tolist(), chunk["pool"].iloc[first], chunk["fixed"].iloc[first]):
+                lists[c] = (None if pool is None else [int(b) for b in pool], [] if fixed is None else [int(b) for b in fixed])
+        none, at, ids, campaigns = (np.concatenate(p) for p in zip(*parts))
+        state = self.last.get()  # None at first and after it has expired
+        last, since = ([int(b) for b in state[0]], int(state[1])) if state else ([], None)
+        order = np.lexsort((ids, at, none))
+        for begin in range(0, len(order), ANSWERED):
+            some = order[begin : begin + ANSWERED]
+            out = []
+            for i in some.tolist():
+                now = int(at[i]) // 1000
+                seen = last if since is not None and now - since <= COOKIE_DAYS * DAY_MS else []
+                campaign = int(campaigns[i])
+                pool, picks = lists[campaign]
+                if pool is not None:
+                    known = set(seen)
+                    picks = sorted(pool, key=known.__contains__)[: serving.TOP_TIER]  # stable: rank order within each part
+                out.append((key[0], ids[i], None if campaign == NO_CAMPAIGN else campaign, seen, picks))
+                last, since = picks, now
+            yield pd.DataFrame(out, columns=["user_key", "request_id", "campaign_id", "seen", "picks"]).astype({"campaign_id": "Int32"})
+        self.last.update((last, since))
+
+    def close(self) -> None:
+        pass
 
 
 def serve_with_memory(visits: DataFrame, ready: requests_op.Serving) -> DataFrame:
@@ -97,9 +125,7 @@ def serve_with_memory(visits: DataFrame, ready: requests_op.Serving) -> DataFram
     kept = (
         joined.where(F.col("user_key").isNotNull())
         .groupBy("user_key")
-        .applyInPandasWithState(
-            _with_memory, VISIT_OUT, "ids array<int>, at long", "append", GroupStateTimeout.ProcessingTimeTimeout
-        )
+        .transformWithStateInPandas(RememberedLists(), VISIT_OUT, "Append", "ProcessingTime")
     )
     nothing = F.array().cast("array<int>")
     first = F.coalesce(F.slice("pool", 1, serving.TOP_TIER), "fixed")

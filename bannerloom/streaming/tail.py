@@ -11,24 +11,26 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 
-NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+#: For queries with keyed state: batches without data would go on forever, and state with
+#: an expiry time lives in the store that keeps it on disk, which checkpoints its changes only.
+STATEFUL = {
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 @contextmanager
-def without_idle_batches(spark: SparkSession) -> Iterator[None]:
-    """Queries started inside run no batches without data.
-
-    State with a processing-time timeout otherwise asks for another batch
-    forever, so a run over available data would not end. Timeouts are then
-    handled together with the next data. A query keeps the setting it was
-    started with.
-    """
-    before = spark.conf.get(NO_DATA_BATCHES)
-    spark.conf.set(NO_DATA_BATCHES, "false")
+def stateful_settings(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep the settings of STATEFUL; timeouts are handled together with the next data."""
+    before = {k: spark.conf.get(k, None) for k in STATEFUL}
+    for k, v in STATEFUL.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(NO_DATA_BATCHES, before)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
 def tail(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> DataFrame:
@@ -53,7 +55,7 @@ def drain(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
         .outputMode("append")
         .trigger(availableNow=True)
     )
-    with without_idle_batches(stream.sparkSession):
+    with stateful_settings(stream.sparkSession):
         return writer.start()
 
 

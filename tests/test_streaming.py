@@ -1,10 +1,12 @@
 """Streams give the batch result and add nothing twice after a restart."""
 
+import random
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
 from bannerloom.operators import requests as requests_op
+from bannerloom.operators import serving
 from bannerloom.streaming import serve, tail
 
 PERF = "campaign_id int, banner_id int, revenue_total double, click_count int, impression_count long"
@@ -45,6 +47,28 @@ def test_memory(spark, folder):
     assert len(got[30][1]) == len(set(got[31][1])) == 5
 
 
+def test_memory_of_a_hot_user_in_several_batches(spark, folder, monkeypatch):
+    """One user with most visits, out of order, in chunks and micro-batches: the answers of a plain loop."""
+    r = random.Random(2)
+    rows = [(i, START + timedelta(minutes=r.randrange(4000), days=20 * (i >= 300)), 7 if r.random() < 0.6 else r.randrange(5), r.choice([1, 1, 2, None])) for i in range(600)]
+    visits = spark.createDataFrame(rows, "request_id long, ts timestamp_ntz, user_key long, campaign_id int")
+    ready = requests_op.publish(perf_of(spark), "s", f"{folder}/ready")
+    source, out, check = f"{folder}/visits", f"{folder}/out", f"{folder}/check"
+    for part in ("request_id < 300", "request_id >= 300"):
+        visits.where(part).repartition(3).write.mode("append").parquet(source)
+        finish(tail.drain(serve.serve_with_memory(tail.tail(spark, source, visits.schema), ready), out, check))
+    lists = {r.campaign_id: r for r in serving.with_lists(visits, ready.lists, ready.around, ready.ring_size, ready.seed).collect()}
+    want, last = {}, {}
+    for i, ts, user, campaign in sorted(rows, key=lambda x: (x[0] >= 300, x[1], x[0])):
+        ids, since = last.get(user, ([], None))
+        seen = ids if since is not None and ts - since <= timedelta(days=30) else []
+        pool, fixed = lists[campaign].pool, lists[campaign].fixed
+        picks = list(fixed or []) if pool is None else sorted(pool, key=lambda b: b in seen)[:10]
+        want[i], last[user] = (seen, picks), (picks, ts)
+    got = {r.request_id: (r.seen, r.picks) for r in spark.read.parquet(out).collect()}
+    assert got == want and len(got) == 600
+
+
 def test_remembered_log(spark):
     rows = [(1, 7, START, [1]), (2, 7, START + timedelta(days=3), [2]), (3, 7, START + timedelta(days=50), [3])]
     rows += [(4, None, START, [4]), (5, None, START + timedelta(days=1), [5])]
