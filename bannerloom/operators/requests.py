@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bannerloom.functions import requests as R
 from bannerloom.operators import serving
-from bannerloom.sources.tables import write_out
+from bannerloom.sources import history
+from bannerloom.sources.tables import scan_dataset, write_out
 
 
 def validate(requests: DataFrame, has_data: bool = True) -> DataFrame:
@@ -64,6 +66,23 @@ def publish(perf: DataFrame, seed: str, path: str) -> Serving:
     return Serving(perf, lists, around, ring.count(), seed)
 
 
+def publish_latest(spark: SparkSession, perf_path: str, history_path: str, seed: str, path: str) -> Serving | None:
+    """``publish`` of the newest processed dataset in the history; None where there is none yet."""
+    try:
+        done = history.read_history(spark, history_path)
+        newest = history.latest_dataset(done).first()["latest"]
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        newest = None
+    return None if newest is None else publish(scan_dataset(spark, perf_path, newest), seed, path)
+
+
+def serve_latest(requests: DataFrame, perf_path: str, history_path: str, seed: str, path: str, **pages: str) -> DataFrame:
+    """Responses to all requests from the newest processed dataset: history, its table, lists under ``path``, answers."""
+    return respond(requests, publish_latest(requests.sparkSession, perf_path, history_path, seed, path), **pages)
+
+
 def pick_banners(visits: DataFrame, ready: Serving) -> DataFrame:
     """Visits with ``picks``.
 

@@ -9,7 +9,10 @@ from bannerloom.functions import requests as R
 from bannerloom.operators import requests as requests_op
 from bannerloom.operators import serving as S
 from bannerloom.plans.registry import query
-from bannerloom.plans.views import SEED, Views, with_views
+from bannerloom.plans.source_queries import write_periods
+from bannerloom.plans.views import SEED, SQL, Views, with_views
+from bannerloom.session import scratch_dir
+from bannerloom.sources import history
 
 ONE_CAMPAIGN = 100000
 BANNERS_OUT = [1, 3, 5, 7, 11]
@@ -209,6 +212,23 @@ def _(v: Views) -> DataFrame:
     return as_text(requests_op.respond(v.requests, v.ready))
 
 
+# datasets 1 and 2 are processed, 3 was skipped as a duplicate: 2 is served
+LATEST = with_views(RESPONSES, "period_perf", "picks", campaigns="known_or_asked").replace(
+    f"\nperf AS ({SQL['perf'][1]})",
+    "\nperf AS (SELECT revenue_total, impression_count, campaign_id, banner_id, click_count FROM period_perf WHERE dataset_id = 2)",
+)
+
+
+@query("serve_latest", LATEST)
+def _(v: Views) -> DataFrame:
+    perf, done, lists = (scratch_dir(v.spark, n) for n in ("perf", "history", "latest"))
+    write_periods(v, perf)
+    for n, state in ((1, "processed"), (2, "processed"), (3, "duplicate")):
+        prints = v.spark.createDataFrame([("clicks", f"print {n}")], "kind string, fingerprint string")
+        history.append_history(history.history_row(prints, n, n, state, f"2024-01-0{n}T00:00:00", f"2024-01-0{n}T01:00:00"), done)
+    return as_text(requests_op.serve_latest(v.requests, perf, done, SEED, lists))
+
+
 def as_text(responses: DataFrame) -> DataFrame:
     return responses.withColumn("banner_ids", F.array_join(F.col("banner_ids").cast("array<string>"), ", "))
 

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bannerloom.operators import find, modify, references
 from bannerloom.plans.registry import query
@@ -138,6 +139,44 @@ def _(v: Views) -> DataFrame:
     return find.page(v.table("orders"), ORDER, 1000).select("o_orderkey", "o_totalprice")
 
 
+DEEP = [("l_extendedprice", False), ("l_orderkey", True), ("l_linenumber", True)]
+
+
+@query(
+    "skip_deep_page",
+    """SELECT l_orderkey, l_linenumber, l_extendedprice FROM (SELECT *, ROW_NUMBER() OVER (
+  ORDER BY l_extendedprice DESC NULLS LAST, l_orderkey, l_linenumber) AS i FROM lineitem), (SELECT COUNT(*) // 2 AS half FROM lineitem)
+WHERE i > half AND i <= half + 200""",
+)
+def _(v: Views) -> DataFrame:
+    """A page from the middle of the table, found without sorting what lies before."""
+    items = v.table("lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return find.page(items, DEEP, items.count() // 2, 200, in_one_task=5_000)
+
+
+FIRST_WORDS = "(SELECT doc_id, split_part(replace(text, chr(10), ' '), ' ', 1) AS word FROM documents)"
+
+
+def _first_words(v: Views) -> DataFrame:
+    return v.table("documents").select("doc_id", F.split_part(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")), F.lit(" "), F.lit(1)).alias("word"))
+
+
+@query(
+    "collated_sort_de",
+    f"SELECT doc_id, word, ROW_NUMBER() OVER (ORDER BY word COLLATE de NULLS FIRST, doc_id) AS position FROM {FIRST_WORDS}",
+)
+def _(v: Views) -> DataFrame:
+    return find.collated_sort(_first_words(v), "word", [("doc_id", True)], "position", locale="de")
+
+
+@query(
+    "collated_sort_sv",
+    f"SELECT doc_id, word, ROW_NUMBER() OVER (ORDER BY word COLLATE sv NULLS FIRST, doc_id) AS position FROM {FIRST_WORDS}",
+)
+def _(v: Views) -> DataFrame:
+    return find.collated_sort(_first_words(v), "word", [("doc_id", True)], "position", locale="sv")
+
+
 @query("find_one", f"SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 100000 ORDER BY {ORDER_SQL} LIMIT 1")
 def _(v: Views) -> DataFrame:
     return find.find_one(v.table("orders"), F.col("o_totalprice") > 100000, ORDER).select("o_orderkey", "o_totalprice")
@@ -293,6 +332,56 @@ def _(v: Views) -> DataFrame:
     return named.select("request_id", F.array_join("names", ",", "?").alias("names"))
 
 
+@query(
+    "dereference_recursive",
+    """WITH RECURSIVE c AS (SELECT c_custkey AS k, c_name AS name, CASE
+    WHEN c_custkey // 10 % 2 = 0 THEN [CASE WHEN c_custkey % 10 = 9 THEN c_custkey - 9 ELSE c_custkey + 1 END]
+    WHEN c_custkey % 10 = 0 THEN [c_custkey + 1, c_custkey + 5] WHEN c_custkey % 10 < 9 THEN [c_custkey + 1] ELSE [] END AS refs FROM customer),
+run AS (
+  SELECT k AS root, 1 AS depth, [k] AS path, k AS id, TRUE AS found, FALSE AS cycle, name, refs FROM c
+  UNION ALL
+  SELECT root, depth + 1, list_append(path, u.id), u.id, c.k IS NOT NULL, list_contains(path, u.id), c.name,
+    CASE WHEN NOT list_contains(path, u.id) THEN c.refs END
+  FROM (SELECT root, depth, path, UNNEST(refs) AS id FROM run) u LEFT JOIN c ON c.k = u.id
+)
+SELECT root, depth, array_to_string(path, ',') AS path, id, found, cycle, name FROM run""",
+)
+def _(v: Views) -> DataFrame:
+    """Every second ten of customers is a circle of references, the others are chains with a short cut."""
+    k, digit = F.col("c_custkey"), F.col("c_custkey") % 10
+    circle = F.array(F.when(digit == 9, k - 9).otherwise(k + 1))
+    chain = F.when(digit == 0, F.array(k + 1, k + 5)).when(digit < 9, F.array(k + 1)).otherwise(F.array().cast("array<bigint>"))
+    refs = F.when(F.floor(k / 10) % 2 == 0, circle).otherwise(chain).cast("array<bigint>")
+    table = v.table("customer").select(k.cast("bigint").alias("k"), "c_name", refs.alias("refs"))
+    found = references.dereference_recursive(table.select(F.col("k").alias("root"), F.col("k").alias("id")), table, "k", "refs", {"name": "c_name"})
+    return found.withColumn("path", F.array_join(F.col("path").cast("array<string>"), ","))
+
+
+@query(
+    "map_reduce_finalize",
+    f"""SELECT key, key || ':' || COUNT(*) AS value FROM ({WORDS_SQL}
+  WHERE doc_id IN (SELECT doc_id FROM documents WHERE lang <> 'de' ORDER BY n_chars DESC, doc_id LIMIT 300)) GROUP BY key""",
+)
+def _(v: Views) -> DataFrame:
+    """User code over the 300 longest documents that are not German."""
+
+    def emit(docs: pd.DataFrame) -> pd.DataFrame:
+        words = docs["text"].fillna("").str.split(" ").explode()
+        return pd.DataFrame({"key": words[words != ""], "value": 1})
+
+    return find.map_reduce_python(
+        v.table("documents").select("doc_id", "lang", "n_chars", "text"),
+        emit,
+        lambda key, values: int(values.sum()),
+        T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.LongType())]),
+        condition=F.col("lang") != "de",
+        order=[("n_chars", False), ("doc_id", True)],
+        limit=300,
+        finalize=lambda done: done["key"] + ":" + done["value"].astype(str),
+        result="string",
+    )
+
+
 @query(
     "update_many",
     """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'X' ELSE o_orderstatus END AS o_orderstatus,

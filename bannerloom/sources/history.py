@@ -16,15 +16,15 @@ def append_history(history_rows: DataFrame, path: str) -> None:
     history_rows.select(*HISTORY.fieldNames()).write.mode("append").parquet(path)
 
 
-def history_row(fingerprints: DataFrame, seq: int, dataset_id: int, state: str, start_time: str) -> DataFrame:
-    """One row from (kind, fingerprint); ``start_time`` is ISO-8601 text."""
+def history_row(fingerprints: DataFrame, seq: int, dataset_id: int, state: str, start_time: str, end_time: str | None = None) -> DataFrame:
+    """One row from (kind, fingerprint); the times are ISO-8601 text, without an end it is now."""
     kinds = F.map_from_entries(F.array_sort(F.collect_list(F.struct("kind", "fingerprint"))))
     return fingerprints.agg(kinds.alias("fingerprints")).select(
         F.lit(seq).cast("long").alias("seq"),
         F.lit(dataset_id).alias("order"),
         F.lit(state).alias("state"),
         F.lit(start_time).cast("timestamp").alias("start_time"),
-        F.current_timestamp().alias("end_time"),
+        (F.current_timestamp() if end_time is None else F.lit(end_time).cast("timestamp")).alias("end_time"),
         "fingerprints",
     )
 

@@ -1,10 +1,12 @@
 """Reads: ranges, order, pages, collation, references, blobs, revisions."""
 
+import random
 from datetime import datetime
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bannerloom.operators import find, references
 from bannerloom.sources import blobs, tables
@@ -237,3 +239,85 @@ def test_nested_include_keeps_the_struct(spark):
     got = find.project(df, include=["id", "s.x"])
     assert got.schema.simpleString() == "struct<id:int,s:struct<x:int>>"
     assert sorted((r.id, r.s and r.s.x) for r in got.collect()) == [(1, 2), (2, None)]
+
+
+@pytest.mark.parametrize("skip, limit", [(0, 5), (700, 40), (1500, 10), (2990, 50), (4000, 5), (1499, 1)])
+def test_deep_page(spark, skip, limit):
+    r = random.Random(3)
+    rows = [(i, r.choice([None, 1, 2, 2, 2, r.randrange(50)]), r.choice("abc")) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, a int, s string").repartition(5)
+    order = [("a", False), ("s", True), ("id", True)]
+    want = sorted(rows, key=lambda x: (x[1] is None, -(x[1] or 0), x[2], x[0]))[skip : skip + limit]
+    assert [tuple(x) for x in find.page(df, order, skip, limit, in_one_task=100).collect()] == want
+
+
+def test_deep_page_sorts_only_a_part(spark):
+    df = spark.range(200_000).withColumn("h", F.xxhash64("id"))
+    order = [("h", True), ("id", True)]
+    part, before = find.narrowed(df, order, 150_000, 20, 3_000)
+    assert before <= 150_000 and part.count() <= 3_020 and before + part.count() >= 150_020
+    plan = find.page(df, order, 150_000, 20, in_one_task=3_000)._jdf.queryExecution().optimizedPlan().toString()
+    assert "150000" not in plan and "150020" not in plan  # no task takes the skipped rows
+
+
+def test_deep_page_of_equal_rows(spark):
+    df = spark.createDataFrame([(1,)] * 500, "a int")
+    assert find.page(df, [("a", True)], 300, 250, in_one_task=10).count() == 200
+
+
+def test_collated_order(spark):
+    words = ["zebra", "Äpfel", "apfel", "ähre", "Zoo", "o z", "öz", "Oz", "oz", None, "a-b", "ab", "ac"]
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, w string")
+    order = lambda **how: [r.w for r in find.collated_sort(df, "w", [("i", True)], **how).collect()]
+    assert order(locale="sv")[-3:] == ["ähre", "Äpfel", "öz"]  # behind z in Swedish
+    assert order(locale="de")[-2:] == ["zebra", "Zoo"]
+    assert order(locale="de").index("Äpfel") < order(locale="de").index("oz")
+    assert order(locale="de").index("oz") < order(locale="de").index("Oz")
+    assert order(locale="de", upper_first=True).index("Oz") < order(locale="de", upper_first=True).index("oz")
+    shifted = order(locale="de", shifted=True)
+    assert shifted.index("a-b") + 1 == shifted.index("ab") and shifted[0] is None
+    placed = find.collated_sort(df, "w", [("i", True)], "at", locale="sv").orderBy("at").collect()
+    assert [r.w for r in placed] == order(locale="sv") and placed[0].at == 1
+    assert df.where(find.collated(F.col("w"), 1, "de") == "OZ").count() == 3
+
+
+def test_recursive_references(spark):
+    table = spark.createDataFrame([(1, "a", [2, 3]), (2, "b", [3]), (3, "c", [1, 9, None]), (4, "d", []), (5, "e", None), (6, "f", [6])], "k long, name string, refs array<long>")
+    starts = spark.createDataFrame([("x", 1), ("y", 4), ("z", 5), ("w", 6), ("v", 99)], "root string, id long")
+    got = references.dereference_recursive(starts, table, "k", "refs", {"label": "upper(name)"})
+    assert got.columns == ["root", "depth", "path", "id", "found", "cycle", "label"]
+
+    def expand(root, key, path):
+        names, links = ({1: "A", 2: "B", 3: "C", 4: "D", 5: "E", 6: "F"}, {1: [2, 3], 2: [3], 3: [1, 9, None], 6: [6]})
+        here = [*path, key]
+        yield (root, len(here), here, key, key in names, key in path, names.get(key))
+        if key not in path:
+            for n in links.get(key, []):
+                yield from expand(root, n, here)
+
+    want = [x for root, key in [("x", 1), ("y", 4), ("z", 5), ("w", 6), ("v", 99)] for x in expand(root, key, [])]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    assert references.dereference_recursive(starts, table, "k", "refs", {"label": "name"}, max_depth=2).agg(F.max("depth")).first()[0] == 2
+
+
+@pytest.mark.parametrize("rows_a_call", [10_000, 7])
+def test_map_reduce_with_user_code(spark, monkeypatch, rows_a_call):
+    monkeypatch.setattr(find, "REDUCED_ROWS", rows_a_call)
+    monkeypatch.setattr(find, "REDUCED_KEYS", 20)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    try:
+        df = spark.range(2000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 40)).alias("key")).repartition(6)
+        schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.LongType())])
+        got = find.map_reduce_python(
+            df, lambda b: pd.DataFrame({"key": b["key"], "value": b["id"]}), lambda key, values: int(values.max()), schema,
+            condition=F.col("id") >= 10, order=[("id", False)], limit=1500, finalize=lambda d: d["key"] + "/" + d["value"].astype(str), result="string",
+        )
+        want = {}
+        for i in range(1999, 499, -1):
+            k = "hot" if i % 3 == 0 else f"k{i % 40}"
+            want[k] = max(want.get(k, 0), i)
+        assert {r.key: r.value for r in got.collect()} == {k: f"{k}/{v}" for k, v in want.items()}
+        none = find.map_reduce_python(df.limit(0), lambda b: pd.DataFrame({"key": b["key"], "value": b["id"]}), lambda key, values: int(values.max()), schema)
+        assert none.collect() == []
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
