@@ -82,8 +82,8 @@ def _delete(spark: SparkSession, paths: list[str]) -> None:
 
 def free(*tables: DataFrame) -> None:
     """Deletes staged tables that nothing that is still to be computed reads."""
-    for table in tables:
-        _delete(table.sparkSession, [p for p in [_paths.pop(table, None)] if p])
+    if tables:
+        _delete(tables[0].sparkSession, [p for p in (_paths.pop(t, None) for t in tables) if p])
 
 
 @contextmanager

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -32,6 +32,8 @@ BROADCAST_KEYS = 1_000_000
 REMEMBERED = 1_000_000
 #: Sets, and shingles in them, that a tile holds at about most.
 TILE_SETS, TILE_SHINGLES = 256, 500_000
+#: Parts in which the signatures are looked at, one after the other.
+SHARES = 4
 PAIRS = ((0, 1), (0, 2), (1, 2))
 
 
@@ -287,14 +289,21 @@ def components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     members = sets.select("cid", "doc_id", "key")
 
     # signatures that are met twice are found by sums of parts, and only they are kept, by a
-    # join of plain tables: a signature that very many sets share is never in one task
+    # join of plain tables: a signature that very many sets share is never in one task.
+    # All signatures are looked at, a share of their hashes at a time, so that what is
+    # shuffled for one share is gone before the next.
     each = some.select("row", F.explode("sigs").alias("sig"))
-    twice = stage(each.groupBy("sig").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).where("lo < hi").select("sig"), "twice")
-    shared = stage(each.join(twice, "sig", "left_semi").select("sig", "row"), "shared")
-    free(rows, twice)
+    found = []
+    for share in range(SHARES):
+        own = each.where(F.pmod("sig", F.lit(SHARES)) == share)
+        twice = stage(own.groupBy("sig").agg(F.count("*").alias("sets")).where("sets > 1").select("sig"), "twice")
+        found.append(stage(own.join(twice, "sig", "left_semi").select("sig", "row"), "shared"))
+        free(twice)
+    shared = reduce(DataFrame.unionByName, found)
+    free(rows)
     # rows become classes; copies of one class in a bucket become one
     buckets = stage(shared.join(known.select("row", "cid", "n"), "row").select("sig", "cid", "n").distinct(), "buckets")
-    free(shared)
+    free(*found)
 
     # the class in most buckets leads each of its buckets: of near copies, the one least changed
     times = stage(buckets.groupBy("cid").agg(F.count("*").alias("often")), "times")
