@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 from collections.abc import Iterator
 from contextlib import contextmanager
 from weakref import WeakKeyDictionary
@@ -53,6 +55,8 @@ def fold(column: Column, folds: int) -> Column:
     return F.crc32(column.cast("string").cast("binary")) % folds
 
 
+#: Bytes of deleted tables after which the shuffles behind them are worth looking for.
+LARGE = 4 << 20
 #: Paths of staged tables that are still there, by the DataFrame that reads each.
 _paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 #: For each scope that is open, the paths staged in it.
@@ -72,12 +76,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def _delete(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes scratch folders, and has Spark remove the files of shuffles that nothing refers to any more.
+
+    It does so when Python and the driver's JVM have collected their garbage; plans that
+    have just ended are let go a moment later, so after large tables that is done twice.
+    """
+    size = 0
     for path in paths:
         place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-    if paths:
-        # Spark removes the files of shuffles that nothing refers to when the driver collects its garbage
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        if files.exists(place):
+            size += files.getContentSummary(place).getLength()
+            files.delete(place, True)
+    for pause in (0.5, 0.5) if size >= LARGE else ():
+        gc.collect()
         spark._jvm.System.gc()
+        time.sleep(pause)
 
 
 def free(*tables: DataFrame) -> None:

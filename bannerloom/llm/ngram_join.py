@@ -298,7 +298,7 @@ def components(docs: DataFrame, n: int, percent: int) -> DataFrame:
         own = each.where(F.pmod("sig", F.lit(SHARES)) == share)
         twice = stage(own.groupBy("sig").agg(F.count("*").alias("sets")).where("sets > 1").select("sig"), "twice")
         found.append(stage(own.join(twice, "sig", "left_semi").select("sig", "row"), "shared"))
-        free(twice)
+        free(twice)  # with what was shuffled for it
     shared = reduce(DataFrame.unionByName, found)
     free(rows)
     # rows become classes; copies of one class in a bucket become one
