@@ -75,23 +75,39 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
-def _delete(spark: SparkSession, paths: list[str]) -> None:
-    """Deletes scratch folders, and has Spark remove the files of shuffles that nothing refers to any more.
+def _folder(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _let_shuffles_go(spark: SparkSession) -> None:
+    """Has Spark remove the files of shuffles that nothing refers to any more.
 
     It does so when Python and the driver's JVM have collected their garbage; plans that
-    have just ended are let go a moment later, so after large tables that is done twice.
+    have just ended are let go a moment later, so that is done twice.
     """
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
     size = 0
     for path in paths:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        place, files = _folder(spark, path)
         if files.exists(place):
             size += files.getContentSummary(place).getLength()
             files.delete(place, True)
-    for pause in (0.5, 0.5) if size >= LARGE else ():
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(pause)
+    if size >= LARGE:
+        _let_shuffles_go(spark)
+
+
+def settle(table: DataFrame) -> None:
+    """After a staged table, if it is large: lets go what was shuffled so far."""
+    place, files = _folder(table.sparkSession, _paths[table])
+    if files.getContentSummary(place).getLength() >= LARGE:
+        _let_shuffles_go(table.sparkSession)
 
 
 def free(*tables: DataFrame) -> None:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bannerloom.llm.common import classes, free, scope, stage, staged_result, words
+from bannerloom.llm.common import classes, free, scope, settle, stage, staged_result, words
 from bannerloom.llm.lm_score import Hashes, mix
 
 #: A band is this many times as wide as the sizes that can link with one size.
@@ -248,6 +248,7 @@ def compared(left: DataFrame, leads: DataFrame, docs: DataFrame, members: DataFr
     # joined and made unique by one shuffle of the sets
     sets = sets_of(docs, members.join(tiles.select("cid"), "cid", "left_semi"), n)
     full = stage(tiles.join(sets, "cid").dropDuplicates(["cid"]), "full")
+    settle(full)
     first, second = (F.struct(F.lit(k).alias("side"), F.col(c).alias("tile")) for k, c in ((0, "ta"), (1, "tb")))
     sides = near.select("ta", "tb", F.explode(F.when(F.col("ta") == F.col("tb"), F.array(first)).otherwise(F.array(first, second))).alias("x"))
     rows = sides.select("ta", "tb", "x.*").join(full, "tile").select("ta", "tb", "side", "cid", "n", "root", "set")
@@ -260,7 +261,9 @@ def compared(left: DataFrame, leads: DataFrame, docs: DataFrame, members: DataFr
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     # small pairs of tiles share a call: as many groups as make TILE_SETS rows each
-    groups = max(1, rows.count() // TILE_SETS)
+    members_of = stage(tiles.groupBy("tile").agg(F.count("*").alias("k")), "tile_sizes")
+    total = sides.select("x.tile").join(members_of, "tile").agg(F.sum("k")).first()[0] or 0
+    groups = max(1, total // TILE_SETS)
     return rows.groupBy(F.pmod(F.xxhash64("ta", "tb"), F.lit(groups)).alias("g")).applyInPandas(compare, "a long, b long")
 
 
@@ -298,7 +301,8 @@ def components(docs: DataFrame, n: int, percent: int) -> DataFrame:
         own = each.where(F.pmod("sig", F.lit(SHARES)) == share)
         twice = stage(own.groupBy("sig").agg(F.count("*").alias("sets")).where("sets > 1").select("sig"), "twice")
         found.append(stage(own.join(twice, "sig", "left_semi").select("sig", "row"), "shared"))
-        free(twice)  # with what was shuffled for it
+        free(twice)
+        settle(rows)  # what was shuffled for the share grows with the signatures
     shared = reduce(DataFrame.unionByName, found)
     free(rows)
     # rows become classes; copies of one class in a bucket become one
