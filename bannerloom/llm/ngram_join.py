@@ -249,10 +249,6 @@ def compared(left: DataFrame, leads: DataFrame, docs: DataFrame, members: DataFr
     sets = sets_of(docs, members.join(tiles.select("cid"), "cid", "left_semi"), n)
     full = stage(tiles.join(sets, "cid").dropDuplicates(["cid"]), "full")
     settle(full)
-    first, second = (F.struct(F.lit(k).alias("side"), F.col(c).alias("tile")) for k, c in ((0, "ta"), (1, "tb")))
-    sides = near.select("ta", "tb", F.explode(F.when(F.col("ta") == F.col("tb"), F.array(first)).otherwise(F.array(first, second))).alias("x"))
-    rows = sides.select("ta", "tb", "x.*").join(full, "tile").select("ta", "tb", "side", "cid", "n", "root", "set")
-
     def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         found = []
         for _, one in group.groupby(["ta", "tb"], sort=False):
@@ -260,11 +256,20 @@ def compared(left: DataFrame, leads: DataFrame, docs: DataFrame, members: DataFr
             found += linked(a, b if len(b) else a, percent)
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    # small pairs of tiles share a call: as many groups as make TILE_SETS rows each
+    # the pairs of tiles are compared in shares, so that the sets sent for one share are gone before the next
+    first, second = (F.struct(F.lit(k).alias("side"), F.col(c).alias("tile")) for k, c in ((0, "ta"), (1, "tb")))
     members_of = stage(tiles.groupBy("tile").agg(F.count("*").alias("k")), "tile_sizes")
-    total = sides.select("x.tile").join(members_of, "tile").agg(F.sum("k")).first()[0] or 0
-    groups = max(1, total // TILE_SETS)
-    return rows.groupBy(F.pmod(F.xxhash64("ta", "tb"), F.lit(groups)).alias("g")).applyInPandas(compare, "a long, b long")
+    forests = []
+    for share in range(SHARES):
+        own = near.where(F.pmod(F.xxhash64("ta", "tb"), F.lit(SHARES)) == share)
+        sides = own.select("ta", "tb", F.explode(F.when(F.col("ta") == F.col("tb"), F.array(first)).otherwise(F.array(first, second))).alias("x"))
+        # small pairs of tiles share a call: as many groups as make TILE_SETS rows each
+        total = sides.select("x.tile").join(members_of, "tile").agg(F.sum("k")).first()[0] or 0
+        rows = sides.select("ta", "tb", "x.*").join(full, "tile").select("ta", "tb", "side", "cid", "n", "root", "set")
+        group = F.pmod(F.xxhash64("tb", "ta"), F.lit(max(1, total // TILE_SETS))).alias("g")
+        forests.append(stage(rows.groupBy(group).applyInPandas(compare, "a long, b long"), "forest"))
+        settle(full)
+    return reduce(DataFrame.unionByName, forests)
 
 
 def components(docs: DataFrame, n: int, percent: int) -> DataFrame:
