@@ -32,6 +32,8 @@ BROADCAST_KEYS = 1_000_000
 REMEMBERED = 1_000_000
 #: Sets, and shingles in them, that a tile holds at about most.
 TILE_SETS, TILE_SHINGLES = 256, 500_000
+#: Shingles of all sets that one task compares at once, about (8 bytes each).
+CELL_SHINGLES = 4_000_000
 #: Parts in which the signatures are looked at, one after the other.
 SHARES = 4
 PAIRS = ((0, 1), (0, 2), (1, 2))
@@ -243,31 +245,47 @@ def compared(left: DataFrame, leads: DataFrame, docs: DataFrame, members: DataFr
 
     parts = cut(cut(nodes, ["tree"], "b", "part"), ["tree", "part"], "cid", "piece")
     tiles = stage(parts.select("cid", "n", "root", F.xxhash64("tree", "part", "piece").alias("tile")), "tiles")
-    at = stage(left.select("sig", "cid").join(tiles.select("cid", "tile"), "cid").select("sig", "tile").distinct(), "at")
-    near = stage(at.toDF("sig", "ta").join(at.toDF("sig", "tb"), "sig").where("ta <= tb").select("ta", "tb").distinct(), "near")
+    at = stage(left.select("sig", "cid", "root").join(tiles.select("cid", "tile"), "cid"), "at")
+    there = stage(at.groupBy("sig", "tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi")), "there")
+    # two tiles need a bucket only if they hold several roots in it, and of their classes
+    # in it only those that meet another root than their own on the other side
+    one, two = (there.select("sig", F.struct("tile", "lo", "hi").alias(x)) for x in ("x", "y"))
+    near = one.join(two, "sig").where("x.tile <= y.tile and least(x.lo, y.lo) < greatest(x.hi, y.hi)")
+    first = F.struct(F.lit(0).alias("side"), F.col("x.tile").alias("tile"), F.col("y.lo").alias("lo"), F.col("y.hi").alias("hi"))
+    second = F.struct(F.lit(1).alias("side"), F.col("y.tile").alias("tile"), F.col("x.lo").alias("lo"), F.col("x.hi").alias("hi"))
+    both = F.when(F.col("x.tile") == F.col("y.tile"), F.array(first)).otherwise(F.array(first, second))
+    near = stage(near.select("sig", F.col("x.tile").alias("ta"), F.col("y.tile").alias("tb"), F.explode(both).alias("s")).select("sig", "ta", "tb", "s.*"), "near")
+    wanted = at.join(near, ["sig", "tile"]).where("root <> lo or root <> hi").select("ta", "tb", "side", "cid").distinct()
+    wanted = stage(wanted, "wanted")
+    free(nodes, at, there, near)
     # joined and made unique by one shuffle of the sets
-    sets = sets_of(docs, members.join(tiles.select("cid"), "cid", "left_semi"), n)
-    full = stage(tiles.join(sets, "cid").dropDuplicates(["cid"]), "full")
+    some = stage(wanted.select("cid").distinct(), "ends")
+    sets = sets_of(docs, members.join(some, "cid", "left_semi"), n)
+    full = stage(tiles.select("cid", "n", "root").join(sets, "cid").dropDuplicates(["cid"]), "full")
     settle(full)
-    def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        for _, one in group.groupby(["ta", "tb"], sort=False):
-            a, b = one[one["side"] == 0], one[one["side"] == 1]
-            found += linked(a, b if len(b) else a, percent)
+
+    # Tiles are dealt into so many sides of a square that the sets of two sides fit a task. The
+    # pairs of a cell are compared in one task, so a set goes to a cell once, however many of its
+    # pairs lie there. Cells are done in shares, so that the sets sent for one share are gone before the next.
+    shingles_of_all = full.agg(F.sum("n")).first()[0] or 0
+    edge = F.lit(max(1, math.ceil(2 * shingles_of_all / CELL_SHINGLES)))
+    of_a, of_b = (F.pmod(F.xxhash64(c), edge) for c in ("ta", "tb"))
+    dealt = wanted.select(F.least(of_a, of_b).alias("ca"), F.greatest(of_a, of_b).alias("cb"), "ta", "tb", "side", "cid")
+
+    def compare(pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
+        found, sets = [], sets.set_index("cid", drop=False)
+        for _, one in pairs.groupby(["ta", "tb"], sort=False):
+            first, second = (sets.loc[one.loc[one["side"] == k, "of"]] for k in (0, 1))
+            found += linked(first, second if len(second) else first, percent)
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    # the pairs of tiles are compared in shares, so that the sets sent for one share are gone before the next
-    first, second = (F.struct(F.lit(k).alias("side"), F.col(c).alias("tile")) for k, c in ((0, "ta"), (1, "tb")))
-    members_of = stage(tiles.groupBy("tile").agg(F.count("*").alias("k")), "tile_sizes")
     forests = []
     for share in range(SHARES):
-        own = near.where(F.pmod(F.xxhash64("ta", "tb"), F.lit(SHARES)) == share)
-        sides = own.select("ta", "tb", F.explode(F.when(F.col("ta") == F.col("tb"), F.array(first)).otherwise(F.array(first, second))).alias("x"))
-        # small pairs of tiles share a call: as many groups as make TILE_SETS rows each
-        total = sides.select("x.tile").join(members_of, "tile").agg(F.sum("k")).first()[0] or 0
-        rows = sides.select("ta", "tb", "x.*").join(full, "tile").select("ta", "tb", "side", "cid", "n", "root", "set")
-        group = F.pmod(F.xxhash64("tb", "ta"), F.lit(max(1, total // TILE_SETS))).alias("g")
-        forests.append(stage(rows.groupBy(group).applyInPandas(compare, "a long, b long"), "forest"))
+        own = dealt.where(F.pmod(F.xxhash64("ca", "cb"), F.lit(SHARES)) == share)
+        needed = own.select("ca", "cb", "cid").distinct().toDF("cx", "cy", "cid")
+        sent = needed.join(full, "cid").toDF("cid", "cx", "cy", "n", "root", "set")
+        cells = own.toDF("ca", "cb", "ta", "tb", "side", "of").groupBy("ca", "cb").cogroup(sent.groupBy("cx", "cy"))
+        forests.append(stage(cells.applyInPandas(compare, "a long, b long"), "forest"))
         settle(full)
     return reduce(DataFrame.unionByName, forests)
 
