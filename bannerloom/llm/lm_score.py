@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -16,13 +17,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bannerloom.llm.common import free, stage, words
+from bannerloom.llm.common import free, settle, stage, words
 
 #: A count c is kept as the level 1 + floor(log_BASE c).
 BASE = 1.5
 #: Bits of the filter for each stored level, probes for each, and the largest filter that is broadcast:
 #: n-grams are shuffled to the blocks of a larger one.
-BITS, PROBES, MAX_FILTER_BYTES = 10, 4, 64 << 20
+BITS, PROBES, MAX_FILTER_BYTES = 10, 4, 8 << 20
+#: Parts in which parcels are sent to the blocks, one after the other.
+SHARES = 4
 #: Bytes of text for each hash range; a range is counted by one task and has a block of the filter.
 RANGE_BYTES = 8 << 20
 #: Exact counts of at most so many frequent words are broadcast (16 bytes each); the others are joined.
@@ -308,6 +311,7 @@ def shuffled_codes(parcels: DataFrame, model: Model, blocks: DataFrame) -> DataF
     The different n-grams of a parcel go to the blocks of their hash ranges and their
     levels come back, so no task needs more than a block and what is asked of it. Hash
     order is range order, so answers in the order of the ranges are in that of the n-grams.
+    Parcels go in shares, so that what is sent for one share is gone before the next.
     """
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,14 +342,18 @@ def shuffled_codes(parcels: DataFrame, model: Model, blocks: DataFrame) -> DataF
         keys, times = np.unique(np.repeat(np.arange(len(counts)), counts) * LEVELS**3 + coded(before, both, single), return_counts=True)
         return pd.DataFrame({"first": parcels["first"], "learn": [p.learn], "keys": [squeezed_steps(keys)], "times": [squeezed(times.astype(np.uint32))]})
 
-    asked = parcels.mapInArrow(ask, "first long, range long, hashes binary")
-    answers = asked.groupBy("range").cogroup(blocks.groupBy("range")).applyInPandas(answer, "first long, range long, levels binary")
-    answers = stage(answers, "answers")
-    free(blocks)  # and the shuffled n-grams
-    coded_rows = answers.groupBy("first").cogroup(parcels.groupBy("first")).applyInPandas(read, "first long, learn binary, keys binary, times binary")
-    codes = stage(coded_rows, "codes")
-    free(answers)
-    return codes
+    done = []
+    for share in range(SHARES):
+        own = parcels.where(F.pmod(F.xxhash64("first"), F.lit(SHARES)) == share)
+        asked = own.mapInArrow(ask, "first long, range long, hashes binary")
+        answers = asked.groupBy("range").cogroup(blocks.groupBy("range")).applyInPandas(answer, "first long, range long, levels binary")
+        answers = stage(answers, "answers")
+        settle(blocks)  # the n-grams sent for the share
+        coded_rows = answers.groupBy("first").cogroup(own.groupBy("first")).applyInPandas(read, "first long, learn binary, keys binary, times binary")
+        done.append(stage(coded_rows, "codes"))
+        free(answers)
+    free(blocks)
+    return reduce(DataFrame.unionByName, done)
 
 
 def row_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:

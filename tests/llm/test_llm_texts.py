@@ -251,6 +251,24 @@ def test_lm_score_does_not_depend_on_the_bound_of_the_broadcast(docs, none, monk
     assert lm_score.score(none, F.lit(True)).count() == 0
 
 
+def test_lm_score_sends_parcels_to_the_blocks_in_shares(docs, monkeypatch):
+    staged, write = [], lm_score.stage
+
+    def noted(df, name):
+        table = write(df, name)
+        if name == "answers":
+            staged.append({r[0] for r in table.select("first").distinct().collect()})
+        return table
+
+    monkeypatch.setattr(lm_score, "stage", noted)
+    monkeypatch.setattr(lm_score, "MAX_FILTER_BYTES", 100)
+    monkeypatch.setattr(lm_score, "SENT", 500)
+    scored = lm_score.score(docs, F.lit(True))
+    assert scored.where("score is null").count() == 0 and scored.count() == docs.count()
+    assert len([x for x in staged if x]) > 1  # no share has all parcels
+    assert len(set().union(*staged)) == sum(map(len, staged)) > 4  # and each is sent once
+
+
 def test_classifier_samples_one_row_of_an_id(spark):
     rows = [(i, f"text of {i}") for i in range(20)] + [(3, f"another text {k}") for k in range(200)]
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(20)], "doc_id long, quality int, toxic int")
