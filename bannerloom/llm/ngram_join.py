@@ -30,10 +30,10 @@ WIDTH = 3
 BROADCAST_KEYS = 1_000_000
 #: Sets that a task remembers so as not to give a copy's signatures again.
 REMEMBERED = 1_000_000
-#: Sets, and shingles in them, that a tile holds at about most.
+#: Sets, and shingles in them, that a tile or a block holds at about most.
 TILE_SETS, TILE_SHINGLES = 256, 500_000
 #: Shingles of all sets that one task compares at once, about (8 bytes each).
-CELL_SHINGLES = 4_000_000
+CELL_SHINGLES = 2_000_000
 #: Parts in which the signatures are looked at, one after the other.
 SHARES = 4
 PAIRS = ((0, 1), (0, 2), (1, 2))
@@ -188,24 +188,29 @@ def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, n: int, perc
 
 
 def linked(a: pd.DataFrame, b: pd.DataFrame, percent: int) -> Iterator[tuple[int, int]]:
-    """A forest of the links between two tiles (cid, root, n, set) that tie different roots."""
+    """A forest of the links between two blocks (cid, root, n, set) that tie different roots."""
     na, nb = a["n"].to_numpy(), b["n"].to_numpy()
     may = (a["root"].to_numpy()[:, None] != b["root"].to_numpy()[None, :]) & (
         100 * np.minimum(na[:, None], nb[None, :]) >= percent * np.maximum(na[:, None], nb[None, :])
     )
     if not may.any():
         return
-    common = np.intersect1d(np.concatenate(a["set"].tolist()), np.concatenate(b["set"].tolist()))
+    flat = [np.concatenate(x["set"].tolist()) for x in (a, b)]
+    common = np.intersect1d(*flat)
+    entries = []
+    for found, side in zip(flat, (a, b)):  # (number of the shingle, row) of the common shingles, by number
+        at = np.minimum(np.searchsorted(common, found), max(0, len(common) - 1))
+        both = np.flatnonzero(common[at] == found) if len(common) else np.zeros(0, np.int64)
+        owner = np.repeat(np.arange(len(side)), side["set"].map(len).to_numpy())
+        order = both[np.argsort(at[both], kind="stable")]
+        entries.append((at[order], owner[order]))
     shared = np.zeros(may.shape, np.float32)
     for at in range(0, len(common), 4096):  # counts of common shingles as products of 0/1 matrices
-        some = common[at : at + 4096]
         sides = []
-        for rows in (a["set"], b["set"]):
-            flags = np.zeros((len(rows), len(some)), np.float32)
-            for i, found in enumerate(rows):
-                where = np.searchsorted(some, found)
-                where[where == len(some)] = 0
-                flags[i, where[some[where] == found]] = 1
+        for (number, owner), rows in zip(entries, may.shape):
+            lo, hi = np.searchsorted(number, [at, at + 4096])
+            flags = np.zeros((rows, min(4096, len(common) - at)), np.float32)
+            flags[owner[lo:hi], number[lo:hi] - at] = 1
             sides.append(flags)
         shared += sides[0] @ sides[1].T
     up: dict[int, int] = {}
@@ -225,13 +230,78 @@ def linked(a: pd.DataFrame, b: pd.DataFrame, percent: int) -> Iterator[tuple[int
             yield ids[i], others[j]
 
 
+def tied(owner: np.ndarray, sig: np.ndarray, rows: int) -> np.ndarray:
+    """For each of ``rows`` classes the smallest that shared buckets (entries of owner and bucket) lead to."""
+    label = np.arange(rows)
+    while True:
+        least = np.full(sig.max() + 1 if len(sig) else 0, rows)
+        np.minimum.at(least, sig, label[owner])
+        after = label.copy()
+        np.minimum.at(after, owner, least[sig])
+        after = after[after]
+        if (after == label).all():
+            return label
+        label = after
+
+
+def compare_cell(cell: pd.DataFrame, percent: int) -> Iterator[tuple[int, int]]:
+    """Links between the classes (cid, root, n, side, sigs, set) of two sides, or within one, that share a bucket.
+
+    Classes that buckets tie together are cut into blocks of bounded size; two blocks are
+    compared if they share a bucket, by their classes in such buckets.
+    """
+    cell = cell.sort_values("cid", ignore_index=True)
+    roots, sides = cell["root"].to_numpy(), cell["side"].to_numpy()
+    owner = np.repeat(np.arange(len(cell)), cell["sigs"].map(len).to_numpy())
+    sig = np.unique(np.concatenate(cell["sigs"].tolist()), return_inverse=True)[1]
+
+    def several(values: np.ndarray) -> np.ndarray:
+        """By entry, whether its bucket has different values."""
+        lo, hi = np.full(sig.max() + 1, np.iinfo(np.int64).max), np.full(sig.max() + 1, np.iinfo(np.int64).min)
+        np.minimum.at(lo, sig, values[owner])
+        np.maximum.at(hi, sig, values[owner])
+        return (lo < hi)[sig]
+
+    two = cell["ca"].iloc[0] != cell["cb"].iloc[0]
+    open_ = several(roots) & several(sides) if two else several(roots)
+    owner, sig = owner[open_], sig[open_]
+    label = tied(owner, sig, len(cell))
+    sizes = cell["n"].to_numpy()
+    starts = np.searchsorted(owner, np.arange(len(cell) + 1))  # owners are in order
+    sigs = [sig[lo:hi] for lo, hi in zip(starts[:-1], starts[1:])]
+
+    def blocks(members: np.ndarray) -> list[np.ndarray]:
+        full = np.maximum(np.arange(len(members)) // TILE_SETS, np.cumsum(sizes[members]) // TILE_SHINGLES)
+        return np.split(members, np.flatnonzero(np.diff(full)) + 1)
+
+    order = np.lexsort((sides, label))
+    for members in np.split(order, np.flatnonzero(np.diff(label[order])) + 1):
+        if len(members) < 2:
+            continue
+        if two:
+            here = sides[members] == sides[members[0]]
+            pairs = [(x, y) for x in blocks(members[here]) for y in blocks(members[~here])]
+        else:
+            own = blocks(members)
+            pairs = [(x, y) for i, x in enumerate(own) for y in own[i:]]
+        for x, y in pairs:
+            if x is not y:
+                of_x, of_y = (np.concatenate([sigs[i] for i in z]) for z in (x, y))
+                common = np.intersect1d(of_x, of_y)
+                x, y = (z[[bool(np.isin(sigs[i], common).any()) for i in z]] for z in (x, y))
+            if len(x) and len(y):
+                yield from linked(cell.iloc[x], cell.iloc[y], percent)
+
+
 def compared(left: DataFrame, leads: DataFrame, docs: DataFrame, members: DataFrame, n: int, percent: int) -> DataFrame:
     """Links (a, b) that tie classes of different roots sharing a bucket, enough of them for the components.
 
     ``left`` has (sig, cid, n, root) of all buckets with several roots. Classes that
     leads tie into one tree lie in one tile, or in several of bounded size with the
-    classes of a lead together; tiles that share a bucket are compared in tasks, which
-    return a forest. So pairs are never rows.
+    classes of a lead together. Tiles are dealt into so many sides of a square that the
+    sets of two sides fit a task; the classes of two sides that share a bucket meet in
+    the cell of the two. So neither pairs of classes nor pairs of tiles are rows: a
+    class has a row for each bucket, and one for each cell.
     """
     nodes = left.select("cid", "n", "root").distinct().join(leads, "cid", "left").withColumn("b", F.coalesce("b", "cid"))
     nodes = stage(nodes, "nodes")
@@ -244,48 +314,33 @@ def compared(left: DataFrame, leads: DataFrame, docs: DataFrame, members: DataFr
         return rows.join(stage(pieces, "pieces"), by).withColumn(out, F.pmod(F.xxhash64(key), F.col("pieces"))).drop("pieces")
 
     parts = cut(cut(nodes, ["tree"], "b", "part"), ["tree", "part"], "cid", "piece")
-    tiles = stage(parts.select("cid", "n", "root", F.xxhash64("tree", "part", "piece").alias("tile")), "tiles")
-    at = stage(left.select("sig", "cid", "root").join(tiles.select("cid", "tile"), "cid"), "at")
-    there = stage(at.groupBy("sig", "tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi")), "there")
-    # two tiles need a bucket only if they hold several roots in it, and of their classes
-    # in it only those that meet another root than their own on the other side
-    one, two = (there.select("sig", F.struct("tile", "lo", "hi").alias(x)) for x in ("x", "y"))
-    near = one.join(two, "sig").where("x.tile <= y.tile and least(x.lo, y.lo) < greatest(x.hi, y.hi)")
-    first = F.struct(F.lit(0).alias("side"), F.col("x.tile").alias("tile"), F.col("y.lo").alias("lo"), F.col("y.hi").alias("hi"))
-    second = F.struct(F.lit(1).alias("side"), F.col("y.tile").alias("tile"), F.col("x.lo").alias("lo"), F.col("x.hi").alias("hi"))
-    both = F.when(F.col("x.tile") == F.col("y.tile"), F.array(first)).otherwise(F.array(first, second))
-    near = stage(near.select("sig", F.col("x.tile").alias("ta"), F.col("y.tile").alias("tb"), F.explode(both).alias("s")).select("sig", "ta", "tb", "s.*"), "near")
-    wanted = at.join(near, ["sig", "tile"]).where("root <> lo or root <> hi").select("ta", "tb", "side", "cid").distinct()
-    wanted = stage(wanted, "wanted")
-    free(nodes, at, there, near)
+    shingles_of_all = nodes.agg(F.sum("n")).first()[0] or 0
+    edge = max(1, math.ceil(2 * shingles_of_all / CELL_SHINGLES))
+    tiles = stage(parts.select("cid", "n", "root", F.pmod(F.xxhash64("tree", "part", "piece"), F.lit(edge)).cast("int").alias("side")), "tiles")
+    at = stage(left.select("sig", "cid", "root").join(tiles.select("cid", "side"), "cid"), "at")
+    there = at.groupBy("sig", "side").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    met = stage(there.groupBy("sig").agg(F.collect_list(F.struct("side", "lo", "hi")).alias("met")), "met")  # at most ``edge`` of them
+    # of the sides of a bucket, a class meets those with another root than its own
+    others = F.filter("met", lambda x: (x["lo"] != F.col("root")) | (x["hi"] != F.col("root")))
+    own = at.join(met, "sig").select("cid", "sig", F.transform(others, lambda x: x["side"]).alias("others"))
+    own = own.groupBy("cid").agg(F.collect_list("sig").alias("sigs"), F.array_distinct(F.flatten(F.collect_set("others"))).alias("others"))
+    own = stage(own, "wanted")
+    free(nodes, at, met)
     # joined and made unique by one shuffle of the sets
-    some = stage(wanted.select("cid").distinct(), "ends")
-    sets = sets_of(docs, members.join(some, "cid", "left_semi"), n)
-    full = stage(tiles.select("cid", "n", "root").join(sets, "cid").dropDuplicates(["cid"]), "full")
+    sets = sets_of(docs, members.join(own.select("cid"), "cid", "left_semi"), n)
+    full = stage(tiles.join(own, "cid").join(sets, "cid").dropDuplicates(["cid"]), "full")
     settle(full)
 
-    # Tiles are dealt into so many sides of a square that the sets of two sides fit a task. The
-    # pairs of a cell are compared in one task, so a set goes to a cell once, however many of its
-    # pairs lie there. Cells are done in shares, so that the sets sent for one share are gone before the next.
-    shingles_of_all = full.agg(F.sum("n")).first()[0] or 0
-    edge = F.lit(max(1, math.ceil(2 * shingles_of_all / CELL_SHINGLES)))
-    of_a, of_b = (F.pmod(F.xxhash64(c), edge) for c in ("ta", "tb"))
-    dealt = wanted.select(F.least(of_a, of_b).alias("ca"), F.greatest(of_a, of_b).alias("cb"), "ta", "tb", "side", "cid")
-
-    def compare(pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
-        found, sets = [], sets.set_index("cid", drop=False)
-        for _, one in pairs.groupby(["ta", "tb"], sort=False):
-            first, second = (sets.loc[one.loc[one["side"] == k, "of"]] for k in (0, 1))
-            found += linked(first, second if len(second) else first, percent)
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+    def compare(cell: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(list(compare_cell(cell, percent)), columns=["a", "b"], dtype="int64")
 
+    # cells are done in shares, so that the sets sent for one share are gone before the next
+    sent = full.withColumn("other", F.explode("others")).drop("others")
+    sent = sent.select(F.least("side", "other").alias("ca"), F.greatest("side", "other").alias("cb"), "cid", "n", "root", "side", "sigs", "set")
     forests = []
     for share in range(SHARES):
-        own = dealt.where(F.pmod(F.xxhash64("ca", "cb"), F.lit(SHARES)) == share)
-        needed = own.select("ca", "cb", "cid").distinct().toDF("cx", "cy", "cid")
-        sent = needed.join(full, "cid").toDF("cid", "cx", "cy", "n", "root", "set")
-        cells = own.toDF("ca", "cb", "ta", "tb", "side", "of").groupBy("ca", "cb").cogroup(sent.groupBy("cx", "cy"))
-        forests.append(stage(cells.applyInPandas(compare, "a long, b long"), "forest"))
+        cells = sent.where(F.pmod(F.xxhash64("ca", "cb"), F.lit(SHARES)) == share)
+        forests.append(stage(cells.groupBy("ca", "cb").applyInPandas(compare, "a long, b long"), "forest"))
         settle(full)
     return reduce(DataFrame.unionByName, forests)
 

@@ -1,5 +1,6 @@
 """Operators on documents against plain versions, on a table with all awkward rows."""
 
+import random
 from collections import Counter
 
 import brute
@@ -80,6 +81,35 @@ def test_signatures_are_shared_by_linked_sets():
                 assert np.intersect1d(ngram_join.signatures(a, percent), ngram_join.signatures(b, percent)).size, (size, percent)
 
 
+@pytest.mark.parametrize("tile, cell", [(256, 2_000_000), (3, 60)])
+def test_unlinked_sets_of_a_bucket_are_not_paired_by_rows(spark, monkeypatch, tile, cell):
+    monkeypatch.setattr(ngram_join, "TILE_SETS", tile)
+    monkeypatch.setattr(ngram_join, "CELL_SHINGLES", cell)
+    sent, write = [], ngram_join.stage
+
+    def noted(df, name):
+        table = write(df, name)
+        if name == "wanted":
+            sent.append((table.count(), table.columns))
+        return table
+
+    monkeypatch.setattr(ngram_join, "stage", noted)
+    r = random.Random(3)
+    common = [f"c{i}" for i in range(20)]
+    texts = [" ".join([*common, *(f"x{i}_{j}" for j in range(r.randint(4, 9)))]) for i in range(30)]  # like each other, but not enough
+    texts += [t + " end" for t in texts[:6]]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    sets = rows.select(F.col("doc_id").alias("cid"), F.size(F.array_distinct(F.split("text", " "))).cast("long").alias("n"))
+    left = sets.select(F.explode(F.array(F.lit(1), F.lit(2)).cast("array<long>")).alias("sig"), "cid", "n", F.col("cid").alias("root"))
+    members = rows.select(F.col("doc_id").alias("cid"), "doc_id", ngram_join.text_key(F.col("text")).alias("key"))
+    leads = rows.select(F.col("doc_id").alias("cid"), F.col("doc_id").alias("b"))
+    found = {(min(x), max(x)) for x in ngram_join.compared(left, leads, rows, members, 1, 90).collect()}
+    words = [set(t.split()) for t in texts]
+    want = {(i, j) for i in range(36) for j in range(i) if 100 * len(words[i] & words[j]) >= 90 * len(words[i] | words[j])}
+    assert found == {(j, i) for i, j in want} and len(want) == 6
+    assert sent == [(36, ["cid", "sigs", "others"])]  # a row for each class, whatever the pairs
+
+
 def test_sharding(docs, none, texts):
     placed = sharding.place(docs, "doc_id", shards=7)
     assert sorted(placed.columns) == sorted(docs.columns)
