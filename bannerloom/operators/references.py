@@ -66,7 +66,8 @@ def dereference_recursive(
 
     References are followed level by level: each level is one join of what the level before
     has found, written, so that a lost executor costs one level. The table is read once for
-    each level.
+    each level and shuffled to it, never broadcast: a broadcast for each level would bring the
+    table to the driver as often as there are levels.
     """
     spark = starts.sparkSession
     target = table.select(
@@ -77,7 +78,7 @@ def dereference_recursive(
     out: list[DataFrame] = []
     while max_depth is None or len(out) < max_depth:
         rows = frontier.withColumn("cycle", F.coalesce(F.array_contains("_before", F.col("id")), F.lit(False)))
-        level = rows.join(target, F.col("id") == F.col("_key"), "left").select(
+        level = rows.join(target.hint("merge"), F.col("id") == F.col("_key"), "left").select(
             "root", F.lit(len(out) + 1).alias("depth"), F.array_append("_before", F.col("id")).alias("path"), "id",
             F.coalesce("_found", F.lit(False)).alias("found"), "cycle", *columns, F.when(~F.col("cycle"), F.col("_links")).alias("_links"),
         )

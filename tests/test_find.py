@@ -300,6 +300,15 @@ def test_recursive_references(spark):
     assert references.dereference_recursive(starts, table, "k", "refs", {"label": "name"}, max_depth=2).agg(F.max("depth")).first()[0] == 2
 
 
+def test_recursive_references_do_not_gather_the_table(spark, monkeypatch):
+    plans, write = [], references.write_out
+    monkeypatch.setattr(references, "write_out", lambda df, path: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, path))
+    table = spark.createDataFrame([(1, "a", [2]), (2, "b", [3]), (3, "c", [])], "k long, name string, refs array<long>")
+    got = references.dereference_recursive(table.selectExpr("k AS root", "k AS id"), table, "k", "refs", {"label": "name"})
+    assert sorted((r.root, r.id, r.label) for r in got.collect()) == [(1, 1, "a"), (1, 2, "b"), (1, 3, "c"), (2, 2, "b"), (2, 3, "c"), (3, 3, "c")]
+    assert len(plans) == 3 and not any("BroadcastExchange" in p for p in plans)
+
+
 @pytest.mark.parametrize("rows_a_call", [10_000, 7])
 def test_map_reduce_with_user_code(spark, monkeypatch, rows_a_call):
     monkeypatch.setattr(find, "REDUCED_ROWS", rows_a_call)
