@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import gc
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from itertools import repeat
 from weakref import WeakKeyDictionary
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,11 +47,40 @@ class Memory(dict):
         return got
 
 
+#: Functions whose results a Python worker keeps from task to task.
+_kept: list[Callable] = []
+
+
+def kept(cached: Callable) -> Callable:
+    """Registers a function with an ``lru_cache``, so that tasks of other operators can empty it."""
+    _kept.append(cached)
+    return cached
+
+
+def let_go() -> None:
+    """Empties what tasks of other operators have left in this Python worker, which outlives them."""
+    for cached in _kept:
+        cached.cache_clear()
+    pa.default_memory_pool().release_unused()
+
+
 def words(text: str | None) -> list[bytes]:
     """Words between ASCII white space, A-Z lower-cased (``bytes`` methods touch ASCII only)."""
     return (text or "").encode().lower().split()
 
 
+def hashed(found: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words. Each is hashed whenever it is met: to look words up takes more time and memory,
+    as a corpus has more different ones than a task can remember."""
+    return np.frombuffer(b"".join(map(xxhash.xxh64_digest, found, repeat(17))), ">u8").astype(np.uint64)
+
+
+def distinct(numbers: np.ndarray) -> np.ndarray:
+    """In order, each once: sorted, as ``np.unique`` alone puts them into a hash table, which is slow for many."""
+    ordered = np.sort(numbers)
+    return ordered[np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)]]
+
+
 def fold(column: Column, folds: int) -> Column:
     """crc32 of the value as text, modulo ``folds``; null for a null value."""
     return F.crc32(column.cast("string").cast("binary")) % folds
@@ -151,19 +182,22 @@ def numbered(df: DataFrame, key: str) -> DataFrame:
     The numbers are only fixed once the result is written (``stage``). The number of
     different keys has to be bounded, as each task keeps a counter for each.
     """
-    schema = T.StructType([*df.schema.fields, T.StructField("__part", T.LongType()), T.StructField("__idx", T.LongType())])
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seen = TaskContext.get().partitionId(), {}
-        for batch in batches:
-            keys = pd.Series(batch.column(key).to_numpy(zero_copy_only=False))
-            idx = keys.groupby(keys).cumcount() + keys.map(seen).fillna(0).astype("int64")
-            for k, n in keys.value_counts().items():
-                seen[k] = seen.get(k, 0) + n
-            more = [pa.array(np.full(len(keys), part, np.int64)), pa.array(idx.to_numpy(np.int64))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, "__part", "__idx"])
-
-    return df.mapInArrow(number, schema)
+    return df.mapInArrow(lambda batches: number(batches, key), T.StructType([*df.schema.fields, *NUMBERS]))
+
+
+NUMBERS = [T.StructField("__part", T.LongType()), T.StructField("__idx", T.LongType())]
+
+
+def number(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """What ``numbered`` does in a task, for functions that make the rows there: another step would take a second Python worker."""
+    part, seen = TaskContext.get().partitionId(), {}
+    for batch in batches:
+        keys = pd.Series(batch.column(key).to_numpy(zero_copy_only=False))
+        idx = keys.groupby(keys).cumcount() + keys.map(seen).fillna(0).astype("int64")
+        for k, n in keys.value_counts().items():
+            seen[k] = seen.get(k, 0) + n
+        more = [pa.array(np.full(len(keys), part, np.int64)), pa.array(idx.to_numpy(np.int64))]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, *(f.name for f in NUMBERS)])
 
 
 def with_rank(table: DataFrame, key: str) -> DataFrame:

@@ -10,14 +10,13 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 import zstandard as zstd
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bannerloom.llm.common import free, settle, stage, words
+from bannerloom.llm.common import distinct, free, hashed, settle, stage, words
 
 #: A count c is kept as the level 1 + floor(log_BASE c).
 BASE = 1.5
@@ -30,8 +29,8 @@ SHARES = 4
 RANGE_BYTES = 8 << 20
 #: Exact counts of at most so many frequent words are broadcast (16 bytes each); the others are joined.
 FREQUENT = 1_000_000
-#: Tokens that a task counts, sends to a filter in blocks and scores at a time, and words whose hash it remembers.
-COUNTED, SENT, SCORED, REMEMBERED = 1_500_000, 800_000, 400_000, 300_000
+#: Tokens that a task counts, sends to a filter in blocks and scores at a time.
+COUNTED, SENT, SCORED = 1_500_000, 800_000, 400_000
 #: Levels are below this.
 LEVELS = 120
 #: Weights of the bigram counts that are tried for each level of the context.
@@ -40,16 +39,6 @@ WEIGHTS = np.linspace(0.0, 0.95, 20)
 END, START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
-class Hashes(dict):
-    """word -> 64-bit hash."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > REMEMBERED:
-            self.clear()
-        got = self[word] = xxhash.xxh64_intdigest(word, 17)
-        return got
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -84,15 +73,13 @@ def unsqueezed_steps(data: bytes) -> np.ndarray:
 
 def token_blocks(texts: Iterator[tuple[int, str | None]], size: int) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
     """(rows, tokens, tokens of each row) for about ``size`` tokens at a time; a row's end is a token."""
-    known = Hashes()
     rows, parts, counts, n = [], [], [], 0
     for row, text in texts:
         found = words(text)
-        ids = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
-        parts += [ids, END[None]]
+        parts += [hashed(found), END[None]]
         rows.append(row)
-        counts.append(len(ids) + 1)
-        n += len(ids) + 1
+        counts.append(len(found) + 1)
+        n += len(found) + 1
         if n >= size:
             yield rows, np.concatenate(parts), np.array(counts)
             rows, parts, counts, n = [], [], [], 0
@@ -289,9 +276,9 @@ class Parcel(NamedTuple):
 PARCEL = T.StructType([T.StructField(n, T.BinaryType()) for n in Parcel._fields])
 
 
-def parcel(tokens: np.ndarray, counts: np.ndarray, learn: np.ndarray) -> Parcel:
-    found, where, n = np.unique(tokens, return_inverse=True, return_counts=True)
-    order = np.argsort(-n, kind="stable")  # frequent tokens have small numbers, whose bytes lie together
+def parcel(found: np.ndarray, where: np.ndarray, counts: np.ndarray, learn: np.ndarray) -> Parcel:
+    """``found`` are the different tokens, ``where`` the place of each token there."""
+    order = np.argsort(-np.bincount(where, minlength=len(found)), kind="stable")  # frequent tokens have small numbers, whose bytes lie together
     number = np.empty(len(found), np.uint32)
     number[order] = np.arange(len(found), dtype=np.uint32)
     return Parcel(found[order].tobytes(), squeezed(number[where]), counts.astype(np.int64).tobytes(), learn.astype(bool).tobytes())
@@ -318,7 +305,7 @@ def shuffled_codes(parcels: DataFrame, model: Model, blocks: DataFrame) -> DataF
         for batch in batches:
             for first, p in zip(batch.column(0).to_pylist(), batch.column(1)):
                 vocabulary, _, grams, _ = opened(Parcel(**p.as_py()))
-                found = np.unique(np.concatenate([START[None], vocabulary, grams]))
+                found = distinct(np.concatenate([START[None], vocabulary, grams]))
                 cuts = np.searchsorted(range_of(found, model.ranges), np.arange(model.ranges + 1))
                 rows = [(first, r, squeezed_steps(found[lo:hi])) for r, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])) if lo < hi]
                 columns = [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))]
@@ -445,18 +432,20 @@ def score(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame:
             for rows, tokens, n in token_blocks(enumerate(batch.column(batch.num_columns - 1).to_pylist()), SENT if wide else SCORED):
                 owner = np.repeat(np.arange(len(n)), n)
                 logs, parcels = np.zeros(len(n)), [None] * len(n)
+                found, place = np.unique(tokens, return_inverse=True)
                 if wide:
-                    parcels[0] = parcel(tokens, n, learns[rows])._asdict()
+                    parcels[0] = parcel(found, place, n, learns[rows])._asdict()
                 else:
                     codes = filter_codes(model, filter_.value, contexts(tokens, n), tokens)
                     logs = np.bincount(owner, weights=log_shares(model, codes), minlength=len(n))
-                signed = tokens.view(np.int64)
+                signed = found.view(np.int64)  # each different token is looked up once
                 at = np.minimum(np.searchsorted(known, signed), max(0, len(known) - 1))
-                is_hot = known[at] == signed if len(known) else np.zeros(len(signed), bool)
-                c = times[at[is_hot]] if len(known) else np.zeros(0)
-                base = np.bincount(owner[is_hot], weights=np.log10((c + 0.1) / floor), minlength=len(n)).astype(float)  # ints if none
+                hot_word = known[at] == signed if len(known) else np.zeros(len(signed), bool)
+                share = np.log10((times[at] + 0.1) / floor) if len(known) else np.zeros(len(signed))
+                is_hot = hot_word[place]
+                base = np.bincount(owner[is_hot], weights=share[place[is_hot]], minlength=len(n)).astype(float)  # ints if none
                 seen = np.bincount(owner[is_hot], minlength=len(n))
-                rare, where = signed[~is_hot], owner[~is_hot]
+                rare, where = signed[place[~is_hot]], owner[~is_hot]
                 order = np.lexsort((rare, where))
                 rare, where = rare[order], where[order]
                 new = np.append(True, (rare[1:] != rare[:-1]) | (where[1:] != where[:-1]))[: len(rare)]

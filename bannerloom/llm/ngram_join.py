@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bannerloom.llm.common import classes, free, scope, settle, stage, staged_result, words
-from bannerloom.llm.lm_score import Hashes, mix
+from bannerloom.llm.common import classes, distinct, free, hashed, let_go, scope, settle, stage, staged_result, words
+from bannerloom.llm.lm_score import mix
 
 #: A band is this many times as wide as the sizes that can link with one size.
 WIDTH = 3
@@ -39,18 +39,18 @@ SHARES = 4
 PAIRS = ((0, 1), (0, 2), (1, 2))
 
 
-def shingles(text: str | None, n: int, known: Hashes) -> np.ndarray:
+def shingles(text: str | None, n: int) -> np.ndarray:
     """Sorted hashes of the distinct word n-grams; fewer words count as one, no words as none."""
     found = words(text)
     if not found:
         return np.zeros(0, np.uint64)
-    ids = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
+    ids = hashed(found)
     width = min(n, len(ids))
     with np.errstate(over="ignore"):
         out = np.full(len(ids) - width + 1, np.uint64(width))
         for k in range(width):
             out = mix(out * np.uint64(0x9E3779B97F4A7C15) + ids[k : len(ids) - width + 1 + k])
-    return np.unique(out)
+    return distinct(out)
 
 
 class Space(NamedTuple):
@@ -132,13 +132,14 @@ def signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row, known, seen = TaskContext.get().partitionId() << 33, Hashes(), set()
+        let_go()
+        row, seen = TaskContext.get().partitionId() << 33, set()
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
                 sizes, k1, k2, sigs = [], [], [], []
                 for text in batch.column(2).to_pylist():
-                    found = shingles(text, n, known)
+                    found = shingles(text, n)
                     with np.errstate(over="ignore"):
                         one, two = (int(mix(found ^ np.uint64(c)).sum(dtype=np.uint64)) for c in (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25))
                     new = len(found) and (one, two) not in seen
@@ -149,7 +150,7 @@ def signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     sizes.append(len(found))
                     k1.append(one)
                     k2.append(two)
-                    sigs.append(np.unique(signatures(found, percent)).view(np.int64) if new else np.zeros(0, np.int64))
+                    sigs.append(distinct(signatures(found, percent)).view(np.int64) if new else np.zeros(0, np.int64))
                 ends = pa.array(np.concatenate([[0], np.cumsum([len(s) for s in sigs])]).astype(np.int32))
                 numbers = [np.array(x, np.uint64).view(np.int64) for x in (k1, k2)]
                 columns = [*batch.columns[:2], pa.array(row + np.arange(len(sizes))), pa.array(sizes, pa.int64()), *map(pa.array, numbers),
@@ -168,11 +169,10 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     rows = left.join(F.broadcast(right) if bounded else right, (F.col("__text_key") == F.col("__key")) & F.col("__doc").eqNullSafe(F.col("__id")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Hashes()
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
-                found = [shingles(t, n, known).view(np.int64) for t in batch.column(1).to_pylist()]
+                found = [shingles(t, n).view(np.int64) for t in batch.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["cid", "set"])
 
     return rows.select("cid", "text").mapInArrow(run, "cid long, set array<long>")

@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -380,3 +381,15 @@ def test_freed_tables_are_gone_and_results_stay(spark):
     assert result.count() == 3 and not any(os.path.exists(p) for p in paths) and len(paths) == 3
     common.free(result)
     common.free(result)  # nothing more to do
+
+
+def test_words_are_hashed_when_met_and_sorted_numbers_are_as_by_unique():
+    found = common.words("A word, and a WORD é \x1c")
+    assert common.hashed(found).tolist() == [xxhash.xxh64_intdigest(w, 17) for w in found] and not len(common.hashed([]))
+    assert common.hashed(found).dtype == np.uint64 and common.hashed(found).dtype.isnative
+    rows, tokens, counts = next(lm_score.token_blocks(enumerate(["b a b", None, ""]), 100))
+    a, b = (xxhash.xxh64_intdigest(w, 17) for w in (b"a", b"b"))
+    assert (rows, tokens.tolist(), counts.tolist()) == ([0, 1, 2], [b, a, b, *[int(lm_score.END)] * 3], [4, 1, 1])
+    for n in (0, 1, 5_000):
+        numbers = np.random.default_rng(n).integers(0, 1_000, n).astype(np.uint64) << np.uint64(54)
+        assert common.distinct(numbers).tolist() == np.unique(numbers).tolist()
