@@ -57,10 +57,11 @@ def kept(cached: Callable) -> Callable:
     return cached
 
 
-def let_go() -> None:
-    """Empties what tasks of other operators have left in this Python worker, which outlives them."""
+def let_go(but: Callable | None = None) -> None:
+    """Empties what earlier tasks have left in this Python worker, which outlives them, ``but`` one function's."""
     for cached in _kept:
-        cached.cache_clear()
+        if cached is not but:
+            cached.cache_clear()
     pa.default_memory_pool().release_unused()
 
 

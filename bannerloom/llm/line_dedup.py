@@ -39,7 +39,8 @@ class Runs:
 
     def __init__(self, spark: SparkSession, least: int, fan_out: int = FAN_OUT):
         self.least, self.fan_out = least, fan_out
-        empty = spark.createDataFrame([], "hash binary, docs bigint")
+        # not of Python rows, for which each executor would start Python workers of their own
+        empty = spark.range(1).select(F.lit(None).cast("binary").alias("hash"), F.lit(None).cast("bigint").alias("docs")).where(F.lit(False))
         self.empty, self.settled, self.levels = empty, [], []
 
     @staticmethod

@@ -9,14 +9,13 @@ from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from bannerloom.llm.common import Memory, numbered, stage, with_rank
+from bannerloom.llm.common import NUMBERS, Memory, kept, let_go, number, stage, with_rank
 
 #: Combining diacritical marks.
 MARKS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]")
@@ -51,6 +50,7 @@ def byte_letters() -> dict[int, int]:
     return {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in shown)}
 
 
+@kept
 @lru_cache(maxsize=1)
 def word_encoder(path: str):
     """(text, end) -> the ids as 16-bit numbers, or 32-bit ones for a vocabulary beyond that, and their type.
@@ -60,7 +60,7 @@ def word_encoder(path: str):
     lower-cases, so A-Z is lower-cased before, but not in texts where that may make a
     difference: those with combining marks, with which capitals and small letters may
     compose otherwise, and with the start of a special token's name, as such names are
-    found before. A worker keeps its memory from task to task.
+    found before. A worker keeps its memory from task to task (110 MB), until one calls ``let_go``.
     """
     from tokenizers import Tokenizer
 
@@ -97,14 +97,15 @@ def word_encoder(path: str):
 
 def tokenize(docs: DataFrame, path: str, window: int, end: int) -> DataFrame:
     """All columns but ``text``, and the ids as numbers of 16 or 32 bits, their count, the
-    whole windows in them, those of the task's rows before, and the rest."""
+    whole windows in them, those of the task's rows before, and the rest, ``numbered`` by it."""
     rest = docs.drop("text")
-    schema = T.StructType(
+    made = T.StructType(
         [*rest.schema.fields, T.StructField("__ids", T.BinaryType()), T.StructField("doc_tokens", T.LongType()),
          T.StructField("__full", T.LongType()), T.StructField("__full_at", T.LongType()), T.StructField("__rest", T.LongType())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(but=word_encoder)
         (encode, kind), done = word_encoder(path), 0
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
@@ -115,9 +116,10 @@ def tokenize(docs: DataFrame, path: str, window: int, end: int) -> DataFrame:
                 at_full = done + np.cumsum(full) - full
                 done += int(full.sum())
                 more = [pa.array(ids, pa.binary()), *map(pa.array, (n, full, at_full, n % window))]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *more], schema.names)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *more], made.names)
 
-    return docs.select(*rest.columns, F.col("text").cast("string").alias("__text")).mapInArrow(run, schema)
+    schema = T.StructType([*made.fields, *NUMBERS])
+    return docs.select(*rest.columns, F.col("text").cast("string").alias("__text")).mapInArrow(lambda batches: number(run(batches), "__rest"), schema)
 
 
 def combinations(window: int) -> np.ndarray:
@@ -229,8 +231,9 @@ def plan(counts: dict[int, int], window: int) -> tuple[list[tuple[int, int, int,
 
 
 def rows(spark, values: Sequence[tuple], names: str) -> DataFrame:
-    schema = T.StructType([T.StructField(n, T.LongType()) for n in names.split()])
-    return spark.createDataFrame(pd.DataFrame(values, columns=names.split(), dtype="int64"), schema)
+    """By Arrow: rows of Python objects would have each executor start Python workers of their own."""
+    columns = np.array(values, np.int64).reshape(-1, len(names.split())).T
+    return spark.createDataFrame(pa.table([pa.array(c, pa.int64()) for c in columns], names.split()))
 
 
 def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end: int = 1) -> DataFrame:
@@ -249,7 +252,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end: int = 1) -> D
     """
     spark = docs.sparkSession
     docs = docs.drop(*PIECE)
-    table = stage(numbered(tokenize(docs, tokenizer, window, end), "__rest"), "tokens")
+    table = stage(tokenize(docs, tokenizer, window, end), "tokens")
     counts = {r[0]: r[1] for r in table.where("__rest > 0").groupBy("__rest").count().collect()}
     slots, leftovers, sequences = plan(counts, window)
     taken = sum(length * (counts[length] - lo) for length, lo, _ in leftovers)
@@ -278,6 +281,7 @@ def cut(placed: DataFrame, kept: list[str], window: int) -> DataFrame:
     schema = T.StructType([*[placed.schema[c] for c in kept], *[T.StructField(c, kinds[c]) for c in PIECE]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()  # the ids are made
         for whole in batches:
             for begin in range(0, whole.num_rows, 500):
                 batch = whole.slice(begin, 500)

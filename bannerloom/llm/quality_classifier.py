@@ -11,7 +11,7 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bannerloom.llm.common import stage
+from bannerloom.llm.common import let_go, stage
 
 #: Labelled documents that dictionaries and calibration are fitted on, for each label and use.
 SAMPLE_ROWS = 1_500
@@ -105,6 +105,7 @@ def measured(docs: DataFrame, by: tuple[bytes, bytes], text: str) -> Column:
 
     @F.pandas_udf("d double, r double")
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        let_go()
         with_dictionary = compressors(*shared.value)
         for texts in batches:
             yield pd.DataFrame([features((t or "").encode(), with_dictionary) for t in texts], columns=["d", "r"], dtype="float64")
@@ -152,6 +153,7 @@ def score(docs: DataFrame, model: Model, out: str = "score", text: str = "text")
 
     @F.pandas_udf("double")
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        let_go()
         m = shared.value
         by = compressors(m.good, m.bad)
         center, w = np.array(m.center), np.array(m.weights)

@@ -393,3 +393,25 @@ def test_words_are_hashed_when_met_and_sorted_numbers_are_as_by_unique():
     for n in (0, 1, 5_000):
         numbers = np.random.default_rng(n).integers(0, 1_000, n).astype(np.uint64) << np.uint64(54)
         assert common.distinct(numbers).tolist() == np.unique(numbers).tolist()
+
+
+def test_stages_start_no_python_workers_for_small_tables_and_one_for_tokens(spark, docs):
+    """Each takes some 30 MB to 100 MB of an executor; scans of rows that Python made are scans of an RDD."""
+    plan = lambda df: df._jdf.queryExecution().toString()
+    assert "ExistingRDD" not in plan(line_dedup.Runs(spark, least=5).frequent())
+    small = packing.rows(spark, [(1, 2), (3, 4)], "a b")
+    assert small.dtypes == [("a", "bigint"), ("b", "bigint")] and sorted(map(tuple, small.collect())) == [(1, 2), (3, 4)]
+    assert packing.rows(spark, [], "a b").collect() == []
+    tokens = packing.tokenize(docs.select("doc_id", "text"), WORDS, 64, 1)
+    assert {"__rest", "__part", "__idx"} < set(tokens.columns)
+    physical = tokens._jdf.queryExecution().executedPlan().toString()
+    assert physical.count("MapInArrow") == 1
+
+
+def test_a_worker_lets_go_of_its_encoder():
+    packing.word_encoder(WORDS)
+    assert packing.word_encoder.cache_info().currsize == 1
+    common.let_go(but=packing.word_encoder)
+    assert packing.word_encoder.cache_info().currsize == 1
+    common.let_go()
+    assert packing.word_encoder.cache_info().currsize == 0
