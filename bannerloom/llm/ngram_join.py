@@ -3,7 +3,9 @@
 Sets are put into bands of like size. In a band, linked sets differ in at most k
 shingles. The shingle domain is cut into groups of three parts, more than k / 2 of
 them, so in some group two linked sets differ in one part at most and agree in the two
-others: they share the signature of those two parts.
+others: they share the signature of those two parts. Most linked sets agree in more groups
+than one. Of a set that shares m signatures or more with all that it links with, the m - 1
+most frequent signatures are not needed, and so frequent ones seldom bring sets together.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from bannerloom.llm.common import classes, distinct, free, hashed, let_go, scope, settle, stage, staged_result, words
 from bannerloom.llm.lm_score import mix
@@ -57,6 +60,7 @@ class Space(NamedTuple):
     number: int
     groups: int
     spare: int  # groups beyond those needed, so that as many may be empty
+    last: int  # size of the largest sets
 
 
 @lru_cache(maxsize=None)
@@ -85,24 +89,32 @@ def spaces(percent: int, size: int) -> tuple[Space, ...]:
         need = k // 2 + 1
         empty = 3 * math.exp(-2 * smallest / (3 * need)) * need
         spare = math.ceil(empty + 3 * math.sqrt(empty)) if empty > 0.01 and k else 0
-        out.append(Space(band, need + spare if k else 0, spare))
+        out.append(Space(band, need + spare if k else 0, spare, hi[band]))
     return tuple(out)
 
 
 def signatures(found: np.ndarray, percent: int) -> np.ndarray:
-    """All signatures of a set of sorted hashes.
+    """All signatures of a set of sorted hashes."""
+    return enumerated(found, percent)[0]
 
-    A signature without any shingle would be shared by unrelated sets. Linked sets agree
-    in ``spare`` + 1 groups or more, so such signatures are only needed by sets that have
-    more groups with two empty parts than ``spare``.
+
+def enumerated(found: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """All signatures of a set of sorted hashes, and how many of them it shares with any set it links with, at least.
+
+    The size of a set bounds what it differs in from one that it links with, and it takes
+    two differences for a group not to agree. A signature without any shingle would be
+    shared by unrelated sets, so such ones are only given for sets that may agree in
+    groups with two empty parts alone. Any other set shares one signature or more for each
+    group in which it agrees at least, without those that may be empty.
     """
-    out = []
+    out, least = [], []
     with np.errstate(over="ignore"):
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(found ^ np.uint64(0x8CB92BA72F3D8DD7)))])
         for space in spaces(percent, len(found)):
             seed = np.uint64(space.number + 1) * np.uint64(0xA24BAED4963EE407)
             if not space.groups:  # only equal sets link
                 out.append(mix(sums[-1:] + seed))
+                least.append(1)
                 continue
             parts = 3 * space.groups
             # part = high half of the hash x parts / 2^32: hashes are sorted, so parts are ranges
@@ -110,11 +122,15 @@ def signatures(found: np.ndarray, percent: int) -> np.ndarray:
             content = (sums[ends[1:]] - sums[ends[:-1]]).reshape(-1, 3)
             size = np.diff(ends).reshape(-1, 3)
             group = np.arange(space.groups, dtype=np.uint64) * np.uint64(3)
-            bad = ((size == 0).sum(axis=1) >= 2).sum() > space.spare
+            empty = int(((size == 0).sum(axis=1) >= 2).sum())
+            differ = (100 - percent) * (len(found) + min(space.last, len(found) * 100 // percent)) // (100 + percent)
+            sure = space.groups - differ // 2 - empty
+            bad = sure < 1
+            least.append(max(1, sure))
             for which, (a, b) in enumerate(PAIRS):
                 got = mix(content[:, a] + mix(content[:, b] + seed + group + np.uint64(which)))
                 out.append(got if bad else got[(size[:, a] > 0) | (size[:, b] > 0)])
-    return np.concatenate(out)
+    return np.concatenate(out), min(least)
 
 
 def text_key(text: Column) -> Column:
@@ -122,13 +138,13 @@ def text_key(text: Column) -> Column:
 
 
 def signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, key of the text, row, size, two hashes of the set, signatures); a row for each document.
+    """(doc_id, key of the text, row, size, two hashes of the set, signatures, how many linked sets share); a row for each document.
 
     Of copies in one task only the first carries signatures.
     """
     schema = T.StructType(
         [T.StructField("doc_id", T.LongType()), T.StructField("key", T.BinaryType()), T.StructField("row", T.LongType()), T.StructField("n", T.LongType()),
-         T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()), T.StructField("sigs", T.ArrayType(T.LongType()))]
+         T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()), T.StructField("sigs", T.ArrayType(T.LongType())), T.StructField("least", T.LongType())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,7 +153,7 @@ def signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
-                sizes, k1, k2, sigs = [], [], [], []
+                sizes, k1, k2, sigs, least = [], [], [], [], []
                 for text in batch.column(2).to_pylist():
                     found = shingles(text, n)
                     with np.errstate(over="ignore"):
@@ -150,11 +166,13 @@ def signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     sizes.append(len(found))
                     k1.append(one)
                     k2.append(two)
-                    sigs.append(distinct(signatures(found, percent)).view(np.int64) if new else np.zeros(0, np.int64))
+                    own, shares = enumerated(found, percent) if new else (np.zeros(0, np.uint64), 1)
+                    sigs.append(distinct(own).view(np.int64))
+                    least.append(shares)
                 ends = pa.array(np.concatenate([[0], np.cumsum([len(s) for s in sigs])]).astype(np.int32))
                 numbers = [np.array(x, np.uint64).view(np.int64) for x in (k1, k2)]
                 columns = [*batch.columns[:2], pa.array(row + np.arange(len(sizes))), pa.array(sizes, pa.int64()), *map(pa.array, numbers),
-                           pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sigs)))]
+                           pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sigs))), pa.array(least, pa.int64())]
                 row += len(sizes)
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
 
@@ -365,7 +383,7 @@ def components(docs: DataFrame, n: int, percent: int) -> DataFrame:
         ),
         "sets",
     )
-    known = stage(some.drop("sigs").join(sets.select("k1", "k2", "cid"), ["k1", "k2"]).select("row", "doc_id", "key", "n", "cid"), "classes")
+    known = stage(some.drop("sigs").join(sets.select("k1", "k2", "cid"), ["k1", "k2"]).select("row", "doc_id", "key", "n", "cid", "least"), "classes")
     none = stage(rows.where("n = 0").select("doc_id", "key", "n"), "none")
     members = sets.select("cid", "doc_id", "key")
 
@@ -377,14 +395,18 @@ def components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     found = []
     for share in range(SHARES):
         own = each.where(F.pmod("sig", F.lit(SHARES)) == share)
-        twice = stage(own.groupBy("sig").agg(F.count("*").alias("sets")).where("sets > 1").select("sig"), "twice")
-        found.append(stage(own.join(twice, "sig", "left_semi").select("sig", "row"), "shared"))
+        twice = stage(own.groupBy("sig").agg(F.count("*").alias("sets")).where("sets > 1"), "twice")
+        found.append(stage(own.join(twice, "sig").select("sig", "row", "sets"), "shared"))
         free(twice)
         settle(rows)  # what was shuffled for the share grows with the signatures
     shared = reduce(DataFrame.unionByName, found)
     free(rows)
-    # rows become classes; copies of one class in a bucket become one
-    buckets = stage(shared.join(known.select("row", "cid", "n"), "row").select("sig", "cid", "n").distinct(), "buckets")
+    # all sets order signatures alike, the most frequent first: of those that two linked sets
+    # share, the last one stands behind the ``least`` - 1 first ones of either. Rows become
+    # classes; copies of one class in a bucket become one
+    place = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("sets"), "sig"))
+    ranked = shared.join(known.select("row", "cid", "n", "least"), "row").withColumn("place", place)
+    buckets = stage(ranked.where("place >= least").select("sig", "cid", "n").distinct(), "buckets")
     free(*found)
 
     # the class in most buckets leads each of its buckets: of near copies, the one least changed

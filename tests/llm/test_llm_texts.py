@@ -82,6 +82,46 @@ def test_signatures_are_shared_by_linked_sets():
                 assert np.intersect1d(ngram_join.signatures(a, percent), ngram_join.signatures(b, percent)).size, (size, percent)
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_linked_sets_share_as_many_signatures_as_said(percent):
+    r, most = np.random.default_rng(5), 0
+    for size in [1, 2, 5, 9, 17, 30, 60, 113, 150, 196, 218, 234, 300, 700]:
+        for _ in range(30):
+            a = np.unique(r.integers(0, 2**64, size, np.uint64))
+            b = a
+            for _ in range(size):  # shingles go, come or are replaced as long as the two link
+                kept = r.permutation(b)[r.integers(0, 2) :] if len(b) > 1 else b
+                new = np.unique(np.concatenate([kept, r.integers(0, 2**64, r.integers(0, 2), np.uint64)]))
+                shared = len(np.intersect1d(new, a))
+                if 100 * shared < percent * (len(a) + len(new) - shared):
+                    break
+                b = new
+            (of_a, least_a), (of_b, least_b) = (ngram_join.enumerated(x, percent) for x in (a, b))
+            assert np.intersect1d(of_a, of_b).size >= max(least_a, least_b) >= 1, (size, percent)
+            most = max(most, least_a)
+    assert most > 10
+
+
+def test_frequent_signatures_bring_no_unlinked_sets_together(spark, monkeypatch):
+    opened, write = [], ngram_join.stage
+
+    def noted(df, name):
+        table = write(df, name)
+        if name == "open":
+            opened.append(table.count())
+        return table
+
+    monkeypatch.setattr(ngram_join, "stage", noted)
+    passage = " ".join(f"p{i}" for i in range(40))
+    texts = [" ".join(f"w{i}_{j}" for j in range(218)) for i in range(60)]  # nothing in common, sparse parts
+    texts += [passage + " " + " ".join(f"v{i}_{j}" for j in range(300)) for i in range(60)]  # a passage in common
+    texts += [t + " end" for t in texts[::10]]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in ngram_join.join(rows, 5, 80).collect()}
+    assert got == {i: i if i < 120 else (i - 120) * 10 for i in range(132)}
+    assert opened == [0]
+
+
 @pytest.mark.parametrize("tile, cell", [(256, 2_000_000), (3, 60)])
 def test_unlinked_sets_of_a_bucket_are_not_paired_by_rows(spark, monkeypatch, tile, cell):
     monkeypatch.setattr(ngram_join, "TILE_SETS", tile)
