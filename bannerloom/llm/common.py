@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
+import sys
 import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -58,11 +60,32 @@ def kept(cached: Callable) -> Callable:
 
 
 def let_go(but: Callable | None = None) -> None:
-    """Empties what earlier tasks have left in this Python worker, which outlives them, ``but`` one function's."""
+    """Empties what earlier tasks have left in this Python worker, which outlives them, ``but`` one function's.
+
+    What Arrow and the C library keep of freed memory goes back to the system.
+    """
     for cached in _kept:
         if cached is not but:
             cached.cache_clear()
     pa.default_memory_pool().release_unused()
+    if sys.platform == "linux" and (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)):  # not all C libraries have it
+        trim(0)
+
+
+#: Bytes of rows that Spark sends to Python at once.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Has Spark send Python at most about ``BATCH_BYTES`` at once, or one longer row.
+
+    Each task holds a batch several times over, in the JVM beside its heap and in the worker.
+    It stays so for the session, as what operators return is computed later; less stays less.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(key, f"{BATCH_BYTES}b")
 
 
 def words(text: str | None) -> list[bytes]:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from bannerloom.llm.common import NUMBERS, Memory, kept, let_go, number, stage, with_rank
+from bannerloom.llm.common import NUMBERS, Memory, kept, let_go, number, small_batches, stage, with_rank
 
 #: Combining diacritical marks.
 MARKS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]")
@@ -82,7 +82,10 @@ def word_encoder(path: str):
 
     def whole(data: bytes) -> bytes:
         word = data.decode()
-        return b"".join(map(piece, split(word))) if split and PLAIN(word) else alone(data)
+        if not (split and PLAIN(word)):
+            return alone(data)
+        parts = split(word)
+        return b"".join(map(piece, parts)) if len(parts) > 1 else b"".join(map(plain_piece, parts))  # remembered once, as a word
 
     lowered, as_is = Memory(whole).__getitem__, Memory(alone).__getitem__
 
@@ -248,9 +251,10 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end: int = 1) -> D
 
     Null and empty texts have one id, ``end``. Repeated rows and null ids are documents
     of their own. Other columns stay, those named like a piece's are replaced. An empty
-    table gives no pieces.
+    table gives no pieces. The session gets ``small_batches``.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.drop(*PIECE)
     table = stage(tokenize(docs, tokenizer, window, end), "tokens")
     counts = {r[0]: r[1] for r in table.where("__rest > 0").groupBy("__rest").count().collect()}

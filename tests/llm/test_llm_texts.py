@@ -6,12 +6,14 @@ from collections import Counter
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from bannerloom.llm import byte_bpe, common, line_dedup, lm_score, ngram_join, packing, quality_classifier, quality_rules, sharding
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -455,3 +457,40 @@ def test_a_worker_lets_go_of_its_encoder():
     assert packing.word_encoder.cache_info().currsize == 1
     common.let_go()
     assert packing.word_encoder.cache_info().currsize == 0
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    """A batch is held several times over by each task; 2,000 texts of 10 kB were one of 20 MB."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.range(2000, numPartitions=1).selectExpr("id AS doc_id", "repeat('word ', 2000) AS text")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [batch.nbytes], "rows": [batch.num_rows]})
+
+    try:
+        for begin in (lambda: packing.pack(docs, WORDS), lambda: corpus_pipeline.rules(spark, docs.selectExpr("*", "'s' AS source"), "")):
+            spark.conf.set(key, before)
+            begin()
+            got = docs.mapInArrow(sizes, "bytes long, rows long").collect()
+            assert sum(r["rows"] for r in got) == 2000 and max(r["bytes"] for r in got) < 2 * common.BATCH_BYTES
+        spark.conf.set(key, "1m")  # less stays less
+        common.small_batches(spark)
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_a_word_of_one_piece_is_remembered_once():
+    packing.word_encoder.cache_clear()
+    encode, kind = packing.word_encoder(WORDS)
+    inside = lambda f, name: dict(zip(f.__code__.co_freevars, f.__closure__))[name].cell_contents.__self__
+    words = inside(encode, "lowered")
+    pieces = inside(words.compute, "piece")
+    assert np.frombuffer(encode("hello", 1), kind).tolist() == [*Tokenizer.from_file(WORDS).encode("hello", add_special_tokens=False).ids, 1]
+    assert b"hello" in words and not pieces
+    for text in ("Hello, world!", "don't é, 12 . ..."):
+        assert np.frombuffer(encode(text, 1), kind).tolist() == [*Tokenizer.from_file(WORDS).encode(text, add_special_tokens=False).ids, 1]
+    assert "world" in pieces
+    packing.word_encoder.cache_clear()
