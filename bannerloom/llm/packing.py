@@ -272,7 +272,8 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end: int = 1) -> D
         F.broadcast(slot), (F.col("__rest") == F.col("__len")) & (F.col("__rank") >= F.col("__lo")) & (F.col("__rank") < F.col("__hi")), "left"
     ).join(F.broadcast(rest), (F.col("__rest") == F.col("__rlen")) & (F.col("__rank") >= F.col("__rlo")), "left")
     kept = [c for c in docs.columns if c != "text"]
-    line = F.lit(sequences) * window + F.col("__place") + (F.col("__rank") - F.col("__rlo")) * F.col("__rest")
+    # multiplied here: as literals the two would be numbers of 32 bits, and so would their product
+    line = F.lit(sequences * window) + F.col("__place") + (F.col("__rank") - F.col("__rlo")) * F.col("__rest")
     at = F.coalesce((F.col("__sequence") + F.col("__rank") - F.col("__lo")) * window + F.col("__offset"), line, F.lit(0))
     full = F.lit(first_full) + F.col("__full_before") + F.col("__full_at")
     return cut(placed.select(*kept, "__ids", "doc_tokens", full.alias("__first"), at.alias("__at")), kept, window)

@@ -273,6 +273,22 @@ def test_packing(docs, none, texts):
     assert packing.pack(none, WORDS).count() == 0
 
 
+def test_packing_behind_very_many_sequences(spark, monkeypatch):
+    """Leftovers lie behind the plan's sequences, on a line that is longer than 2^31 ids from some 6 GB of texts on."""
+    docs = spark.range(1, 90, numPartitions=3).selectExpr("id AS doc_id", "repeat('word ', int(id * 5 % 31)) AS text")
+    pieces = lambda: [tuple(r) for r in packing.pack(docs, WORDS, window=16, end=1).orderBy("doc_id", "start").collect()]
+    plan, far = packing.plan, 1 << 28
+
+    def behind(counts, window):
+        slots, rest, sequences = plan(counts, window)
+        assert slots and rest
+        return [(*lens, first + far, offset) for *lens, first, offset in slots], rest, sequences + far
+
+    near = pieces()
+    monkeypatch.setattr(packing, "plan", behind)
+    assert pieces() == [(*row, sequence + far, offset) for *row, sequence, offset in near]
+
+
 def test_plan_places_each_rest_once():
     rng = np.random.default_rng(1)
     counts = {int(k): int(n) for k, n in zip(rng.choice(np.arange(1, 128), 60, replace=False), rng.integers(1, 500, 60))}
